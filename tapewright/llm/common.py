@@ -103,6 +103,76 @@ class WordTable(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
 
 
+def split_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words of a text column (null: none), the place of each word among them, and the number of words of each text."""
+    parts = pa.compute.ascii_split_whitespace(pa.compute.fill_null(texts, ""))
+    flat = parts.flatten().cast(pa.binary()).dictionary_encode()
+    words, at = flat.dictionary.to_pylist(), flat.indices.to_numpy().astype(np.int64)
+    lengths = np.asarray(pa.compute.list_value_length(parts), dtype=np.int64)
+    if b"" in words:  # outer white space leaves empty parts
+        real = at != words.index(b"")
+        lengths = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[real], minlength=len(lengths))
+        at = at[real]
+    return words, at, lengths
+
+
+_TABLE = np.random.default_rng(20).integers(0, 2**64, (64, 256), dtype=np.uint64)
+_IS_WHITE = np.isin(np.arange(256), np.frombuffer(WHITE, dtype=np.uint8))
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a text column one after the other (null: none), and where each text starts, with the end."""
+    plain = pa.compute.fill_null(texts, "").cast(pa.large_binary())
+    offsets = np.frombuffer(plain.buffers()[1], dtype=np.int64)[plain.offset : plain.offset + len(plain) + 1]
+    data = np.frombuffer(plain.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]] if plain.buffers()[2] is not None else np.empty(0, np.uint8)
+    return data, offsets - offsets[0]
+
+
+def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words [^\\x20\\x09-\\x0D]+ of a text column, in order, and the number of words of each text.
+
+    Tabulation hashing over (position modulo 64, byte), with a factor for the position's upper part, all in numpy.
+    """
+    data, offsets = text_bytes(texts)
+    if not len(data):
+        return np.empty(0, dtype=np.uint64), np.zeros(len(texts), dtype=np.int64)
+    inside = ~_IS_WHITE[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    starts = offsets[:-1][offsets[:-1] < len(data)]
+    first[starts] = inside[starts]  # a text's first byte never continues the text before
+    at = np.flatnonzero(inside)
+    head = np.flatnonzero(first)
+    word = np.cumsum(first)[at] - 1
+    place = at - head[word]
+    byte = data[at]
+    if lower:
+        byte = np.where((byte >= 65) & (byte <= 90), byte + 32, byte)
+    with np.errstate(over="ignore"):
+        h = _TABLE[place & 63, byte]
+        if place.max(initial=0) >= 64:
+            h = h * (np.uint64(2) * mix64((place >> 6).astype(np.uint64)) + np.uint64(1))
+        hashes = mix64(np.add.reduceat(h, np.flatnonzero(first[at])))
+    ends = np.searchsorted(head, offsets)
+    return hashes, np.diff(ends)
+
+
+class Growing:
+    """Rows that are only ever appended; capacity doubles, so appending costs its own size."""
+
+    def __init__(self, shape: tuple[int, ...], dtype) -> None:
+        self.rows, self.used = np.empty((1_024, *shape), dtype=dtype), 0
+
+    def extend(self, more: np.ndarray) -> None:
+        end = self.used + len(more)
+        if end > len(self.rows):
+            wider = np.empty((max(end, 2 * len(self.rows)), *self.rows.shape[1:]), dtype=self.rows.dtype)
+            wider[: self.used] = self.rows[: self.used]
+            self.rows = wider
+        self.rows[self.used : end] = more
+        self.used = end
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of splitmix, element by element."""
     with np.errstate(over="ignore"):

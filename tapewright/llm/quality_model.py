@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, pick, slices
+from .common import Growing, WordTable, pick, slices, split_words
 
 PIECES = re.compile(r"([^\W_]*)(.*)", re.S)
 
@@ -50,7 +50,7 @@ class Tokens:
         self._forget()
 
     def _forget(self) -> None:
-        self.table, self.parts = WordTable(), np.empty((0, 3), dtype=np.int32)
+        self.table, self.parts = WordTable(), Growing((3,), np.int32)
 
     def _split(self, word: bytes) -> tuple[int, int, int]:
         core, tail = PIECES.match(word.decode("utf-8", "replace")).groups()
@@ -58,15 +58,19 @@ class Tokens:
         capitals = len(core) > 1 and core.isupper()
         return (number("w", core.lower()) if core else -1, number("s", tail[:8]) if tail else -1, number("c", "") if capitals else -1)
 
-    def of(self, text: str | None) -> np.ndarray:
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket numbers of all texts, one after the other, and how many each text has."""
         if len(self.table) > WordTable.LIMIT:
             self._forget()
-        numbers = self.table.numbers((text or "").encode("utf-8", "surrogatepass").split())
+        words, at, counts = split_words(texts)
+        numbers = self.table.numbers(words)
         if self.table.new:
-            self.parts = np.concatenate([self.parts, np.array([self._split(w) for w in self.table.new], dtype=np.int32)])
+            self.parts.extend(np.array([self._split(w) for w in self.table.new], dtype=np.int32))
             self.table.new.clear()
-        found = self.parts[numbers].ravel()
-        return found[found >= 0]
+        found = self.parts.rows[numbers[at]]
+        real = found >= 0
+        of = np.repeat(np.arange(len(counts)), counts)
+        return found.ravel()[real.ravel()], np.bincount(of, weights=real.sum(axis=1), minlength=len(counts)).astype(np.int64)
 
 
 def index_vectors(p: Params) -> tuple[np.ndarray, np.ndarray]:
@@ -83,15 +87,11 @@ def word_sums(docs: DataFrame, text_col: str, p: Params) -> np.ndarray:
         tokens, (places, signs) = Tokens(p.buckets), index_vectors(p)
         counts, sums = np.zeros(p.buckets, dtype=np.int64), np.zeros(p.buckets * p.dims, dtype=np.float64)
         for part in slices(batches, 0):
-            near, far = [], []
-            for text in part.column(0).to_pylist():
-                t = tokens.of(text)
-                counts += np.bincount(t, minlength=p.buckets)
-                near += [t[:-1], t[1:]]
-                far += [t[1:], t[:-1]]
-            if not near:
-                continue
-            a, b = np.concatenate(near).astype(np.int64), np.concatenate(far)
+            t, sizes = tokens.of(part.column(0))
+            counts += np.bincount(t, minlength=p.buckets)
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            next_ = np.flatnonzero(of[1:] == of[:-1])  # pairs of neighbours within a text
+            a, b = np.concatenate([t[next_], t[next_ + 1]]).astype(np.int64), np.concatenate([t[next_ + 1], t[next_]])
             for i in range(p.nonzero):
                 sums += np.bincount(a * p.dims + places[b, i], weights=signs[b, i], minlength=len(sums))
         used = np.flatnonzero(counts)
@@ -115,19 +115,18 @@ def word_vectors(sums: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([context, own / np.sqrt(p.nonzero)], axis=1).astype(np.float32), (1e-2 / (1e-2 + share)).astype(np.float32)
 
 
-def pool(texts: list[str | None], tokens: Tokens, vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def pool(texts: pa.Array, tokens: Tokens, vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """One row a text: weighted mean and deviation of its words' vectors."""
-    out = np.zeros((len(texts), 2 * vectors.shape[1]), dtype=np.float32)
-    for i, text in enumerate(texts):
-        t = tokens.of(text)
-        if not len(t):
-            continue
-        number, n = np.unique(t, return_counts=True)
-        w = weights[number] * n
-        v = vectors[number]
-        total = w.sum()
-        mean = w @ v / total
-        out[i] = np.concatenate([mean, np.sqrt(np.maximum(w @ (v * v) / total - mean * mean, 0))])
+    t, sizes = tokens.of(texts)
+    out = np.zeros((len(sizes), 2 * vectors.shape[1]), dtype=np.float32)
+    for i, (end, size) in enumerate(zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True)):
+        if size:
+            own = t[end - size : end]
+            w, v = weights[own], vectors[own]
+            total = w.sum()
+            mean = w @ v / total
+            np.multiply(v, v, out=v)
+            out[i] = np.concatenate([mean, np.sqrt(np.maximum(w @ v / total - mean * mean, 0))])
     return out
 
 
@@ -199,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out, p: Params) -> tuple[np.n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(p.buckets)
         for part in slices(batches, 2):
-            x = pool(part.column(2).to_pylist(), tokens, vectors, weights)
+            x = pool(part.column(2), tokens, vectors, weights)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["id", "label", "x"])
 
     found = docs.join(F.broadcast(few), "id").select("id", F.col("label").cast("int").alias("label"), "text").mapInArrow(run, "id long, label int, x binary")
@@ -217,7 +216,7 @@ def score(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(p.buckets)
         for part in slices(batches, 1):
-            s = net.scores(pool(part.column(1).to_pylist(), tokens, vectors, weights))
+            s = net.scores(pool(part.column(1), tokens, vectors, weights))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.float64()), pa.array((s >= p.threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return docs.mapInArrow(run, "doc_id long, score double, predicted int")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, WordTable, pick, slices
+from .common import WHITE, mix64, pick, slices, word_hashes
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -105,26 +105,24 @@ def covered(length: np.ndarray, least: int, width: np.ndarray | None = None) ->
     return np.cumsum(turns)[:-1] > 0
 
 
-def measure(texts: list[str | None], rules: Rules) -> dict[str, np.ndarray]:
+def measure(texts: pa.Array, rules: Rules) -> dict[str, np.ndarray]:
     """All counts and the verdict of a few texts."""
-    table = WordTable()
-    ids, n_words, chars, symbols, dup = [], [], [], [], []
-    for text in texts:
-        raw = (text or "").encode("utf-8", "surrogatepass")
-        words = raw.split()
-        ids.append(table.numbers(words))
-        n_words.append(len(words))
-        chars.append(len(text or "") - (len(raw) - len(raw.translate(None, WHITE))))
+    hashes, counts = word_hashes(texts)
+    chars, symbols, dup = [], [], []
+    for text in texts.cast(pa.binary()).to_pylist():
+        raw = text or b""
+        solid = raw.translate(None, WHITE)
+        chars.append(len(solid) if solid.isascii() else len(solid.decode("utf-8", "surrogatepass")))
         symbols.append(len(raw) - len(raw.translate(None, SYMBOLS)))
         lines = [x for x in raw.split(b"\n") if x.strip(WHITE)]
         dup.append(len(lines) - len(set(lines)))
-    counts = np.array(n_words, dtype=np.int64)
-    docs, total = len(texts), int(counts.sum())
+    docs, total = len(texts), len(hashes)
     repeat3, in_repeats, longest = (np.zeros(docs, dtype=np.int64) for _ in range(3))
     if total:
         of = np.repeat(np.arange(docs), counts)
         end = np.repeat(np.cumsum(counts), counts)
-        length = repeated_prefixes(suffix_ranks(of * len(table) + np.concatenate(ids), end))
+        # Equal words of different documents are different symbols: the document's number is mixed in.
+        length = repeated_prefixes(suffix_ranks(hashes ^ mix64(of.astype(np.uint64) + np.uint64(1)), end))
         repeat3 = np.bincount(of[covered(length, 3)], minlength=docs)
         in_repeats = np.bincount(of[covered(length, rules.min_repeat_words, length)], minlength=docs)
         np.maximum.at(longest, of, length)
@@ -146,7 +144,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
-            found = measure(part.column(1).to_pylist(), rules)
+            found = measure(part.column(1), rules)
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x) for x in found.values())], names=["doc_id", *found])
 
     return pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, SCHEMA)
@@ -158,6 +156,6 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, at):
-            yield part.filter(pa.array(measure(part.column(at).to_pylist(), rules)["kept"]))
+            yield part.filter(pa.array(measure(part.column(at), rules)["kept"]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tapewright.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, pii, quality_model, quality_rules, queries, warc
@@ -322,7 +323,7 @@ def test_op10(spark, odd, empty, docs):
 
 
 def test_kneser_ney_sums_to_one():
-    words = ["abab", "abc", "cab", "bca", "aab"]
+    words = [b"abab", b"abc", b"cab", b"bca", b"aab"]
     code, _ = language_id.grams(words)
     kinds, n = np.unique(code, return_counts=True)
     model = language_id.build(["x"], [(kinds, n)])
@@ -336,7 +337,7 @@ def test_pipeline(spark, tmp_path):
 
     out = corpus_pipeline.run(spark, SF).collect()
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    good = {i: r for i, r in docs.items() if quality_rules.measure([r["text"]], quality_rules.Rules())["kept"][0]}
+    good = {i: r for i, r in docs.items() if quality_rules.measure(pa.array([r["text"]]), quality_rules.Rules())["kept"][0]}
     last = {}
     for i, r in good.items():
         last[r["text"]] = max(i, last.get(r["text"], i))
@@ -345,3 +346,19 @@ def test_pipeline(spark, tmp_path):
     kept = spark.createDataFrame([docs[i] for i, (_, c) in near.items() if i == c])
     chosen = {r["doc_id"] for r in mixing.mix(kept).where("sampled").collect()}
     assert {r["doc_id"] for r in out} == chosen and 0.5 < len(chosen) / kept.count() <= 1
+
+
+def test_word_hashes():
+    from tapewright.llm.common import split_words, word_hashes
+
+    texts = ["a b", None, "", " b\x0b\x0cA\t\r\n", "é\u00a0x\x1cy " + "w" * 300, "w" * 300, "a", "b  a"]
+    hashes, counts = word_hashes(pa.array(texts))
+    plain = [(t or "").encode().split() for t in texts]
+    assert counts.tolist() == [len(w) for w in plain]
+    flat = [w for ws in plain for w in ws]
+    assert len(set(hashes.tolist())) == len(set(flat)) and all((hashes[i] == hashes[j]) == (flat[i] == flat[j]) for i in range(len(flat)) for j in range(len(flat)))
+    assert word_hashes(pa.array(texts), lower=True)[0][3] == hashes[0]
+    words, at, sizes = split_words(pa.array(texts))
+    assert [words[i] for i in at] == flat and sizes.tolist() == counts.tolist()
+    assert len(word_hashes(pa.array([], pa.string()))[0]) == 0 and word_hashes(pa.array(texts[3:5]))[1].tolist() == [2, 2]
+    assert word_hashes(pa.array(texts).slice(3, 2))[0].tolist() == word_hashes(pa.array(texts[3:5]))[0].tolist()

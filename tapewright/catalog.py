@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import queries as plain
+from .plans import wire_queries  # noqa: F401  registers its queries
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(plain.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(plain.SQL)

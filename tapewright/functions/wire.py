@@ -28,7 +28,7 @@ def uint_le(data: Column, offset: int, size: int) -> Column:
 def int64_le(data: Column, offset: int) -> Column:
     """Signed little-endian 64-bit integer."""
     u = uint_le(data, offset, 8)
-    return F.when(u >= F.lit(2**63).cast("decimal(20,0)"), u - F.lit(2**64).cast("decimal(20,0)")).otherwise(u).cast("bigint")
+    return F.when(u >= F.lit("9223372036854775808").cast("decimal(20,0)"), u - F.lit("18446744073709551616").cast("decimal(20,0)")).otherwise(u).cast("bigint")
 
 
 def alpha(data: Column, offset: int, size: int) -> Column:

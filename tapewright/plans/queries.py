@@ -178,7 +178,7 @@ def published_duplicates(spark, d):
     return seq.published_duplicates(rows, SYM, "v", "dg", "id").groupBy("sym", "disposition").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"{SEGMENTS}, g as (select sym, segment_index, max(id) as last_trade, coalesce(lag(max(id)) over (partition by sym order by segment_index), 0) - case when segment_index % 11 = 4 then 1 else 0 end as floor from s group by all), w as (select *, greatest(lag(floor) over o, lag(last_trade) over o) as expected_floor from g window o as (partition by sym order by segment_index)) select sym, segment_index, floor, expected_floor from w where floor <> expected_floor")
+@query(f"{SEGMENTS}, m as (select sym, segment_index, max(id) as last_trade from s group by all), g as (select *, coalesce(lag(last_trade) over (partition by sym order by segment_index), 0) - case when segment_index % 11 = 4 then 1 else 0 end as floor from m), w as (select *, greatest(lag(floor) over o, lag(last_trade) over o) as expected_floor from g window o as (partition by sym order by segment_index)) select sym, segment_index, floor, expected_floor from w where floor <> expected_floor")
 def trade_floor_chain(spark, d):
     g = segments(spark, d).groupBy("sym", "segment_index").agg(F.max("id").alias("last_trade"))
     rows = g.withColumn("floor", F.coalesce(F.lag("last_trade").over(seq.by(SYM, "segment_index")), F.lit(0)) - F.when(F.col("segment_index") % 11 == 4, 1).otherwise(0))

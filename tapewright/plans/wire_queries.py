@@ -37,7 +37,7 @@ def itch_bytes(f: DataFrame) -> DataFrame:
 select eid, status, case when status = 'Ok' then case when del then 'D' else 'A' end end as msg_type, case when status = 'Ok' then sym end as locate, case when status = 'Ok' then 34200000000000 + eid end as timestamp_ns, case when status = 'Ok' and not del then case when side = 'bid' then 'B' else 'S' end end as side,
 case when status = 'Ok' and not del then 100 + eid % 7 end as shares, case when status = 'Ok' and not del then 'AAPL' end as stock, case when status = 'Ok' and not del then eid * 7 + 10000 end as price from m""")
 def itch_decode(spark, d):
-    return codecs.itch(itch_bytes(feed(spark, d))).select("eid", "status", "msg_type", "locate", "timestamp_ns", "side", "shares", "stock", "price")
+    return codecs.itch(itch_bytes(feed(spark, d))).select("eid", "status", "msg_type", "locate", "timestamp_ns", "side", F.col("shares").cast("bigint").alias("shares"), "stock", "price")
 
 
 @query(f"with {FEED} select eid, case when eid % 3 = 0 then 'X' else 'O' end as msg_type, eid + 1 as user_ref, eid % 900 + 1 as quantity, case when eid % 3 <> 0 then 'MSFT' end as symbol, 'Ok' as status from feed")
@@ -133,6 +133,6 @@ def journal_audit(spark, d):
     before = F.coalesce(F.lag(own).over(Window.partitionBy("sym").orderBy("id")), F.lit("0" * 64))
     columns = dict(part.rsplit(" ", 1) for part in oracle.PAYLOAD.split(", "))
     made = {"event": F.when(F.col("id") == 0, "ARBITRATION_STARTED").otherwise("TRADE_OBSERVATION"), "trade_id": F.when(F.col("id") > 0, F.col("id") - F.when(F.col("eid") % 83 == 9, 3).otherwise(0))}
-    payload = [(made[n] if n in made else F.lit(None)).cast(t).alias(n) for n, t in columns.items()]
+    payload = [(made[n] if n in made else F.lit(None)).cast(t).alias(n) for n, t in columns.items() if n != "record_sha256"]
     rows = f.select("sym", F.col("id").alias("record_index"), own.alias("record_sha256"), F.when(F.col("eid") % 71 == 5, "x").otherwise(before).alias("previous_record_sha256"), *payload)
     return oracle.journal_violations(rows, ["sym"])

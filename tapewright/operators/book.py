@@ -76,7 +76,11 @@ def snapshot_fields(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 def explode_levels(df: DataFrame, keep: list[str]) -> DataFrame:
     """One row for each level: kept columns, side, pos, price, qty, level_reject (price above 0, quantity not below)."""
-    sides = F.concat(*(F.transform(F.coalesce(F.col(c), F.array().cast("array<array<string>>")), lambda x, i, s=s: F.struct(F.lit(s).alias("side"), i.alias("pos"), x[0].alias("p"), x[1].alias("q"))) for s, c in (("bid", "bids"), ("ask", "asks"))))
+    def side(name: str, column: str) -> Column:
+        given = F.coalesce(F.col(column), F.array().cast("array<array<string>>"))
+        return F.transform(given, lambda x, i: F.struct(F.lit(name).alias("side"), i.alias("pos"), x[0].alias("p"), x[1].alias("q")))
+
+    sides = F.concat(side("bid", "bids"), side("ask", "asks"))
     rows = df.select(*keep, F.explode(sides).alias("l"))
     price, qty = parse_decimal(F.col("l.p")), parse_decimal(F.col("l.q"))
     reject = F.when(price.isNull() | qty.isNull(), "decimal").when(price <= 0, "price").when(qty < 0, "quantity")

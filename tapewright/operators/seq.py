@@ -110,7 +110,7 @@ def gap_islands(df: DataFrame, keys: list[str], id_col: str, low: int | None = N
 
     low and high (an expression constant within a key) add the ranges before the first and after the last id.
     """
-    seen = df.groupBy(*keys, id_col).agg(*([F.first(high).alias("_high")] if high is not None else []))
+    seen = df.groupBy(*keys, id_col).agg(F.first(high if high is not None else F.lit(None).cast("bigint")).alias("_high"))
     w = by(keys, id_col)
     nxt, prev = F.lead(id_col).over(w), F.lag(id_col).over(w)
     rows = seen.withColumn("_next", nxt).withColumn("_prev", prev)

@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.digests import ZERO_DIGEST
 from ..operators.oracle import PAYLOAD
@@ -30,8 +31,10 @@ def read_arbitration(spark: SparkSession, path: str) -> DataFrame:
     Order comes from record_index, never from the lines' positions in a task.
     """
     rows = read_jsonl(spark, path, f"body struct<{BODY.replace(' ', ':').replace(',:', ',')},payload:struct<{PAYLOAD.replace(', ', ',').replace(' ', ':')}>>, record_sha256 string")
+    # The payload names the digest of its raw evidence like the chain's own.
+    payload = [F.col(f"body.payload.{c}").alias("evidence_sha256" if c == "record_sha256" else c) for c in (x.split()[0] for x in PAYLOAD.split(", "))]
     text = F.regexp_extract("line", r'^\{"body":(.*),"record_sha256":"[0-9a-f]{64}"\}$', 1)
-    return rows.select("path", "body.record_index", "body.wall_ns", "body.mono_ns", "body.channel", "body.schema", "body.previous_record_sha256", "record_sha256", (F.sha2(text, 256) == F.col("record_sha256")).alias("body_ok"), "body.payload.*")
+    return rows.select("path", "body.record_index", "body.wall_ns", "body.mono_ns", "body.channel", "body.schema", "body.previous_record_sha256", "record_sha256", (F.sha2(text, 256) == F.col("record_sha256")).alias("body_ok"), *payload)
 
 
 def journal_line(body: dict) -> tuple[str, str]:
@@ -65,7 +68,7 @@ def torn_tails(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.col("length").alias("bytes"), tail.cast("bigint").alias("tail_bytes"))
 
 
-@F.udf("string")
+@F.udf(StringType())
 def strict_json_reject(text: str | None) -> str | None:
     """Why a text is not strict JSON: repeated keys or NaN and infinities, which Spark's parser accepts; null if it is."""
     if text is None:

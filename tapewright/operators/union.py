@@ -2,7 +2,8 @@
 
 The batch form of the watermark union is relational. A lane's cursor is its highest id + 1 so far; the watermark is the smaller of the lanes'
 cursors, 0 until all lanes were seen. It never falls, so the arrival at which it passes an id is found by one ordered window over ids
-and watermark steps together, and the last id published before an arrival by one more. Windows are partitioned by the caller's keys.
+and watermark steps together, and the last id published before an arrival by one more. All windows are partitioned by the caller's keys,
+so one shuffle serves the whole union and no row meets another in a join.
 """
 
 from __future__ import annotations
@@ -43,33 +44,39 @@ def watermark_union(rows: DataFrame, keys: list[str], id_col: str, lane: str, ar
     disposition: IGNORED (id at or below the floor), BUFFERED (first arrival, later published), DUPLICATE, CONFLICT, LATE_DUPLICATE, LATE_CONFLICT,
     LATE_UNKNOWN (below what is published and never published). emitted_at is null where only the end of the stream releases an id.
     """
-    base = rows.withColumn("_above", F.col(id_col) > (floor if floor is not None else -(2**62)))
-    marked = watermark(base.where("_above"), keys, id_col, lane, arrival, lanes, clamps)
-    firsts = marked.groupBy(*keys, id_col).agg(F.min(arrival).alias("_fa"), F.min_by(digest, arrival).alias("_fd"))
-    steps = marked.groupBy(*keys, F.col("watermark").alias("_v")).agg(F.min(arrival).alias("_a"))
-    both = firsts.select(*keys, F.col(id_col).alias("_v"), F.lit(0).alias("_kind"), F.lit(None).cast("bigint").alias("_a"), "_fa", "_fd").unionByName(
-        steps.select(*keys, "_v", F.lit(1).alias("_kind"), F.col("_a").cast("bigint").alias("_a"), F.lit(None).cast("bigint").alias("_fa"), F.lit(None).cast("string").alias("_fd"))
-    )
-    passed = F.min("_a").over(Window.partitionBy(*keys).orderBy(F.col("_v").desc(), "_kind").rowsBetween(Window.unboundedPreceding, 0))
-    emitted = both.withColumn("_pass", passed).where("_kind = 0").select(*keys, F.col("_v").alias(id_col), "_fa", "_fd", F.greatest("_fa", "_pass").alias("_ea"))
-    released = emitted.join(marked.groupBy(*keys).agg(F.max("watermark").alias("_end")), keys).withColumn("_ea", F.when(F.col(id_col) < F.col("_end"), F.col("_ea")))
-    events = released.where("_ea is not null").select(*keys, F.col("_ea").alias("_p"), F.lit(1).alias("_kind"), F.col(id_col).alias("_id"))
-    arrivals = marked.select(*keys, F.col(arrival).cast("bigint").alias("_p"), F.lit(0).alias("_kind"), F.lit(None).cast("bigint").alias("_id"))
-    last = F.max("_id").over(Window.partitionBy(*keys).orderBy("_p", "_kind").rowsBetween(Window.unboundedPreceding, 0))
-    published_before = events.unionByName(arrivals).withColumn("_last", last).where("_kind = 0").select(*keys, F.col("_p").alias(arrival), "_last").distinct()
-    out = base.join(released.drop("_end"), [*keys, id_col], "left").join(published_before, [*keys, arrival], "left")
-    late = F.col("_last").isNotNull() & (F.col(id_col) <= F.col("_last"))
+    above = rows if floor is None else rows.where(F.col(id_col) > floor)
+    marked = watermark(above, keys, id_col, lane, arrival, lanes, clamps)
+    whole, own = Window.partitionBy(*keys), Window.partitionBy(*keys, id_col)
+    upto = (Window.unboundedPreceding, 0)
+    out = marked.withColumns({"_fa": F.min(arrival).over(own), "_fd": F.first(digest).over(own.orderBy(arrival)), "_end": F.max("watermark").over(whole)})
+
+    # When the watermark passes an id: ids and watermark steps in one order by value, the largest first.
+    ids = F.struct(F.col(id_col).cast("bigint").alias("v"), F.lit(0).alias("kind"))
+    steps = F.struct(F.col("watermark").alias("v"), F.lit(1).alias("kind"))
+    out = out.withColumn("_e", F.explode(F.array(ids, steps)))
+    passed = F.min(F.when(F.col("_e.kind") == 1, F.col(arrival))).over(whole.orderBy(F.col("_e.v").desc(), "_e.kind").rowsBetween(*upto))
+    out = out.withColumn("_pass", passed).where("_e.kind = 0").withColumn("_ea", F.when(F.col(id_col) < F.col("_end"), F.greatest("_fa", "_pass")))
+
+    # What was published before an arrival: arrivals and releases in one order, arrivals first.
     first = F.col(arrival) == F.col("_fa")
-    # An id counts as published if its first arrival was not late; that is so where the id's own release comes before it is passed.
-    own = Window.partitionBy(*keys, id_col)
-    out = out.withColumn("_late", late).withColumn("_known", F.max(F.when(first & ~F.col("_late"), 1).otherwise(0)).over(own) == 1)
+    here = F.struct(F.col(arrival).cast("bigint").alias("p"), F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("id"))
+    release = F.struct(F.col("_ea").cast("bigint").alias("p"), F.lit(1).alias("kind"), F.col(id_col).cast("bigint").alias("id"))
+    out = out.withColumn("_r", F.explode(F.array_compact(F.array(here, F.when(first & F.col("_ea").isNotNull(), release)))))
+    last = F.max("_r.id").over(whole.orderBy("_r.p", "_r.kind").rowsBetween(*upto))
+    out = out.withColumn("_last", last).where("_r.kind = 0").withColumn("_late", F.coalesce(F.col(id_col) <= F.col("_last"), F.lit(False)))
+
+    # An id counts as published if its first arrival was not late.
+    out = out.withColumn("_known", F.max(F.when(first & ~F.col("_late"), 1).otherwise(0)).over(own) == 1)
     same = F.col(digest) == F.col("_fd")
     kind = (
-        F.when(~F.col("_above"), "IGNORED").when(F.col("_late") & ~F.col("_known") & first, "LATE_UNKNOWN").when(F.col("_late") & same, "LATE_DUPLICATE").when(F.col("_late"), "LATE_CONFLICT")
+        F.when(F.col("_late") & ~F.col("_known") & first, "LATE_UNKNOWN").when(F.col("_late") & same, "LATE_DUPLICATE").when(F.col("_late"), "LATE_CONFLICT")
         .when(first, "BUFFERED").when(same, "DUPLICATE").otherwise("CONFLICT")
     )
-    emitted_at = F.when(kind == "BUFFERED", F.col("_ea"))
-    return out.select(*rows.columns, kind.alias("disposition"), emitted_at.alias("emitted_at"))
+    out = out.select(*rows.columns, kind.alias("disposition"), F.when(kind == "BUFFERED", F.col("_ea")).alias("emitted_at"))
+    if floor is None:
+        return out
+    below = rows.where(F.col(id_col) <= floor).withColumn("disposition", F.lit("IGNORED")).withColumn("emitted_at", F.lit(None).cast(out.schema["emitted_at"].dataType))
+    return out.unionByName(below)
 
 
 def published(dispositions: DataFrame) -> DataFrame:

@@ -67,15 +67,34 @@ PAYLOAD = (
 )
 
 
-def journal_violations(journal: DataFrame, keys: list[str]) -> DataFrame:
+def journal_context(journal: DataFrame, keys: list[str]) -> DataFrame:
+    """What an audit of a later part of a journal needs to know of this part, a row for each key."""
+    at = F.col("record_index")
+    is_ = lambda name: F.col("event") == name
+    depth = is_("DEPTH_OBSERVATION") | is_("GAP") | is_("DEPTH_REBOOTSTRAP")
+    state = F.struct(F.col("event").alias("event"), F.col("final_sequence").alias("final"), F.col("lane").alias("lane"), F.col("snapshot_last_update_id").alias("snap"))
+    return journal.groupBy(*keys).agg(
+        (F.max(at) + 1).alias("c_n"), F.max_by("record_sha256", at).alias("c_prev"), F.max(F.when(is_("ARBITRATION_STARTED") | is_("ARBITRATION_RESUMED"), F.col("trade_floor"))).alias("c_floor"),
+        F.max(F.when(is_("TRADE_OBSERVATION"), F.col("trade_id"))).alias("c_last"), F.max_by(F.when(depth, state), F.when(depth, at)).alias("c_depth"),
+        F.max_by("final_sequence", F.when(is_("DEPTH_OBSERVATION"), at)).alias("c_cursor"), F.bool_or(is_("ARBITRATION_TERMINAL")).alias("c_ended"),
+        F.count_if(is_("TRADE_OBSERVATION")).alias("c_t"), F.count_if(is_("DEPTH_OBSERVATION")).alias("c_d"), F.count_if(is_("GAP")).alias("c_g"), F.count_if(is_("TRADE_LATE_CORRECTION")).alias("c_c"),
+    )
+
+
+def journal_violations(journal: DataFrame, keys: list[str], context: DataFrame | None = None) -> DataFrame:
     """All rule breaks of arbitration journals: keys, record_index, rule, in order by record_index.
 
+    context: journal_context of the part before, if journal holds later records only; the result is the same as of an audit of the whole.
+
     journal: keys, record_index, previous_record_sha256, record_sha256 and payload columns (see PAYLOAD). Rules: known event; record index from 0 without
     gaps; hash chain; starts with a start event; nothing after the terminal; published trades rise; depth continues exactly, except after GAP or start; GAP
     states the current cursor; REBOOTSTRAP follows GAP; the next frame's lane and first id fit the rebootstrap; terminal counters equal the events seen.
     """
     w = Window.partitionBy(*keys).orderBy("record_index")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
+    if context is not None:
+        journal = journal.join(context, keys, "left")
+    known = lambda name, otherwise: F.coalesce(F.col(name), otherwise) if context is not None else otherwise
     ev = F.col("event")
     is_ = lambda name: ev == name
     floor = F.max(F.when(is_("ARBITRATION_STARTED") | is_("ARBITRATION_RESUMED"), F.col("trade_floor"))).over(before)
@@ -83,12 +102,15 @@ def journal_violations(journal: DataFrame, keys: list[str]) -> DataFrame:
     depth_event = F.when(is_("DEPTH_OBSERVATION") | is_("GAP") | is_("DEPTH_REBOOTSTRAP"), F.struct(ev.alias("event"), F.col("final_sequence").alias("final"), F.col("lane").alias("lane"), F.col("snapshot_last_update_id").alias("snap")))
     last_depth = F.last(depth_event, ignorenulls=True).over(before)
     cursor = F.last(F.when(is_("DEPTH_OBSERVATION"), F.col("final_sequence")), ignorenulls=True).over(before)
-    count = lambda cond: F.count_if(cond).over(before)
+    count = lambda cond, c: F.count_if(cond).over(before) + known(c, F.lit(0))
+    if context is not None:
+        floor, last_trade = F.greatest(floor, F.col("c_floor")), F.greatest(last_trade, F.col("c_last"))
+        last_depth, cursor = F.coalesce(last_depth, F.col("c_depth")), F.coalesce(cursor, F.col("c_cursor"))
     terminal_before = F.max(F.when(is_("ARBITRATION_TERMINAL"), 1).otherwise(0)).over(before) == 1
-    previous = F.coalesce(F.lag("record_sha256").over(w), F.lit(ZERO_DIGEST))
+    previous = F.coalesce(F.lag("record_sha256").over(w), known("c_prev", F.lit(ZERO_DIGEST)))
     rows = journal.withColumns({
-        "_n": (F.row_number().over(w) - 1).cast("bigint"), "_prev": previous, "_floor": floor, "_last": last_trade, "_depth": last_depth, "_cursor": cursor, "_ended": F.coalesce(terminal_before, F.lit(False)),
-        "_t": count(is_("TRADE_OBSERVATION")), "_d": count(is_("DEPTH_OBSERVATION")), "_g": count(is_("GAP")), "_c": count(is_("TRADE_LATE_CORRECTION")),
+        "_n": (F.row_number().over(w) - 1 + known("c_n", F.lit(0))).cast("bigint"), "_prev": previous, "_floor": floor, "_last": last_trade, "_depth": last_depth, "_cursor": cursor, "_ended": F.coalesce(terminal_before, F.lit(False)) | known("c_ended", F.lit(False)),
+        "_t": count(is_("TRADE_OBSERVATION"), "c_t"), "_d": count(is_("DEPTH_OBSERVATION"), "c_d"), "_g": count(is_("GAP"), "c_g"), "_c": count(is_("TRADE_LATE_CORRECTION"), "c_c"),
     })
     d = F.col("_depth")
     rules = {

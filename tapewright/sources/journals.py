@@ -45,12 +45,17 @@ def journal_line(body: dict) -> tuple[str, str]:
 
 
 def append_journal(events: DataFrame, keys: list[str], order: str = "record_index") -> DataFrame:
-    """Lines of journals, one journal a key: keys, record_index, line. The chain makes a journal's lines one group's work."""
+    """Lines of journals, one journal a key: keys, record_index, line. The chain makes a journal's lines one group's work.
+
+    A column `previous`, if there is one, holds the digest that a key's first line continues; indices then start at its record_index.
+    """
     kinds = {f.name: f.dataType.simpleString() for f in events.schema if f.name in keys}
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        previous, out = ZERO_DIGEST, []
-        for i, r in enumerate(pdf.sort_values(order).to_dict("records")):
+        rows, out = pdf.sort_values(order).to_dict("records"), []
+        previous = rows[0].get("previous", ZERO_DIGEST)
+        start = rows[0][order] if "previous" in rows[0] else 0
+        for i, r in enumerate(rows, start=start):
             payload = json.loads(r["payload"])
             line, previous = journal_line({"schema": r["schema"], "record_index": i, "wall_ns": int(r["wall_ns"]), "mono_ns": int(r["mono_ns"]), "channel": r["channel"], "payload": payload, "previous_record_sha256": previous})
             out.append((*(r[k] for k in keys), i, line))

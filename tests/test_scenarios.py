@@ -399,3 +399,33 @@ def test_witness_and_coverage_edges(spark):
         oracle.strict(w, ["ready_ns"])
     rows = spark.createDataFrame([(1, i) for i in (0, 1, 2, 9, 10)], "k bigint, v bigint")
     assert [(r["first_missing"], r["last_missing"]) for r in seq.gap_islands(rows, ["k"], "v").collect()] == [(3, 8)]
+
+
+def test_journal_sink_and_tail_audit(spark, tmp_path):
+    from tapewright.streaming import sinks
+
+    events = [{"event": "ARBITRATION_STARTED", "trade_floor": 0}] + [{"event": "TRADE_OBSERVATION", "trade_id": i, "observation_sha256": str(i)} for i in (1, 2, 3, 2, 5)] + [{"event": "ARBITRATION_TERMINAL", "trades": 5, "depth_frames": 0, "gaps": 0, "late_corrections": 0}]
+    schema = "j string, at bigint, schema string, wall_ns bigint, mono_ns bigint, channel string, payload string"
+    rows = [("j", i, "s", i, i, "c", json.dumps(e)) for i, e in enumerate(events)]
+    for part in (rows[:3], rows[3:5], rows[5:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = stream.writeStream.foreachBatch(sinks.JournalSink(str(tmp_path / "out"), ["j"], "at")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    sinks.lines(spark, str(tmp_path / "out")).orderBy("record_index").select("line").coalesce(1).write.text(str(tmp_path / "text"))
+    j = journals.read_arbitration(spark, str(tmp_path / "text"))
+    whole = sorted(tuple(r) for r in oracle.journal_violations(j, ["path"]).select("record_index", "rule").collect())
+    assert whole == [(4, "trade order")]
+    for cut in (2, 5):
+        tail = oracle.journal_violations(j.where(F.col("record_index") >= cut), ["path"], oracle.journal_context(j.where(F.col("record_index") < cut), ["path"]))
+        assert sorted(tuple(r) for r in tail.select("record_index", "rule").collect()) == [w for w in whole if w[0] >= cut]
+
+
+def test_candidates_and_lane_starts(spark):
+    names = list(sessions.CANDIDATE_FACTS)
+    rows = [("ok", i, n) for i, n in enumerate(names)] + [("early", i, n) for i, n in enumerate(["SNAPSHOT_PERSISTED", "DEPTH_CONNECTED"])]
+    got = {r["k"]: r for r in sessions.candidate_readiness(spark.createDataFrame(rows, "k string, at bigint, fact string"), ["k"], "at").collect()}
+    assert got["ok"]["ready_at"] == 6 and got["ok"]["premature"] == [] and got["early"]["ready_at"] is None and got["early"]["premature"] == ["SNAPSHOT_PERSISTED"]
+    starts = [("P", 1, "a", None, None, None), ("P", 5, "a", None, None, None), ("P", 7, "b", 9, None, None), ("P", 9, "c", 9, 5, 10), ("P", 30, "d", 9, 5, 10), ("P", 31, " ", None, None, None)]
+    df = spark.createDataFrame(starts, "lane string, t bigint, run_token string, not_before bigint, circuit_open_since bigint, cooldown bigint")
+    assert [(r["t"], r["rule"]) for r in sessions.lane_start_violations(df, ["lane"], "t").orderBy("t").collect()] == [(5, "token"), (7, "backoff"), (9, "circuit"), (31, "token")]

@@ -30,8 +30,9 @@ class FeedProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         expected = self.cursor.get()[0] if self.cursor.exists() else None
         out = []
-        for pdf in rows:
-            for r in pdf.sort_values("arrival").itertuples(index=False):
+        batch = pd.concat(list(rows), ignore_index=True)  # one session's rows of one batch, bounded by the source's admission
+        if len(batch):
+            for r in batch.sort_values("arrival").itertuples(index=False):
                 s, first, last = int(r.sequence), None, None
                 if expected is None:
                     what, expected = "FIRST", s + 1

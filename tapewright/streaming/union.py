@@ -33,8 +33,9 @@ class UnionProcessor(StatefulProcessor):
         cursor = {k[0]: v[0] for k, v in self.cursors.iterator()}
         waiting = {k[0]: (v[0], v[1]) for k, v in self.waiting.iterator()}
         out, added, gone = [], {}, []
-        for pdf in sorted((p for p in rows if len(p)), key=lambda p: p["arrival"].min()):
-            for r in pdf.sort_values("arrival").itertuples(index=False):
+        batch = pd.concat(list(rows), ignore_index=True)  # one symbol's rows of one batch, bounded by the source's admission
+        if len(batch):
+            for r in batch.sort_values("arrival").itertuples(index=False):
                 i = int(r.id)
                 if self.floor is not None and i <= self.floor:
                     out.append((sym, i, r.lane, r.digest, "IGNORED"))

@@ -33,15 +33,17 @@ def _windows(docs: DataFrame, p: Params) -> DataFrame:
     """One row for each window: id, lines [first, last], fingerprint with its place, key of the content."""
     lines = F.expr(r"filter(transform(split(text, '\n', -1), (x, i) -> struct(i as at, trim(x) as line)), x -> x.line rlike '[^\\x20\\t-\\r]')")
     with_hash = F.expr("transform(lines, x -> struct(x.at as at, x.line as line, xxhash64(x.line) as h))")
+    # Neighbours side by side: a lambda that looked up lines[i] would evaluate the whole array for each line.
+    zipped = "arrays_zip(slice(lines, 1, greatest(size(lines) - 1, 0)), slice(lines, 2, greatest(size(lines) - 1, 0)))"
     pairs = F.expr(
-        r"""transform(sequence(0, size(lines) - 2), i -> struct(lines[i].at as first, lines[i + 1].at as last, least(lines[i].h, lines[i + 1].h) as fp,
-        if(lines[i].h < lines[i + 1].h, lines[i].at, lines[i + 1].at) as fp_at, sha2(concat('2', lines[i].line, '\n', lines[i + 1].line), 256) as key))"""
+        rf"""transform({zipped}, x -> struct(x.`0`.at as first, x.`1`.at as last, least(x.`0`.h, x.`1`.h) as fp,
+        if(x.`0`.h < x.`1`.h, x.`0`.at, x.`1`.at) as fp_at, sha2(concat('2', x.`0`.line, '\n', x.`1`.line), 256) as key))"""
     )
     heavy = F.expr(
         rf"""transform(filter(lines, x -> size(filter(split(x.line, '[\\x20\\t-\\r]+'), w -> w <> '')) >= {p.heavy_words}),
         x -> struct(x.at as first, x.at as last, x.h as fp, x.at as fp_at, sha2(concat('1', x.line), 256) as key))"""
     )
-    rows = docs.withColumn("lines", lines).withColumn("lines", with_hash).select("id", F.concat(F.when(F.size("lines") > 1, pairs).otherwise(F.array().cast("array<struct<first:int,last:int,fp:bigint,fp_at:int,key:string>>")), heavy).alias("w"))
+    rows = docs.withColumn("lines", lines).withColumn("lines", with_hash).select("id", F.concat(pairs, heavy).alias("w"))
     return rows.select("id", F.explode("w").alias("w")).select("id", "w.*").withColumn("key", F.unhex("key"))
 
 

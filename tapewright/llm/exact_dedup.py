@@ -21,7 +21,11 @@ from pyspark.sql import functions as F
 
 from .common import discard, land, pick, scratch_path
 
-PROVIDER = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+#: State on disk; files are not preallocated (some 4 MB for each partition otherwise).
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 @dataclass(frozen=True)
@@ -33,12 +37,14 @@ class Params:
 
 @contextmanager
 def rocksdb(spark: SparkSession):
-    old = spark.conf.get(PROVIDER[0], None)
-    spark.conf.set(*PROVIDER)
+    old = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(PROVIDER[0]) if old is None else spark.conf.set(PROVIDER[0], old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def stream_state(keys: DataFrame, p: Params = Params()) -> DataFrame:

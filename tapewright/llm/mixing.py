@@ -8,8 +8,8 @@ is below that. Everything is DataFrame expressions; the cells stay in Spark.
 Targets. Unless given, each marginal's target share is its share of tokens to the power `flatten`, made to sum to 1: 1 keeps the corpus'
 mix, 0 makes all categories equal. Probabilities are rounded to 9 digits, so that they do not depend on the order of sums.
 
-Topic. Without a topic column, a document's topic is the commonest of `topics` classes of its words, a word's class being the first hexadecimal
-digit of its MD5 modulo `topics`; ties go to the smaller class, texts without words to class 0.
+Topic. Without a topic column, a document's topic is the lexicon (a regular expression over the whole text) with the most matches; ties go to
+the first one, and without a match it is `other`.
 
 Defined cases. Null source, language or topic: a category of its own. Null or empty text: 0 tokens; such documents get probability 1 where
 their cell has no tokens, else their cell's. Repeated rows: counted and decided alike. Null id: hashed as the empty string. Empty
@@ -31,30 +31,30 @@ class Params:
     sweeps: int = 6
     flatten: float = 0.7
     keep_share: float = 0.8
-    topics: int = 4
+    #: Topics and their lexicons: stems of words, matched anywhere in a text.
+    topics: tuple[tuple[str, str], ...] = (("process", "tion|ing"), ("agent", "er|or"), ("quality", "ble|ly"), ("place", "en|au"))
     seed: str = "mix"
 
 
 MARGINS = ("source", "lang", "topic")
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\t-\r]+"), lambda w: w != "")
+WORD = r"[^\x20\t-\r]+"
 
 
-def topic_of(word_list: Column, topics: int) -> Column:
-    """The commonest class of the words; a class is the MD5's first digit modulo topics."""
-    classes = F.transform(word_list, lambda w: F.conv(F.substring(F.md5(w), 1, 1), 16, 10).cast("int") % topics)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(topics - 1)), lambda t: F.struct(F.size(F.filter(classes, lambda c: c == t)).alias("n"), (-t).alias("t")))
-    return -F.array_max(counts)["t"]
+def topic_of(text: Column, topics: tuple[tuple[str, str], ...]) -> Column:
+    """The topic whose lexicon matches most often."""
+    counts = F.array(*(F.struct(F.regexp_count(text, F.lit(lexicon)).alias("n"), F.lit(-i).alias("rank"), F.lit(name).alias("name")) for i, (name, lexicon) in enumerate(topics)))
+    best = F.array_max(counts)
+    return F.when(best["n"] > 0, best["name"]).otherwise("other")
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, topic_col: str | None, p: Params) -> DataFrame:
     """Landed: id, source, lang, topic, n_tokens; the text is read once."""
     names = {"id": id_col, "text": text_col, "source": source_col, "lang": lang_col} | ({"topic": topic_col} if topic_col else {})
-    rows = pick(docs, **names).withColumn("words", words(F.coalesce("text", F.lit(""))))
-    topic = F.col("topic") if topic_col else topic_of(F.col("words"), p.topics)
-    return land(rows.select(F.col("id").cast("long").alias("id"), "source", "lang", topic.alias("topic"), F.size("words").cast("long").alias("n_tokens")), "mix-docs")
+    rows = pick(docs, **names).withColumn("text", F.coalesce("text", F.lit("")))
+    topic = F.col("topic") if topic_col else topic_of(F.col("text"), p.topics)
+    return land(rows.select(F.col("id").cast("long").alias("id"), "source", "lang", topic.alias("topic"), F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_tokens")), "mix-docs")
 
 
 def raked(cells: DataFrame, p: Params) -> DataFrame:

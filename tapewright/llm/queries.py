@@ -102,10 +102,9 @@ def _op7(p: mixing.Params = mixing.Params()) -> str:
     """The same steps as the operator's, unrolled."""
     margins = mixing.MARGINS
     parts = [
-        rf"""docs as (select doc_id, source, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\t-\r]+'), lambda w: w <> '') as words from documents)""",
-        rf"""classed as (select doc_id, source, lang, len(words)::BIGINT as n_tokens, list_transform(words, lambda w: (strpos('0123456789abcdef', substr(md5(w), 1, 1)) - 1) % {p.topics}) as classes from docs)""",
-        "counted as (select *, [" + ", ".join(f"len(list_filter(classes, lambda c: c = {t}))" for t in range(p.topics)) + "] as n from classed)",
-        "rows as (select doc_id, source, lang, (list_position(n, list_max(n)) - 1)::INTEGER as topic, n_tokens from counted)",
+        "docs as (select doc_id, source, lang, coalesce(text, '') as text from documents)",
+        rf"counted as (select doc_id, source, lang, len(regexp_extract_all(text, '[^\x20\t-\r]+'))::BIGINT as n_tokens, [" + ", ".join(f"len(regexp_extract_all(text, '{lexicon}'))" for _, lexicon in p.topics) + "] as n from docs)",
+        "rows as (select doc_id, source, lang, case when list_max(n) > 0 then [" + ", ".join(f"'{name}'" for name, _ in p.topics) + "][list_position(n, list_max(n))] else 'other' end as topic, n_tokens from counted)",
         f"cells as (select {', '.join(margins)}, sum(n_tokens)::BIGINT as tokens from rows group by all)",
         "mass as (select *, " + ", ".join(f"power(sum(tokens) over (partition by {m})::DOUBLE, {p.flatten}) as mass_{m}, count(*) over (partition by {m}) as cells_{m}" for m in margins) + " from cells)",
         f"target as (select {', '.join(margins)}, tokens, tokens::DOUBLE as weight, " + ", ".join(f"mass_{m} / sum(mass_{m} / cells_{m}) over () as target_{m}" for m in margins) + " from mass)",

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, scratch_path, slices
+from .common import land, pick, scratch_path, slices
 
 #: Fixed values of the ARC format: the fields of a record's header line, by version.
 ARC_FIELDS = {
@@ -45,6 +45,8 @@ EMPTY_SHA1 = hashlib.sha1(b"").hexdigest()
 class Params:
     revisit_bytes: int = 1_000
     archive_date: str = "20240101000000"
+    #: Up to so many groups of equal payloads (some 60 bytes each) are broadcast to the records; above, that join is a shuffle.
+    broadcast_groups: int = 100_000
 
 
 # --- ARC ---------------------------------------------------------------------------------------------------------------
@@ -124,7 +126,7 @@ def archive(pages: DataFrame, path: str, p: Params = Params()) -> None:
 
 def _write(records: DataFrame, path: str, end: str) -> None:
     """Records, each ended by `end`, as gzipped files; the cast keeps every byte."""
-    records.select(F.col("record").cast("string")).write.option("lineSep", end).option("compression", "gzip").text(path)
+    records.select(F.col("record").cast("string")).write.option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -143,8 +145,8 @@ def record_id(target: str, date: str, digest: str, page: int | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{target} {date} {digest} {page}')}>"
 
 
-def converted(spark: SparkSession, path: str) -> DataFrame:
-    """ARC files to rows: page_id, target, date, record_id, payload, digest, payload_bytes, error."""
+def converted(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
+    """ARC files to rows: page_id, target, date, record_id, payload (or null), digest, payload_bytes, error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "target", "date", "record_id", "payload", "digest", "payload_bytes", "error"]
@@ -162,10 +164,10 @@ def converted(spark: SparkSession, path: str) -> DataFrame:
                         target = url[1].decode() if url else r["header"]["URL"]
                         digest, date = hashlib.sha1(r["payload"]).hexdigest(), warc_date(r["header"]["Archive-date"])
                         number = int(page[1]) if page else None
-                        values = [number, target, date, record_id(target, date, digest, number), r["payload"], digest, len(r["payload"]), None]
+                        values = [number, target, date, record_id(target, date, digest, number), r["payload"] if with_payload else None, digest, len(r["payload"]), None]
                     for row, x in zip(rows, values, strict=True):
                         row.append(x)
-                    size += len(r.get("payload", b""))
+                    size += len(r.get("payload", b"")) if with_payload else 0
                     if size > 4_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, kinds, strict=True)], names=names)
                         rows, size = [[] for _ in names], 0
@@ -254,11 +256,18 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> Data
     return _files(spark, path).mapInArrow(run, schema)
 
 
-def with_targets(records: DataFrame, p: Params = Params()) -> DataFrame:
-    """records (page_id, digest, payload_bytes, ...) with refers_to: the largest page_id of equal payloads, for the others."""
+def targets(records: DataFrame, p: Params = Params()) -> DataFrame:
+    """digest, payload_bytes, best: the largest page_id of every group of equal payloads that has more than one."""
     big = records.where((F.col("payload_bytes") >= p.revisit_bytes) & F.col("page_id").isNotNull())
-    best = big.groupBy("digest", "payload_bytes").agg(F.max("page_id").alias("best"), F.min("page_id").alias("least")).where("best <> least").drop("least")
-    return records.join(best, ["digest", "payload_bytes"], "left").withColumn("refers_to", F.when(F.col("page_id") != F.col("best"), F.col("best"))).drop("best")
+    best = big.groupBy("digest", "payload_bytes").agg(F.max("page_id").alias("best"), F.min("page_id").alias("least"))
+    return best.where("best <> least").drop("least")
+
+
+def with_targets(records: DataFrame, best: DataFrame, p: Params = Params()) -> DataFrame:
+    """records with refers_to; best is a landed table. Payloads are not shuffled where the groups are few enough to broadcast."""
+    small = best.count() <= p.broadcast_groups
+    rows = records.join(F.broadcast(best) if small else best, ["digest", "payload_bytes"], "left")
+    return rows.withColumn("refers_to", F.when(F.col("page_id") != F.col("best"), F.col("best"))).drop("best")
 
 
 def convert_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", p: Params = Params(), with_payload: bool = False) -> DataFrame:
@@ -266,5 +275,6 @@ def convert_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     spark = pages.sparkSession
     arcs, warcs = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     archive(pick(pages, page_id=id_col, url=url_col, html=html_col).withColumn("page_id", F.col("page_id").cast("long")), arcs, p)
-    write_warc(with_targets(converted(spark, arcs).where("error is null"), p), warcs)
+    best = land(targets(converted(spark, arcs, with_payload=False).where("error is null"), p), "warc-targets")
+    write_warc(with_targets(converted(spark, arcs).where("error is null"), best, p), warcs)
     return read_warc(spark, warcs, with_payload)

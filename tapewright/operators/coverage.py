@@ -20,10 +20,10 @@ def segment_membership(records: DataFrame, segment_ns: int, mono: str = "mono_ns
     return records.withColumn("actual_segment", at).where(F.col("actual_segment") != F.col(declared))
 
 
-def freshness(events: DataFrame, keys: list[str], mono: str, start: str, stop: str, startup_ns: int = 30 * SECOND, deadline_ns: int = 30 * SECOND) -> DataFrame:
+def freshness(events: DataFrame, keys: list[str], mono: str, start: str, stop: str, startup_ns: int = 30 * SECOND, deadline_ns: int = 30 * SECOND, tail_ns: int | None = None) -> DataFrame:
     """Violations: keys, kind (startup, gap, tail), from_ns, to_ns. Control frames are to be filtered out before.
 
-    start and stop are columns with the active window, constant within a key.
+    start and stop are columns with the active window, constant within a key; tail_ns is deadline_ns unless given.
     """
     w = Window.partitionBy(*keys).orderBy(mono)
     prev, nxt = F.lag(mono).over(w), F.lead(mono).over(w)
@@ -33,7 +33,7 @@ def freshness(events: DataFrame, keys: list[str], mono: str, start: str, stop: s
     found = F.array_compact(F.array(
         F.when(F.col("_p").isNull() & (t - F.col(start) > startup_ns), hole("startup", F.col(start), t)),
         F.when(F.col("_p").isNotNull() & (t - F.col("_p") > deadline_ns), hole("gap", F.col("_p"), t)),
-        F.when(F.col("_n").isNull() & (F.col(stop) - t > deadline_ns), hole("tail", t, F.col(stop))),
+        F.when(F.col("_n").isNull() & (F.col(stop) - t > (deadline_ns if tail_ns is None else tail_ns)), hole("tail", t, F.col(stop))),
     ))
     return rows.select(*keys, F.explode(found).alias("h")).select(*keys, "h.*")
 
@@ -105,7 +105,7 @@ def lane_coverage(events: DataFrame, keys: list[str], lane: str, ready: str, sta
 def gap_pairs(states: DataFrame, keys: list[str], stamp: str, state: str = "coverage") -> DataFrame:
     """Gap intervals from coverage rows: keys, opened_mono_ns, closed_mono_ns (null while open), unavailable_ns."""
     w = Window.partitionBy(*keys).orderBy(stamp)
-    changed = states.where(F.lit(True)).withColumn("_was", F.lag(state).over(w))
+    changed = states.withColumn("_was", F.lag(state).over(w))
     edges = changed.where(~F.col(state).eqNullSafe(F.col("_was"))).withColumn("_closed", F.lead(stamp).over(w))
     return edges.where(F.col(state) == "GAP").select(*keys, F.col(stamp).alias("opened_mono_ns"), F.col("_closed").alias("closed_mono_ns"), (F.col("_closed") - F.col(stamp)).alias("unavailable_ns"))
 

@@ -64,9 +64,9 @@ def sliding_rate(df: DataFrame, keys: list[str], stamp: str, window: int) -> Dat
     return df.withColumn("in_window", F.count(F.lit(1)).over(w))
 
 
-def sample_slope(df: DataFrame, keys: list[str], stamp: str, value: str, samples: int = 32) -> DataFrame:
-    """Adds slope: (last - first value) / (last - first time) over the latest samples, null where time stands still."""
-    w = Window.partitionBy(*keys).orderBy(stamp).rowsBetween(-(samples - 1), 0)
+def sample_slope(df: DataFrame, keys: list[str], stamp: str, value: str, samples: int = 32, ties: str | None = None) -> DataFrame:
+    """Adds slope: (last - first value) / (last - first time) over the latest samples, null where time stands still; ties orders equal times."""
+    w = Window.partitionBy(*keys).orderBy(*[stamp, *([ties] if ties else [])]).rowsBetween(-(samples - 1), 0)
     rise, run = F.col(value) - F.first(value).over(w), F.col(stamp) - F.first(stamp).over(w)
     return df.withColumn("slope", F.when(run > 0, rise.cast("double") / run))
 

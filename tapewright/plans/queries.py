@@ -365,9 +365,6 @@ def book_top5(spark, d):
     return book.top_levels(final_book(spark, d), SYM, 5)
 
 
-PPM = "CAST(trunc({num} * 1000000::HUGEINT / {den}) AS BIGINT)"
-
-
 def _ppm(num: str, den: str) -> str:
     """Exact truncating division in whole hundred-millionths; the sign is taken apart because integer division differs between engines."""
     n, m = f"CAST(({num}) * 100000000 AS HUGEINT)", f"CAST(({den}) * 100000000 AS HUGEINT)"
@@ -450,13 +447,7 @@ def freshness_violations(spark, d):
     f = feed(spark, d)
     bounds = f.agg(F.min("us").alias("s"), F.max("us").alias("e"))  # one row
     rows = f.select("sym", "us", "id").crossJoin(F.broadcast(bounds))
-    return coverage.freshness(rows, SYM, "us", "s", "e", startup_ns=2_400_000_000, deadline_ns=7_200_000_000).where("kind = 'gap' or to_ns - from_ns > 2400000000").union(_tails(rows))
-
-
-def _tails(rows: DataFrame) -> DataFrame:
-    """Tails between the two deadlines used in freshness_violations."""
-    out = coverage.freshness(rows, SYM, "us", "s", "e", startup_ns=2_400_000_000, deadline_ns=2_400_000_000)
-    return out.where("kind = 'tail' and to_ns - from_ns <= 7200000000")
+    return coverage.freshness(rows, SYM, "us", "s", "e", startup_ns=2_400_000_000, deadline_ns=7_200_000_000, tail_ns=2_400_000_000)
 
 
 @query(f"with {FEED}, w as (select user_id, us, lead(us) over (partition by user_id order by us) as r from feed) select user_id, us as silent_from, us + 3 * 28800000000 as deadline_at, r as resumed_at from w where r - us >= 3 * 28800000000")
@@ -631,10 +622,8 @@ def sliding_rate(spark, d):
 
 @query(f"with {FEED}, s as (select sym, id, us, eid % 91 as rtt, first_value(eid % 91) over w as v0, first_value(us) over w as t0 from feed window w as (partition by sym order by us, id rows between 31 preceding and current row)) select sym, id, round(case when us - t0 > 0 then (rtt - v0)::DOUBLE / (us - t0) end * 1e9, 6) as slope from s")
 def rtt_slope_32(spark, d):
-    rows = feed(spark, d).select("sym", "id", (F.col("us") * 1).alias("us"), (F.col("eid") % 91).alias("rtt"))
-    w = Window.partitionBy("sym").orderBy("us", "id").rowsBetween(-31, 0)
-    rise, run = F.col("rtt") - F.first("rtt").over(w), F.col("us") - F.first("us").over(w)
-    return rows.select("sym", "id", F.round(F.when(run > 0, rise.cast("double") / run) * 1e9, 6).alias("slope"))
+    rows = feed(spark, d).select("sym", "id", "us", (F.col("eid") % 91).alias("rtt"))
+    return latency.sample_slope(rows, SYM, "us", "rtt", ties="id").select("sym", "id", F.round(F.col("slope") * 1e9, 6).alias("slope"))
 
 
 @query(f"with {FEED}, s as (select sym, us + eid % 1000 as server, us as sent, (eid % 40) * 2 as rtt from feed) select sym, round(median(server - sent - rtt / 2.0), 3) as median_offset, round(median(rtt), 3) as median_rtt from s group by sym")
@@ -717,11 +706,17 @@ def distinct_sets(spark, d):
     return feed(spark, d).groupBy("sym").agg(F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("kinds"), F.bool_and(F.col("qty") >= 0).alias("all_valid"))
 
 
-@query("select count(*) as files, CAST(sum(length(text)) AS BIGINT) as chars, sha256(string_agg(sha256(coalesce(text, '')), chr(10) order by doc_id)) as tree_sha256 from documents")
+@query("""with a as (select doc_id // 1024 as b, count(*) as n, sum(length(text)) as c, sha256(string_agg(sha256(coalesce(text, '')), chr(10) order by doc_id)) as h from documents group by 1),
+t as (select b // 1024 as b, sum(n) as n, sum(c) as c, sha256(string_agg(h, chr(10) order by b)) as h from a group by 1)
+select CAST(sum(n) AS BIGINT) as files, CAST(sum(c) AS BIGINT) as chars, sha256(string_agg(h, chr(10) order by b)) as tree_sha256 from t""")
 def content_tree_digest(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", F.length("text").cast("bigint").alias("n"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
-    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "h"))), lambda x: x["h"]), "\n")
-    return rows.agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("chars"), F.sha2(lines, 256).alias("tree_sha256"))
+    """Digests of 1,024 documents, of 1,024 such groups, and of those: no group holds more than 1,024 lines but the last."""
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("b"), F.lit(1).cast("bigint").alias("n"), F.length("text").cast("bigint").alias("c"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "h"))), lambda x: x["h"]), "\n")
+    for _ in range(2):
+        up = F.expr("b div 1024").alias("_b")
+        rows = rows.groupBy(up).agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.sha2(lines, 256).alias("h")).withColumnRenamed("_b", "b")
+    return rows.agg(F.sum("n").alias("files"), F.sum("c").alias("chars"), F.sha2(lines, 256).alias("tree_sha256"))
 
 
 @query("with a as (select distinct o_orderpriority as leaf from orders), b as (select unnest(['1-URGENT', '2-HIGH', 'extra']) as leaf) select leaf, 'unexpected' as side from a where leaf not in (select leaf from b) union all select leaf, 'missing' from b where leaf not in (select leaf from a)")

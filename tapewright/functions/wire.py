@@ -82,11 +82,15 @@ def fix_fields(raw: Column) -> Column:
     return F.transform(parts, lambda x: F.struct(F.when(x.rlike("^[0-9]+="), F.substring_index(x, "=", 1).try_cast("int")).alias("tag"), F.regexp_replace(x, "^[^=]*=", "").alias("value")))
 
 
+def byte_sum(text: Column) -> Column:
+    """Sum of the bytes of a text, taken from its hexadecimal form two digits at a time."""
+    return let(F.hex(F.encode(text, "UTF-8")), lambda h: F.aggregate(F.sequence(F.lit(1), F.length(h) - 1, F.lit(2)), F.lit(0), lambda s, i: s + F.conv(F.substring(h, i, F.lit(2)), 16, 10).cast("int")))
+
+
 def fix_checksum(raw: Column) -> Column:
     """Sum of the bytes before the checksum field, modulo 256, as three digits."""
     body = F.regexp_extract(raw, "^(?s)(.*\x01)10=[0-9]{3}\x01$", 1)
-    total = F.aggregate(F.split(body, ""), F.lit(0), lambda s, c: s + F.ascii(c))
-    return F.lpad((total % 256).cast("string"), 3, "0")
+    return F.when(F.length(body) > 0, F.lpad((byte_sum(body) % 256).cast("string"), 3, "0"))
 
 
 def fix_body_length(raw: Column) -> Column:
@@ -94,32 +98,44 @@ def fix_body_length(raw: Column) -> Column:
     return F.octet_length(F.regexp_extract(raw, "^(?s)8=[^\x01]*\x019=[^\x01]*\x01(.*)10=[0-9]{3}\x01$", 1))
 
 
-def fix_status(raw: Column) -> Column:
-    """Ok, or the first of MalformedField, BadBodyLength, BadChecksum, DuplicateTag that holds."""
-    fields = fix_fields(raw)
-    tags = F.transform(fields, lambda x: x["tag"])
-    value = lambda tag: F.element_at(F.filter(fields, lambda x: x["tag"] == tag), 1)["value"]
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _fix_verdict(raw: Column, fields: Column) -> Column:
+    def judged(p: Column) -> Column:
+        value = lambda tag: F.element_at(F.filter(p["f"], lambda x: x["tag"] == tag), 1)["value"]
+        return (
+            F.when(~p["framed"] | F.exists(p["f"], lambda x: x["tag"].isNull()), "MalformedField").when(F.size(F.array_distinct(p["tags"])) != F.size(p["tags"]), "DuplicateTag")
+            .when(value(9).try_cast("int") != fix_body_length(raw), "BadBodyLength").when(value(10) != fix_checksum(raw), "BadChecksum").otherwise("Ok")
+        )
+
     framed = raw.rlike("^(?s)8=[^\x01]*\x019=[0-9]+\x01.*10=[0-9]{3}\x01$")
-    return (
-        F.when(~framed | F.exists(fields, lambda x: x["tag"].isNull()), "MalformedField")
-        .when(F.size(F.array_distinct(tags)) != F.size(tags), "DuplicateTag")
-        .when(value(9).try_cast("int") != fix_body_length(raw), "BadBodyLength")
-        .when(value(10) != fix_checksum(raw), "BadChecksum")
-        .otherwise("Ok")
-    )
+    return let(F.struct(fields.alias("f"), F.transform(fields, lambda x: x["tag"]).alias("tags"), framed.alias("framed")), judged)
+
+
+def fix_status(raw: Column) -> Column:
+    """Ok, or the first of MalformedField, DuplicateTag, BadBodyLength, BadChecksum that holds."""
+    return let(fix_fields(raw), lambda fields: _fix_verdict(raw, fields))
+
+
+def fix_message(raw: Column) -> Column:
+    """struct(status, fields): the status, and tag to value (null unless it is Ok), from one pass over the fields."""
+    parsed = let(fix_fields(raw), lambda fields: F.struct(_fix_verdict(raw, fields).alias("status"), fields.alias("fields")))
+    return let(parsed, lambda p: F.struct(p["status"].alias("status"), F.when(p["status"] == "Ok", F.map_from_entries(p["fields"])).alias("fields")))
 
 
 def fix_map(raw: Column) -> Column:
     """tag to value, null unless the message is Ok."""
-    return F.when(fix_status(raw) == "Ok", F.map_from_entries(fix_fields(raw)))
+    return fix_message(raw)["fields"]
 
 
 def fix_build(pairs: Column) -> Column:
     """A message from array<struct<tag int, value string>> without tags 8, 9 and 10, as version 4.4."""
     body = F.concat(F.array_join(F.transform(pairs, lambda x: F.concat(x["tag"].cast("string"), F.lit("="), x["value"])), "\x01"), F.lit("\x01"))
     head = F.concat(F.lit("8=FIX.4.4\x019="), F.octet_length(body).cast("string"), F.lit("\x01"), body)
-    total = F.aggregate(F.split(head, ""), F.lit(0), lambda s, c: s + F.ascii(c))
-    return F.concat(head, F.lit("10="), F.lpad((total % 256).cast("string"), 3, "0"), F.lit("\x01"))
+    return let(head, lambda h: F.concat(h, F.lit("10="), F.lpad((byte_sum(h) % 256).cast("string"), 3, "0"), F.lit("\x01")))
 
 
 def reconnect_delay_ms(lane: Column, attempt: Column, failures: Column, token: Column, initial_ms: int, max_ms: int, jitter_ms: int) -> Column:

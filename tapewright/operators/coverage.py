@@ -140,7 +140,9 @@ def nearest_interval(points: DataFrame, intervals: DataFrame, keys: list[str], s
     both = i.withColumn("_payload", F.lit(None).cast(rows.schema["_payload"].dataType)).unionByName(p)
     w = Window.partitionBy(*keys).orderBy("_at", "_kind")
     before = F.last("_i", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("_i", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    # Looking ahead as a running value of the opposite order: a frame that is open ahead would be read anew for every row.
+    back = Window.partitionBy(*keys).orderBy(F.col("_at").desc(), F.col("_kind").desc())
+    after = F.last("_i", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
     out = both.withColumn("_before", before).withColumn("_after", after).where("_kind = 1")
     t = F.col(stamp)
     far = lambda x: F.when(x.isNotNull(), F.greatest(x["a"] - t, t - x["b"], F.lit(0)))

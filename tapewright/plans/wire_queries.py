@@ -63,8 +63,8 @@ def fix_parse(spark, d):
     raw = wire.fix_build(F.array(pair(35, F.lit("D")), pair(34, F.col("eid").cast("string")), pair(49, F.lit("S")), pair(56, F.lit("T"))))
     wrong = F.concat(F.expr("substring(raw, 1, length(raw) - 4)"), F.expr("lpad(cast((cast(substring(raw, length(raw) - 3, 3) as int) + 1) % 256 as string), 3, '0')"), F.lit("\x01"))
     rows = feed(spark, d).select("eid", raw.alias("raw")).select("eid", F.when(F.col("eid") % 17 == 3, wrong).otherwise(F.col("raw")).alias("raw"))
-    m = wire.fix_map(F.col("raw"))
-    return rows.select("eid", wire.fix_status(F.col("raw")).alias("status"), m[35].alias("msg_type"), m[34].alias("seq"))
+    m = wire.let(wire.fix_message(F.col("raw")), lambda p: F.struct(p["status"].alias("status"), p["fields"][35].alias("msg_type"), p["fields"][34].alias("seq")))
+    return rows.select("eid", m.alias("m")).select("eid", "m.*")
 
 
 @query(f"with {FEED} select eid, case when eid % 19 = 2 then 'IntegrityMismatch' else 'Ok' end as status, case when eid % 19 <> 2 then eid end as sequence, case when eid % 19 <> 2 then sym end as session_id from feed")

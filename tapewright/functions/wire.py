@@ -83,8 +83,10 @@ def fix_fields(raw: Column) -> Column:
 
 
 def byte_sum(text: Column) -> Column:
-    """Sum of the bytes of a text, taken from its hexadecimal form two digits at a time."""
-    return let(F.hex(F.encode(text, "UTF-8")), lambda h: F.aggregate(F.sequence(F.lit(1), F.length(h) - 1, F.lit(2)), F.lit(0), lambda s, i: s + F.conv(F.substring(h, i, F.lit(2)), 16, 10).cast("int")))
+    """Sum of the bytes of a text: of its characters if all are ASCII, else of its hexadecimal form two digits at a time."""
+    plain = F.aggregate(F.split(text, ""), F.lit(0), lambda s, c: s + F.ascii(c))
+    wide = let(F.hex(F.encode(text, "UTF-8")), lambda h: F.aggregate(F.sequence(F.lit(1), F.length(h) - 1, F.lit(2)), F.lit(0), lambda s, i: s + F.conv(F.substring(h, i, F.lit(2)), 16, 10).cast("int")))
+    return F.when(F.length(text) == F.octet_length(text), plain).otherwise(wide)
 
 
 def fix_checksum(raw: Column) -> Column:

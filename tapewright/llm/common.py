@@ -71,8 +71,11 @@ def crc_fold(id_column: str, folds: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % folds
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that one slice holds about most_bytes of text; a single longer text stays whole."""
+def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that one slice holds about most_bytes of text; a single longer text stays whole.
+
+    The numpy work on a slice takes some 60 bytes for each byte of text.
+    """
     for batch in batches:
         lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
         start = size = 0

@@ -3,14 +3,13 @@
 Signature: `symbols` b-bit minima (b = 8) of a document's shingle set, cut into `chunks` chunks. Two signatures at a Hamming
 distance (in symbols) of at most chunks * (chunk_errors + 1) - 1 agree, by pigeonhole, in some chunk up to `chunk_errors`
 symbols; every choice of `chunk_errors` symbols to leave out of a chunk gives an index key, so all such pairs share a key.
-Farther pairs may share one as well and are treated alike. The defaults (15 chunks of 7 symbols, 1 error, 105 keys) guarantee
-distance 29; a pair of Jaccard similarity 0.8 has mean distance 21 and is missed with probability about 3e-6.
+Farther pairs may share one as well and are treated alike. The defaults (18 chunks of 9 symbols, 1 error, 162 keys) guarantee
+distance 35; a pair of Jaccard similarity 0.8 has mean distance 32 and is missed with probability 3e-5, one of 0.85 with 2e-7.
 
 Work is near-linear in a group of copies. Equal shingle sets collapse to one class first. Then every class is compared with
 the smallest and the largest class of each of its buckets (stars), and the confirmed links are closed to components. Only
-buckets that still hold several components are searched pair by pair, between components only, and within cells of distance
-to the bucket's smallest class: by the triangle inequality a pair within the search distance lies in the same or a
-neighbouring cell. Nothing is capped.
+buckets that still hold several components are searched further, between components only: their rows meet in blocks, where sizes and
+long signatures (2,048 bits) are compared in numpy, and only near pairs leave the block to be confirmed. Nothing is capped.
 
 Defined cases. Null, empty or word-less text: empty set, linked with nothing, kept. Fewer words than a shingle: the whole
 word sequence is the one shingle. Repeated ids: rows of one id with different texts are linked only through their sets and
@@ -30,22 +29,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, discard, land, mix64, pick, slices
+from .common import discard, land, mix64, pick, slices, word_hashes
 from .graph import components
 
-LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-
 
 @dataclass(frozen=True)
 class Params:
     shingle_words: int = 5
     #: Link when 100 * intersection >= percent * union.
     percent: int = 80
-    chunks: int = 15
-    chunk_symbols: int = 7
+    chunks: int = 18
+    chunk_symbols: int = 9
     chunk_errors: int = 1
     #: Pairs whose signatures differ in more symbols are not confirmed; None: five standard deviations over the mean.
     most_distance: int | None = None
+    #: Bits of the long signature by which pairs of the second phase are judged before their texts are read.
+    long_bits: int = 2_048
+    #: Rows of one bucket that are compared in one block; larger buckets are split into blocks that meet two by two.
+    block_rows: int = 4_096
     #: Up to so many ids (8 bytes each) a list of ids is broadcast; above, the same semi-join is a shuffle.
     broadcast_ids: int = 500_000
 
@@ -61,51 +62,45 @@ class Params:
         return min(self.symbols, int(self.symbols * p + 5 * (self.symbols * p * (1 - p)) ** 0.5) + 1)
 
 
-class Shingler:
-    """Texts to sorted arrays of 64-bit shingle hashes; word hashes are remembered, up to a bounded number."""
-
-    def __init__(self, words: int) -> None:
-        self.k = words
-        self._forget()
-
-    def _forget(self) -> None:
-        self.table, self.hashes = WordTable(), np.empty(0, dtype=np.uint64)
-
-    def words(self, text: str | None) -> np.ndarray:
-        if len(self.table) > WordTable.LIMIT:
-            self._forget()
-        numbers = self.table.numbers((text or "").encode("utf-8", "surrogatepass").translate(LOWER).split())
-        if self.table.new:
-            fresh = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.table.new), dtype=np.uint64, count=len(self.table.new))
-            self.hashes = np.concatenate([self.hashes, fresh])
-            self.table.new.clear()
-        return self.hashes[numbers]
-
-    def shingles(self, text: str | None) -> np.ndarray:
-        w = self.words(text)
-        if not len(w):
-            return w
-        k = min(self.k, len(w))
-        with np.errstate(over="ignore"):
-            h = np.full(len(w) - k + 1, np.uint64(k))
-            for i in range(k):
-                h = mix64(h + w[i : len(w) - k + 1 + i] * np.uint64(0x9E3779B97F4A7C15))
-        return np.unique(h)
-
-
-def signature(shingles: np.ndarray, odd: np.ndarray, block: int = 2048) -> np.ndarray:
-    """One byte of each of len(odd) minima under the hash functions x -> mix(x) * odd."""
-    least = np.full(len(odd), np.iinfo(np.uint64).max, dtype=np.uint64)
+def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
+    """The sorted, distinct 64-bit hashes of each text's k-word shingles; of fewer words, the whole sequence is one."""
+    words, counts = word_hashes(texts, lower=True)
+    ends = np.cumsum(counts)
     with np.errstate(over="ignore"):
-        for at in range(0, len(shingles), block):
-            x = shingles[at : at + block]
-            h = (x[:, None] * odd[None, :]) ^ (x >> np.uint64(32))[:, None] * odd[None, ::-1]
-            np.minimum(least, h.min(axis=0), out=least)
-    return (mix64(least) >> np.uint64(56)).astype(np.uint8)
+        h = np.full(max(len(words) - k + 1, 0), np.uint64(k))
+        for i in range(k):
+            h = mix64(h + words[i : len(words) - k + 1 + i] * np.uint64(0x9E3779B97F4A7C15))
+        out = []
+        for start, end in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+            if end - start >= k:
+                own = np.sort(h[start : end - k + 1])
+                out.append(own[np.append(True, own[1:] != own[:-1])])
+            else:
+                short = np.full(1, np.uint64(end - start))
+                for i in range(start, end):
+                    short = mix64(short + words[i : i + 1] * np.uint64(0x9E3779B97F4A7C15))
+                out.append(short if end > start else words[:0])
+    return out
+
 
+def signature(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray], block: int = 1_024) -> np.ndarray:
+    """One byte of each minimum under the hash functions x -> odd * x + add, modulo 2**32, over folded shingle hashes."""
+    odd, add = family
+    x = (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
+    least = np.full(len(odd), 0xFFFFFFFF, dtype=np.uint32)
+    held = np.empty((min(block, len(x)), len(odd)), dtype=np.uint32)
+    for at in range(0, len(x), block):
+        part = x[at : at + block, None]
+        h = held[: len(part)]
+        np.multiply(part, odd, out=h)
+        np.add(h, add, out=h)
+        np.minimum(least, h.min(axis=0), out=least)
+    return (mix64(least.astype(np.uint64)) >> np.uint64(56)).astype(np.uint8)
 
-def hash_family(n: int) -> np.ndarray:
-    return mix64(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+def hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
+    random = mix64(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return (random >> np.uint64(32)).astype(np.uint32) | np.uint32(1), random.astype(np.uint32)
 
 
 def index_keys(signatures: np.ndarray, p: Params) -> np.ndarray:
@@ -133,17 +128,15 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _signed(docs: DataFrame, p: Params) -> DataFrame:
-    odd = hash_family(p.symbols)
+    family = hash_family(p.symbols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(p.shingle_words)
         for part in slices(batches, 1):
             sizes, prints, signatures = [], [], []
-            for text in part.column(1).to_pylist():
-                s = shingler.shingles(text)
+            for s in shingle_sets(part.column(1), p.shingle_words):
                 sizes.append(len(s))
                 prints.append(xxhash.xxh3_128_digest(s.tobytes()))
-                signatures.append(signature(s, odd).tobytes() if len(s) else None)
+                signatures.append(signature(s, family).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())], names=["id", "n", "print", "sig"])
 
     return docs.mapInArrow(run, "id long, n long, print binary, sig binary")
@@ -162,7 +155,7 @@ def _bucketed(classes: DataFrame, p: Params) -> DataFrame:
     return classes.select("id", "sig").mapInArrow(run, "key long, id long")
 
 
-def _near(pairs: DataFrame, classes: DataFrame, p: Params, bound: bool = True) -> DataFrame:
+def _near(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     """Pairs (a, b) with the distance d of their signatures, where it is at most the search distance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,29 +167,29 @@ def _near(pairs: DataFrame, classes: DataFrame, p: Params, bound: bool = True) -
     sigs = classes.select("id", "sig")
     left = pairs.join(sigs.toDF("a", "sig_a"), "a")
     both = left.join(sigs.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
-    near = both.mapInArrow(run, "a long, b long, d int")
-    return near.where(F.col("d") <= p.search_distance) if bound else near
+    return both.mapInArrow(run, "a long, b long, d int").where(F.col("d") <= p.search_distance)
+
+
+def _texts(docs: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
+    """id and text of the rows of docs with one of the ids, one row an id."""
+    small = ids.count() <= p.broadcast_ids
+    texts = docs.join(F.broadcast(ids) if small else ids, "id", "left_semi")
+    return texts.dropDuplicates(["id"]) if docs._ids_repeat else texts
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     """Those of the pairs (a, b) whose full shingle sets are similar enough; the documents' texts are shingled again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, last, kept = Shingler(p.shingle_words), None, np.empty(0, dtype=np.uint64)
         for part in slices(batches, 3):
-            ok = []
-            for b, text_a, text_b in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                if b != last:  # rows of one b come together out of the sorted join
-                    last, kept = b, shingler.shingles(text_b)
-                ok.append(linked(shingler.shingles(text_a), kept, p.percent))
+            # Rows of one b come together out of the sorted join, so a slice shingles each b's text about once.
+            b_texts = part.column(3).dictionary_encode()
+            own, other = shingle_sets(part.column(2), p.shingle_words), shingle_sets(b_texts.dictionary, p.shingle_words)
+            ok = [linked(x, other[j], p.percent) for x, j in zip(own, b_texts.indices.to_pylist(), strict=True)]
             yield part.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     pairs = land(pairs.select("a", "b"), "near-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    small = ids.count() <= p.broadcast_ids
-    texts = docs.join(F.broadcast(ids) if small else ids, "id", "left_semi")
-    one = texts.dropDuplicates(["id"]) if docs._ids_repeat else texts
-    texts = land(one, "near-texts")
+    texts = land(_texts(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), p), "near-texts")
     left = pairs.join(texts.toDF("a", "text_a"), "a")
     both = left.join(texts.toDF("b", "text_b").hint("merge"), "b").select("a", "b", "text_a", "text_b")
     out = land(both.mapInArrow(run, "a long, b long"), "near-links")
@@ -204,13 +197,115 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     return out
 
 
+def _long_signed(texts: DataFrame, p: Params) -> DataFrame:
+    """id, n, bits: one bit of each of p.long_bits minima."""
+    family = hash_family(p.long_bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1):
+            sets = shingle_sets(part.column(1), p.shingle_words)
+            bits = [np.packbits(signature(x, family) & np.uint8(1)).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(bits, pa.binary())], names=["id", "n", "bits"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, n long, bits binary")
+
+
+class Blocks:
+    """Near pairs of different components within groups of rows that come together; small groups are compared many at a time."""
+
+    SMALL, MOST = 64, 50_000
+
+    def __init__(self, p: Params) -> None:
+        bits, apart = p.long_bits, (1 - p.percent / 100) / 2
+        self.most = int(bits * apart + 4.2 * (bits * apart * (1 - apart)) ** 0.5) + 1
+        self.percent = p.percent
+
+    def near(self, left: np.ndarray, right: np.ndarray, c: np.ndarray, n: np.ndarray, bits: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the pairs (left, right) of row numbers that may be linked. side: 0 or 1 where two blocks meet, -1 within one."""
+        ok = (c[left] != c[right]) & (100 * np.minimum(n[left], n[right]) >= self.percent * np.maximum(n[left], n[right])) & ((side[left] < 0) | (side[left] != side[right]))
+        left, right = left[ok], right[ok]
+        far = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int32)
+        return left[far <= self.most], right[far <= self.most]
+
+    def pairs(self, group: np.ndarray, c: np.ndarray, n: np.ndarray, bits: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """group: a number for each row, equal ones together."""
+        starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        ends = np.append(starts[1:], len(group))
+        size = ends - starts
+        small = np.flatnonzero(np.repeat(size <= self.SMALL, size))
+        partners = np.repeat(ends, size)[small] - small - 1
+        edge = np.searchsorted(np.cumsum(partners), np.arange(self.MOST, partners.sum() + self.MOST, self.MOST)) + 1
+        for rows, k in zip(np.split(small, edge), np.split(partners, edge), strict=True):
+            left = np.repeat(rows, k)
+            right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(k) - k, k)
+            yield self.near(left, right, c, n, bits, side)
+        for start, end in zip(starts[size > self.SMALL], ends[size > self.SMALL], strict=True):
+            rows = np.arange(start, end)
+            kinds, of, often = np.unique(c[rows], return_inverse=True, return_counts=True)
+            rows, of = rows[np.lexsort((of, often[of]))], None  # the largest component last: it is never compared with itself
+            last = np.append(np.flatnonzero(c[rows][1:] != c[rows][:-1]) + 1, len(rows))
+            at = 0
+            for stop in last:
+                rest = rows[stop:]
+                step = max(1, self.MOST // max(1, len(rest)))
+                for i in range(at, stop, step) if len(rest) else ():
+                    own = rows[i : min(i + step, stop)]
+                    yield self.near(np.repeat(own, len(rest)), np.tile(rest, len(own)), c, n, bits, side)
+                at = stop
+
+
+def _across(rows: DataFrame, p: Params) -> DataFrame:
+    """Distinct pairs (a, b) of different components that share a key and are near by their long signatures.
+
+    rows: key, k (rows of the key), id, c, n, bits. A key of more than block_rows rows is dealt to blocks; every two blocks meet in a group of their
+    own. Groups are streamed through sorted partitions; only near pairs leave them.
+    """
+    blocks = F.ceil(F.col("k") / p.block_rows).cast("int")
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    groups = dealt.select("key", F.least("own", "other").alias("g1"), F.greatest("own", "other").alias("g2"), "own", "id", "c", "n", "bits")
+    judge = Blocks(p)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(table: pa.Table) -> pa.RecordBatch:
+            col = lambda i: table.column(i).to_numpy()
+            key, g1, g2, own, ids, c, n = (col(i) for i in range(7))
+            bits = np.frombuffer(b"".join(table.column(7).to_pylist()), dtype=np.uint64).reshape(len(key), -1)
+            new = np.append(True, (key[1:] != key[:-1]) | (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1]))
+            side = np.where(g1 == g2, -1, (own == g2).astype(np.int64))
+            made = [np.stack([np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y])]) for x, y in judge.pairs(np.cumsum(new), c, n, bits, side)]
+            pairs = np.unique(np.concatenate(made, axis=1), axis=1) if made else np.empty((2, 0), dtype=np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(b.num_rows for b in held) < 10_000:
+                continue
+            table = pa.Table.from_batches(held)
+            last = [table.column(i)[table.num_rows - 1].as_py() for i in range(3)]
+            same = np.ones(table.num_rows, dtype=bool)
+            for i in range(3):
+                same &= table.column(i).to_numpy() == last[i]
+            cut = int(np.argmax(same))  # the last group may go on in the next batch
+            if cut:
+                yield found(table.slice(0, cut))
+                held = table.slice(cut).to_batches()
+        if held:
+            yield found(pa.Table.from_batches(held))
+
+    parts = groups.repartition("key", "g1", "g2").sortWithinPartitions("key", "g1", "g2")
+    return parts.mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: Params = Params()) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id (smallest id reachable), kept."""
     docs = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     signed = land(_signed(docs, p), "near-signed")
     with_set = signed.where("n > 0 and id is not null")
     prints = with_set.groupBy("print").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.min(F.struct("id", "sig")).alias("s"))
-    classes = land(prints.select("print", "id", F.col("s.sig").alias("sig")), "near-classes")
+    classes = land(prints.select("print", "id", "n", F.col("s.sig").alias("sig")), "near-classes")
     totals = with_set.agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids")).first()
     docs._ids_repeat = totals["n"] != totals["ids"]
     if docs._ids_repeat:  # an id with two sets stands for two classes: link those by the id itself
@@ -220,34 +315,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         one = one.dropDuplicates(["id"])
 
     # Stars: each class with the smallest and largest class of each of its buckets.
-    buckets = land(_bucketed(one, p), "near-buckets")
+    # Keys are made twice, which costs less than to keep them; small tasks, as each row makes many keys.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _bucketed(one.repartition(tasks), p)
     ends = buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("n > 1 and lo <> hi").drop("n")
     shared = land(buckets.join(ends, "key"), "near-shared")
-    discard(buckets)
     pair = lambda a, b: F.struct(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     stars = shared.select(F.explode(F.array(pair("id", "lo"), pair("id", "hi"))).alias("p")).select("p.*").where("a <> b").distinct()
-    star_near = land(_near(stars, one, p, bound=False), "near-stars")
-    links = _confirmed(star_near.where(F.col("d") <= p.search_distance), docs, p)
+    star_near = land(_near(stars, one, p), "near-stars")
+    links = _confirmed(star_near, docs, p)
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if docs._ids_repeat:
         edges = edges.union(same_id)
     comps = land(components(edges), "near-comps")
 
-    # What is left: pairs of different components in one bucket, by cells of distance to the bucket's smallest class.
-    labelled = shared.join(comps.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "lo", F.coalesce("component", "id").alias("c"))
-    mixed = labelled.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-    rows = labelled.join(mixed, "key", "left_semi")
-    from_lo = star_near.select(F.col("a").alias("id"), F.col("b").alias("lo"), "d")
-    width = p.search_distance + 1
-    cells = rows.join(from_lo, ["id", "lo"], "left").withColumn("cell", F.floor(F.coalesce("d", F.lit(0)) / width).cast("int"))
-    cells = land(cells.select("key", "id", "c", F.explode(F.array(F.col("cell"), F.col("cell") + 1)).alias("cell")), "near-cells")
-    parts = cells.groupBy("key", "cell", "c").agg(F.count("*").alias("n"))
-    sides = parts.select("key", "cell", F.col("c").alias("ca")).join(parts.select("key", "cell", F.col("c").alias("cb")), ["key", "cell"]).where("ca < cb")
-    left = sides.join(cells.select("key", "cell", F.col("c").alias("ca"), F.col("id").alias("x")), ["key", "cell", "ca"])
-    across = left.join(cells.select("key", "cell", F.col("c").alias("cb"), F.col("id").alias("y")), ["key", "cell", "cb"])
-    new = across.select(pair("x", "y").alias("p")).select("p.*").distinct().join(star_near.select("a", "b"), ["a", "b"], "left_anti")
-    more = _confirmed(_near(new, one, p), docs, p)
-    discard(shared, cells, star_near)
+    # What is left: pairs of different components in one bucket.
+    labelled = shared.join(comps.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+    members = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"m{i}") for i in (0, 1)]
+    mixed = labelled.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("k"), *members).where("c0 <> c1")
+    mixed = mixed.groupBy("k", "m0", "m1").agg(F.min("key").alias("key")).select("key", "k")  # of buckets with the same members one will do
+    rows = land(labelled.join(mixed, "key"), "near-mixed")
+    long = land(_long_signed(_texts(docs, rows.select("id").distinct(), p), p), "near-long")
+    new = _across(rows.join(long, "id"), p).join(star_near.select("a", "b"), ["a", "b"], "left_anti")
+    more = _confirmed(new, docs, p)
+    discard(shared, rows, long, star_near)
     final = land(components(edges.union(more.select(F.col("a").alias("u"), F.col("b").alias("v")))), "near-comps")
 
     of_class = classes.join(final.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id"))

@@ -219,7 +219,7 @@ def test_op5_chains_and_hot_groups(spark):
             words[at] = f"n{i}_{at}"
         rows.append((i, " ".join(words)))
     want = brute_near(rows, 2, 80)
-    p = near_dedup.Params(shingle_words=2, broadcast_ids=0)
+    p = near_dedup.Params(shingle_words=2, broadcast_ids=0, block_rows=7)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), p=p).collect()}
     assert got == want
 
@@ -362,3 +362,24 @@ def test_word_hashes():
     assert [words[i] for i in at] == flat and sizes.tolist() == counts.tolist()
     assert len(word_hashes(pa.array([], pa.string()))[0]) == 0 and word_hashes(pa.array(texts[3:5]))[1].tolist() == [2, 2]
     assert word_hashes(pa.array(texts).slice(3, 2))[0].tolist() == word_hashes(pa.array(texts[3:5]))[0].tolist()
+
+
+def test_blocks_find_what_all_pairs_find():
+    """Small and large groups, met within a block or between two, against a plain double loop."""
+    rng = np.random.default_rng(7)
+    p = near_dedup.Params(long_bits=128)
+    judge = near_dedup.Blocks(p)
+    sizes = [1, 2, 3, 64, 65, 200, 5]
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    total = len(group)
+    base = rng.integers(0, 2**64, (6, 2), dtype=np.uint64)
+    bits = base[rng.integers(0, 6, total)] ^ (np.uint64(1) << rng.integers(0, 64, (total, 2)).astype(np.uint64))
+    c, n, side = rng.integers(0, 9, total), rng.integers(90, 130, total), np.where(group % 2, -1, rng.integers(0, 2, total))
+    want = set()
+    for i in range(total):
+        for j in range(i + 1, total):
+            meet = side[i] < 0 or side[i] != side[j]
+            if group[i] == group[j] and meet and c[i] != c[j] and 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j]) and sum(int(x).bit_count() for x in bits[i] ^ bits[j]) <= judge.most:
+                want.add((i, j))
+    got = [(min(x, y), max(x, y)) for left, right in judge.pairs(group, c, n, bits, side) for x, y in zip(left.tolist(), right.tolist(), strict=True)]
+    assert set(got) == want and len(got) == len(want)

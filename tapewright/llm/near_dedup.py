@@ -9,7 +9,7 @@ distance 35; a pair of Jaccard similarity 0.8 has mean distance 32 and is missed
 Work is near-linear in a group of copies. Equal shingle sets collapse to one class first. Then every class is compared with
 the smallest and the largest class of each of its buckets (stars), and the confirmed links are closed to components. Only
 buckets that still hold several components are searched further, between components only: their rows meet in blocks, where sizes and
-long signatures (2,048 bits) are compared in numpy, and only near pairs leave the block to be confirmed. Nothing is capped.
+long signatures (3,072 bits) are compared in numpy, and only near pairs leave the block to be confirmed. Nothing is capped.
 
 Defined cases. Null, empty or word-less text: empty set, linked with nothing, kept. Fewer words than a shingle: the whole
 word sequence is the one shingle. Repeated ids: rows of one id with different texts are linked only through their sets and
@@ -41,10 +41,8 @@ class Params:
     chunks: int = 18
     chunk_symbols: int = 9
     chunk_errors: int = 1
-    #: Pairs whose signatures differ in more symbols are not confirmed; None: five standard deviations over the mean.
-    most_distance: int | None = None
     #: Bits of the long signature by which pairs of the second phase are judged before their texts are read.
-    long_bits: int = 2_048
+    long_bits: int = 3_072
     #: Rows of one bucket that are compared in one block; larger buckets are split into blocks that meet two by two.
     block_rows: int = 4_096
     #: Up to so many ids (8 bytes each) a list of ids is broadcast; above, the same semi-join is a shuffle.
@@ -54,13 +52,6 @@ class Params:
     def symbols(self) -> int:
         return self.chunks * self.chunk_symbols
 
-    @property
-    def search_distance(self) -> int:
-        if self.most_distance is not None:
-            return self.most_distance
-        p = 1 - self.percent / 100
-        return min(self.symbols, int(self.symbols * p + 5 * (self.symbols * p * (1 - p)) ** 0.5) + 1)
-
 
 def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     """The sorted, distinct 64-bit hashes of each text's k-word shingles; of fewer words, the whole sequence is one."""
@@ -155,21 +146,6 @@ def _bucketed(classes: DataFrame, p: Params) -> DataFrame:
     return classes.select("id", "sig").mapInArrow(run, "key long, id long")
 
 
-def _near(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
-    """Pairs (a, b) with the distance d of their signatures, where it is at most the search distance."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            sig = [np.frombuffer(b"".join(x.column(i).to_pylist()), dtype=np.uint8).reshape(-1, p.symbols) for i in (2, 3)]
-            d = (sig[0] != sig[1]).sum(axis=1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(d)], names=["a", "b", "d"])
-
-    sigs = classes.select("id", "sig")
-    left = pairs.join(sigs.toDF("a", "sig_a"), "a")
-    both = left.join(sigs.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
-    return both.mapInArrow(run, "a long, b long, d int").where(F.col("d") <= p.search_distance)
-
-
 def _texts(docs: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
     """id and text of the rows of docs with one of the ids, one row an id."""
     small = ids.count() <= p.broadcast_ids
@@ -322,8 +298,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = land(buckets.join(ends, "key"), "near-shared")
     pair = lambda a, b: F.struct(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     stars = shared.select(F.explode(F.array(pair("id", "lo"), pair("id", "hi"))).alias("p")).select("p.*").where("a <> b").distinct()
-    star_near = land(_near(stars, one, p), "near-stars")
-    links = _confirmed(star_near, docs, p)
+    stars = land(stars, "near-stars")
+    links = _confirmed(stars, docs, p)
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if docs._ids_repeat:
         edges = edges.union(same_id)
@@ -336,9 +312,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = mixed.groupBy("k", "m0", "m1").agg(F.min("key").alias("key")).select("key", "k")  # of buckets with the same members one will do
     rows = land(labelled.join(mixed, "key"), "near-mixed")
     long = land(_long_signed(_texts(docs, rows.select("id").distinct(), p), p), "near-long")
-    new = _across(rows.join(long, "id"), p).join(star_near.select("a", "b"), ["a", "b"], "left_anti")
+    new = _across(rows.join(long, "id"), p).join(stars, ["a", "b"], "left_anti")
     more = _confirmed(new, docs, p)
-    discard(shared, rows, long, star_near)
+    discard(shared, rows, long, stars)
     final = land(components(edges.union(more.select(F.col("a").alias("u"), F.col("b").alias("v")))), "near-comps")
 
     of_class = classes.join(final.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id"))

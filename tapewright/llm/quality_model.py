@@ -1,7 +1,7 @@
 """Quality classifier: random-indexing word vectors pooled per document, and a two-layer numpy network.
 
-Word vectors. Words are split into a letter core, a punctuation tail and a mark for capitals, each hashed to one of `buckets`
-buckets. Every bucket has a sparse ternary index vector; a bucket's word vector is the sum of its neighbours' index vectors over
+Word vectors. Words are split into all their runs of letters and digits and runs of symbols, each hashed whole to one of `buckets`
+buckets (a run of more than 20 characters by its 3-grams), and a mark for capitals. Every bucket has a sparse ternary index vector; a bucket's word vector is the sum of its neighbours' index vectors over
 the whole corpus, summed in Spark. The table has a fixed size (buckets x (dims + 1) numbers), so it is small enough to send
 to every executor at any input size. A document is the mean and deviation of its words' vectors and index vectors.
 
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import Growing, WordTable, pick, slices, split_words
 
-PIECES = re.compile(r"([^\W_]*)(.*)", re.S)
+RUNS = re.compile(r"([^\W_]+)|[\W_]+")
+LONGEST, GRAM = 20, 3
 
 
 @dataclass(frozen=True)
@@ -43,34 +44,44 @@ class Params:
 
 
 class Tokens:
-    """Texts to bucket numbers. A word gives up to three: core, tail of symbols, mark of capitals."""
+    """Texts to bucket numbers. A word gives one for each of its runs (3-grams of a long one), then a mark of capitals."""
+
+    MOST = 4_000_000
 
     def __init__(self, buckets: int) -> None:
         self.buckets = buckets
         self._forget()
 
     def _forget(self) -> None:
-        self.table, self.parts = WordTable(), Growing((3,), np.int32)
+        self.table, self.parts, self.spans = WordTable(), Growing((), np.int32), Growing((2,), np.int64)
 
-    def _split(self, word: bytes) -> tuple[int, int, int]:
-        core, tail = PIECES.match(word.decode("utf-8", "replace")).groups()
+    def _split(self, word: bytes) -> list[int]:
         number = lambda kind, s: zlib.crc32((kind + s).encode("utf-8", "replace")) % self.buckets
-        capitals = len(core) > 1 and core.isupper()
-        return (number("w", core.lower()) if core else -1, number("s", tail[:8]) if tail else -1, number("c", "") if capitals else -1)
+        out, capitals = [], False
+        for m in RUNS.finditer(word.decode("utf-8", "replace")):
+            run, kind = m[0], "w" if m[1] else "s"
+            capitals |= len(run) > 1 and run.isupper()
+            run = run.lower()
+            out += [number(kind, run)] if len(run) <= LONGEST else [number(kind, run[i : i + GRAM]) for i in range(len(run) - GRAM + 1)]
+        return [*out, number("c", "")] if capitals else out
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Bucket numbers of all texts, one after the other, and how many each text has."""
-        if len(self.table) > WordTable.LIMIT:
+        if len(self.table) > WordTable.LIMIT or self.parts.used > self.MOST:
             self._forget()
         words, at, counts = split_words(texts)
         numbers = self.table.numbers(words)
         if self.table.new:
-            self.parts.extend(np.array([self._split(w) for w in self.table.new], dtype=np.int32))
+            new = [self._split(w) for w in self.table.new]
+            sizes = np.array([len(x) for x in new], dtype=np.int64)
+            self.spans.extend(np.stack([self.parts.used + np.cumsum(sizes) - sizes, sizes], axis=1))
+            self.parts.extend(np.array([n for x in new for n in x], dtype=np.int32))
             self.table.new.clear()
-        found = self.parts.rows[numbers[at]]
-        real = found >= 0
+        start, size = self.spans.rows[numbers[at]].T
+        ends = np.cumsum(size)
+        found = self.parts.rows[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
         of = np.repeat(np.arange(len(counts)), counts)
-        return found.ravel()[real.ravel()], np.bincount(of, weights=real.sum(axis=1), minlength=len(counts)).astype(np.int64)
+        return found, np.bincount(of, weights=size, minlength=len(counts)).astype(np.int64)
 
 
 def index_vectors(p: Params) -> tuple[np.ndarray, np.ndarray]:

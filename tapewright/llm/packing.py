@@ -4,8 +4,8 @@ Each document becomes token ids plus an end id. Full windows of `limit` ids are
 document is one shorter piece. Pieces are dealt at random to groups of about `group_pieces`, each packed by itself. A
 tournament tree over bin capacities finds the first bin with room in logarithmic time.
 
-Ids come from the public byte-level BPE by its rank file, which holds the vocabulary of the tokenizer file (a test compares the
-two), at several times the speed. Strings that look like special tokens are ordinary text.
+Ids come from the public byte-level BPE by its rank file, which holds the vocabulary of the tokenizer file (tests compare the
+two), at several times the speed. The tokenizer file's added tokens, such as `<|endoftext|>`, are taken from it and keep their ids.
 
 Defined cases. Null or empty text: the end id alone, a piece of length 1. Repeated rows: packed one by one; they keep their
 doc_id. Null id: packed like any other, doc_id null. Texts of any length are encoded whole. Empty table: no rows. Only the id
@@ -15,9 +15,12 @@ and text columns are read, so others may have any name.
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -49,7 +52,11 @@ def encoder(ranks: str):
 
         with open(public_tokenizers.path(ranks), "rb") as f:
             table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        _encoders[ranks] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+        full, added = public_tokenizers.path(ranks.removesuffix(".tiktoken") + ".json"), {}
+        if os.path.exists(full):
+            with open(full, encoding="utf-8") as f:
+                added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+        _encoders[ranks] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=added)
     return _encoders[ranks]
 
 
@@ -117,7 +124,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: P
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(p.ranks).encode_ordinary
+        encode = partial(encoder(p.ranks).encode, allowed_special="all")
         names = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"]
         kinds = [pa.int64()] * 5 + [pa.binary()]
         for part in slices(batches, 1):

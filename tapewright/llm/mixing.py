@@ -8,8 +8,10 @@ is below that. Everything is DataFrame expressions; the cells stay in Spark.
 Targets. Unless given, each marginal's target share is its share of tokens to the power `flatten`, made to sum to 1: 1 keeps the corpus'
 mix, 0 makes all categories equal. Probabilities are rounded to 9 digits, so that they do not depend on the order of sums.
 
-Topic. Without a topic column, a document's topic is the lexicon (a regular expression over the whole text) with the most matches; ties go to
-the first one, and without a match it is `other`.
+Topic. Without a topic column, a document's topic is that of `vocabulary` with the most occurrences in the whole text: whole words between
+characters that are no letter, mark or number, in any case; terms in scripts written without spaces are found anywhere. Ties go to the
+first topic, and without an occurrence it is `other`. With no vocabulary it is the lexicon of `topics` (a regular expression, matched anywhere,
+also within words) with the most matches: what the SQL of `op7_mixing` states.
 
 Defined cases. Null source, language or topic: a category of its own. Null or empty text: 0 tokens; such documents get probability 1 where
 their cell has no tokens, else their cell's. Repeated rows: counted and decided alike. Null id: hashed as the empty string. Empty
@@ -26,6 +28,35 @@ from pyspark.sql import functions as F
 from .common import land, pick
 
 
+#: Topics and their words: common nouns in English, German, French, Spanish and Russian; then terms of Japanese and Chinese.
+VOCABULARY = (
+    ("science", "science sciences scientist scientists physics chemistry biology experiment theory molecule galaxy wissenschaft physik chemie biologie experimente theorie forscher"
+                " scientifique physique chimie biologie théorie chercheur ciencia científico física química biología teoría наука физика химия биология эксперимент теория ученые",
+     "科学 物理 化学 生物学 実験 理論 实验 理论"),
+    ("technology", "software computer computers internet database algorithm processor smartphone rechner datenbank algorithmus programmierung ordinateur logiciel algorithme"
+                   " ordenador programación algoritmo программа компьютер интернет алгоритм процессор",
+     "コンピュータ ソフトウェア インターネット 计算机 软件 互联网 算法"),
+    ("health", "health hospital hospitals doctor doctors patient patients disease medicine vaccine surgery gesundheit krankenhaus arzt patienten krankheit medizin impfung"
+               " santé hôpital médecin maladie médecine vaccin salud médico enfermedad medicina vacuna здоровье больница врач пациент болезнь медицина",
+     "健康 病院 医師 患者 病気 医院 医生 疾病"),
+    ("economy", "economy economic market markets bank banks company companies trade inflation investment wirtschaft markt bank unternehmen handel investition"
+                " économie marché banque entreprise commerce investissement economía mercado banco empresa comercio inversión экономика рынок банк компания торговля инфляция",
+     "経済 市場 銀行 企業 经济 市场 银行 公司"),
+    ("politics", "government parliament president minister election elections law court policy regierung parlament präsident wahl wahlen gesetz gericht politik"
+                 " gouvernement parlement président ministre élection élections loi gobierno parlamento presidente ministro elecciones ley правительство парламент президент выборы закон суд",
+     "政府 国会 大統領 選挙 法律 总统 选举"),
+    ("sport", "football soccer basketball tennis olympic champion championship tournament goalkeeper fußball meisterschaft turnier torwart spieler"
+              " joueur championnat tournoi équipe fútbol baloncesto campeón campeonato torneo футбол хоккей чемпион турнир команда",
+     "サッカー 野球 選手 優勝 足球 篮球 冠军"),
+    ("culture", "music film films novel poem poetry theatre museum painting artist musik roman gedicht theater gemälde künstler musique poème théâtre musée peinture artiste"
+                " música película novela poema teatro museo pintura artista музыка фильм роман театр музей художник",
+     "音楽 映画 小説 美術 音乐 电影 小说"),
+    ("nature", "river rivers mountain mountains forest animal animals climate ocean bird birds fluss berge wald tiere klima vögel fleuve rivière montagne forêt animaux climat oiseau"
+               " río montaña bosque animales clima océano река гора лес животные климат океан птица",
+     "自然 動物 気候 森林 动物 气候 海洋"),
+)
+
+
 @dataclass(frozen=True)
 class Params:
     sweeps: int = 6
@@ -34,6 +65,8 @@ class Params:
     #: Topics and their lexicons: stems of words, matched anywhere in a text.
     topics: tuple[tuple[str, str], ...] = (("process", "tion|ing"), ("agent", "er|or"), ("quality", "ble|ly"), ("place", "en|au"))
     seed: str = "mix"
+    #: Topics, their words (lower case, between spaces) and their terms in scripts without spaces; empty: `topics` decides.
+    vocabulary: tuple[tuple[str, str, str], ...] = VOCABULARY
 
 
 MARGINS = ("source", "lang", "topic")
@@ -49,11 +82,29 @@ def topic_of(text: Column, topics: tuple[tuple[str, str], ...]) -> Column:
     return F.when(best["n"] > 0, best["name"]).otherwise("other")
 
 
+def topic_of_words(text: Column, vocabulary: tuple[tuple[str, str, str], ...]) -> Column:
+    """The topic whose words and terms occur most often."""
+    known = sorted({w for _, words, _ in vocabulary for w in words.split()})
+    hits = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w.isin(known))  # few; counted by topic below
+    terms = sorted({t for _, _, terms in vocabulary for t in terms.split()}, key=lambda t: (-len(t), t))
+    if terms:
+        low, high = min(t[0] for t in terms), max(t[0] for t in terms)
+        hits = F.concat(hits, F.regexp_extract_all(text, F.lit(f"(?=[{low}-{high}])(?:{'|'.join(terms)})"), F.lit(0)))
+
+    def count(h: Column, i: int) -> Column:
+        name, words, terms = vocabulary[i]
+        return F.struct(F.size(F.filter(h, lambda w: w.isin([*words.split(), *terms.split()]))).alias("n"), F.lit(-i).alias("rank"), F.lit(name).alias("name"))
+
+    # transform over the one array keeps the words from being split again for every topic
+    best = F.transform(F.array(hits), lambda h: F.array_max(F.array(*(count(h, i) for i in range(len(vocabulary))))))[0]
+    return F.transform(F.array(best), lambda b: F.when(b["n"] > 0, b["name"]).otherwise("other"))[0]
+
+
 def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, topic_col: str | None, p: Params) -> DataFrame:
     """Landed: id, source, lang, topic, n_tokens; the text is read once."""
     names = {"id": id_col, "text": text_col, "source": source_col, "lang": lang_col} | ({"topic": topic_col} if topic_col else {})
     rows = pick(docs, **names).withColumn("text", F.coalesce("text", F.lit("")))
-    topic = F.col("topic") if topic_col else topic_of(F.col("text"), p.topics)
+    topic = F.col("topic") if topic_col else topic_of_words(F.col("text"), p.vocabulary) if p.vocabulary else topic_of(F.col("text"), p.topics)
     return land(rows.select(F.col("id").cast("long").alias("id"), "source", "lang", topic.alias("topic"), F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_tokens")), "mix-docs")
 
 

@@ -43,7 +43,7 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir))
+    return mixing.mix(documents(spark, sf_dir), p=mixing.Params(vocabulary=()))  # topics as the SQL states them
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

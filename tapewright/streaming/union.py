@@ -16,7 +16,7 @@ OUTPUT = "sym bigint, id bigint, lane string, digest string, event string"
 
 
 class UnionProcessor(StatefulProcessor):
-    """clamps bound a lane's cursor from above; excluded lanes do not hold the watermark back; ids at or below floor are ignored."""
+    """clamps bound a lane's cursor from above; every lane of lanes holds the watermark back, none can be excluded; ids at or below floor are ignored."""
 
     def __init__(self, lanes: tuple[str, ...] = ("P", "S"), floor: int | None = None, clamps: dict[str, int] | None = None) -> None:
         self.lanes, self.floor, self.clamps = lanes, floor, clamps or {}

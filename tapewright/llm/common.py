@@ -19,10 +19,12 @@ _own_dir: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one only where none is named."""
+    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one only in a local session that names none."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="tapewright-")
@@ -42,14 +44,30 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove landed tables that no later plan reads."""
     for table in tables:
         path = getattr(table, "_landed_at", None)
         if path:
-            spark = table.sparkSession
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            remove(table.sparkSession, path)
+
+
+def spread_join(rows: DataFrame, table: DataFrame, on: str | list[str], most: int, by: list[str], how: str = "inner", copies: int = 16) -> DataFrame:
+    """rows joined with a landed table that has one row for each key, however many rows share a key.
+
+    A table of at most `most` rows is broadcast; of a larger one each row is copied, and the rows of a key are dealt out over its copies by the
+    hash of their columns `by`, so that a task that runs again deals them alike.
+    """
+    if table.count() <= most:
+        return rows.join(F.broadcast(table), on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    spread = table.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))))
+    return rows.withColumn("_copy", F.pmod(F.xxhash64(*by, F.lit(29)), F.lit(copies))).join(spread, [*keys, "_copy"], how).drop("_copy")
 
 
 def pick(df: DataFrame, **names: str) -> DataFrame:

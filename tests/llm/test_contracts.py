@@ -96,7 +96,8 @@ def test_op2(spark, odd, empty, texts):
     rows = exact_dedup.exact_duplicates(odd).collect()
     assert len(rows) == len(ODD)
     by = {r["doc_id"]: r for r in rows}
-    assert by[1]["keep_id"] == 2 and by[1]["group_size"] == 2 and not by[1]["kept"] and by[5]["kept"] and by[None]["kept"]
+    assert by[1]["keep_id"] == 2 and by[1]["group_size"] == 2 and not by[1]["kept"] and by[None]["kept"]
+    assert sorted(r["kept"] for r in rows if r["doc_id"] == 5) == [False, True]  # one of two equal rows
     assert exact_dedup.exact_duplicates(empty).count() == 0
 
 
@@ -118,13 +119,53 @@ def test_op3(spark, odd, empty):
     assert line_dedup.line_dedup(empty).count() == 0
 
 
+def brute_lines(docs, window, heavy):
+    """Lines that go, by comparing every window with all earlier ones: (id, text) -> set of line numbers."""
+    seen, gone = {}, {}
+    for i, text in sorted(set(docs), key=lambda d: (d[0] is not None, d[0])):
+        lines = [(n, x.strip(" ")) for n, x in enumerate((text or "").split("\n")) if re.search(r"[^\x20\t-\r]", x)]
+        spans = [(lines[k][0], lines[k + window - 1][0], tuple(x for _, x in lines[k : k + window])) for k in range(len(lines) - window + 1)]
+        spans += [(n, n, (x, None)) for n, x in lines if len([w for w in re.split(r"[\x20\t-\r]+", x) if w]) >= heavy]
+        own = set()
+        for first, last, key in sorted(spans, key=lambda x: x[:2]):
+            if seen.setdefault(key, (i, first)) != (i, first):
+                own |= set(range(first, last + 1))
+        gone[i, text] = own
+    return gone
+
+
+def test_op3_against_all_windows(spark):
+    """Random documents of few different lines, repeated ids, blank lines between, windows of several lengths, both kinds of join."""
+    rng = np.random.default_rng(11)
+    line = ["", "  ", *(f"line {i}" for i in range(14)), " line 3 ", " ".join(["w"] * 6), " ".join(["v"] * 7)]
+    docs = [(int(rng.integers(0, 40)), "\n".join(line[j] for j in rng.integers(0, len(line), rng.integers(0, 25)))) for _ in range(60)]
+    docs = [(i, t) for i, t in {i: t for i, t in docs}.items()]
+    docs += [(docs[0][0], docs[0][1]), (1000, None), (1001, "")]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for window, most in ((2, 100_000), (3, 0), (5, 0)):
+        want = brute_lines(docs, window, 6)
+        for r in line_dedup.line_dedup(table, p=line_dedup.Params(window=window, heavy_words=6, broadcast_keys=most)).collect():
+            text = next(t for i, t in docs if i == r["doc_id"]) or ""
+            rest = [x for n, x in enumerate(text.split("\n")) if n not in want[r["doc_id"], text or (None if r["doc_id"] == 1000 else "")]]
+            assert r["text"] == "\n".join(rest) and r["n_removed"] == len(want[r["doc_id"], text or (None if r["doc_id"] == 1000 else "")])
+
+
+def test_op3_repeated_ids_and_long_texts(spark):
+    docs = [(1, "a b\nc d\nz"), (5, "a b\nc d\nend"), (5, "unique one\nunique two\nunique three"), (None, "a b\nc d"), (7, "\n".join(f"line {i % 30_000}" for i in range(40_000))), (8, "\n".join(["x y"] * 40_000))]
+    out = {(r["doc_id"], r["text"][:10]): r for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert out[None, "a b\nc d"]["n_removed"] == 0 and out[1, "z"]["n_removed"] == 2 and out[5, "end"]["n_removed"] == 2 and out[5, "unique one"]["n_removed"] == 0
+    long = out[7, "line 0\nlin"]
+    assert long["n_removed"] == 10_000 and [tuple(x) for x in long["runs"]] == [(30_000, 39_999, 7, 0)]
+    assert out[8, "x y"]["n_removed"] == 39_999
+
+
 def test_op4(spark, docs, odd, empty, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = queries.op4_packing(spark, SF).collect()
-    some = sorted(texts)[::10]
+    some = sorted(texts)
     ids = {i: [*tokenizer.encode(texts[i] or "", add_special_tokens=False).ids, 1] for i in some}
     by, sequences = {}, {}
     for r in rows:
@@ -144,7 +185,7 @@ def test_op4(spark, docs, odd, empty, texts):
         for r in sorted(own, key=lambda r: r["offset"]):
             assert r["offset"] == at
             at += r["length"]
-        assert at <= 2048
+        assert at <= 2048 and {r["padded_length"] for r in own} == {at if at & (at - 1) == 0 else 2048}
         used += at
     assert used / (2048 * len(sequences)) > 0.99
     got = packing.packed(odd).collect()
@@ -219,7 +260,7 @@ def test_op5_chains_and_hot_groups(spark):
             words[at] = f"n{i}_{at}"
         rows.append((i, " ".join(words)))
     want = brute_near(rows, 2, 80)
-    p = near_dedup.Params(shingle_words=2, broadcast_ids=0, block_rows=7)
+    p = near_dedup.Params(shingle_words=2, broadcast_ids=0, broadcast_rows=0, block_rows=7, block_shingles=900)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), p=p).collect()}
     assert got == want
 
@@ -249,6 +290,49 @@ def test_op7(spark, docs, odd, empty):
     assert len(mixing.mix(odd).collect()) == len(ODD) and mixing.mix(empty).count() == 0
 
 
+def brute_raked(cells, p):
+    """The same rule in plain numpy over cells {(source, lang, topic): tokens}."""
+    keys, tokens = list(cells), np.array(list(cells.values()), dtype=float)
+    cap, w, targets = tokens / (p.keep_share * tokens.sum()), tokens / tokens.sum(), []
+    of = [[sorted({k[m] for k in keys}, key=str).index(k[m]) for k in keys] for m in range(3)]
+    for m in range(3):
+        mass = np.bincount(of[m], weights=tokens) ** p.flatten
+        targets.append(mass / mass.sum())
+    for _ in range(p.sweeps):
+        for m in range(3):
+            w = np.minimum(cap, w * (targets[m] / np.bincount(of[m], weights=w))[of[m]])
+    for _ in range(2):
+        free = w < cap
+        w = np.minimum(cap, np.where(free, w * (1 + (1 - w.sum()) / max(w[free].sum(), 1e-300)), w))
+    return dict(zip(keys, np.minimum(1, w / cap), strict=True))
+
+
+def test_op7_meets_its_margins(spark):
+    """Attainable targets are met, none takes more than there is, and both ways to sum agree with plain numpy."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(["w"] * int(rng.integers(1, 40))), [None, "web", "web", "web", "book", "wiki"][rng.integers(0, 6)], "en" if rng.random() < 0.7 else ["de", "fr", None][rng.integers(0, 3)], "ab"[int(rng.random() < 0.2)]) for i in range(1_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, subject string")
+    cells = {}
+    for _, t, *key in rows:
+        cells[tuple(key)] = cells.get(tuple(key), 0) + len(t.split())
+    for p in (mixing.Params(keep_share=0.4, sweeps=20), mixing.Params(keep_share=0.8, flatten=0.3), mixing.Params(keep_share=0.8, flatten=0.3, window_cells=0, sweeps=2)):
+        out = mixing.mix(docs, topic_col="subject", p=p)
+        got = out.collect()
+        want = brute_raked(cells, p)
+        assert all(abs(r["probability"] - want[r["source"], r["lang"], r["topic"]]) < 1e-8 for r in got)
+        report = mixing.margins(out, p).collect()
+        if p.keep_share == 0.4:
+            assert all(r["met"] for r in report)
+        elif p.sweeps > 2:
+            assert not all(r["met"] for r in report)
+            assert abs(sum(r["n_tokens"] * r["probability"] for r in got) - 0.8 * sum(cells.values())) < 0.01 * sum(cells.values())
+
+
+def test_op7_null_ids_have_draws_of_their_own(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", "s", "en") for i in range(400)], "doc_id long, text string, source string, lang string")
+    assert 0.7 < sum(r["sampled"] for r in mixing.mix(docs).collect()) / 400 < 0.9
+
+
 def test_op8(spark):
     pages = [(1, "http://a/x y", "x" * 2000), (2, None, "x" * 2000), (3, "http://ü/", "\r\n\r\nWARC/1.1\r\n" * 100), (4, "u", None), (5, "u", ""), (None, "n", "x" * 2000), (6, "s", "x" * 999), (7, "s", "x" * 999), (8, "b", "\n"), (1, "http://a/x y", "x" * 2000)]
     table = spark.createDataFrame([(*r, "clash") for r in pages], "page_id long, url string, html string, payload string")
@@ -257,8 +341,22 @@ def test_op8(spark):
     by = {r["page_id"]: r for r in rows}
     assert by[1]["record_type"] == "revisit" and by[1]["refers_to"] == 2 and by[1]["payload_bytes"] == 2000 and by[2]["record_type"] == "response"
     assert by[3]["payload"] == ("\r\n\r\nWARC/1.1\r\n" * 100).encode() and by[3]["target"] == "http://%C3%BC/" and by[8]["payload"] == b"\n"
-    assert by[6]["record_type"] == "response" and by[None]["record_type"] == "response" and by[4]["payload_digest"] == warc.EMPTY_SHA1
+    assert by[6]["record_type"] == "response" and (by[None]["record_type"], by[None]["refers_to"]) == ("revisit", 2) and by[4]["payload_digest"] == warc.EMPTY_SHA1
     assert warc.convert_pages(table.where("false")).count() == 0
+    shuffled = {r["page_id"]: r["refers_to"] for r in warc.convert_pages(table, p=warc.Params(broadcast_groups=0)).collect()}
+    assert shuffled == {r["page_id"]: r["refers_to"] for r in rows}
+
+
+def test_op8_long_lines_lose_nothing(spark):
+    pages = [(1, "http://a/" + "u" * 1_200_000, "one"), (2, "b", "two"), (3, "c", "x" * 3_000_000 + "\n" * 1_000)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    rows = {r["page_id"]: r for r in warc.convert_pages(table, with_payload=True).collect()}
+    assert {i: r["payload"].decode() for i, r in rows.items()} == {i: t for i, _, t in pages} and rows[1]["target"] == pages[0][1]
+
+
+def test_op8_all_ids_null(spark):
+    table = spark.createDataFrame([(None, "a", "x" * 2_000), (None, "b", "x" * 2_000)], "page_id long, url string, html string")
+    assert [(r["record_type"], r["refers_to"]) for r in warc.convert_pages(table).collect()] == [("response", None)] * 2
 
 
 def test_arc_versions_and_faults():
@@ -348,6 +446,35 @@ def test_pipeline(spark, tmp_path):
     assert {r["doc_id"] for r in out} == chosen and 0.5 < len(chosen) / kept.count() <= 1
 
 
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Null and repeated ids, repeated rows, null texts, empty tables, clashing names: of equal texts one row stays, of a near group one."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(9)
+    long = [" ".join(f"{c}{x}" for x in rng.integers(0, 500, 120)) for c in "abcdef"]
+    near = long[3].replace(long[3].split()[60], "changed", 1)
+    rows = [
+        (None, long[0]), (1, long[0]), (None, long[1]), (2, long[2]), (2, long[2]), (None, long[2]), (3, long[3]), (4, near), (5, long[4]), (5, long[5]), (6, long[5]), (None, long[1]), (7, None), (8, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", 0, "k") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, hash string, key int, c0 string").repartition(3)
+    pairs = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    good = corpus_pipeline.quality(spark, docs, "")
+    assert pairs(good) == sorted([x for x in rows if x[1]], key=str) and good.columns == docs.columns
+    exact = corpus_pipeline.exact(spark, good, "")
+    assert pairs(exact) == sorted([(1, long[0]), (None, long[1]), (2, long[2]), (3, long[3]), (4, near), (5, long[4]), (6, long[5])], key=str) and exact.columns == docs.columns
+    some = docs.where("text is not null and text <> ''")
+    assert len(pairs(corpus_pipeline.near(spark, some, ""))) < len(pairs(some))
+    kept = pairs(corpus_pipeline.near(spark, exact, ""))
+    assert kept == sorted([(1, long[0]), (None, long[1]), (2, long[2]), (3, long[3]), (5, long[4]), (6, long[5])], key=str)
+    twice = docs.where("doc_id = 5")  # two texts of one id are one group
+    assert len(pairs(corpus_pipeline.near(spark, twice, ""))) == 1
+    mixed = corpus_pipeline.mixed(spark, exact, "")
+    assert mixed.columns == docs.columns and set(pairs(mixed)) <= set(pairs(exact))
+    assert {r["doc_id"] for r in corpus_pipeline.packed(spark, mixed, "").collect()} == {r["doc_id"] for r in mixed.collect()}
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), "").count() == 0
+
+
 def test_word_hashes():
     from tapewright.llm.common import split_words, word_hashes
 
@@ -364,22 +491,51 @@ def test_word_hashes():
     assert word_hashes(pa.array(texts).slice(3, 2))[0].tolist() == word_hashes(pa.array(texts[3:5]))[0].tolist()
 
 
-def test_blocks_find_what_all_pairs_find():
-    """Small and large groups, met within a block or between two, against a plain double loop."""
+def joined(labels, pairs):
+    """The partition of labels that the pairs make, as the smallest label of each."""
+    into = {x: x for x in labels}
+    for a, b in pairs:
+        a, b = into[a], into[b]
+        into = {k: min(a, b) if v in (a, b) else v for k, v in into.items()}
+    return into
+
+
+def test_forests_join_what_all_pairs_join():
+    """Blocks of rows that meet, against a plain double loop; a forest never holds more pairs than components."""
     rng = np.random.default_rng(7)
-    p = near_dedup.Params(long_bits=128)
-    judge = near_dedup.Blocks(p)
-    sizes = [1, 2, 3, 64, 65, 200, 5]
-    group = np.repeat(np.arange(len(sizes)), sizes)
-    total = len(group)
-    base = rng.integers(0, 2**64, (6, 2), dtype=np.uint64)
-    bits = base[rng.integers(0, 6, total)] ^ (np.uint64(1) << rng.integers(0, 64, (total, 2)).astype(np.uint64))
-    c, n, side = rng.integers(0, 9, total), rng.integers(90, 130, total), np.where(group % 2, -1, rng.integers(0, 2, total))
-    want = set()
-    for i in range(total):
-        for j in range(i + 1, total):
-            meet = side[i] < 0 or side[i] != side[j]
-            if group[i] == group[j] and meet and c[i] != c[j] and 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j]) and sum(int(x).bit_count() for x in bits[i] ^ bits[j]) <= judge.most:
-                want.add((i, j))
-    got = [(min(x, y), max(x, y)) for left, right in judge.pairs(group, c, n, bits, side) for x, y in zip(left.tolist(), right.tolist(), strict=True)]
-    assert set(got) == want and len(got) == len(want)
+    p = near_dedup.Params()
+    for total, within in [(1, True), (2, True), (40, False), (90, True), (300, True), (300, False)]:
+        base = rng.integers(0, 256, (6, p.symbols), dtype=np.uint8)
+        sig = base[rng.integers(0, 6, total)]
+        for row in sig:
+            row[rng.integers(0, p.symbols, rng.integers(5, 60))] = rng.integers(0, 256)
+        words = [np.unique(rng.integers(0, 1 << 40, 60, dtype=np.uint64)) for _ in range(6)]
+        sets = []
+        for _ in range(total):
+            own = words[rng.integers(0, 6)].copy()
+            own[: rng.integers(0, 12)] = rng.integers(0, 1 << 40)
+            sets.append(np.unique(own))
+        c, n, side = rng.integers(0, 30, total), rng.integers(90, 130, total), rng.integers(0, 2, total)
+        near, linked = [], []
+        for i in range(total):
+            for j in range(i):
+                if (side[i] != side[j] or within and side[i] == 1) and c[i] != c[j]:
+                    if 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j]) and (sig[i] != sig[j]).sum() <= p.most_unequal:
+                        near.append((int(c[i]), int(c[j])))
+                    if near_dedup.linked(sets[i], sets[j], 80):
+                        linked.append((int(c[i]), int(c[j])))
+        labels = sorted(set(c.tolist()))
+        for got, want in ((near_dedup.near_forest(c, sig, n, side, within, p, chunk=50), near), (near_dedup.linked_forest(c, sets, side, within, p), linked)):
+            assert joined(labels, got) == joined(labels, want) and len(got) < len(labels)
+
+
+def test_op5_repeated_ids(spark):
+    """An id with several texts links them, and none of their links is lost."""
+    rng = np.random.default_rng(5)
+    text = {k: [f"{k}{x}" for x in rng.integers(0, 900, 150)] for k in "abcd"}
+    copy = lambda k, j: " ".join([*text[k][:j], "other", *text[k][j + 1 :]])
+    rows = [(5, copy("a", 1)), (5, copy("b", 1)), (5, copy("b", 1)), (7, copy("a", 2)), (8, copy("b", 3)), (9, copy("c", 3)), (3, copy("c", 9)), (3, copy("d", 9)), (11, copy("d", 1)), (12, "alone"), (None, copy("a", 1))]
+    for p in (near_dedup.Params(), near_dedup.Params(broadcast_ids=0, broadcast_rows=0)):
+        got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), p=p).collect()
+        assert len(got) == len(rows)
+        assert {(r["doc_id"], r["component_id"]) for r in got} == {(5, 5), (7, 5), (8, 5), (9, 3), (3, 3), (11, 3), (12, 12), (None, None)}

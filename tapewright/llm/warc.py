@@ -4,14 +4,15 @@ Parsing. An ARC file starts with a version block, `filedesc://name ip date type
 naming the fields; every record is a header line with the fields of that version and `Archive-length` bytes of content. Lengths are
 obeyed; a header line that does not fit or a content that is cut short ends the file with a row in `error`. From each record the converter makes
 a WARC identifier (a name-based UUID of target, date and digest), a timestamp in the newer form, type, SHA-1 digest and length.
-Records whose payload (of `revisit_bytes` or more) equals that of another one become `revisit`s of the one with the largest id.
+Records whose payload (of `revisit_bytes` or more) equals that of another one, by length and SHA-256, become `revisit`s of the one with the largest id.
 
 Files are gzipped by Spark's text writer (the record separator is the line separator), one for each task, to any store that Spark writes.
 Reading holds one compressed file in a task, inflates it piece by piece, obeys Content-Length and never searches payloads for separators.
 
 Defined cases. Null html: empty payload. Null or odd url: `-` and percent escapes in the ARC header; the given url, if any, in the WARC
-target. Repeated rows: one record each. Null id: record kept, id null, `response`; never a target of revisits. Very long payloads: one
-record of any length below 2 GB. Empty table: no rows. Only the named columns are read, so others may have any name.
+target. Repeated rows: one record each; those of the largest id are all `response`. Null id: record kept, id null; it revisits a page
+with an id whose payload equals its own, else it is a `response`; never a target of revisits. Urls and header lines of any length. Very long payloads: one
+record of any length below 2 GB. A record that does not parse, or a number of records that differs from that of the pages, fails the conversion. Empty table: no rows. Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import land, pick, scratch_path, slices
+from .common import discard, land, pick, remove, scratch_path, slices, spread_join
 
 #: Fixed values of the ARC format: the fields of a record's header line, by version.
 ARC_FIELDS = {
@@ -76,9 +77,9 @@ def parse_arc(stream: io.BufferedIOBase) -> Iterator[dict]:
     """The records of one ARC file, in order; a last row with `error` where the file breaks off or does not parse."""
     version: int | None = None
     while True:
-        line = stream.readline(1 << 20)
+        line = stream.readline()
         while line in (b"\n", b"\r\n"):
-            line = stream.readline(1 << 20)
+            line = stream.readline()
         if not line:
             return
         fields = line.rstrip(b"\r\n").split(b" ")
@@ -146,25 +147,25 @@ def record_id(target: str, date: str, digest: str, page: int | None) -> str:
 
 
 def converted(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """ARC files to rows: page_id, target, date, record_id, payload (or null), digest, payload_bytes, error."""
+    """ARC files to rows: page_id, target, date, record_id, payload (or null), digest, payload_bytes, print (SHA-256), error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["page_id", "target", "date", "record_id", "payload", "digest", "payload_bytes", "error"]
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.string()]
+        names = ["page_id", "target", "date", "record_id", "payload", "digest", "payload_bytes", "print", "error"]
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.binary(), pa.string()]
         for batch in batches:
             for packed in batch.column(0).to_pylist():
                 rows: list[list] = [[] for _ in names]
                 size = 0
                 for r in parse_arc(gzip.GzipFile(fileobj=io.BytesIO(packed))):
                     if r["error"]:
-                        values = [None] * 7 + [r["error"]]
+                        values = [None] * 8 + [r["error"]]
                     else:
                         page = re.search(rb"(?mi)^X-Page-Id: (-?\d+)\r?$", r["http"])
                         url = re.search(rb"(?mi)^X-Page-Url: (.*?)\r?$", r["http"])
                         target = url[1].decode() if url else r["header"]["URL"]
                         digest, date = hashlib.sha1(r["payload"]).hexdigest(), warc_date(r["header"]["Archive-date"])
                         number = int(page[1]) if page else None
-                        values = [number, target, date, record_id(target, date, digest, number), r["payload"] if with_payload else None, digest, len(r["payload"]), None]
+                        values = [number, target, date, record_id(target, date, digest, number), r["payload"] if with_payload else None, digest, len(r["payload"]), hashlib.sha256(r["payload"]).digest(), None]
                     for row, x in zip(rows, values, strict=True):
                         row.append(x)
                     size += len(r.get("payload", b"")) if with_payload else 0
@@ -173,7 +174,7 @@ def converted(spark: SparkSession, path: str, with_payload: bool = True) -> Data
                         rows, size = [[] for _ in names], 0
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, kinds, strict=True)], names=names)
 
-    schema = "page_id long, target string, date string, record_id string, payload binary, digest string, payload_bytes long, error string"
+    schema = "page_id long, target string, date string, record_id string, payload binary, digest string, payload_bytes long, print binary, error string"
     return _files(spark, path).mapInArrow(run, schema)
 
 
@@ -196,15 +197,15 @@ def warc_record(row: dict) -> bytes:
 def parse_warc(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of each record of one WARC file; raises ValueError where a record breaks off."""
     while True:
-        line = stream.readline(1 << 20)
+        line = stream.readline()
         while line in (b"\r\n", b"\n"):
-            line = stream.readline(1 << 20)
+            line = stream.readline()
         if not line:
             return
         if not line.startswith(b"WARC/"):
             raise ValueError("no WARC version line")
         headers: dict[str, str] = {}
-        for line in iter(lambda: stream.readline(1 << 20), b""):
+        for line in iter(lambda: stream.readline(), b""):
             if line in (b"\r\n", b"\n"):
                 break
             name, _, value = line.decode("utf-8").partition(":")
@@ -257,24 +258,29 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> Data
 
 
 def targets(records: DataFrame, p: Params = Params()) -> DataFrame:
-    """digest, payload_bytes, best: the largest page_id of every group of equal payloads that has more than one."""
-    big = records.where((F.col("payload_bytes") >= p.revisit_bytes) & F.col("page_id").isNotNull())
-    best = big.groupBy("digest", "payload_bytes").agg(F.max("page_id").alias("best"), F.min("page_id").alias("least"))
-    return best.where("best <> least").drop("least")
+    """print, payload_bytes, best: the largest page_id of every group of equal payloads that has more than one record and an id."""
+    big = records.where(F.col("payload_bytes") >= p.revisit_bytes)
+    best = big.groupBy("print", "payload_bytes").agg(F.max("page_id").alias("best"), F.count(F.lit(1)).alias("n"))
+    return best.where("n > 1 and best is not null").drop("n")
 
 
 def with_targets(records: DataFrame, best: DataFrame, p: Params = Params()) -> DataFrame:
     """records with refers_to; best is a landed table. Payloads are not shuffled where the groups are few enough to broadcast."""
-    small = best.count() <= p.broadcast_groups
-    rows = records.join(F.broadcast(best) if small else best, ["digest", "payload_bytes"], "left")
-    return rows.withColumn("refers_to", F.when(F.col("page_id") != F.col("best"), F.col("best"))).drop("best")
+    rows = spread_join(records, best, ["print", "payload_bytes"], p.broadcast_groups, ["record_id"], "left")
+    return rows.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("best")), F.col("best"))).drop("best")
 
 
 def convert_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", p: Params = Params(), with_payload: bool = False) -> DataFrame:
-    """pages to ARC files, ARC to WARC files, and the WARC files read back; both archives stay in the shared folder."""
+    """pages to ARC files, ARC to WARC files, and the WARC files read back; the WARC files stay in the shared folder."""
     spark = pages.sparkSession
     arcs, warcs = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     archive(pick(pages, page_id=id_col, url=url_col, html=html_col).withColumn("page_id", F.col("page_id").cast("long")), arcs, p)
-    best = land(targets(converted(spark, arcs, with_payload=False).where("error is null"), p), "warc-targets")
-    write_warc(with_targets(converted(spark, arcs).where("error is null"), best, p), warcs)
+    light = land(converted(spark, arcs, with_payload=False).select("page_id", "payload_bytes", "print", "error"), "warc-records")
+    found = light.agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("failed"), F.min("error").alias("first")).first()
+    if found["failed"] or found["n"] != pages.count():
+        raise ValueError(f"{found['n']} records of {pages.count()} pages, {found['failed']} of them with an error: {found['first']}")
+    best = land(targets(light, p), "warc-targets")
+    write_warc(with_targets(converted(spark, arcs), best, p), warcs)
+    remove(spark, arcs)
+    discard(light, best)
     return read_warc(spark, warcs, with_payload)

@@ -18,7 +18,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+    out = exact_dedup.exact_duplicates(documents(spark, sf_dir))
+    return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,11 +29,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.packed(documents(spark, sf_dir), with_ids=False)
-    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_length")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(documents(spark, sf_dir), p=near_dedup.Params(shingle_words=2))
+    out = near_dedup.near_duplicates(documents(spark, sf_dir), p=near_dedup.Params(shingle_words=2))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +45,8 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir), p=mixing.Params(vocabulary=()))  # topics as the SQL states them
+    out = mixing.mix(documents(spark, sf_dir))
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,28 +103,31 @@ from g
 
 def _op7(p: mixing.Params = mixing.Params()) -> str:
     """The same steps as the operator's, unrolled."""
+    quoted = lambda words: ", ".join(f"'{w}'" for w in words)
+    known = sorted({w for _, words, _ in p.vocabulary for w in words.split()})
+    counts = ", ".join(f"len(list_filter(hits, w -> w in ({quoted([*words.split(), *terms.split()])})))" for _, words, terms in p.vocabulary)
     margins = mixing.MARGINS
     parts = [
         "docs as (select doc_id, source, lang, coalesce(text, '') as text from documents)",
-        rf"counted as (select doc_id, source, lang, len(regexp_extract_all(text, '[^\x20\t-\r]+'))::BIGINT as n_tokens, [" + ", ".join(f"len(regexp_extract_all(text, '{lexicon}'))" for _, lexicon in p.topics) + "] as n from docs)",
-        "rows as (select doc_id, source, lang, case when list_max(n) > 0 then [" + ", ".join(f"'{name}'" for name, _ in p.topics) + "][list_position(n, list_max(n))] else 'other' end as topic, n_tokens from counted)",
-        f"cells as (select {', '.join(margins)}, sum(n_tokens)::BIGINT as tokens from rows group by all)",
+        rf"found as (select doc_id, source, lang, text, len(regexp_extract_all(text, '{mixing.WORD}'))::BIGINT as n_tokens, list_concat(list_filter(regexp_split_to_array(lower(text), '{mixing.APART}'), w -> w in ({quoted(known)})), regexp_extract_all(text, '{mixing.terms_pattern(p.vocabulary)}')) as hits from docs)",
+        f"counted as (select doc_id, source, lang, n_tokens, case when doc_id is null then md5(text) end as print, [{counts}] as n from found)",
+        f"rows as (select doc_id, source, lang, print, case when list_max(n) > 0 then [{quoted(name for name, _, _ in p.vocabulary)}][list_position(n, list_max(n))] else 'other' end as topic, n_tokens from counted)",
+        f"cells as (select {', '.join(margins)}, sum(n_tokens)::BIGINT as tokens from rows group by all having sum(n_tokens) > 0)",
         "mass as (select *, " + ", ".join(f"power(sum(tokens) over (partition by {m})::DOUBLE, {p.flatten}) as mass_{m}, count(*) over (partition by {m}) as cells_{m}" for m in margins) + " from cells)",
-        f"target as (select {', '.join(margins)}, tokens, tokens::DOUBLE as weight, " + ", ".join(f"mass_{m} / sum(mass_{m} / cells_{m}) over () as target_{m}" for m in margins) + " from mass)",
-        "s0 as (select * from target where tokens > 0)",
+        f"s0 as (select {', '.join(margins)}, tokens, tokens::DOUBLE / ({p.keep_share} * sum(tokens) over ()) as cap, tokens::DOUBLE / sum(tokens) over () as weight, " + ", ".join(f"mass_{m} / sum(mass_{m} / cells_{m}) over () as target_{m}" for m in margins) + " from mass)",
     ]
     step = 0
     for _ in range(p.sweeps):
         for m in margins:
-            parts.append(f"s{step + 1} as (select * replace (weight * target_{m} / sum(weight) over (partition by {m}) as weight) from s{step})")
+            parts.append(f"s{step + 1} as materialized (select * replace (least(cap, weight * target_{m} / sum(weight) over (partition by {m})) as weight) from s{step})")
             step += 1
-    parts.append(f"f0 as (select *, {p.keep_share} * sum(tokens) over () as want, 0.0::DOUBLE as take from s{step})")
-    for i in range(4):
-        parts.append(f"g{i} as (select *, case when take < tokens then weight else 0.0 end as free_{i} from f{i})")
-        parts.append(f"f{i + 1} as (select * replace (least(tokens::DOUBLE, take + (want - sum(take) over ()) * (free_{i} / greatest(sum(free_{i}) over (), 1e-300))) as take) from g{i})")
-    parts.append(f"rates as (select {', '.join(margins)}, round(take / tokens, 9) as probability from f4)")
+    for _ in range(2):
+        open_ = "sum(case when weight < cap then weight else 0.0 end) over ()"
+        parts.append(f"s{step + 1} as materialized (select * replace (least(cap, case when weight < cap and {open_} > 0 then weight * (1 + (1 - sum(weight) over ()) / {open_}) else weight end) as weight) from s{step})")
+        step += 1
+    parts.append(f"rates as (select {', '.join(margins)}, least(1.0, round(weight / cap, 9)) as probability from s{step})")
     on = " and ".join(f"r.{m} is not distinct from x.{m}" for m in margins)
-    uniform = f"('0x' || substr(md5('{p.seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE / 281474976710656.0"
+    uniform = f"('0x' || substr(md5('{p.seed}:' || coalesce(doc_id::VARCHAR, 't' || print)), 1, 12))::BIGINT::DOUBLE / 281474976710656.0"
     return f"""with {", ".join(parts)}
 select doc_id, r.source, r.lang, r.topic, n_tokens, coalesce(probability, 1.0) as probability, {uniform} < coalesce(probability, 1.0) as sampled from rows r left join rates x on {on}"""
 

@@ -12,5 +12,3 @@ def test_op7_topics_are_whole_words(spark):
     docs = spark.createDataFrame([(i, t, "x", "s") for i, t in texts.items()], "doc_id long, text string, lang string, source string")
     got = {r["doc_id"]: r["topic"] for r in mixing.mix(docs).collect()}
     assert got == {1: "other", 2: "health", 3: "politics", 4: "politics", 5: "health", 6: "economy", 7: "other", 8: "culture", 9: "other", 10: "nature"}
-    # without a vocabulary, as the SQL of op7_mixing has it
-    assert mixing.mix(docs.where("doc_id = 1"), p=mixing.Params(vocabulary=())).first()["topic"] == "process"

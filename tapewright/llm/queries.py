@@ -105,11 +105,11 @@ def _op7(p: mixing.Params = mixing.Params()) -> str:
     """The same steps as the operator's, unrolled."""
     quoted = lambda words: ", ".join(f"'{w}'" for w in words)
     known = sorted({w for _, words, _ in p.vocabulary for w in words.split()})
-    counts = ", ".join(f"len(list_filter(hits, w -> w in ({quoted([*words.split(), *terms.split()])})))" for _, words, terms in p.vocabulary)
+    counts = ", ".join(f"len(list_filter(hits, lambda w: w in ({quoted([*words.split(), *terms.split()])})))" for _, words, terms in p.vocabulary)
     margins = mixing.MARGINS
     parts = [
         "docs as (select doc_id, source, lang, coalesce(text, '') as text from documents)",
-        rf"found as (select doc_id, source, lang, text, len(regexp_extract_all(text, '{mixing.WORD}'))::BIGINT as n_tokens, list_concat(list_filter(regexp_split_to_array(lower(text), '{mixing.APART}'), w -> w in ({quoted(known)})), regexp_extract_all(text, '{mixing.terms_pattern(p.vocabulary)}')) as hits from docs)",
+        rf"found as (select doc_id, source, lang, text, len(regexp_extract_all(text, '{mixing.WORD}'))::BIGINT as n_tokens, list_concat(list_filter(regexp_split_to_array(lower(text), '{mixing.APART}'), lambda w: w in ({quoted(known)})), regexp_extract_all(text, '{mixing.terms_pattern(p.vocabulary)}')) as hits from docs)",
         f"counted as (select doc_id, source, lang, n_tokens, case when doc_id is null then md5(text) end as print, [{counts}] as n from found)",
         f"rows as (select doc_id, source, lang, print, case when list_max(n) > 0 then [{quoted(name for name, _, _ in p.vocabulary)}][list_position(n, list_max(n))] else 'other' end as topic, n_tokens from counted)",
         f"cells as (select {', '.join(margins)}, sum(n_tokens)::BIGINT as tokens from rows group by all having sum(n_tokens) > 0)",

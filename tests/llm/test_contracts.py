@@ -425,8 +425,8 @@ def test_kneser_ney_sums_to_one():
     code, _ = language_id.grams(words)
     kinds, n = np.unique(code, return_counts=True)
     model = language_id.build(["x"], [(kinds, n)])
-    for context in np.unique(code >> 6)[:5]:
-        p = np.exp(model.logs((int(context) << 6) + np.arange(64)))
+    for context in np.unique(code >> np.uint64(16))[:5]:
+        p = np.exp(model.logs((context << np.uint64(16)) + np.arange(1 << 16, dtype=np.uint64)))
         assert abs(p.sum() - 1) < 1e-9
 
 

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql.functions import expr as F_expr
 
 from tapewright.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, pii, quality_model, quality_rules, queries, warc
 
@@ -70,7 +71,7 @@ def test_op1(spark, odd, empty, texts):
         base = brute_pii(text)
         assert found[i]["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest(), i
         assert set(base) <= set(found[i]["spans"].split(",")) or not base
-        assert found[i]["n_email"] == sum(x.startswith("email") for x in base)
+        assert [found[i][f"n_{k}"] for k in KINDS] == [sum(x.startswith(k) for x in base) for k in KINDS]
     from pyspark.sql import functions as F
 
     rows = pii.find(odd).select("doc_id", "text", F.expr(pii.span_text("base")).alias("b"), F.expr(pii.span_text("spans")).alias("s")).collect()
@@ -85,6 +86,30 @@ def test_op1(spark, odd, empty, texts):
     assert pii.find(empty).count() == 0
 
 
+def test_op1_unseen_phrases(spark):
+    """Added spans on phrases and formats of no template: what is personal is found, what only looks like it is left."""
+    personal = ["Give me a ring: (415) 555-0134 after six", "My telephone 415-555-0134 is new", "You may mail sue[at]garden[dot]org any day", "contact BOB AT EXAMPLE DOT COM please", "the client 2001:db8::8a2e:370:7334 was seen.", "server at fe80:0000:0000:0000:0202:b3ff:fe1e:8329."]
+    plain = ["order number 415-555-0134 has shipped", "section 10 200 3000 of the report", "we sat at home.Then it rained", "the clock showed 10:20:30:40", "include std::vector and Foo::Bar here", "serial 1234.5678.9012.3456 on the back", "a total of 12 345 678 km"]
+    docs = spark.createDataFrame(list(enumerate(personal + plain)), "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in pii.find(docs).select("doc_id", F_expr(pii.span_text("spans")).alias("s")).collect()}
+    assert sum(bool(got[i]) for i in range(len(personal))) >= len(personal) - 1, got
+    assert sum(bool(got[len(personal) + i]) for i in range(len(plain))) <= 1, got
+
+
+def test_op1_many_matches(spark):
+    """Places stay exact over chunks, and a text with very many matches takes seconds."""
+    import time
+
+    words = [f"u{i}@h{i % 7}.org" if i % 3 else f"call (415) 555-{i % 10000:04d}" for i in range(20_000)]
+    text = " é ".join(words)
+    start = time.time()
+    row = pii.find(spark.createDataFrame([(1, text), (2, " ".join(["1.2.3.4"] * 700))], "doc_id long, text string")).select("doc_id", F_expr(pii.span_text("base")).alias("b"), F_expr("size(spans)").alias("n")).collect()
+    assert time.time() - start < 60
+    by = {r["doc_id"]: r for r in row}
+    assert by[1]["b"] == ",".join(brute_pii(text)) and by[1]["n"] == len(words)
+    assert by[2]["b"] == ",".join(brute_pii(" ".join(["1.2.3.4"] * 700)))
+
+
 def test_op2(spark, odd, empty, texts):
     groups = {}
     for i, t in texts.items():

@@ -7,13 +7,18 @@ Farther pairs may share one as well and are treated alike. The defaults (18 chun
 distance 35; a pair of Jaccard similarity 0.8 has mean distance 32 and is missed with probability 3e-5, one of 0.85 with 2e-7.
 
 Work is near-linear in a group of copies. Equal shingle sets collapse to one class first. Then every class is compared with
-the smallest and the largest class of each of its buckets (stars), and the confirmed links are closed to components. Only
-buckets that still hold several components are searched further, between components only: their rows meet in blocks, where sizes and
-long signatures (3,072 bits) are compared in numpy, and only near pairs leave the block to be confirmed. Nothing is capped.
+the smallest and the largest class of each of its buckets (stars), and the confirmed links are closed to components.
+
+Only buckets that still hold several components are searched further, between components only. First the components that may be linked are
+gathered to arenas: of each component in a bucket one row meets one of the bucket's largest component; where several are left, all rows of the bucket
+meet in blocks, their signatures are compared in numpy, and of all near pairs only a spanning forest of the components leaves the block. A pair of similarity 0.8 has 32 of 162 unequal symbols on average; up to 4.2 deviations more count as near, so one such
+pair is missed with probability 1.3e-5. Then the rows of an arena meet with their full shingle sets, and again only a spanning forest of the
+components with a confirmed link leaves a block. In both steps the rows of the largest component are dealt out once and the few others are sent to
+each of its blocks, so what moves grows with the rows, and what comes out with the components, never with the pairs. Nothing is capped.
 
 Defined cases. Null, empty or word-less text: empty set, linked with nothing, kept. Fewer words than a shingle: the whole
-word sequence is the one shingle. Repeated ids: rows of one id with different texts are linked only through their sets and
-share the id. Null id: the row is returned with itself as component (null) and kept. Empty table: no rows. Only the id and
+word sequence is the one shingle. Repeated ids: every set of an id is a class of its own, and the classes of one id are linked by the
+id. Null id: the row is returned with itself as component (null) and kept. Empty table: no rows. Only the id and
 text columns are read, so others may have any name.
 """
 
@@ -26,10 +31,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, land, mix64, pick, slices, word_hashes
+from .common import discard, land, mix64, pick, slices, spread_join, word_hashes
 from .graph import components
 
 
@@ -41,17 +46,27 @@ class Params:
     chunks: int = 18
     chunk_symbols: int = 9
     chunk_errors: int = 1
-    #: Bits of the long signature by which pairs of the second phase are judged before their texts are read.
-    long_bits: int = 3_072
-    #: Rows of one bucket that are compared in one block; larger buckets are split into blocks that meet two by two.
+    #: Deviations by which the signatures of a pair may be farther apart than those of a pair at the limit, on average.
+    deviations: float = 4.2
+    #: Rows of one bucket that are compared in one block; larger buckets are split into blocks.
     block_rows: int = 4_096
+    #: Shingles of one arena that are compared in one block.
+    block_shingles: int = 1_000_000
     #: Up to so many ids (8 bytes each) a list of ids is broadcast; above, the same semi-join is a shuffle.
     broadcast_ids: int = 500_000
+    #: The same for tables of up to 100 bytes a row.
+    broadcast_rows: int = 100_000
 
     @property
     def symbols(self) -> int:
         return self.chunks * self.chunk_symbols
 
+    @property
+    def most_unequal(self) -> int:
+        """Unequal symbols up to which two signatures count as near."""
+        apart = 1 - self.percent / 100
+        return int(self.symbols * apart + self.deviations * (self.symbols * apart * (1 - apart)) ** 0.5) + 1
+
 
 def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     """The sorted, distinct 64-bit hashes of each text's k-word shingles; of fewer words, the whole sequence is one."""
@@ -119,6 +134,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _signed(docs: DataFrame, p: Params) -> DataFrame:
+    """id, text_hash, n, print and sig (null for an empty set) of each row."""
     family = hash_family(p.symbols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,9 +144,10 @@ def _signed(docs: DataFrame, p: Params) -> DataFrame:
                 sizes.append(len(s))
                 prints.append(xxhash.xxh3_128_digest(s.tobytes()))
                 signatures.append(signature(s, family).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())], names=["id", "n", "print", "sig"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())], names=["id", "text_hash", "n", "print", "sig"])
 
-    return docs.mapInArrow(run, "id long, n long, print binary, sig binary")
+    rows = docs.select("id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    return rows.mapInArrow(run, "id long, text_hash long, n long, print binary, sig binary")
 
 
 def _bucketed(classes: DataFrame, p: Params) -> DataFrame:
@@ -146,124 +163,157 @@ def _bucketed(classes: DataFrame, p: Params) -> DataFrame:
     return classes.select("id", "sig").mapInArrow(run, "key long, id long")
 
 
-def _texts(docs: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
-    """id and text of the rows of docs with one of the ids, one row an id."""
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, p: Params) -> DataFrame:
+    """Landed: id, n and words (sorted 64-bit shingle hashes) of the wanted classes (id), from the texts of docs."""
+    rows = classes.join(wanted, "id", "left_semi").select("id", "n", "print", "doc")
+    ids = rows.select("doc").distinct()
     small = ids.count() <= p.broadcast_ids
-    texts = docs.join(F.broadcast(ids) if small else ids, "id", "left_semi")
-    return texts.dropDuplicates(["id"]) if docs._ids_repeat else texts
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
-    """Those of the pairs (a, b) whose full shingle sets are similar enough; the documents' texts are shingled again."""
+    texts = docs.join(F.broadcast(ids) if small else ids, docs["id"] == ids["doc"], "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 3):
-            # Rows of one b come together out of the sorted join, so a slice shingles each b's text about once.
-            b_texts = part.column(3).dictionary_encode()
-            own, other = shingle_sets(part.column(2), p.shingle_words), shingle_sets(b_texts.dictionary, p.shingle_words)
-            ok = [linked(x, other[j], p.percent) for x, j in zip(own, b_texts.indices.to_pylist(), strict=True)]
-            yield part.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
+        for part in slices(batches, 0):
+            raw = [x.tobytes() for x in shingle_sets(part.column(0), p.shingle_words)]
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(x) for x in raw], pa.binary()), pa.array(raw, pa.large_binary()).cast(pa.binary())], names=["print", "words"])
 
-    pairs = land(pairs.select("a", "b"), "near-pairs")
-    texts = land(_texts(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), p), "near-texts")
-    left = pairs.join(texts.toDF("a", "text_a"), "a")
-    both = left.join(texts.toDF("b", "text_b").hint("merge"), "b").select("a", "b", "text_a", "text_b")
-    out = land(both.mapInArrow(run, "a long, b long"), "near-links")
-    discard(pairs, texts)
-    return out
+    sets = texts.select("text").mapInArrow(run, "print binary, words binary")
+    # Other rows of a repeated id have other prints; equal rows of one print are one class.
+    sets = sets.dropDuplicates(["print"]) if docs._ids_repeat else sets
+    return land(rows.drop("doc").join(sets, "print").drop("print"), "near-sets")
 
 
-def _long_signed(texts: DataFrame, p: Params) -> DataFrame:
-    """id, n, bits: one bit of each of p.long_bits minima."""
-    family = hash_family(p.long_bits)
+def _confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """Landed: those of the pairs (a, b) whose full shingle sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 1):
-            sets = shingle_sets(part.column(1), p.shingle_words)
-            bits = [np.packbits(signature(x, family) & np.uint8(1)).tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(bits, pa.binary())], names=["id", "n", "bits"])
-
-    return texts.select("id", "text").mapInArrow(run, "id long, n long, bits binary")
-
-
-class Blocks:
-    """Near pairs of different components within groups of rows that come together; small groups are compared many at a time."""
-
-    SMALL, MOST = 64, 50_000
-
-    def __init__(self, p: Params) -> None:
-        bits, apart = p.long_bits, (1 - p.percent / 100) / 2
-        self.most = int(bits * apart + 4.2 * (bits * apart * (1 - apart)) ** 0.5) + 1
-        self.percent = p.percent
-
-    def near(self, left: np.ndarray, right: np.ndarray, c: np.ndarray, n: np.ndarray, bits: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Those of the pairs (left, right) of row numbers that may be linked. side: 0 or 1 where two blocks meet, -1 within one."""
-        ok = (c[left] != c[right]) & (100 * np.minimum(n[left], n[right]) >= self.percent * np.maximum(n[left], n[right])) & ((side[left] < 0) | (side[left] != side[right]))
-        left, right = left[ok], right[ok]
-        far = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int32)
-        return left[far <= self.most], right[far <= self.most]
-
-    def pairs(self, group: np.ndarray, c: np.ndarray, n: np.ndarray, bits: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """group: a number for each row, equal ones together."""
-        starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-        ends = np.append(starts[1:], len(group))
-        size = ends - starts
-        small = np.flatnonzero(np.repeat(size <= self.SMALL, size))
-        partners = np.repeat(ends, size)[small] - small - 1
-        edge = np.searchsorted(np.cumsum(partners), np.arange(self.MOST, partners.sum() + self.MOST, self.MOST)) + 1
-        for rows, k in zip(np.split(small, edge), np.split(partners, edge), strict=True):
-            left = np.repeat(rows, k)
-            right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(k) - k, k)
-            yield self.near(left, right, c, n, bits, side)
-        for start, end in zip(starts[size > self.SMALL], ends[size > self.SMALL], strict=True):
-            rows = np.arange(start, end)
-            kinds, of, often = np.unique(c[rows], return_inverse=True, return_counts=True)
-            rows, of = rows[np.lexsort((of, often[of]))], None  # the largest component last: it is never compared with itself
-            last = np.append(np.flatnonzero(c[rows][1:] != c[rows][:-1]) + 1, len(rows))
-            at = 0
-            for stop in last:
-                rest = rows[stop:]
-                step = max(1, self.MOST // max(1, len(rest)))
-                for i in range(at, stop, step) if len(rest) else ():
-                    own = rows[i : min(i + step, stop)]
-                    yield self.near(np.repeat(own, len(rest)), np.tile(rest, len(own)), c, n, bits, side)
-                at = stop
-
-
-def _across(rows: DataFrame, p: Params) -> DataFrame:
-    """Distinct pairs (a, b) of different components that share a key and are near by their long signatures.
-
-    rows: key, k (rows of the key), id, c, n, bits. A key of more than block_rows rows is dealt to blocks; every two blocks meet in a group of their
-    own. Groups are streamed through sorted partitions; only near pairs leave them.
+        for part in slices(batches, 2):
+            both = [[np.frombuffer(x, dtype=np.uint64) for x in part.column(i).to_pylist()] for i in (2, 3)]
+            ok = [linked(x, y, p.percent) for x, y in zip(*both, strict=True)]
+            yield part.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
+
+    words = sets.select("id", "words")
+    left = pairs.select("a", "b").join(words.toDF("a", "words_a"), "a")
+    both = left.join(words.toDF("b", "words_b").hint("merge"), "b").select("a", "b", "words_a", "words_b")
+    return land(both.mapInArrow(run, "a long, b long"), "near-links")
+
+
+class Forest:
+    """Components merged step by step; `c` is the component of each row, `found` the pairs of labels that merged two."""
+
+    def __init__(self, labels: np.ndarray) -> None:
+        self.labels, self.c = np.unique(labels, return_inverse=True)
+        self.into = np.arange(len(self.labels))
+        self.found: list[tuple[int, int]] = []
+
+    def merge(self, left: np.ndarray, right: np.ndarray) -> None:
+        """Rows left[i] and right[i] belong together; a pair of components is looked at once."""
+        pairs = np.unique(self.c[left] * len(self.labels) + self.c[right])
+        for a, b in zip((pairs // len(self.labels)).tolist(), (pairs % len(self.labels)).tolist(), strict=True):
+            while self.into[a] != a:
+                a = int(self.into[a])
+            while self.into[b] != b:
+                b = int(self.into[b])
+            if a != b:
+                self.into[max(a, b)] = min(a, b)
+                self.found.append((int(self.labels[a]), int(self.labels[b])))
+        if len(pairs):
+            roots = self.into[self.into]
+            while (roots != self.into).any():
+                self.into, roots = roots, roots[roots]
+            self.c = self.into[self.c]
+
+
+def near_forest(c: np.ndarray, sig: np.ndarray, n: np.ndarray, side: np.ndarray, within: bool, p: Params, chunk: int = 200_000) -> list[tuple[int, int]]:
+    """A spanning forest of the components c that hold rows with near signatures. Rows of side 1 meet those of side 0, and each other if within."""
+    forest = Forest(c)
+    words = np.zeros((len(sig), -(-sig.shape[1] // 8) * 8), dtype=np.uint8)
+    words[:, : sig.shape[1]] = sig
+    probes, others = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+    step = max(1, chunk // max(1, len(probes)))
+    for at in range(0, len(others), step):  # a slice of the others against all probes that are not one with all of it yet
+        _near_pairs(forest, probes, others[at : at + step], words, n, p)
+    for i in range(0, len(probes) if within else 0, 64):
+        _near_pairs(forest, probes[i : i + 64], probes[i:], words, n, p)
+    return forest.found
+
+
+def _near_pairs(forest: Forest, left: np.ndarray, right: np.ndarray, words: np.ndarray, n: np.ndarray, p: Params) -> None:
+    apart = forest.c[left][:, None] != forest.c[right][None, :]
+    apart &= 100 * np.minimum(n[left][:, None], n[right][None, :]) >= p.percent * np.maximum(n[left][:, None], n[right][None, :])
+    i, j = np.nonzero(apart)
+    for at in range(0, len(i), 100_000):
+        a, b = left[i[at : at + 100_000]], right[j[at : at + 100_000]]
+        still = forest.c[a] != forest.c[b]
+        a, b = a[still], b[still]
+        near = (words[a] != words[b]).sum(axis=1) <= p.most_unequal
+        forest.merge(a[near], b[near])
+
+
+def linked_forest(c: np.ndarray, sets: list[np.ndarray], side: np.ndarray, within: bool, p: Params) -> list[tuple[int, int]]:
+    """A spanning forest of the components c that hold linked sets; sides as in near_forest."""
+    forest = Forest(c)
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(sets) else np.empty(0, np.int64)
+    ends = np.cumsum(sizes)
+    mark = np.zeros(int(flat.max(initial=-1)) + 1, dtype=np.int64)
+    probes = np.flatnonzero(side == 1)
+    for k, i in enumerate(probes):
+        targets = np.concatenate([np.flatnonzero(side == 0), probes[k + 1 :] if within else probes[:0]])
+        targets = targets[(forest.c[targets] != forest.c[i]) & (100 * np.minimum(sizes[targets], sizes[i]) >= p.percent * np.maximum(sizes[targets], sizes[i]))]
+        if not len(targets):
+            continue
+        own = flat[ends[i] - sizes[i] : ends[i]]
+        mark[own] = 1
+        cut = np.cumsum(sizes[targets])
+        at = np.repeat(ends[targets] - cut, sizes[targets]) + np.arange(cut[-1])
+        common = np.add.reduceat(mark[flat[at]], cut - sizes[targets])
+        mark[own] = 0
+        found = targets[100 * common >= p.percent * (sizes[targets] + sizes[i] - common)]
+        forest.merge(np.full(len(found), i), found)
+    return forest.found
+
+
+def _dealt(rows: DataFrame, big: Column, blocks_big: Column, blocks_rest: Column) -> DataFrame:
+    """rows with g1, g2 and side: the groups in which each row takes part.
+
+    Rows of the largest component are dealt to blocks_big blocks, the rest to blocks_rest. Each block of the first meets each of the second (group
+    i, blocks_big + j), the blocks of the rest meet one another (side 0 is the first), and a block of the rest meets itself in the group of i = 0.
     """
-    blocks = F.ceil(F.col("k") / p.block_rows).cast("int")
-    dealt = rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    groups = dealt.select("key", F.least("own", "other").alias("g1"), F.greatest("own", "other").alias("g2"), "own", "id", "c", "n", "bits")
-    judge = Blocks(p)
+    own = F.pmod(F.xxhash64("id"), F.when(big, blocks_big).otherwise(blocks_rest)).cast("int")
+    place = lambda g1, g2, side: F.struct(g1.cast("int").alias("g1"), g2.cast("int").alias("g2"), F.lit(side).alias("side"))
+    first, last = F.lit(0), F.lit(-1)
+    of_big = F.transform(F.sequence(first, blocks_rest + last), lambda j: place(F.col("_own"), blocks_big + j, 0))
+    with_big = F.transform(F.sequence(first, blocks_big + last), lambda i: place(i, blocks_big + F.col("_own"), 1))
+    others = F.filter(F.sequence(first, blocks_rest + last), lambda j: j != F.col("_own"))
+    with_rest = F.transform(others, lambda j: F.when(j < F.col("_own"), place(blocks_big + j, blocks_big + F.col("_own"), 1)).otherwise(place(blocks_big + F.col("_own"), blocks_big + j, 0)))
+    out = rows.withColumn("_own", own).withColumn("_g", F.explode(F.when(big, of_big).otherwise(F.concat(with_big, with_rest))))
+    return out.select("*", "_g.*").drop("_own", "_g")
+
+
+def _forests(groups: DataFrame, key: str, value: str, find) -> DataFrame:
+    """Edges (u, v) of find(c, values, n, side, within) for each group of rows (key, g1, g2, side, c, n, value), streamed through sorted partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: pa.Table) -> pa.RecordBatch:
-            col = lambda i: table.column(i).to_numpy()
-            key, g1, g2, own, ids, c, n = (col(i) for i in range(7))
-            bits = np.frombuffer(b"".join(table.column(7).to_pylist()), dtype=np.uint64).reshape(len(key), -1)
-            new = np.append(True, (key[1:] != key[:-1]) | (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1]))
-            side = np.where(g1 == g2, -1, (own == g2).astype(np.int64))
-            made = [np.stack([np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y])]) for x, y in judge.pairs(np.cumsum(new), c, n, bits, side)]
-            pairs = np.unique(np.concatenate(made, axis=1), axis=1) if made else np.empty((2, 0), dtype=np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            at = [table.column(i).to_numpy() for i in range(3)]
+            new = np.append(True, np.logical_or.reduce([x[1:] != x[:-1] for x in at]))
+            starts = np.flatnonzero(new)
+            side, c, n = (table.column(i).to_numpy() for i in range(3, 6))
+            values, out = table.column(6), []
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=True):
+                out += find(c[start:end], values.slice(start, end - start).to_pylist(), n[start:end], side[start:end], at[1][start] == 0)
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["u", "v"])
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            if sum(b.num_rows for b in held) < 10_000:
+            if sum(b.num_rows for b in held) < 10_000 and sum(b.nbytes for b in held) < 8_000_000:
                 continue
             table = pa.Table.from_batches(held)
-            last = [table.column(i)[table.num_rows - 1].as_py() for i in range(3)]
             same = np.ones(table.num_rows, dtype=bool)
             for i in range(3):
-                same &= table.column(i).to_numpy() == last[i]
+                same &= table.column(i).to_numpy() == table.column(i)[table.num_rows - 1].as_py()
             cut = int(np.argmax(same))  # the last group may go on in the next batch
             if cut:
                 yield found(table.slice(0, cut))
@@ -271,53 +321,122 @@ def _across(rows: DataFrame, p: Params) -> DataFrame:
         if held:
             yield found(pa.Table.from_batches(held))
 
-    parts = groups.repartition("key", "g1", "g2").sortWithinPartitions("key", "g1", "g2")
-    return parts.mapInArrow(run, "a long, b long").distinct()
+    rows = groups.select(key, "g1", "g2", "side", "c", "n", value).repartition(key, "g1", "g2").sortWithinPartitions(key, "g1", "g2")
+    return rows.mapInArrow(run, "u long, v long").distinct()
+
+
+def _near(pairs: DataFrame, p: Params) -> DataFrame:
+    """(u, v) of the pairs (u, v, n_a, sig_a, n_b, sig_b) whose signatures are near."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) for i in (3, 5))
+            n, m = (batch.column(i).to_numpy() for i in (2, 4))
+            ok = ((a != b).sum(axis=1) <= p.most_unequal) & (100 * np.minimum(n, m) >= p.percent * np.maximum(n, m)) if batch.num_rows else np.empty(0, bool)
+            yield batch.filter(pa.array(ok)).select(["u", "v"])
+
+    return pairs.select("u", "v", "n_a", "sig_a", "n_b", "sig_b").mapInArrow(run, "u long, v long").distinct()
+
+
+def _mixed(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, id, c) by key and component, and the keys with several components: big (k, c and rep of the largest), k (rows), m0, m1 (members)."""
+    members = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"m{i}") for i in (0, 1)]
+    by = labelled.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("rep"), *members)
+    mixed = by.groupBy("key").agg(F.max(F.struct("k", "c", "rep")).alias("big"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("kinds"), F.bit_xor("m0").alias("m0"), F.bit_xor("m1").alias("m1"))
+    return by, mixed.where("kinds > 1")
+
+
+def _arenas(shared: DataFrame, comps: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
+    """Landed (node, component) over components: those that may be linked, by the signatures of rows that share a key, come together."""
+    labelled = land(shared.join(comps.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")), "near-labelled")
+    # First one row of each component of a key with one of the key's largest component: most that are near come together here.
+    by, mixed = _mixed(labelled)
+    reps = by.join(mixed.select("key", "big"), "key").where(F.col("c") != F.col("big.c"))
+    reps = reps.select(F.col("rep").alias("a"), F.col("big.rep").alias("b"), F.col("c").alias("u"), F.col("big.c").alias("v")).distinct()
+    signs = classes.select("id", "n", "sig")
+    pairs = reps.join(signs.toDF("a", "n_a", "sig_a"), "a").join(signs.toDF("b", "n_b", "sig_b"), "b")
+    edges = land(_near(pairs, p), "near-arena-edges")
+    first = components(edges)
+
+    # Then all rows of the keys that still hold several.
+    labelled = labelled.join(first.toDF("c", "arena"), "c", "left").select("key", "id", F.coalesce("arena", "c").alias("c"))
+    _, mixed = _mixed(labelled)
+    once = mixed.groupBy("k", "m0", "m1").agg(F.min("key").alias("key"), F.first("big").alias("big")).select("key", "k", "big")  # of keys with the same members one will do
+    rows = land(spread_join(labelled, land(once, "near-mixed-keys"), "key", p.broadcast_rows, ["id"]), "near-mixed")
+    blocks = lambda x: F.greatest(F.ceil(x / p.block_rows), F.lit(1)).cast("int")
+    groups = _dealt(rows.join(signs, "id"), F.col("c") == F.col("big.c"), blocks(F.col("big.k")), blocks(F.col("k") - F.col("big.k")))
+
+    def find(c, values, n, side, within):
+        return near_forest(c, np.frombuffer(b"".join(values), dtype=np.uint8).reshape(len(c), -1), n, side, within, p)
+
+    found = components(edges.union(_forests(groups, "key", "sig", find)))
+    out = land(found.union(found.select("component", "component").distinct()), "near-arenas")  # the smallest of each is a node as well
+    discard(rows, edges)
+    return out
+
+
+def _across(docs: DataFrame, classes: DataFrame, comps: DataFrame, arenas: DataFrame, p: Params) -> DataFrame:
+    """Landed edges (u, v) between components of one arena that hold a confirmed link."""
+    labelled = classes.join(comps.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("c"))
+    rows = land(spread_join(labelled, arenas.toDF("c", "arena"), "c", p.broadcast_rows, ["id"]).select("id", "c", "arena"), "near-arena-rows")
+    sets = _sets(docs, classes, rows.select("id"), p)
+    placed = rows.join(sets, "id")
+    sizes = placed.select("arena", "c", "n").groupBy("arena", "c").agg(F.sum("n").alias("k")).groupBy("arena").agg(F.max(F.struct("k", "c")).alias("big"), F.sum("k").alias("k"))
+    blocks = lambda x: F.greatest(F.ceil(x / p.block_shingles), F.lit(1)).cast("int")
+    groups = _dealt(spread_join(placed, land(sizes, "near-arena-sizes"), "arena", p.broadcast_rows, ["id"]), F.col("c") == F.col("big.c"), blocks(F.col("big.k")), blocks(F.col("k") - F.col("big.k")))
+
+    def find(c, values, n, side, within):
+        return linked_forest(c, [np.frombuffer(x, dtype=np.uint64) for x in values], side, within, p)
+
+    out = land(_forests(groups, "arena", "words", find), "near-across")
+    discard(rows, sets)
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: Params = Params()) -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id (smallest id reachable), kept."""
+    """One row for each row of docs: doc_id, n_shingles, component_id (smallest id reachable), kept, text_hash (xxhash64 of the text)."""
     docs = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     signed = land(_signed(docs, p), "near-signed")
     with_set = signed.where("n > 0 and id is not null")
-    prints = with_set.groupBy("print").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.min(F.struct("id", "sig")).alias("s"))
-    classes = land(prints.select("print", "id", "n", F.col("s.sig").alias("sig")), "near-classes")
     totals = with_set.agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids")).first()
     docs._ids_repeat = totals["n"] != totals["ids"]
-    if docs._ids_repeat:  # an id with two sets stands for two classes: link those by the id itself
-        same_id = with_set.join(classes.select("print", F.col("id").alias("c")), "print").groupBy("id").agg(F.min("c").alias("b"), F.max("c").alias("a")).where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    one = classes.select("id", "sig")
+    # One class a set. It is numbered by its smallest id; where ids repeat, in the order of its smallest ids.
+    prints = with_set.groupBy("print").agg(F.min("id").alias("doc"), F.max("n").alias("n"), F.first("sig").alias("sig"))
     if docs._ids_repeat:
-        one = one.dropDuplicates(["id"])
+        prints = prints.orderBy("doc", "print").withColumn("id", F.monotonically_increasing_id())
+    else:
+        prints = prints.withColumn("id", F.col("doc"))
+    classes = land(prints.select("id", "print", "doc", "n", "sig"), "near-classes")
 
     # Stars: each class with the smallest and largest class of each of its buckets.
     # Keys are made twice, which costs less than to keep them; small tasks, as each row makes many keys.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = _bucketed(one.repartition(tasks), p)
+    buckets = _bucketed(classes.select("id", "sig").repartition(tasks), p)
     ends = buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("n > 1 and lo <> hi").drop("n")
     shared = land(buckets.join(ends, "key"), "near-shared")
     pair = lambda a, b: F.struct(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     stars = shared.select(F.explode(F.array(pair("id", "lo"), pair("id", "hi"))).alias("p")).select("p.*").where("a <> b").distinct()
     stars = land(stars, "near-stars")
-    links = _confirmed(stars, docs, p)
-    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    if docs._ids_repeat:
-        edges = edges.union(same_id)
+    sets = _sets(docs, classes, stars.select(F.col("a").alias("id")).union(stars.select("b")).distinct(), p)
+    edges = _confirmed(stars, sets, p).toDF("u", "v")
+    discard(stars, sets)
+    if docs._ids_repeat:  # the classes of one id belong together: each with the first
+        of_id = with_set.select("id", "print").distinct().join(classes.select("print", F.col("id").alias("u")), "print").select("id", "u")
+        edges = edges.union(of_id.join(of_id.groupBy("id").agg(F.min("u").alias("v")), "id").where("u <> v").select("u", "v"))
     comps = land(components(edges), "near-comps")
 
     # What is left: pairs of different components in one bucket.
-    labelled = shared.join(comps.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    members = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"m{i}") for i in (0, 1)]
-    mixed = labelled.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("k"), *members).where("c0 <> c1")
-    mixed = mixed.groupBy("k", "m0", "m1").agg(F.min("key").alias("key")).select("key", "k")  # of buckets with the same members one will do
-    rows = land(labelled.join(mixed, "key"), "near-mixed")
-    long = land(_long_signed(_texts(docs, rows.select("id").distinct(), p), p), "near-long")
-    new = _across(rows.join(long, "id"), p).join(stars, ["a", "b"], "left_anti")
-    more = _confirmed(new, docs, p)
-    discard(shared, rows, long, stars)
-    final = land(components(edges.union(more.select(F.col("a").alias("u"), F.col("b").alias("v")))), "near-comps")
+    arenas = _arenas(shared, comps, classes, p)
+    more = _across(docs, classes, comps, arenas, p)
+    discard(shared, arenas)
+    final = land(components(edges.union(more)), "near-comps")
 
     of_class = classes.join(final.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id"))
-    out = signed.select("id", "n", "print").join(of_class, "print", "left")
+    if docs._ids_repeat:  # back from numbers to ids, through sixteen copies of each so that no number is hot
+        salt = F.pmod(F.xxhash64("print"), F.lit(16)).alias("salt")
+        names = classes.select(F.col("id").alias("component_id"), "doc", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(15).cast("bigint"))).alias("salt"))
+        of_class = of_class.select("print", "component_id", salt).join(names, ["component_id", "salt"]).select("print", F.col("doc").alias("component_id"))
+    out = signed.select("id", "n", "print", "text_hash").join(of_class, "print", "left")
     component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), "text_hash")
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")

@@ -57,13 +57,13 @@ def discard(*tables: DataFrame) -> None:
             remove(table.sparkSession, path)
 
 
-def spread_join(rows: DataFrame, table: DataFrame, on: str | list[str], most: int, by: list[str], how: str = "inner", copies: int = 16) -> DataFrame:
+def spread_join(rows: DataFrame, table: DataFrame, on: str | list[str], most: int, by: list[str], how: str = "inner", copies: int = 8) -> DataFrame:
     """rows joined with a landed table that has one row for each key, however many rows share a key.
 
     A table of at most `most` rows is broadcast; of a larger one each row is copied, and the rows of a key are dealt out over its copies by the
     hash of their columns `by`, so that a task that runs again deals them alike.
     """
-    if table.count() <= most:
+    if most and table.count() <= most:
         return rows.join(F.broadcast(table), on, how)
     keys = [on] if isinstance(on, str) else list(on)
     spread = table.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))))

@@ -6,7 +6,7 @@ fingerprint at the same place, so every run of `window` lines or more that occur
 and rows whose fingerprint occurs at one place only are dropped at once. Lines of `heavy_words` words or more are fingerprints by themselves.
 
 The places of the rows that are left are joined: a window is matched with the first place, in order of id and line, that holds the same lines (the hashes of
-all its lines are compared), never with all others, so a hot line costs one row for each occurrence. A match is then extended both ways, to the lines
+all its lines are compared), never with all others, so a hot line costs one row for each occurrence, and its rows are dealt out over copies of its key. A match is then extended both ways, to the lines
 before and after it that equal the source's, as far as matches with the same source at the same distance reach; where the source ends, another one
 may begin. Of each run the later occurrence is deleted and the first one stays.
 
@@ -41,8 +41,6 @@ class Params:
     window: int = 2
     #: A line of so many words is removed as a repeat by itself; shorter ones only in runs.
     heavy_words: int = 50
-    #: Up to so many keys of repeated windows (some 50 bytes each) are broadcast; above, the same join is a shuffle.
-    broadcast_keys: int = 100_000
 
 
 def content_lines(text: str) -> list[tuple[int, str]]:
@@ -101,11 +99,11 @@ def matches(docs: DataFrame, p: Params = Params()) -> DataFrame:
     # The first and the last place tell one place from several; a count of distinct places would need another shuffle.
     place = F.struct("id", "doc", "at")
     repeated = land(prints.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("not (a <=> b)").select("fp"), "line-repeated")
-    windows = spread_join(prints, repeated, "fp", p.broadcast_keys, ["id", "doc", "at"]).select("id", "doc", F.explode("windows").alias("w"))
+    windows = spread_join(prints, repeated, "fp", 0, ["id", "doc", "at"]).select("id", "doc", F.explode("windows").alias("w"))
     windows = land(windows.select("id", "doc", "w.*"), "line-windows")
     spot = F.struct("id", "doc", "k", "first")
     firsts = land(windows.groupBy("key").agg(F.min(spot).alias("source"), F.max(spot).alias("other")).where("not (source <=> other)").drop("other"), "line-sources")
-    found = spread_join(windows, firsts, "key", p.broadcast_keys, ["id", "doc", "k"]).drop("key").where(spot > F.col("source"))
+    found = spread_join(windows, firsts, "key", 0, ["id", "doc", "k"]).drop("key").where(spot > F.col("source"))
     out = land(found.distinct(), "line-matches")  # rows of one id and text make the same matches
     discard(prints, repeated, windows, firsts)
     return out

@@ -160,16 +160,16 @@ def brute_lines(docs, window, heavy):
 
 
 def test_op3_against_all_windows(spark):
-    """Random documents of few different lines, repeated ids, blank lines between, windows of several lengths, both kinds of join."""
+    """Random documents of few different lines, repeated ids, blank lines between, windows of several lengths."""
     rng = np.random.default_rng(11)
     line = ["", "  ", *(f"line {i}" for i in range(14)), " line 3 ", " ".join(["w"] * 6), " ".join(["v"] * 7)]
     docs = [(int(rng.integers(0, 40)), "\n".join(line[j] for j in rng.integers(0, len(line), rng.integers(0, 25)))) for _ in range(60)]
     docs = [(i, t) for i, t in {i: t for i, t in docs}.items()]
     docs += [(docs[0][0], docs[0][1]), (1000, None), (1001, "")]
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    for window, most in ((2, 100_000), (3, 0), (5, 0)):
+    for window in (2, 3, 5):
         want = brute_lines(docs, window, 6)
-        for r in line_dedup.line_dedup(table, p=line_dedup.Params(window=window, heavy_words=6, broadcast_keys=most)).collect():
+        for r in line_dedup.line_dedup(table, p=line_dedup.Params(window=window, heavy_words=6)).collect():
             text = next(t for i, t in docs if i == r["doc_id"]) or ""
             rest = [x for n, x in enumerate(text.split("\n")) if n not in want[r["doc_id"], text or (None if r["doc_id"] == 1000 else "")]]
             assert r["text"] == "\n".join(rest) and r["n_removed"] == len(want[r["doc_id"], text or (None if r["doc_id"] == 1000 else "")])
@@ -554,6 +554,19 @@ def test_forests_join_what_all_pairs_join():
             assert joined(labels, got) == joined(labels, want) and len(got) < len(labels)
 
 
+def test_components_both_ways(spark):
+    from tapewright.llm.graph import components
+
+    rng = np.random.default_rng(8)
+    edges = [(int(a), int(b)) for a, b in rng.integers(-50, 150, (120, 2))] + [(1_000 + i, 1_001 + i) for i in range(40)] + [(5_000, 5_000 + i) for i in range(60)]
+    want = joined(sorted({x for e in edges for x in e}), edges)
+    table = spark.createDataFrame(edges, "u long, v long")
+    for most in (1_000_000, 0):
+        got = {r["node"]: r["component"] for r in components(table, most_at_once=most).collect()}
+        assert got == {k: v for k, v in want.items() if k != v}
+    assert components(table.where("false")).count() == 0
+
+
 def test_op5_repeated_ids(spark):
     """An id with several texts links them, and none of their links is lost."""
     rng = np.random.default_rng(5)

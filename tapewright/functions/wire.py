@@ -58,13 +58,13 @@ def price4(raw: Column) -> Column:
 
 
 def scaled_text(mantissa: Column, exponent: Column) -> Column:
-    """mantissa * 10**exponent as canonical text; exponents -18 to 18."""
+    """mantissa * 10**exponent as text that keeps every digit: zeros are neither added to a fraction nor taken from it; exponents -18 to 18."""
     digits = F.abs(mantissa.cast("decimal(20,0)")).cast("string")
     places = F.greatest(-exponent, F.lit(0))
     long = F.lpad(digits, F.greatest(F.length(digits), places + 1).cast("int"), "0")
     whole, part = F.substring(long, F.lit(1), (F.length(long) - places).cast("int")), F.substring(long, (F.length(long) - places + 1).cast("int"), places.cast("int"))
-    text = F.when(exponent < 0, F.concat(whole, F.lit("."), part)).when(digits == "0", digits).otherwise(F.concat(digits, F.repeat(F.lit("0"), exponent.cast("int"))))
-    return F.concat(F.when((mantissa < 0), "-").otherwise(""), canonical_text(text))
+    text = F.when(exponent < 0, F.concat(whole, F.lit("."), part)).otherwise(F.concat(digits, F.repeat(F.lit("0"), F.greatest(exponent, F.lit(0)).cast("int"))))
+    return F.concat(F.when(mantissa < 0, "-").otherwise(""), text)
 
 
 def fixed8(mantissa: Column, exponent: Column) -> Column:
@@ -153,3 +153,24 @@ def reconnect_delay_ms(lane: Column, attempt: Column, failures: Column, token: C
 def safe_path(path: Column) -> Column:
     """A relative path of plain leaves: no empty, dot or dot-dot part, no drive, no backslash, no control character."""
     return F.coalesce(path.rlike(r"^(?!.*(?:^|/)[.]{1,2}(?:/|$))[^/\\:\x00-\x1f]+(?:/[^/\\:\x00-\x1f]+)*$"), F.lit(False))
+
+
+def utc_ns(text: Column) -> Column:
+    """Nanoseconds since 1970 of an instant written with a zone (Z or an offset), to the microsecond; null for a text without one."""
+    zoned = text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})$")
+    return F.when(zoned, F.unix_micros(F.try_to_timestamp(text)) * 1_000)
+
+
+def utc_text(ns: Column) -> Column:
+    """The instant as text in UTC with microseconds."""
+    return F.date_format(F.timestamp_micros(F.floor(ns / 1_000).cast("bigint")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+#: What a recorder may ask for.
+SCOPE_SYMBOLS, SCOPE_STREAMS, SCOPE_LIMITS = ("BTCUSDT", "ETHUSDT"), ("depth", "trade", "bookTicker"), (5, 10, 20, 50, 100, 500, 1000, 5000)
+
+
+def scope_reject(symbol: Column, stream: Column, limit: Column | None = None) -> Column:
+    """Why a request lies outside the scope: symbol (in any case), stream or snapshot limit; null inside."""
+    out = F.when(~F.coalesce(F.upper(symbol).isin(*SCOPE_SYMBOLS), F.lit(False)), "symbol").when(~F.coalesce(stream.isin(*SCOPE_STREAMS), F.lit(False)), "stream")
+    return out if limit is None else out.when(~F.coalesce(limit.isin(*SCOPE_LIMITS), F.lit(False)), "limit")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.decimals import DECIMAL, imbalance_ppm, parse_decimal, ratio_ppm
 from ..functions.digests import FP_PARTS, book_digest, level_fingerprint
+from .ordered import WIDTH, carried
 
 DEPTH = "e string, E bigint, s string, U bigint, u bigint, b array<array<string>>, a array<array<string>>"
 TRADE = "e string, E bigint, s string, t bigint, p string, q string, T bigint, m boolean, M boolean"
@@ -137,10 +138,10 @@ def depth_imbalance(book: DataFrame, keys: list[str], n: int) -> DataFrame:
     return sums.select(*keys, "bid_depth", "ask_depth", imbalance_ppm(F.col("bid_depth"), F.col("ask_depth")).alias("depth_imbalance_ppm"), ((F.col("nb") >= n) & (F.col("na") >= n)).alias("enough"))
 
 
-def fingerprint_steps(levels: DataFrame, keys: list[str], frame: str = "frame", pos: str = "pos") -> DataFrame:
+def fingerprint_steps(levels: DataFrame, keys: list[str], frame: str = "frame", pos: str = "pos", width: int | None = WIDTH) -> DataFrame:
     """keys, frame, fp0..fp3 and level counts after each frame, by running XOR over changes of single levels.
 
-    The first window is partitioned by side and price and spreads a hot symbol; changes fold to one row a frame before the running one.
+    The first window is partitioned by side and price and spreads a hot symbol; changes fold to one row a frame before the running one, which is split by blocks of frames.
     """
     own = Window.partitionBy(*keys, "side", "price").orderBy(frame, pos)
     old = F.coalesce(F.lag("qty").over(own), F.lit(0).cast(DECIMAL))
@@ -149,8 +150,8 @@ def fingerprint_steps(levels: DataFrame, keys: list[str], frame: str = "frame",
     step = F.when(F.col("qty") > 0, 1).otherwise(0) - F.when(F.col("old") > 0, 1).otherwise(0)
     changes = rows.select(*keys, frame, step.alias("step"), *(n.bitwiseXOR(o).alias(f"fp{i}") for i, (n, o) in enumerate(zip(new_fp, old_fp, strict=True))))
     frames = changes.groupBy(*keys, frame).agg(F.sum("step").alias("step"), *(F.bit_xor(f"fp{i}").alias(f"fp{i}") for i in range(FP_PARTS)))
-    w = Window.partitionBy(*keys).orderBy(frame).rowsBetween(Window.unboundedPreceding, 0)
-    return frames.select(*keys, frame, F.sum("step").over(w).alias("n_levels"), *(F.bit_xor(f"fp{i}").over(w).alias(f"fp{i}") for i in range(FP_PARTS)))
+    names = {f"fp{i}": ("xor", F.col(f"fp{i}")) for i in range(FP_PARTS)}
+    return carried(frames, keys, frame, width, upto={"n_levels": ("sum", F.col("step")), **names}).drop("step")
 
 
 def final_fingerprint(book: DataFrame, keys: list[str]) -> DataFrame:
@@ -260,12 +261,15 @@ def aggressor_summary(trades: DataFrame, keys: list[str]) -> DataFrame:
     return sums.withColumn("imbalance_ppm", imbalance_ppm(F.col("buy_qty"), F.col("sell_qty")))
 
 
-def latest_checkpoint_replay(checkpoints: DataFrame, levels: DataFrame, keys: list[str], upto: int, frame: str = "frame") -> DataFrame:
-    """Final levels at frame upto, from the newest checkpoint (keys, frame, side, price, qty) not after it and the diffs since."""
-    newest = checkpoints.where(F.col(frame) <= upto).groupBy(*keys).agg(F.max(frame).alias("_at"))
+def latest_checkpoint_replay(checkpoints: DataFrame, levels: DataFrame, keys: list[str], upto: int | DataFrame, frame: str = "frame") -> DataFrame:
+    """Final levels at frame upto, from the newest checkpoint (keys, frame, side, price, qty) not after it and the diffs since.
+
+    upto: one frame for all keys, or a relation (keys, upto).
+    """
+    bounds = upto if isinstance(upto, DataFrame) else levels.select(*keys).unionByName(checkpoints.select(*keys)).distinct().withColumn("upto", F.lit(upto))
+    newest = checkpoints.join(bounds, keys).where(F.col(frame) <= F.col("upto")).groupBy(*keys).agg(F.max(frame).alias("_at"))
     # One row a key: the bound travels with every row instead of through the driver.
-    base = checkpoints.join(newest, keys).where(F.col(frame) == F.col("_at")).select(*keys, F.lit(-1).cast("bigint").alias(frame), F.lit(0).alias("pos"), "side", "price", "qty")
-    since = levels.join(newest, keys, "left").where((F.col(frame) <= upto) & (F.col(frame) > F.coalesce("_at", F.lit(-1)))).select(*keys, frame, "pos", "side", "price", "qty")
+    marks = bounds.join(newest, keys, "left")
+    base = checkpoints.join(marks, keys).where(F.col(frame) == F.col("_at")).select(*keys, F.lit(-1).cast("bigint").alias(frame), F.lit(0).alias("pos"), "side", "price", "qty")
+    since = levels.join(marks, keys).where((F.col(frame) <= F.col("upto")) & (F.col(frame) > F.coalesce("_at", F.lit(-1)))).select(*keys, frame, "pos", "side", "price", "qty")
     return final_levels(base.unionByName(since), keys, frame)
-
-

@@ -1,10 +1,16 @@
-"""Coverage over time: freshness, silence, gaps, intervals, correlation with faults, and classification of incidents."""
+"""Coverage over time: freshness, silence, gaps, intervals, correlation with faults, and classification of incidents.
+
+Windows are split within a key by `ordered.carried` where the caller names the span of a block in units of the time column (width); without one a key is one
+task's work, which suits keys that are known to be small.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import WIDTH, carried, haloed
+
 SECOND = 1_000_000_000
 
 
@@ -20,16 +26,14 @@ def segment_membership(records: DataFrame, segment_ns: int, mono: str = "mono_ns
     return records.withColumn("actual_segment", at).where(F.col("actual_segment") != F.col(declared))
 
 
-def freshness(events: DataFrame, keys: list[str], mono: str, start: str, stop: str, startup_ns: int = 30 * SECOND, deadline_ns: int = 30 * SECOND, tail_ns: int | None = None) -> DataFrame:
+def freshness(events: DataFrame, keys: list[str], mono: str, start: str, stop: str, startup_ns: int = 30 * SECOND, deadline_ns: int = 30 * SECOND, tail_ns: int | None = None, width: int | None = None) -> DataFrame:
     """Violations: keys, kind (startup, gap, tail), from_ns, to_ns. Control frames are to be filtered out before.
 
     start and stop are columns with the active window, constant within a key; tail_ns is deadline_ns unless given.
     """
-    w = Window.partitionBy(*keys).orderBy(mono)
-    prev, nxt = F.lag(mono).over(w), F.lead(mono).over(w)
     t = F.col(mono)
     hole = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.alias("from_ns"), b.alias("to_ns"))
-    rows = events.withColumn("_p", prev).withColumn("_n", nxt)
+    rows = carried(events, keys, mono, width, prev={"_p": t}, nxt={"_n": t})
     found = F.array_compact(F.array(
         F.when(F.col("_p").isNull() & (t - F.col(start) > startup_ns), hole("startup", F.col(start), t)),
         F.when(F.col("_p").isNotNull() & (t - F.col("_p") > deadline_ns), hole("gap", F.col("_p"), t)),
@@ -38,18 +42,29 @@ def freshness(events: DataFrame, keys: list[str], mono: str, start: str, stop: s
     return rows.select(*keys, F.explode(found).alias("h")).select(*keys, "h.*")
 
 
-def silences(events: DataFrame, keys: list[str], stamp: str, period: int, windows: int) -> DataFrame:
+def silences(events: DataFrame, keys: list[str], stamp: str, period: int, windows: int, width: int | None = None) -> DataFrame:
     """Pauses of at least period * windows: keys, silent_from, deadline_at, resumed_at."""
-    nxt = F.lead(stamp).over(Window.partitionBy(*keys).orderBy(stamp))
-    rows = events.withColumn("resumed_at", nxt)
+    rows = carried(events, keys, stamp, width, nxt={"resumed_at": F.col(stamp)})
     return rows.where(F.col("resumed_at") - F.col(stamp) >= period * windows).select(*keys, F.col(stamp).alias("silent_from"), (F.col(stamp) + period * windows).alias("deadline_at"), "resumed_at")
 
 
-def silence_sessions(events: DataFrame, keys: list[str], stamp: str, deadline: int) -> DataFrame:
+def silence_causes(pauses: DataFrame, signals: DataFrame, keys: list[str], stamp: str, width: int | None = None) -> DataFrame:
+    """Pauses of `silences` with their cause: serverShutdown (announced before or during the pause), transport_dead (the transport was last seen down), else exchange_silent.
+
+    signals: keys, stamp, signal ('serverShutdown', 'up' or 'down'). Of a pause the state at its deadline counts; once shutdown is announced it stays so.
+    """
+    both = pauses.select(*pauses.columns, F.col("deadline_at").alias(stamp), F.lit(1).alias("_kind")).unionByName(signals.select(*keys, stamp, F.lit(0).alias("_kind"), "signal"), allowMissingColumns=True)
+    link = F.when(F.col("signal").isin("up", "down"), F.col("signal"))
+    seen = carried(both, keys, [stamp, "_kind"], width, upto={"_shut": ("max", F.when(F.col("signal") == "serverShutdown", 1)), "_link": ("last", link)})
+    cause = F.when(F.col("_shut") == 1, "serverShutdown").when(F.col("_link") == "down", "transport_dead").otherwise("exchange_silent")
+    return seen.where("_kind = 1").select(*pauses.columns, cause.alias("cause"))
+
+
+def silence_sessions(events: DataFrame, keys: list[str], stamp: str, deadline: int, width: int | None = None) -> DataFrame:
     """Islands of activity between silences: keys, session, first, last, n."""
-    w = Window.partitionBy(*keys).orderBy(stamp)
-    new = F.when(F.lag(stamp).over(w).isNull() | (F.col(stamp) - F.lag(stamp).over(w) >= deadline), 1).otherwise(0)
-    marked = events.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0)))
+    rows = carried(events, keys, stamp, width, prev={"_was": F.col(stamp)})
+    new = F.when(F.col("_was").isNull() | (F.col(stamp) - F.col("_was") >= deadline), 1).otherwise(0)
+    marked = carried(rows, keys, stamp, width, upto={"session": ("sum", new)})
     return marked.groupBy(*keys, "session").agg(F.min(stamp).alias("first"), F.max(stamp).alias("last"), F.count(F.lit(1)).alias("n"))
 
 
@@ -61,52 +76,48 @@ def pong_deadlines(pings: DataFrame, pongs: DataFrame, keys: list[str], token: s
     return pings.join(answers, [*keys, token], "left").withColumn("expired", F.col("pong_at").isNull() | late)
 
 
-def progress_stalls(rows: DataFrame, keys: list[str], stamp: str, counter: str, deadline: int) -> DataFrame:
+def progress_stalls(rows: DataFrame, keys: list[str], stamp: str, counter: str, deadline: int, width: int | None = None) -> DataFrame:
     """Rows with verdict: ok, regressed (counter fell) or stalled (no advance for the deadline)."""
-    w = Window.partitionBy(*keys).orderBy(stamp)
-    prev = F.lag(counter).over(w)
-    advanced = F.when(prev.isNull() | (F.col(counter) > prev), F.col(stamp))
-    since = F.last(advanced, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    verdict = F.when(F.col(counter) < prev, "regressed").when(F.col(stamp) - since >= deadline, "stalled").otherwise("ok")
-    return rows.withColumn("verdict", verdict)
+    prev = F.col("_was")
+    steps = carried(rows, keys, stamp, width, prev={"_was": F.col(counter)})
+    since = carried(steps, keys, stamp, width, upto={"_since": ("last", F.when(prev.isNull() | (F.col(counter) > prev), F.col(stamp)))})
+    verdict = F.when(F.col(counter) < prev, "regressed").when(F.col(stamp) - F.col("_since") >= deadline, "stalled").otherwise("ok")
+    return since.withColumn("verdict", verdict).drop("_was", "_since")
 
 
-def coverage_chain(windows: DataFrame, keys: list[str], ready: str = "ready_ns", stop: str = "stop_ns") -> DataFrame:
+def coverage_chain(windows: DataFrame, keys: list[str], ready: str = "ready_ns", stop: str = "stop_ns", width: int | None = None) -> DataFrame:
     """Windows with covered_until (highest stop before), hole (starts after it) and crowded (three overlap)."""
-    w = Window.partitionBy(*keys).orderBy(ready, stop)
-    until = F.max(stop).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    third = F.lag(stop, 2).over(w)
-    return windows.withColumn("covered_until", until).withColumn("hole", F.col("covered_until").isNotNull() & (F.col(ready) > F.col("covered_until"))).withColumn("crowded", third.isNotNull() & (F.col(ready) < third))
+    once = carried(windows, keys, [ready, stop], width, prev={"_before": F.col(stop)}, before={"covered_until": ("max", F.col(stop))})
+    rows = carried(once, keys, [ready, stop], width, prev={"_third": F.col("_before")})
+    hole, crowded = F.col("covered_until").isNotNull() & (F.col(ready) > F.col("covered_until")), F.col("_third").isNotNull() & (F.col(ready) < F.col("_third"))
+    return rows.withColumn("hole", hole).withColumn("crowded", crowded).drop("_before", "_third")
 
 
-def coverage_report(windows: DataFrame, keys: list[str], lower: Column, upper: Column, ready: str = "ready_ns", stop: str = "stop_ns") -> DataFrame:
+def coverage_report(windows: DataFrame, keys: list[str], lower: Column, upper: Column, ready: str = "ready_ns", stop: str = "stop_ns", width: int | None = None) -> DataFrame:
     """keys, windows, holes, crowded, complete: the windows chain and cover [lower, upper]."""
-    rows = coverage_chain(windows, keys, ready, stop)
+    rows = coverage_chain(windows, keys, ready, stop, width)
     out = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("windows"), F.count_if("hole").alias("holes"), F.count_if("crowded").alias("crowded"), F.min(ready).alias("_a"), F.max(stop).alias("_b"))
     complete = (F.col("holes") == 0) & (F.col("crowded") == 0) & (F.col("_a") <= lower) & (F.col("_b") >= upper)
     return out.withColumn("complete", complete).drop("_a", "_b")
 
 
-def lane_coverage(events: DataFrame, keys: list[str], lane: str, ready: str, stamp: str, lanes: int = 2) -> DataFrame:
+def lane_coverage(events: DataFrame, keys: list[str], lane: str, ready: str, stamp: str, lanes: int = 2, width: int | None = None) -> DataFrame:
     """Coverage after each lane event (ready true or false): keys, stamp, ready_lanes, coverage.
 
     coverage: STARTING before any lane was ready, REDUNDANT, DEGRADED, or GAP (none ready after one was).
     """
-    own = Window.partitionBy(*keys, lane).orderBy(stamp)
     now = F.when(F.col(ready), 1).otherwise(0)
-    step = now - F.coalesce(F.lag(now).over(own), F.lit(0))
-    w = Window.partitionBy(*keys).orderBy(stamp).rangeBetween(Window.unboundedPreceding, 0)
-    rows = events.withColumn("_step", step).withColumn("_now", now).groupBy(*keys, stamp).agg(F.sum("_step").alias("_step"), F.max("_now").alias("_now"))
-    rows = rows.withColumn("ready_lanes", F.sum("_step").over(w)).withColumn("_ever", F.max("_now").over(w))
+    steps = carried(events, [*keys, lane], stamp, width, prev={"_was": now})
+    rows = steps.withColumn("_step", now - F.coalesce("_was", F.lit(0))).withColumn("_now", now).groupBy(*keys, stamp).agg(F.sum("_step").alias("_step"), F.max("_now").alias("_now"))
+    rows = carried(rows, keys, stamp, width, upto={"ready_lanes": ("sum", F.col("_step")), "_ever": ("max", F.col("_now"))})
     kind = F.when(F.col("ready_lanes") >= lanes, "REDUNDANT").when(F.col("ready_lanes") >= 1, "DEGRADED").when(F.col("_ever") == 1, "GAP").otherwise("STARTING")
     return rows.select(*keys, stamp, "ready_lanes", kind.alias("coverage"))
 
 
-def gap_pairs(states: DataFrame, keys: list[str], stamp: str, state: str = "coverage") -> DataFrame:
+def gap_pairs(states: DataFrame, keys: list[str], stamp: str, state: str = "coverage", width: int | None = None) -> DataFrame:
     """Gap intervals from coverage rows: keys, opened_mono_ns, closed_mono_ns (null while open), unavailable_ns."""
-    w = Window.partitionBy(*keys).orderBy(stamp)
-    changed = states.withColumn("_was", F.lag(state).over(w))
-    edges = changed.where(~F.col(state).eqNullSafe(F.col("_was"))).withColumn("_closed", F.lead(stamp).over(w))
+    changed = carried(states, keys, stamp, width, prev={"_was": F.col(state)}).where(~F.col(state).eqNullSafe(F.col("_was")))
+    edges = carried(changed, keys, stamp, width, nxt={"_closed": F.col(stamp)})
     return edges.where(F.col(state) == "GAP").select(*keys, F.col(stamp).alias("opened_mono_ns"), F.col("_closed").alias("closed_mono_ns"), (F.col("_closed") - F.col(stamp)).alias("unavailable_ns"))
 
 
@@ -128,22 +139,23 @@ def outage_status(gaps: Column, open_gap: Column) -> Column:
     return F.when(open_gap, "COMPLETE_WITH_OPEN_GAP").when(gaps == 0, "COMPLETE_NO_DUAL_OUTAGE").otherwise("COMPLETE_WITH_EXPLICIT_GAPS")
 
 
-def nearest_interval(points: DataFrame, intervals: DataFrame, keys: list[str], stamp: str, start: str, stop: str, seq: str, tolerance: int) -> DataFrame:
+def nearest_interval(points: DataFrame, intervals: DataFrame, keys: list[str], stamp: str, start: str, stop: str, seq: str, tolerance: int, width: int | None = None) -> DataFrame:
     """Each point with its nearest interval of the same keys (distance 0 inside), the smallest seq on ties, and within_tolerance.
 
-    Intervals must not overlap each other within a key (ties at edges are fine). The nearest one is then the last that starts at or before the point or
-    the first that starts after it: one ordered window over points and intervals together, no pairs.
+    Intervals must not overlap each other within a key (ties at edges are fine); the query fails where they do. The nearest one is then the last that starts at or
+    before the point or the first that starts after it: running values over points and intervals in one order, no pairs.
     """
-    i = intervals.select(*keys, F.col(start).alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col(start).alias("a"), F.col(stop).alias("b"), F.col(seq).alias("seq")).alias("_i"), F.lit(None).cast(dict(points.dtypes)[stamp]).alias(stamp))
+    checked = carried(intervals.select(*keys, start, stop, seq), keys, [start, stop], width, before={"_reach": ("max", F.col(stop))})
+    overlap = F.raise_error(F.concat(F.lit("intervals overlap at "), F.col(start).cast("string")))
+    a = F.when(F.col("_reach") > F.col(start), overlap.cast(dict(intervals.dtypes)[start])).otherwise(F.col(start))
+    i = checked.select(*keys, a.alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col(start).alias("a"), F.col(stop).alias("b"), F.col(seq).alias("seq")).alias("_i"), F.lit(None).cast(dict(points.dtypes)[stamp]).alias(stamp))
     rows = points.withColumn("_payload", F.struct(*points.columns))
     p = rows.select(*keys, F.col(stamp).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(i.schema["_i"].dataType).alias("_i"), F.col(stamp), "_payload")
     both = i.withColumn("_payload", F.lit(None).cast(rows.schema["_payload"].dataType)).unionByName(p)
-    w = Window.partitionBy(*keys).orderBy("_at", "_kind")
-    before = F.last("_i", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    # Looking ahead as a running value of the opposite order: a frame that is open ahead would be read anew for every row.
-    back = Window.partitionBy(*keys).orderBy(F.col("_at").desc(), F.col("_kind").desc())
-    after = F.last("_i", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
-    out = both.withColumn("_before", before).withColumn("_after", after).where("_kind = 1")
+    both = both.withColumn("_back", -F.col("_at")).withColumn("_kind_back", -F.col("_kind"))
+    once = carried(both, keys, ["_at", "_kind"], width, upto={"_before": ("last", F.col("_i"))})
+    # Looking ahead as a running value of the opposite order.
+    out = carried(once, keys, ["_back", "_kind_back"], width, before={"_after": ("last", F.col("_i"))}).where("_kind = 1")
     t = F.col(stamp)
     far = lambda x: F.when(x.isNotNull(), F.greatest(x["a"] - t, t - x["b"], F.lit(0)))
     da, db = far(F.col("_before")), far(F.col("_after"))
@@ -153,20 +165,32 @@ def nearest_interval(points: DataFrame, intervals: DataFrame, keys: list[str], s
     return out.select("_payload.*", best["seq"].alias("nearest_seq"), distance.alias("distance")).withColumn("within_tolerance", F.coalesce(F.col("distance") <= tolerance, F.lit(False)))
 
 
-def endpoint_correlation(events: DataFrame, flows: DataFrame, slack: int = SECOND) -> DataFrame:
+def endpoint_correlation(events: DataFrame, flows: DataFrame, slack: int = SECOND, block: int = 3_600 * SECOND, strict: bool = False) -> DataFrame:
     """Events (pid, port_a, port_b, t) joined to flows (pid, port_a, port_b, flow, start, stop) of the same process and unordered port pair, where t
-    is within the flow's time and slack; flow is null where none fits."""
-    ports = lambda df: df.withColumn("_lo", F.least("port_a", "port_b")).withColumn("_hi", F.greatest("port_a", "port_b"))
-    left = ports(events).withColumn("_row", F.monotonically_increasing_id())
-    right = ports(flows).select("pid", "_lo", "_hi", "flow", "start", "stop")
-    cond = (left["pid"] == right["pid"]) & (left["_lo"] == right["_lo"]) & (left["_hi"] == right["_hi"]) & (left["t"] >= right["start"] - slack) & (left["t"] <= right["stop"] + slack)
-    return left.join(right, cond, "left").select(*(left[c] for c in events.columns), "flow")
-
+    is within the flow's time and slack; flow is null where none fits, which with strict fails the query.
 
-def rate_limit_violations(events: DataFrame, keys: list[str], stamp: str, window: int, most: int) -> DataFrame:
+    A flow takes part in every block of time that it touches, and an event in its own, so a process that lives long is many small joins. A flow is listed once
+    for each block: choose a block not much shorter than flows are.
+    """
+    ports = lambda df: df.withColumn("_lo", F.least("port_a", "port_b")).withColumn("_hi", F.greatest("port_a", "port_b"))
+    at = lambda c: F.floor(c / F.lit(block)).cast("bigint")
+    left = ports(events).withColumn("_block", at(F.col("t")))
+    spread = F.explode(F.sequence(at(F.col("start") - slack), at(F.col("stop") + slack))).alias("_block")
+    right = ports(flows).select("pid", "_lo", "_hi", "flow", "start", "stop", spread)
+    same = [left[c] == right[c] for c in ("pid", "_lo", "_hi", "_block")]
+    joined = left.join(right, [*same, left["t"] >= right["start"] - slack, left["t"] <= right["stop"] + slack], "left")
+    flow = F.col("flow")
+    if strict:
+        flow = F.when(flow.isNull(), F.raise_error(F.lit("an event has no flow")).cast(dict(flows.dtypes)["flow"])).otherwise(flow)
+    return joined.select(*(left[c] for c in events.columns), flow.alias("flow"))
+
+
+def rate_limit_violations(events: DataFrame, keys: list[str], stamp: str, window: int, most: int, width: int | None = None) -> DataFrame:
     """Rows with more than `most` events in the window that ends at them."""
-    w = Window.partitionBy(*keys).orderBy(stamp).rangeBetween(-(window - 1), 0)
-    return events.withColumn("in_window", F.count(F.lit(1)).over(w)).where(F.col("in_window") > most)
+    rows, by = haloed(events, keys, stamp, window - 1, width)
+    w = Window.partitionBy(*by).orderBy(stamp).rangeBetween(-(window - 1), 0)
+    out = rows.withColumn("in_window", F.count(F.lit(1)).over(w)).where(~F.col("_halo") & (F.col("in_window") > most))
+    return out.select(*events.columns, "in_window")
 
 
 # --- classification -----------------------------------------------------------------------------------------------------
@@ -178,18 +202,29 @@ def event_counts(rows: DataFrame, keys: list[str], event: str) -> DataFrame:
     return counts.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(event, "n")))).alias("events"))
 
 
-def transport_class(rows: DataFrame, keys: list[str], event: str = "event", tcp_state: str = "tcp_state", order: str = "record_index") -> DataFrame:
-    """keys, classification of a connection by the events that occurred; the first that applies, in order of the list."""
+def transport_class(rows: DataFrame, keys: list[str], event: str = "event", tcp_state: str = "tcp_state", order: str = "record_index", expected: DataFrame | None = None) -> DataFrame:
+    """keys, classification, error of a connection's journal; the first class that applies, in order of the list.
+
+    rows: keys, order, event, tcp_state, and of the terminal (event TRANSPORT_TERMINAL) status and received. error: no terminal, no received count in it, or a count other than
+    expected (keys, received); such a connection has no classification.
+    """
     has = lambda name: F.bool_or(F.col(event) == name)
     last_tcp = F.max_by(tcp_state, F.when(F.col(tcp_state).isNotNull(), F.col(order)))
+    terminal = F.when(F.col(event) == "TRANSPORT_TERMINAL", F.col(order))
     # Events and their classes, by priority.
     kind = (
-        F.when(has("STOPPED"), "CLEAN_CLIENT_STOP").when(has("SUPERVISOR_FAILURE_STOP"), "SUPERVISOR_FAILURE_STOP_OBSERVED").when(has("CONNECT_FAILED"), "CONNECT_FAILURE_OBSERVED")
+        F.when(F.max_by("status", terminal) == "STOPPED", "CLEAN_CLIENT_STOP").when(has("SUPERVISOR_FAILURE_STOP"), "SUPERVISOR_FAILURE_STOP_OBSERVED").when(has("CONNECT_FAILED"), "CONNECT_FAILURE_OBSERVED")
         .when(has("WEBSOCKET_UPGRADE_REJECTED"), "WEBSOCKET_UPGRADE_REJECTION_OBSERVED").when(has("WEBSOCKET_CLOSE"), "WEBSOCKET_CLOSE_FRAME_OBSERVED").when(has("SOCKET_READ_ERROR"), "SOCKET_READ_ERROR_OBSERVED")
-        .when(has("TRANSPORT_DEADLINE") & (last_tcp == "ESTABLISHED"), "TRANSPORT_SILENCE_TCP_ESTABLISHED").when(has("TRANSPORT_DEADLINE"), "TRANSPORT_SILENCE_TCP_NOT_ESTABLISHED")
-        .otherwise("LOCAL_PRODUCER_FAILURE")
+        .when(has("TRANSPORT_DEADLINE") & (last_tcp == "ESTABLISHED"), "TRANSPORT_SILENCE_WITH_LOCAL_TCP_ESTABLISHED").when(has("TRANSPORT_DEADLINE"), "TRANSPORT_SILENCE_WITHOUT_LOCAL_ESTABLISHED_PROOF")
+        .otherwise("LOCAL_PRODUCER_FAILURE_WITHOUT_TRANSPORT_SUBTYPE")
     )
-    return rows.groupBy(*keys).agg(kind.alias("classification"))
+    out = rows.groupBy(*keys).agg(kind.alias("_kind"), F.max_by("status", terminal).alias("_status"), F.max_by("received", terminal).alias("_received"))
+    error = F.when(F.col("_status").isNull(), "no terminal status").when(F.col("_received").isNull(), "no received count")
+    if expected is not None:
+        out = out.join(expected.select(*keys, F.col("received").alias("_expected")), keys, "left")
+        error = error.when(~F.col("_received").eqNullSafe(F.col("_expected")), "received count differs")
+    out = out.withColumn("error", error)
+    return out.select(*keys, F.when(F.col("error").isNull(), F.col("_kind")).alias("classification"), "error")
 
 
 def witness_class(dns: Column, tcp: Column, routes: Column, interfaces: Column, venue: str = "VENUE", independent: str = "INDEPENDENT_INTERNET") -> Column:

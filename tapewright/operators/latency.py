@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import carried, haloed, row_halo
+
 
 def clock_offset(server: Column, sent: Column, rtt: Column) -> Column:
     """Server time minus local time, half the round trip after sending."""
@@ -20,10 +22,9 @@ def median(df: DataFrame, keys: list[str], *values: str) -> DataFrame:
     return df.groupBy(*keys).agg(*(F.median(v).alias(f"median_{v}") for v in values))
 
 
-def inter_arrival(df: DataFrame, keys: list[str], stamp: str, order: str | None = None) -> DataFrame:
-    """Adds gap: time since the previous row of the key, null for the first."""
-    w = Window.partitionBy(*keys).orderBy(*([order] if order else [stamp]))
-    return df.withColumn("gap", F.col(stamp) - F.lag(stamp).over(w))
+def inter_arrival(df: DataFrame, keys: list[str], stamp: str, order: str | None = None, width: int | None = None) -> DataFrame:
+    """Adds gap: time since the previous row of the key, null for the first. width: see ordered.carried."""
+    return carried(df, keys, order or stamp, width, prev={"_was": F.col(stamp)}).withColumn("gap", F.col(stamp) - F.col("_was")).drop("_was")
 
 
 def _ranked(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -58,17 +59,21 @@ def latency_report(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return rest.join(wide, keys) if keys else rest.crossJoin(wide)
 
 
-def sliding_rate(df: DataFrame, keys: list[str], stamp: str, window: int) -> DataFrame:
+def sliding_rate(df: DataFrame, keys: list[str], stamp: str, window: int, width: int | None = None) -> DataFrame:
     """Adds in_window: rows of the key in the window that ends at the row; its rate is in_window / window at any time."""
-    w = Window.partitionBy(*keys).orderBy(stamp).rangeBetween(-window, 0)
-    return df.withColumn("in_window", F.count(F.lit(1)).over(w))
+    rows, by = haloed(df, keys, stamp, window, width)
+    w = Window.partitionBy(*by).orderBy(stamp).rangeBetween(-window, 0)
+    return rows.withColumn("in_window", F.count(F.lit(1)).over(w)).where(~F.col("_halo")).select(*df.columns, "in_window")
 
 
-def sample_slope(df: DataFrame, keys: list[str], stamp: str, value: str, samples: int = 32, ties: str | None = None) -> DataFrame:
+def sample_slope(df: DataFrame, keys: list[str], stamp: str, value: str, samples: int = 32, ties: str | None = None, width: int | None = None) -> DataFrame:
     """Adds slope: (last - first value) / (last - first time) over the latest samples, null where time stands still; ties orders equal times."""
-    w = Window.partitionBy(*keys).orderBy(*[stamp, *([ties] if ties else [])]).rowsBetween(-(samples - 1), 0)
+    order = [stamp, *([ties] if ties else [])]
+    rows, by = row_halo(df, keys, order, samples - 1, width)
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(-(samples - 1), 0)
     rise, run = F.col(value) - F.first(value).over(w), F.col(stamp) - F.first(stamp).over(w)
-    return df.withColumn("slope", F.when(run > 0, rise.cast("double") / run))
+    out = rows.withColumn("slope", F.when(run > 0, rise.cast("double") / run)).where(~F.col("_halo"))
+    return out.select(*df.columns, "slope")
 
 
 def anticipation(df: DataFrame, keys: list[str], stamp: str, rtt: str, connected: str, window: int, expected: int, slope_limit: float, rotate_after: int) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.digests import ZERO_DIGEST
+from .ordered import WIDTH, carried
 
 
 def proven(published: DataFrame, evidence: DataFrame, on: list[str]) -> DataFrame:
@@ -39,13 +40,17 @@ def evidence_map(rows: DataFrame, keys: list[str], id_col: str, digest: str) ->
     return rows.groupBy(*keys, id_col).agg(F.sort_array(F.collect_set(digest)).alias("evidence"), F.count(F.lit(1)).alias("copies"))
 
 
-def covers(frames: DataFrame, points: DataFrame, keys: list[str], point: str, first: str = "first_sequence", final: str = "final_sequence", width: int = 1_024) -> DataFrame:
-    """Points with covered: some frame has first <= point <= final. Frames spread over blocks of ids, so the join is an equi-join."""
-    at = F.explode(F.sequence(F.expr(f"{first} div {width}"), F.expr(f"{final} div {width}"))).alias("_block")
-    spread = frames.select(*keys, first, final, at)
-    asked = points.withColumn("_block", F.expr(f"{point} div {width}")).withColumn("_row", F.monotonically_increasing_id())
-    hit = asked.join(spread, [*keys, "_block"]).where((F.col(first) <= F.col(point)) & (F.col(point) <= F.col(final))).select(*keys, point).distinct().withColumn("covered", F.lit(True))
-    return points.join(hit, [*keys, point], "left").withColumn("covered", F.coalesce("covered", F.lit(False)))
+def covers(frames: DataFrame, points: DataFrame, keys: list[str], point: str, first: str = "first_sequence", final: str = "final_sequence", width: int | None = WIDTH) -> DataFrame:
+    """Points with covered: some frame has first <= point <= final.
+
+    Frames and points are put in one order by first id and point; a point is covered if the highest final id of all frames that start at or before it
+    reaches it. One running maximum: frames of any length cost one row each.
+    """
+    kind = dict(points.dtypes)[point]
+    f = frames.select(*keys, F.col(first).cast(kind).alias("_at"), F.lit(0).alias("_kind"), F.col(final).cast(kind).alias("_final"))
+    p = points.select(*points.columns, F.col(point).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(kind).alias("_final"))
+    both = carried(p.unionByName(f, allowMissingColumns=True), keys, ["_at", "_kind"], width, upto={"_reach": ("max", F.col("_final"))})
+    return both.where("_kind = 1").select(*points.columns, F.coalesce(F.col("_reach") >= F.col(point), F.lit(False)).alias("covered"))
 
 
 def foreign_keys(child: DataFrame, parent: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
@@ -81,7 +86,7 @@ def journal_context(journal: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def journal_violations(journal: DataFrame, keys: list[str], context: DataFrame | None = None) -> DataFrame:
+def journal_violations(journal: DataFrame, keys: list[str], context: DataFrame | None = None, width: int | None = WIDTH) -> DataFrame:
     """All rule breaks of arbitration journals: keys, record_index, rule, in order by record_index.
 
     context: journal_context of the part before, if journal holds later records only; the result is the same as of an audit of the whole.
@@ -90,28 +95,25 @@ def journal_violations(journal: DataFrame, keys: list[str], context: DataFrame |
     gaps; hash chain; starts with a start event; nothing after the terminal; published trades rise; depth continues exactly, except after GAP or start; GAP
     states the current cursor; REBOOTSTRAP follows GAP; the next frame's lane and first id fit the rebootstrap; terminal counters equal the events seen.
     """
-    w = Window.partitionBy(*keys).orderBy("record_index")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
     if context is not None:
         journal = journal.join(context, keys, "left")
     known = lambda name, otherwise: F.coalesce(F.col(name), otherwise) if context is not None else otherwise
     ev = F.col("event")
     is_ = lambda name: ev == name
-    floor = F.max(F.when(is_("ARBITRATION_STARTED") | is_("ARBITRATION_RESUMED"), F.col("trade_floor"))).over(before)
-    last_trade = F.max(F.when(is_("TRADE_OBSERVATION"), F.col("trade_id"))).over(before)
     depth_event = F.when(is_("DEPTH_OBSERVATION") | is_("GAP") | is_("DEPTH_REBOOTSTRAP"), F.struct(ev.alias("event"), F.col("final_sequence").alias("final"), F.col("lane").alias("lane"), F.col("snapshot_last_update_id").alias("snap")))
-    last_depth = F.last(depth_event, ignorenulls=True).over(before)
-    cursor = F.last(F.when(is_("DEPTH_OBSERVATION"), F.col("final_sequence")), ignorenulls=True).over(before)
-    count = lambda cond, c: F.count_if(cond).over(before) + known(c, F.lit(0))
+    one = lambda cond: ("sum", F.when(cond, 1).otherwise(0).cast("bigint"))
+    before = {
+        "_n": ("sum", F.lit(1).cast("bigint")), "_floor": ("max", F.when(is_("ARBITRATION_STARTED") | is_("ARBITRATION_RESUMED"), F.col("trade_floor"))),
+        "_last": ("max", F.when(is_("TRADE_OBSERVATION"), F.col("trade_id"))), "_depth": ("last", depth_event), "_cursor": ("last", F.when(is_("DEPTH_OBSERVATION"), F.col("final_sequence"))),
+        "_ends": ("max", F.when(is_("ARBITRATION_TERMINAL"), 1).otherwise(0)), "_t": one(is_("TRADE_OBSERVATION")), "_d": one(is_("DEPTH_OBSERVATION")), "_g": one(is_("GAP")), "_c": one(is_("TRADE_LATE_CORRECTION")),
+    }
+    rows = carried(journal, keys, "record_index", width, prev={"_prev": F.col("record_sha256")}, before=before)
+    zero = F.lit(0).cast("bigint")
+    plus = {"_n": "c_n", "_t": "c_t", "_d": "c_d", "_g": "c_g", "_c": "c_c"}
+    rows = rows.withColumns({n: F.coalesce(F.col(n), zero) + known(c, zero) for n, c in plus.items()})
+    rows = rows.withColumn("_prev", F.coalesce("_prev", known("c_prev", F.lit(ZERO_DIGEST)))).withColumn("_ended", F.coalesce(F.col("_ends") == 1, F.lit(False)) | known("c_ended", F.lit(False)))
     if context is not None:
-        floor, last_trade = F.greatest(floor, F.col("c_floor")), F.greatest(last_trade, F.col("c_last"))
-        last_depth, cursor = F.coalesce(last_depth, F.col("c_depth")), F.coalesce(cursor, F.col("c_cursor"))
-    terminal_before = F.max(F.when(is_("ARBITRATION_TERMINAL"), 1).otherwise(0)).over(before) == 1
-    previous = F.coalesce(F.lag("record_sha256").over(w), known("c_prev", F.lit(ZERO_DIGEST)))
-    rows = journal.withColumns({
-        "_n": (F.row_number().over(w) - 1 + known("c_n", F.lit(0))).cast("bigint"), "_prev": previous, "_floor": floor, "_last": last_trade, "_depth": last_depth, "_cursor": cursor, "_ended": F.coalesce(terminal_before, F.lit(False)) | known("c_ended", F.lit(False)),
-        "_t": count(is_("TRADE_OBSERVATION"), "c_t"), "_d": count(is_("DEPTH_OBSERVATION"), "c_d"), "_g": count(is_("GAP"), "c_g"), "_c": count(is_("TRADE_LATE_CORRECTION"), "c_c"),
-    })
+        rows = rows.withColumns({"_floor": F.greatest("_floor", "c_floor"), "_last": F.greatest("_last", "c_last"), "_depth": F.coalesce("_depth", "c_depth"), "_cursor": F.coalesce("_cursor", "c_cursor")})
     d = F.col("_depth")
     rules = {
         "unknown event": ~ev.isin(*EVENTS),
@@ -143,6 +145,25 @@ def strict(violations: DataFrame, order: list[str]) -> None:
         raise ValueError(f"verification failed: {first.asDict()}")
 
 
+def verify_depth(journal: DataFrame, raw_frames: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, unproven, omitted: published depth against raw frames (keys, lane, first_sequence, final_sequence, observation_sha256).
+
+    unproven: published frames that no raw variant of the same lane, ids and digest proves. omitted: final ids of raw frames, above the first published one and up to
+    the last, that no published frame covers and that no recorded gap (reason with canonical_last_sequence, up to the next published first id) explains.
+    """
+    on = [*keys, "lane", "final_sequence", "first_sequence", "observation_sha256"]
+    shown = journal.where("event = 'DEPTH_OBSERVATION'").select(*on)
+    unproven = invented(shown, raw_frames, on).groupBy(*keys).agg(F.count(F.lit(1)).alias("unproven"))
+    ends = shown.groupBy(*keys).agg(F.min("first_sequence").alias("_low"), F.max("final_sequence").alias("_high"))
+    opened = carried(journal.where("event in ('DEPTH_OBSERVATION', 'GAP')"), keys, "record_index", nxt={"_next": F.when(F.col("event") == "DEPTH_OBSERVATION", F.col("first_sequence"))})
+    gaps = opened.where("event = 'GAP'").select(*keys, (F.col("canonical_last_sequence") + 1).alias("first_sequence"), (F.coalesce("_next", F.lit(2**62)) - 1).alias("final_sequence"))
+    points = raw_frames.select(*keys, "final_sequence").distinct().join(ends, keys).where("final_sequence > _low and final_sequence <= _high").select(*keys, F.col("final_sequence").alias("point"))
+    left = covers(shown.select(*keys, "first_sequence", "final_sequence").unionByName(gaps), points, keys, "point").where("not covered")
+    omitted = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("omitted"))
+    out = ends.select(*keys).join(unproven, keys, "left").join(omitted, keys, "left")
+    return out.select(*keys, F.coalesce("unproven", F.lit(0)).cast("bigint").alias("unproven"), F.coalesce("omitted", F.lit(0)).cast("bigint").alias("omitted"))
+
+
 def verify_union(journal: DataFrame, raw_trades: DataFrame, keys: list[str]) -> DataFrame:
     """keys, missing, invented: published trades and unknown corrections against the distinct raw union above the floor."""
     floors = journal.where("event in ('ARBITRATION_STARTED', 'ARBITRATION_RESUMED')").groupBy(*keys).agg(F.min("trade_floor").alias("_floor"))

@@ -1,7 +1,7 @@
 """Sequence operators over ordered event rows: duplicates, jumps, chains, prefixes, islands.
 
-Every window is partitioned by the caller's keys (symbol, stream, epoch, file ...), so work spreads over the cluster and no
-partition grows with the whole input.
+Windows are by the caller's keys (symbol, stream, epoch, file ...) and split within a key by `ordered.carried`, so that a hot key is no task of its own; width is
+the span of the order column in one block, None where keys are known to be small.
 """
 
 from __future__ import annotations
@@ -10,18 +10,19 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.digests import ZERO_DIGEST
+from .ordered import WIDTH, carried, positions
 
 
 def by(keys: list[str], order: str | list[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*([order] if isinstance(order, str) else order))
 
 
-def arrival_steps(df: DataFrame, keys: list[str], id_col: str, order: str) -> DataFrame:
+def arrival_steps(df: DataFrame, keys: list[str], id_col: str, order: str, width: int | None = WIDTH) -> DataFrame:
     """Adds prev_id and step: first, duplicate, out_of_order, jump or next, against the previous row in arrival order."""
-    prev = F.lag(id_col).over(by(keys, order))
-    v = F.col(id_col)
+    rows = carried(df, keys, order, width, prev={"prev_id": F.col(id_col)})
+    v, prev = F.col(id_col), F.col("prev_id")
     step = F.when(prev.isNull(), "first").when(v == prev, "duplicate").when(v < prev, "out_of_order").when(v > prev + 1, "jump").otherwise("next")
-    return df.withColumn("prev_id", prev).withColumn("step", step)
+    return rows.withColumn("step", step)
 
 
 def identity_report(df: DataFrame, keys: list[str], id_col: str, order: str) -> DataFrame:
@@ -40,51 +41,49 @@ def strict_violations(df: DataFrame, keys: list[str], id_col: str, order: str) -
     return arrival_steps(df, keys, id_col, order).where("step in ('duplicate', 'out_of_order')")
 
 
-def bridge_status(df: DataFrame, keys: list[str], first: str, final: str, order: str) -> DataFrame:
+def bridge_status(df: DataFrame, keys: list[str], first: str, final: str, order: str, width: int | None = WIDTH) -> DataFrame:
     """Adds bridged: first <= previous final + 1 <= final (the first row of a key is bridged)."""
-    prev = F.lag(final).over(by(keys, order))
-    return df.withColumn("prev_final", prev).withColumn("bridged", prev.isNull() | ((F.col(first) <= prev + 1) & (prev + 1 <= F.col(final))))
+    prev = F.col("prev_final")
+    return carried(df, keys, order, width, prev={"prev_final": F.col(final)}).withColumn("bridged", prev.isNull() | ((F.col(first) <= prev + 1) & (prev + 1 <= F.col(final))))
 
 
-def contiguity_status(df: DataFrame, keys: list[str], id_col: str, order: str) -> DataFrame:
+def contiguity_status(df: DataFrame, keys: list[str], id_col: str, order: str, width: int | None = WIDTH) -> DataFrame:
     """Adds contiguous: id = previous id + 1."""
-    prev = F.lag(id_col).over(by(keys, order))
-    return df.withColumn("prev_id", prev).withColumn("contiguous", prev.isNull() | (F.col(id_col) == prev + 1))
+    prev = F.col("prev_id")
+    return carried(df, keys, order, width, prev={"prev_id": F.col(id_col)}).withColumn("contiguous", prev.isNull() | (F.col(id_col) == prev + 1))
 
 
-def frontier_class(df: DataFrame, keys: list[str], first: str, final: str, order: str) -> DataFrame:
+def frontier_class(df: DataFrame, keys: list[str], first: str, final: str, order: str, width: int | None = WIDTH) -> DataFrame:
     """Adds expected (one above the highest final so far) and frontier: START, CONTIGUOUS, MISSING, STRADDLE or COVERED."""
-    before = by(keys, order).rowsBetween(Window.unboundedPreceding, -1)
-    expected = F.max(final).over(before) + 1
-    a, b = F.col(first), F.col(final)
+    rows = carried(df, keys, order, width, before={"expected": ("max", F.col(final) + 1)})
+    a, b, expected = F.col(first), F.col(final), F.col("expected")
     kind = F.when(expected.isNull(), "START").when(b < expected, "COVERED").when(a == expected, "CONTIGUOUS").when(a > expected, "MISSING").otherwise("STRADDLE")
-    return df.withColumn("expected", expected).withColumn("frontier", kind)
+    return rows.withColumn("frontier", kind)
 
 
-def hash_chain(df: DataFrame, keys: list[str], order: str, digest: str = "record_sha256", previous: str = "previous_record_sha256", genesis: str = ZERO_DIGEST) -> DataFrame:
+def hash_chain(df: DataFrame, keys: list[str], order: str, digest: str = "record_sha256", previous: str = "previous_record_sha256", genesis: str = ZERO_DIGEST, width: int | None = WIDTH) -> DataFrame:
     """Adds chained: the stored previous digest equals the digest of the row before (genesis for the first)."""
-    want = F.coalesce(F.lag(digest).over(by(keys, order)), F.lit(genesis))
-    return df.withColumn("chained", F.col(previous).eqNullSafe(want))
+    rows = carried(df, keys, order, width, prev={"_want": F.col(digest)})
+    return rows.withColumn("chained", F.col(previous).eqNullSafe(F.coalesce("_want", F.lit(genesis)))).drop("_want")
 
 
-def valid_prefix(df: DataFrame, keys: list[str], order: str, good: Column) -> DataFrame:
+def valid_prefix(df: DataFrame, keys: list[str], order: str, good: Column, width: int | None = WIDTH) -> DataFrame:
     """Rows before the first one that is not good; everything after it is cut, good or not."""
-    upto = by(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    bad = F.max(F.when(F.coalesce(good, F.lit(False)), 0).otherwise(1)).over(upto)
-    return df.withColumn("_bad", bad).where("_bad = 0").drop("_bad")
+    bad = F.when(F.coalesce(good, F.lit(False)), 0).otherwise(1)
+    return carried(df, keys, order, width, upto={"_bad": ("max", bad)}).where("_bad = 0").drop("_bad")
 
 
-def trusted_prefix(df: DataFrame, keys: list[str], first: str, final: str, order: str, start: str) -> DataFrame:
+def trusted_prefix(df: DataFrame, keys: list[str], first: str, final: str, order: str, start: str, width: int | None = WIDTH) -> DataFrame:
     """Rows that bridge without a break from the snapshot id in column start; the first jump ends trust."""
-    prev = F.coalesce(F.lag(final).over(by(keys, order)), F.col(start))
-    ok = df.withColumn("_ok", (F.col(first) <= prev + 1) & (prev + 1 <= F.col(final)))
-    return valid_prefix(ok, keys, order, F.col("_ok")).drop("_ok")
+    rows = carried(df, keys, order, width, prev={"_prev": F.col(final)}).withColumn("_prev", F.coalesce("_prev", F.col(start)))
+    ok = (F.col(first) <= F.col("_prev") + 1) & (F.col("_prev") + 1 <= F.col(final))
+    return valid_prefix(rows, keys, order, ok, width).drop("_prev")
 
 
-def frame_contiguity(df: DataFrame, keys: list[str], frame: str, order: str | None = None, start: int = 0) -> DataFrame:
+def frame_contiguity(df: DataFrame, keys: list[str], frame: str, order: str | list[str] | None = None, start: int = 0, width: int | None = WIDTH) -> DataFrame:
     """Rows whose frame index is not their position counted from start."""
-    position = F.row_number().over(by(keys, order or frame)) - 1 + start
-    return df.withColumn("expected_frame", position.cast("bigint")).where(F.col(frame) != F.col("expected_frame"))
+    rows = positions(df, keys, order or frame, width, "expected_frame").withColumn("expected_frame", F.col("expected_frame") + start)
+    return rows.where(F.col(frame) != F.col("expected_frame"))
 
 
 def segment_transitions(df: DataFrame, keys: list[str], order: str = "segment_index") -> DataFrame:
@@ -98,22 +97,20 @@ def segment_transitions(df: DataFrame, keys: list[str], order: str = "segment_in
     return df.withColumn("reason", reason).where("reason is not null")
 
 
-def monotone_violations(df: DataFrame, keys: list[str], order: str, counters: list[str]) -> DataFrame:
-    """Rows in which a counter falls, with the names of those that do."""
-    w = by(keys, order)
-    fallen = F.array_compact(F.array(*(F.when(F.col(c) < F.lag(c).over(w), F.lit(c)) for c in counters)))
-    return df.withColumn("fallen", fallen).where(F.size("fallen") > 0)
+def monotone_violations(df: DataFrame, keys: list[str], order: str, counters: list[str], not_above: list[tuple[str, str]] | None = None, width: int | None = WIDTH) -> DataFrame:
+    """Rows in which a counter falls, or a counter is above one that bounds it (pairs low, high), with the names of those that do: `low>high` for the latter."""
+    rows = carried(df, keys, order, width, prev={f"_was_{c}": F.col(c) for c in counters})
+    fallen = [F.when(F.col(c) < F.col(f"_was_{c}"), F.lit(c)) for c in counters] + [F.when(F.col(a) > F.col(b), F.lit(f"{a}>{b}")) for a, b in not_above or []]
+    return rows.withColumn("fallen", F.array_compact(F.array(*fallen))).where(F.size("fallen") > 0).drop(*(f"_was_{c}" for c in counters))
 
 
-def gap_islands(df: DataFrame, keys: list[str], id_col: str, low: int | None = None, high: Column | None = None) -> DataFrame:
+def gap_islands(df: DataFrame, keys: list[str], id_col: str, low: int | None = None, high: Column | None = None, width: int | None = WIDTH) -> DataFrame:
     """Missing ids as ranges: keys, first_missing, last_missing, n_missing. Ranges come from neighbours, ids are never listed.
 
     low and high (an expression constant within a key) add the ranges before the first and after the last id.
     """
     seen = df.groupBy(*keys, id_col).agg(F.first(high if high is not None else F.lit(None).cast("bigint")).alias("_high"))
-    w = by(keys, id_col)
-    nxt, prev = F.lead(id_col).over(w), F.lag(id_col).over(w)
-    rows = seen.withColumn("_next", nxt).withColumn("_prev", prev)
+    rows = carried(seen, keys, id_col, width, prev={"_prev": F.col(id_col)}, nxt={"_next": F.col(id_col)})
     v = F.col(id_col)
     inner = F.struct((v + 1).alias("a"), (F.col("_next") - 1).alias("b"))
     parts = [F.when(F.col("_next") > v + 1, inner)]
@@ -125,38 +122,39 @@ def gap_islands(df: DataFrame, keys: list[str], id_col: str, low: int | None = N
     return out.select(*keys, F.col("g.a").alias("first_missing"), F.col("g.b").alias("last_missing"), (F.col("g.b") - F.col("g.a") + 1).alias("n_missing"))
 
 
-def intersect_ranges(a: DataFrame, b: DataFrame, keys: list[str], width: int = 65_536) -> DataFrame:
-    """Common parts of two relations of disjoint ranges [first_missing, last_missing], joined by blocks of width ids.
+def intersect_ranges(a: DataFrame, b: DataFrame, keys: list[str], width: int | None = WIDTH) -> DataFrame:
+    """Common parts of two relations of disjoint ranges [first_missing, last_missing], by one ordered pass over the edges of both.
 
-    A range spreads over the blocks it touches, so the join is an equi-join however long the ranges are.
+    The edges of all ranges are put in order; between two neighbouring edges a stretch is common where both relations are open. Nothing is listed id by id or
+    block by block, so ranges may be of any length.
     """
 
-    def blocks(df: DataFrame, tag: str) -> DataFrame:
-        at = F.explode(F.sequence(F.expr(f"first_missing div {width}"), F.expr(f"last_missing div {width}"))).alias("block")
-        return df.select(*keys, F.col("first_missing").alias(f"f{tag}"), F.col("last_missing").alias(f"l{tag}"), at)
+    def edges(df: DataFrame, side: int) -> DataFrame:
+        ends = F.array(F.struct(F.col("first_missing").alias("at"), F.lit(1).alias("d")), F.struct((F.col("last_missing") + 1).alias("at"), F.lit(-1).alias("d")))
+        out = df.select(*keys, F.explode(ends).alias("e"))
+        return out.select(*keys, "e.at", *(F.when(F.lit(side == i), F.col("e.d")).otherwise(0).cast("bigint").alias(f"d{i}") for i in (0, 1)))
 
-    both = blocks(a, "a").join(blocks(b, "b"), [*keys, "block"])
-    low, high = F.greatest("fa", "fb"), F.least("la", "lb")
-    once = both.where(low <= high).where(F.col("block") == F.call_function("div", low, F.lit(width).cast("bigint")))
-    return once.select(*keys, low.alias("first_missing"), high.alias("last_missing"), (high - low + 1).alias("n_missing"))
+    steps = edges(a, 0).unionByName(edges(b, 1)).groupBy(*keys, "at").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1"))
+    rows = carried(steps, keys, "at", width, nxt={"until": F.col("at")}, upto={"open0": ("sum", F.col("d0")), "open1": ("sum", F.col("d1"))})
+    both = rows.where("open0 > 0 and open1 > 0").select(*keys, F.col("at").alias("first_missing"), (F.col("until") - 1).alias("last_missing"))
+    return both.withColumn("n_missing", F.col("last_missing") - F.col("first_missing") + 1)
 
 
-def runs(df: DataFrame, keys: list[str], order: str, value: str, stamp: str) -> DataFrame:
+def runs(df: DataFrame, keys: list[str], order: str, value: str, stamp: str, width: int | None = WIDTH) -> DataFrame:
     """Runs of equal neighbours: keys, value, first and last order, first and last stamp, n."""
-    w = by(keys, order)
-    change = F.when(F.col(value).eqNullSafe(F.lag(value).over(w)) & F.lag(order).over(w).isNotNull(), 0).otherwise(1)
-    marked = df.withColumn("_change", change).withColumn("_run", F.sum("_change").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    was = carried(df, keys, order, width, prev={"_was": F.struct(F.col(value).alias("v"))})
+    change = F.when(F.col("_was").isNotNull() & F.col(value).eqNullSafe(F.col("_was.v")), 0).otherwise(1)
+    marked = carried(was, keys, order, width, upto={"_run": ("sum", change)})
     out = marked.groupBy(*keys, "_run", value).agg(F.min(order).alias(f"first_{order}"), F.max(order).alias(f"last_{order}"), F.min(stamp).alias(f"first_{stamp}"), F.max(stamp).alias(f"last_{stamp}"), F.count(F.lit(1)).alias("n"))
     return out.drop("_run")
 
 
-def published_duplicates(df: DataFrame, keys: list[str], id_col: str, digest: str, order: str) -> DataFrame:
+def published_duplicates(df: DataFrame, keys: list[str], id_col: str, digest: str, order: str, width: int | None = WIDTH) -> DataFrame:
     """Adds disposition against the row before: NEW, DUPLICATE (equal id and digest), CONFLICT (equal id) or STALE (smaller id)."""
-    w = by(keys, order)
-    pid, pd_ = F.lag(id_col).over(w), F.lag(digest).over(w)
-    v = F.col(id_col)
-    kind = F.when(pid.isNull() | (v > pid), "NEW").when(v < pid, "STALE").when(F.col(digest) == pd_, "DUPLICATE").otherwise("CONFLICT")
-    return df.withColumn("disposition", kind)
+    rows = carried(df, keys, order, width, prev={"_pid": F.col(id_col), "_pd": F.col(digest)})
+    v, pid = F.col(id_col), F.col("_pid")
+    kind = F.when(pid.isNull() | (v > pid), "NEW").when(v < pid, "STALE").when(F.col(digest) == F.col("_pd"), "DUPLICATE").otherwise("CONFLICT")
+    return rows.withColumn("disposition", kind).drop("_pid", "_pd")
 
 
 def floor_chain(segments: DataFrame, keys: list[str], order: str = "segment_index") -> DataFrame:

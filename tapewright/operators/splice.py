@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import WIDTH, carried
 
-def convergence(predecessor: DataFrame, successor: DataFrame, keys: list[str], seq: str = "final_sequence", digest: str = "observation_sha256", first: str = "first_sequence", order: str = "frame_index") -> DataFrame:
+
+def convergence(predecessor: DataFrame, successor: DataFrame, keys: list[str], seq: str = "final_sequence", digest: str = "observation_sha256", first: str = "first_sequence", order: str = "frame_index", width: int | None = WIDTH) -> DataFrame:
     """keys, boundary, pred_frame, succ_frame, next_first, next_final: the largest sequence on which both sides hold equal digests and after which
     the successor goes on without a break. An equi-join on sequence and digest; no side is assumed small."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    ahead = successor.withColumn("next_first", F.lead(first).over(w)).withColumn("next_final", F.lead(seq).over(w))
+    ahead = carried(successor, keys, order, width, nxt={"next_first": F.col(first), "next_final": F.col(seq)})
     left = predecessor.select(*keys, F.col(seq).alias("boundary"), F.col(digest).alias("_d"), F.col(order).alias("pred_frame"))
     right = ahead.select(*keys, F.col(seq).alias("boundary"), F.col(digest).alias("_d"), F.col(order).alias("succ_frame"), "next_first", "next_final")
     both = left.join(right, [*keys, "boundary", "_d"])

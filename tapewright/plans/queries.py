@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from ..functions import decimals, digests, hdr, wire
 from ..operators import book, coverage, latency, oracle, seq, sessions, splice, union
+from ..operators.ordered import WIDTH, carried
 from .feed import DIFFS, FEED, LANES, LEVELS, PERTURBED, diffs, feed, lanes, levels, perturbed, row_order, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 SYM = ["sym"]
+#: Blocks of windows by time, in microseconds.
+DAY_US = 86_400_000_000
 
 
 def query(sql: str | None = None):
@@ -98,8 +101,9 @@ CHAIN_SQL = f"with {FEED}, own as (select sym, id, sha256(eid::VARCHAR) as recor
 
 def chain(spark, d) -> DataFrame:
     own = feed(spark, d).select("sym", "id", F.sha2(F.col("eid").cast("string"), 256).alias("record_sha256"))
-    before = F.coalesce(F.lag("record_sha256").over(seq.by(SYM, "id")), F.lit(digests.ZERO_DIGEST))
-    return own.withColumn("previous_record_sha256", F.when(F.col("id") % 37 == 5, F.repeat(F.lit("f"), 64)).otherwise(before))
+    before = F.coalesce("_before", F.lit(digests.ZERO_DIGEST))
+    rows = carried(own, SYM, "id", prev={"_before": F.col("record_sha256")})
+    return rows.withColumn("previous_record_sha256", F.when(F.col("id") % 37 == 5, F.repeat(F.lit("f"), 64)).otherwise(before)).drop("_before")
 
 
 @query(f"{CHAIN_SQL}, v as (select *, coalesce(lag(record_sha256) over (partition by sym order by id), repeat('0', 64)) as want from chain) select sym, id, record_sha256 from v where previous_record_sha256 <> want")
@@ -122,7 +126,7 @@ def trusted_prefix(spark, d):
 @query("with p as (select l_orderkey, l_partkey, l_linenumber, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as expected_frame from lineitem) select l_orderkey, l_partkey, l_linenumber, expected_frame from p where l_linenumber <> expected_frame")
 def lineitem_contiguity(spark, d):
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_linenumber")
-    bad = seq.frame_contiguity(rows, ["l_orderkey"], "l_linenumber", ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], start=1)  # type: ignore[arg-type]
+    bad = seq.frame_contiguity(rows, ["l_orderkey"], "l_linenumber", ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], start=1, width=None)  # an order has few lines
     return bad.select("l_orderkey", "l_partkey", "l_linenumber", "expected_frame")
 
 
@@ -136,8 +140,8 @@ SEGMENTS = f"""with {FEED}, s as (select sym, (us - min(us) over (partition by s
 
 def segments(spark, d) -> DataFrame:
     f = feed(spark, d)
-    start = F.min("us").over(Window.partitionBy("sym"))
-    return f.withColumn("segment_index", coverage.segment_of(F.col("us"), start, 43_200_000_000))
+    start = f.groupBy("sym").agg(F.min("us").alias("_start"))
+    return f.join(start, "sym").withColumn("segment_index", coverage.segment_of(F.col("us"), F.col("_start"), 43_200_000_000)).drop("_start")
 
 
 @query(f"{SEGMENTS} select sym, segment_index, count(*) as records, min(id) as first_frame, max(id) as last_frame, CAST(sum(qty) AS DECIMAL(28,8)) as qty from s group by all")
@@ -261,7 +265,7 @@ def published_proof(spark, d):
     return oracle.proven(rows.where("lane = 'S'"), rows.where("lane = 'P'"), ["sym", "id", "digest"]).groupBy("sym").agg(F.count(F.lit(1)).alias("proven"))
 
 
-@query(f"with {FEED}, {LANES}, a as (select sym, id, digest from lane_rows where lane = 'P'), b as (select sym, id, digest from lane_rows where lane = 'S') select (select count(*) from (select * from a except all select * from b)) as only_a, (select count(*) from (select * from b except all select * from a)) as only_b, false as equal")
+@query(f"with {FEED}, {LANES}, a as (select sym, id, digest from lane_rows where lane = 'P'), b as (select sym, id, digest from lane_rows where lane = 'S'), n as (select (select count(*) from (select * from a except all select * from b)) as only_a, (select count(*) from (select * from b except all select * from a)) as only_b) select *, only_a = 0 and only_b = 0 as equal from n")
 def set_equality(spark, d):
     rows = lanes(spark, d).select("sym", "id", "digest", "lane")
     a, b = rows.where("lane = 'P'").drop("lane"), rows.where("lane = 'S'").drop("lane")
@@ -289,8 +293,9 @@ def layered_provenance(spark, d):
 
 # --- splices ------------------------------------------------------------------------------------------------------------
 
-EPOCHS = f"""{FEED}, pred as (select sym, id as frame_index, id as first_sequence, id as final_sequence, sha256(eid::VARCHAR) as observation_sha256 from feed where id < 40),
-succ as (select sym, id as frame_index, id as first_sequence, id as final_sequence, sha256(case when eid % 9 = 0 then 'x' else eid::VARCHAR end) as observation_sha256 from feed where id >= 20),
+EPOCHS = f"""{FEED}, tops as (select sym, max(id) as top from feed group by sym),
+pred as (select sym, id as frame_index, id as first_sequence, id as final_sequence, sha256(eid::VARCHAR) as observation_sha256 from feed join tops using (sym) where id <= top * 2 // 3),
+succ as (select sym, id as frame_index, id as first_sequence, id as final_sequence, sha256(case when eid % 9 = 0 then 'x' else eid::VARCHAR end) as observation_sha256 from feed join tops using (sym) where id >= top // 3),
 nxt as (select *, lead(first_sequence) over (partition by sym order by frame_index) as next_first, lead(final_sequence) over (partition by sym order by frame_index) as next_final from succ),
 cand as (select p.sym, p.final_sequence as boundary, p.frame_index as pred_frame, s.frame_index as succ_frame, s.next_first, s.next_final from pred p join nxt s on s.sym = p.sym and s.final_sequence = p.final_sequence and s.observation_sha256 = p.observation_sha256
 where s.next_first <= p.final_sequence + 1 and p.final_sequence + 1 <= s.next_final),
@@ -298,10 +303,12 @@ bound as (select sym, max(boundary) as boundary, arg_max(pred_frame, boundary) a
 
 
 def epochs(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Two epochs of every symbol: the first two thirds of its ids, and the last two thirds."""
     f = feed(spark, d)
+    f = f.join(f.groupBy("sym").agg(F.max("id").alias("top")), "sym")
     make = lambda rows, text: rows.select("sym", F.col("id").alias("frame_index"), F.col("id").alias("first_sequence"), F.col("id").alias("final_sequence"), F.sha2(text, 256).alias("observation_sha256"))
     text = F.col("eid").cast("string")
-    return make(f.where("id < 40"), text), make(f.where("id >= 20"), F.when(F.col("eid") % 9 == 0, "x").otherwise(text))
+    return make(f.where("id <= top * 2 div 3"), text), make(f.where("id >= top div 3"), F.when(F.col("eid") % 9 == 0, "x").otherwise(text))
 
 
 @query(f"with {EPOCHS} select * from bound")
@@ -321,7 +328,7 @@ def overlap_exclusions(spark, d):
     return splice.exclusion_counts(p, s, splice.convergence(p, s, SYM), SYM)
 
 
-@query(f"with {EPOCHS}, o as (select p.sym, p.observation_sha256 = s.observation_sha256 as same from pred p join succ s on s.sym = p.sym and s.final_sequence = p.final_sequence) select sym, 20::BIGINT as low, (select max(final_sequence) from pred p where p.sym = o.sym) as high, count(*) filter (where same) as common, count(*) filter (where not same) as mismatches, count(*) filter (where not same) = 0 and count(*) filter (where same) >= 2 as proven from o group by sym")
+@query(f"with {EPOCHS}, o as (select p.sym, p.observation_sha256 = s.observation_sha256 as same from pred p join succ s on s.sym = p.sym and s.final_sequence = p.final_sequence) select sym, (select top // 3 from tops t where t.sym = o.sym) as low, (select max(final_sequence) from pred p where p.sym = o.sym) as high, count(*) filter (where same) as common, count(*) filter (where not same) as mismatches, count(*) filter (where not same) = 0 and count(*) filter (where same) >= 2 as proven from o group by sym")
 def common_range_equality(spark, d):
     p, s = epochs(spark, d)
     return splice.common_range_equality(p, s, SYM, "final_sequence", "observation_sha256")
@@ -405,20 +412,28 @@ def book_fingerprint_steps(spark, d):
     return book.fingerprint_steps(levels(spark, d), SYM).select("sym", "frame", *big("n_levels"), "fp0")
 
 
-@query(f"with {FEED}, {LEVELS} select sym, side, price, arg_max(qty, frame) as qty from levels where frame <= 30 group by all having arg_max(qty, frame) > 0")
+@query(f"with {FEED}, {LEVELS} select sym, side, price, arg_max(qty, frame) as qty from levels join (select sym, max(frame) // 2 as half from levels group by sym) using (sym) where frame <= half group by all having arg_max(qty, frame) > 0")
 def book_asof_frame(spark, d):
-    return book.final_levels(levels(spark, d), SYM, upto=F.lit(30))
+    rows = with_marks(levels(spark, d))
+    return book.final_levels(rows, SYM, upto=F.expr("top div 2"))
 
 
-@query(f"with {FEED}, {LEVELS} select sym, side, price, arg_max(qty, frame) as qty from levels where frame <= 45 group by all having arg_max(qty, frame) > 0")
+@query(f"with {FEED}, {LEVELS} select sym, side, price, arg_max(qty, frame) as qty from levels join (select sym, max(frame) * 9 // 10 as upto from levels group by sym) using (sym) where frame <= upto group by all having arg_max(qty, frame) > 0")
 def checkpoint_window_replay(spark, d):
-    """A book at frame 45 from checkpoints at frames 20 and 40 and the few diffs since; SQL replays everything."""
-    rows = levels(spark, d)
+    """A book at nine tenths of a symbol's frames, from checkpoints at two and four fifths and the diffs since; SQL replays everything."""
+    rows = with_marks(levels(spark, d))
     points = None
-    for at in (20, 40):
-        one = book.final_levels(rows, SYM, upto=F.lit(at)).withColumn("frame", F.lit(at).cast("bigint"))
+    for fifths in (2, 4):
+        at = F.expr(f"top * {fifths} div 5")
+        one = book.final_levels(rows.withColumn("at", at), [*SYM, "at"], upto=at).withColumnRenamed("at", "frame")
         points = one if points is None else points.unionByName(one)
-    return book.latest_checkpoint_replay(points, rows, SYM, 45)
+    wanted = rows.groupBy("sym").agg((F.max("frame") * 9).alias("n")).select("sym", F.expr("n div 10").alias("upto"))
+    return book.latest_checkpoint_replay(points, rows.drop("top"), SYM, wanted)
+
+
+def with_marks(rows: DataFrame) -> DataFrame:
+    """rows with top, the last frame of the symbol."""
+    return rows.join(rows.groupBy("sym").agg(F.max("frame").alias("top")), "sym")
 
 
 @query(f"""{BOOK}, t as (select sym, side, price, '["' || {TEXT.format(c='price')} || '","' || {TEXT.format(c='qty')} || '"]' as l from book), a as (select sym, coalesce(string_agg(l, ',' order by price) filter (where side = 'ask'), '') as asks, coalesce(string_agg(l, ',' order by price desc) filter (where side = 'bid'), '') as bids from t group by sym)
@@ -447,7 +462,7 @@ def freshness_violations(spark, d):
     f = feed(spark, d)
     bounds = f.agg(F.min("us").alias("s"), F.max("us").alias("e"))  # one row
     rows = f.select("sym", "us", "id").crossJoin(F.broadcast(bounds))
-    return coverage.freshness(rows, SYM, "us", "s", "e", startup_ns=2_400_000_000, deadline_ns=7_200_000_000, tail_ns=2_400_000_000)
+    return coverage.freshness(rows, SYM, "us", "s", "e", startup_ns=2_400_000_000, deadline_ns=7_200_000_000, tail_ns=2_400_000_000, width=DAY_US)
 
 
 @query(f"with {FEED}, w as (select user_id, us, lead(us) over (partition by user_id order by us) as r from feed) select user_id, us as silent_from, us + 3 * 28800000000 as deadline_at, r as resumed_at from w where r - us >= 3 * 28800000000")
@@ -471,7 +486,7 @@ def pong_deadlines(spark, d):
 @query(f"with {FEED}, c as (select sym, id, id // 4 - case when eid % 53 = 9 then 3 else 0 end as done from feed), l as (select *, lag(done) over w as p from c window w as (partition by sym order by id)), s as (select *, last_value(case when p is null or done > p then id end ignore nulls) over (partition by sym order by id rows between unbounded preceding and current row) as since from l) select sym, case when done < p then 'regressed' when id - since >= 3 then 'stalled' else 'ok' end as verdict, count(*) as n from s group by all")
 def progress_stalls(spark, d):
     rows = feed(spark, d).select("sym", "id", (F.expr("id div 4") - F.when(F.col("eid") % 53 == 9, 3).otherwise(0)).alias("done"))
-    return coverage.progress_stalls(rows, SYM, "id", "done", 3).groupBy("sym", "verdict").agg(F.count(F.lit(1)).alias("n"))
+    return coverage.progress_stalls(rows, SYM, "id", "done", 3, WIDTH).groupBy("sym", "verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
 WINDOWS = f"{FEED}, win as (select sym, id * 10 - case when eid % 7 = 2 then 12 else 0 end as ready_ns, id * 10 + case when eid % 19 = 1 then 8 else 13 end as stop_ns from feed)"
@@ -483,7 +498,7 @@ def windows(spark, d) -> DataFrame:
 
 @query(f"with {WINDOWS}, c as (select *, max(stop_ns) over (partition by sym order by ready_ns, stop_ns rows between unbounded preceding and 1 preceding) as u, lag(stop_ns, 2) over (partition by sym order by ready_ns, stop_ns) as t from win) select sym, count(*) as windows, count(*) filter (where ready_ns > u) as holes, count(*) filter (where ready_ns < t) as crowded, count(*) filter (where ready_ns > u) = 0 and count(*) filter (where ready_ns < t) = 0 and min(ready_ns) <= 0 and max(stop_ns) >= 100 as complete from c group by sym")
 def coverage_intervals(spark, d):
-    return coverage.coverage_report(windows(spark, d), SYM, F.lit(0), F.lit(100))
+    return coverage.coverage_report(windows(spark, d), SYM, F.lit(0), F.lit(100), width=10 * WIDTH)
 
 
 READY = f"{FEED}, ev as (select sym, id as t, case when eid // 16 % 2 = 0 then 'P' else 'S' end as lane, event_type not in ('view', 'error') as ready from feed), st as (select *, (case when ready then 1 else 0 end) - coalesce(lag(case when ready then 1 else 0 end) over (partition by sym, lane order by t), 0) as step from ev), cov as (select sym, t, CAST(sum(step) over w AS BIGINT) as ready_lanes, max(case when ready then 1 else 0 end) over w as ever from st window w as (partition by sym order by t)), kinds as (select sym, t, ready_lanes, case when ready_lanes >= 2 then 'REDUNDANT' when ready_lanes >= 1 then 'DEGRADED' when ever = 1 then 'GAP' else 'STARTING' end as coverage from cov)"
@@ -491,7 +506,7 @@ READY = f"{FEED}, ev as (select sym, id as t, case when eid // 16 % 2 = 0 then '
 
 def lane_states(spark, d) -> DataFrame:
     ev = feed(spark, d).select("sym", F.col("id").alias("t"), F.when(F.col("id") % 2 == 0, "P").otherwise("S").alias("lane"), (~F.col("event_type").isin("view", "error")).alias("ready"))
-    return coverage.lane_coverage(ev, SYM, "lane", "ready", "t").select("sym", "t", *big("ready_lanes"), "coverage")
+    return coverage.lane_coverage(ev, SYM, "lane", "ready", "t", width=WIDTH).select("sym", "t", *big("ready_lanes"), "coverage")
 
 
 @query(f"with {READY} select * from kinds")
@@ -504,12 +519,12 @@ GAPS = READY + ", edges as (select *, lag(coverage) over (partition by sym order
 
 @query(f"with {GAPS} select * from gaps")
 def gap_pairs(spark, d):
-    return coverage.gap_pairs(lane_states(spark, d), SYM, "t")
+    return coverage.gap_pairs(lane_states(spark, d), SYM, "t", width=WIDTH)
 
 
 @query(f"with {GAPS} select sym, count(*) as gaps, CAST(coalesce(sum(unavailable_ns), 0) AS BIGINT) as unavailable_ns, bool_or(closed_mono_ns is null) as open_gap, case when bool_or(closed_mono_ns is null) then 'COMPLETE_WITH_OPEN_GAP' else 'COMPLETE_WITH_EXPLICIT_GAPS' end as status from gaps group by sym")
 def outage_total(spark, d):
-    return coverage.outage(coverage.gap_pairs(lane_states(spark, d), SYM, "t"), SYM)
+    return coverage.outage(coverage.gap_pairs(lane_states(spark, d), SYM, "t", width=WIDTH), SYM)
 
 
 @query(f"""with {FEED}, iv as (select sym, id as seq, id * 100 as a, id * 100 + 20 + eid % 30 as b from feed where eid % 3 <> 1), pts as (select sym, eid, id * 100 + (eid * 37) % 100 as t from feed where eid % 4 = 1),
@@ -519,7 +534,7 @@ def nearest_interval(spark, d):
     f = feed(spark, d)
     iv = f.where("eid % 3 <> 1").select("sym", F.col("id").alias("seq"), (F.col("id") * 100).alias("a"), (F.col("id") * 100 + 20 + F.col("eid") % 30).alias("b"))
     pts = f.where("eid % 4 = 1").select("sym", "eid", (F.col("id") * 100 + F.col("eid") * 37 % 100).alias("t"))
-    return coverage.nearest_interval(pts, iv, SYM, "t", "a", "b", "seq", 25)
+    return coverage.nearest_interval(pts, iv, SYM, "t", "a", "b", "seq", 25, width=100 * WIDTH)
 
 
 @query(f"with {FEED}, ev as (select eid, user_id as pid, eid % 5 as port_a, eid % 3 + 7 as port_b, us as t from feed), fl as (select eid as flow, user_id as pid, eid % 3 + 7 as port_a, eid % 5 as port_b, us as start, us + 3600000000 as stop from feed where eid % 10 = 0) select e.eid, f.flow from ev e left join fl f on f.pid = e.pid and least(f.port_a, f.port_b) = least(e.port_a, e.port_b) and greatest(f.port_a, f.port_b) = greatest(e.port_a, e.port_b) and e.t between f.start - 1000000000 and f.stop + 1000000000")
@@ -527,7 +542,7 @@ def fault_correlation(spark, d):
     f = feed(spark, d)
     ev = f.select("eid", F.col("user_id").alias("pid"), (F.col("eid") % 5).alias("port_a"), (F.col("eid") % 3 + 7).alias("port_b"), F.col("us").alias("t"))
     fl = f.where("eid % 10 = 0").select(F.col("eid").alias("flow"), F.col("user_id").alias("pid"), (F.col("eid") % 3 + 7).alias("port_a"), (F.col("eid") % 5).alias("port_b"), F.col("us").alias("start"), (F.col("us") + 3_600_000_000).alias("stop"))
-    return coverage.endpoint_correlation(ev, fl, 1_000_000_000).select("eid", "flow")
+    return coverage.endpoint_correlation(ev, fl, 1_000_000_000, block=DAY_US).select("eid", "flow")
 
 
 @query(f"with {FEED}, c as (select user_id, us, count(*) over (partition by user_id order by us range between 1799999999 preceding and current row) as in_window from feed) select * from c where in_window > 1")
@@ -541,19 +556,29 @@ def event_counts(spark, d):
     return out.select("sym", F.array_join(F.transform(F.map_entries("events"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("events"))
 
 
-TRANSPORT = f"""{FEED}, tr as (select user_id, eid, case eid % 13 when 0 then 'CONNECT_FAILED' when 1 then 'WEBSOCKET_CLOSE' when 2 then 'SOCKET_READ_ERROR' when 3 then 'TRANSPORT_DEADLINE' when 4 then 'STOPPED' else 'FRAME' end as event, case when eid % 3 = 0 then 'ESTABLISHED' when eid % 3 = 1 then 'RESET' end as tcp_state from feed where eid % 5 = 0),
-cls as (select user_id, case when bool_or(event = 'STOPPED') then 'CLEAN_CLIENT_STOP' when bool_or(event = 'CONNECT_FAILED') then 'CONNECT_FAILURE_OBSERVED' when bool_or(event = 'WEBSOCKET_CLOSE') then 'WEBSOCKET_CLOSE_FRAME_OBSERVED' when bool_or(event = 'SOCKET_READ_ERROR') then 'SOCKET_READ_ERROR_OBSERVED'
-when bool_or(event = 'TRANSPORT_DEADLINE') and arg_max(tcp_state, eid) filter (where tcp_state is not null) = 'ESTABLISHED' then 'TRANSPORT_SILENCE_TCP_ESTABLISHED' when bool_or(event = 'TRANSPORT_DEADLINE') then 'TRANSPORT_SILENCE_TCP_NOT_ESTABLISHED' else 'LOCAL_PRODUCER_FAILURE' end as classification from tr group by user_id)"""
+TRANSPORT = f"""{FEED}, tr as (select user_id, eid, case eid % 23 when 0 then 'CONNECT_FAILED' when 1 then 'WEBSOCKET_CLOSE' when 2 then 'SOCKET_READ_ERROR' when 3 then 'TRANSPORT_DEADLINE' when 4 then 'SUPERVISOR_FAILURE_STOP' when 5 then 'WEBSOCKET_UPGRADE_REJECTED' else 'FRAME' end as event, case when eid % 3 = 0 then 'ESTABLISHED' when eid % 3 = 1 then 'RESET' end as tcp_state from feed where eid % 8 = 0 or user_id % 7 < 3),
+ends as (select user_id, case when user_id % 11 <> 3 then case when user_id % 4 = 0 then 'STOPPED' else 'FAILED' end end as status, case when user_id % 13 <> 5 then count(*) - case when user_id % 17 = 2 then 1 else 0 end end as received, count(*) as expected from tr group by user_id),
+sums as (select user_id, bool_or(event = 'SUPERVISOR_FAILURE_STOP') as sup, bool_or(event = 'CONNECT_FAILED') as con, bool_or(event = 'WEBSOCKET_UPGRADE_REJECTED') as upg, bool_or(event = 'WEBSOCKET_CLOSE') as ws, bool_or(event = 'SOCKET_READ_ERROR') as rd, bool_or(event = 'TRANSPORT_DEADLINE') as late, arg_max(tcp_state, eid) filter (where tcp_state is not null) as tcp from tr group by user_id),
+raw as (select user_id, case when status = 'STOPPED' then 'CLEAN_CLIENT_STOP' when sup then 'SUPERVISOR_FAILURE_STOP_OBSERVED' when con then 'CONNECT_FAILURE_OBSERVED' when upg then 'WEBSOCKET_UPGRADE_REJECTION_OBSERVED' when ws then 'WEBSOCKET_CLOSE_FRAME_OBSERVED' when rd then 'SOCKET_READ_ERROR_OBSERVED'
+when late and tcp = 'ESTABLISHED' then 'TRANSPORT_SILENCE_WITH_LOCAL_TCP_ESTABLISHED' when late then 'TRANSPORT_SILENCE_WITHOUT_LOCAL_ESTABLISHED_PROOF' else 'LOCAL_PRODUCER_FAILURE_WITHOUT_TRANSPORT_SUBTYPE' end as kind,
+case when status is null then 'no terminal status' when received is null then 'no received count' when received <> expected then 'received count differs' end as error from sums join ends using (user_id)),
+cls as (select user_id, case when error is null then kind end as classification, error from raw)"""
 
 
 def transports(spark, d) -> DataFrame:
-    names = {0: "CONNECT_FAILED", 1: "WEBSOCKET_CLOSE", 2: "SOCKET_READ_ERROR", 3: "TRANSPORT_DEADLINE", 4: "STOPPED"}
+    """A connection journal for each user: events, and a terminal whose status or received count is missing or wrong for some."""
+    names = {0: "CONNECT_FAILED", 1: "WEBSOCKET_CLOSE", 2: "SOCKET_READ_ERROR", 3: "TRANSPORT_DEADLINE", 4: "SUPERVISOR_FAILURE_STOP", 5: "WEBSOCKET_UPGRADE_REJECTED"}
     event = F.lit("FRAME")
     for k, v in names.items():
-        event = F.when(F.col("eid") % 13 == k, v).otherwise(event)
+        event = F.when(F.col("eid") % 23 == k, v).otherwise(event)
     tcp = F.when(F.col("eid") % 3 == 0, "ESTABLISHED").when(F.col("eid") % 3 == 1, "RESET")
-    rows = feed(spark, d).where("eid % 5 = 0").select("user_id", F.col("eid").alias("record_index"), event.alias("event"), tcp.alias("tcp_state"))
-    return coverage.transport_class(rows, ["user_id"])
+    rows = feed(spark, d).where("eid % 8 = 0 or user_id % 7 < 3").select("user_id", F.col("eid").alias("record_index"), event.alias("event"), tcp.alias("tcp_state"))
+    counts = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("received"), (F.max("record_index") + 1).alias("record_index"))
+    u = F.col("user_id")
+    status = F.when(u % 11 != 3, F.when(u % 4 == 0, "STOPPED").otherwise("FAILED"))
+    received = F.when(u % 13 != 5, F.col("received") - F.when(u % 17 == 2, 1).otherwise(0))
+    ends = counts.select("user_id", "record_index", F.lit("TRANSPORT_TERMINAL").alias("event"), status.alias("status"), received.alias("received"))
+    return coverage.transport_class(rows.unionByName(ends, allowMissingColumns=True), ["user_id"], expected=counts)
 
 
 @query(f"with {TRANSPORT} select * from cls")
@@ -561,9 +586,9 @@ def transport_diagnosis(spark, d):
     return transports(spark, d)
 
 
-@query(f"""with {TRANSPORT}, g as (select user_id % 50 as grp, bool_or(classification <> 'CLEAN_CLIENT_STOP') as failing, bool_or(classification = 'WEBSOCKET_CLOSE_FRAME_OBSERVED') as ws, bool_or(classification = 'SOCKET_READ_ERROR_OBSERVED') as rd, bool_or(classification like 'TRANSPORT_SILENCE%') as sil, bool_or(classification = 'CONNECT_FAILURE_OBSERVED') as con from cls group by all)
+@query(f"""with {TRANSPORT}, g as (select user_id % 50 as grp, coalesce(bool_or(classification <> 'CLEAN_CLIENT_STOP'), false) as failing, bool_or(classification = 'WEBSOCKET_UPGRADE_REJECTION_OBSERVED') as upg, bool_or(classification = 'SUPERVISOR_FAILURE_STOP_OBSERVED') as sup, bool_or(classification = 'WEBSOCKET_CLOSE_FRAME_OBSERVED') as ws, bool_or(classification = 'SOCKET_READ_ERROR_OBSERVED') as rd, bool_or(classification like 'TRANSPORT_SILENCE%') as sil, bool_or(classification = 'CONNECT_FAILURE_OBSERVED') as con from cls group by all)
 select grp, case when not failing then 'NO_TRANSPORT_FAILURE_IN_SUPPLIED_GENERATIONS' when ws then 'WEBSOCKET_CLOSE_FRAME_AT_APPLICATION_BOUNDARY' when rd then 'SOCKET_READ_ERROR_AT_APPLICATION_BOUNDARY' when sil and grp % 2 = 0 then 'CORRELATED_SHARED_PATH_FAILURE_FROM_THIS_HOST' when sil then 'TRANSPORT_SILENCE_CAUSE_UNRESOLVED_AT_OBSERVED_BOUNDARIES'
-when con then 'CONNECT_FAILURE_AT_APPLICATION_BOUNDARY' else 'LOCAL_PRODUCER_FAILURE_WITHOUT_NARROWER_OBSERVED_CAUSE' end as incident from g""")
+when con then 'CONNECT_FAILURE_AT_APPLICATION_BOUNDARY' when upg then 'WEBSOCKET_UPGRADE_REJECTION_AT_APPLICATION_BOUNDARY' when sup then 'SUPERVISOR_FAILURE_STOP_AT_APPLICATION_BOUNDARY' else 'LOCAL_PRODUCER_FAILURE_WITHOUT_NARROWER_OBSERVED_CAUSE' end as incident from g""")
 def incident_class(spark, d):
     g = transports(spark, d).groupBy((F.col("user_id") % 50).alias("grp")).agg(F.collect_set("classification").alias("classes"))
     return g.select("grp", coverage.incident_class(F.col("classes"), F.lit("SHARED_PATH_FAILURE_FROM_THIS_HOST"), F.col("grp") % 2 == 0).alias("incident"))
@@ -583,18 +608,18 @@ ARRIVALS = f"with {FEED}, g as (select sym, us - lag(us) over (partition by sym
 
 @query(f"{ARRIVALS}, v as (select sym, list(gap order by gap) as l from g where gap is not null group by sym) select sym, p, l[(floor(p * (len(l) - 1) + 0.5))::BIGINT + 1] as value from v, (values (0.5::DOUBLE), (0.99::DOUBLE)) t(p)")
 def inter_arrival_p50_p99(spark, d):
-    gaps = latency.inter_arrival(feed(spark, d), SYM, "us", "id")
+    gaps = latency.inter_arrival(feed(spark, d), SYM, "us", "id", WIDTH)
     return latency.percentile_nearest(gaps, SYM, "gap", [0.5, 0.99])
 
 
 @query(f"{ARRIVALS} select sym, 0.99::DOUBLE as p, quantile_disc(gap, 0.99) as value from g where gap is not null group by sym")
 def percentile_ceil_rank(spark, d):
-    return latency.percentile_ceil(latency.inter_arrival(feed(spark, d), SYM, "us", "id"), SYM, "gap", [0.99])
+    return latency.percentile_ceil(latency.inter_arrival(feed(spark, d), SYM, "us", "id", WIDTH), SYM, "gap", [0.99])
 
 
 @query(f"{ARRIVALS}, v as (select sym, list(gap order by gap) as l, count(*) as n, CAST(max(gap) AS BIGINT) as max from g where gap is not null group by sym) select sym, n, max, l[(floor(0.5 * (n - 1) + 0.5))::BIGINT + 1] as p50, l[(floor(0.99 * (n - 1) + 0.5))::BIGINT + 1] as p99 from v")
 def latency_report(spark, d):
-    gaps = latency.inter_arrival(feed(spark, d), SYM, "us", "id")
+    gaps = latency.inter_arrival(feed(spark, d), SYM, "us", "id", WIDTH)
     return latency.latency_report(gaps, SYM, "gap").select("sym", "n", "max", "p50", "p99")
 
 
@@ -604,14 +629,14 @@ r as (select sym, (x >> b) << b as lowest, ((x >> b) << b) + (1::BIGINT << (b +
 
 @query(f"{HDR_SQL} select * from r")
 def hdr_histogram(spark, d):
-    gaps = latency.inter_arrival(feed(spark, d), SYM, "us", "id")
+    gaps = latency.inter_arrival(feed(spark, d), SYM, "us", "id", WIDTH)
     return hdr.histogram(gaps, "gap", SYM)
 
 
 @query(f"""{HDR_SQL}, c as (select *, sum(n) over (partition by sym order by lowest) as reached, sum(n) over (partition by sym) as total from r), ps as (select unnest([0.0, 50.0, 90.0, 99.0, 99.9, 99.99, 100.0])::DOUBLE as percentile)
 select sym, percentile, case when percentile = 0 then min(lowest) else min(highest) end as value from c, ps where reached >= greatest(floor(percentile / 100 * total + 0.5), 1) group by sym, percentile""")
 def hdr_percentiles(spark, d):
-    gaps = latency.inter_arrival(feed(spark, d), SYM, "us", "id")
+    gaps = latency.inter_arrival(feed(spark, d), SYM, "us", "id", WIDTH)
     return hdr.percentiles(hdr.histogram(gaps, "gap", SYM), [0, 50, 90, 99, 99.9, 99.99, 100], SYM)
 
 
@@ -623,7 +648,7 @@ def sliding_rate(spark, d):
 @query(f"with {FEED}, s as (select sym, id, us, eid % 91 as rtt, first_value(eid % 91) over w as v0, first_value(us) over w as t0 from feed window w as (partition by sym order by us, id rows between 31 preceding and current row)) select sym, id, round(case when us - t0 > 0 then (rtt - v0)::DOUBLE / (us - t0) end * 1e9, 6) as slope from s")
 def rtt_slope_32(spark, d):
     rows = feed(spark, d).select("sym", "id", "us", (F.col("eid") % 91).alias("rtt"))
-    return latency.sample_slope(rows, SYM, "us", "rtt", ties="id").select("sym", "id", F.round(F.col("slope") * 1e9, 6).alias("slope"))
+    return latency.sample_slope(rows, SYM, "us", "rtt", ties="id", width=DAY_US).select("sym", "id", F.round(F.col("slope") * 1e9, 6).alias("slope"))
 
 
 @query(f"with {FEED}, s as (select sym, us + eid % 1000 as server, us as sent, (eid % 40) * 2 as rtt from feed) select sym, round(median(server - sent - rtt / 2.0), 3) as median_offset, round(median(rtt), 3) as median_rtt from s group by sym")

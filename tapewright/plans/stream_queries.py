@@ -2,37 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..streaming.sources import follow, stream_feed, use_rocksdb
+from ..scratch import shared
+from ..streaming.sources import follow, rocksdb, stream_feed
 from ..streaming.union import stream_union
 from .feed import FEED, feed, lanes, row_order
 from .queries import WATERMARK, query
 
-_own: dict[str, str] = {}
-
-
-def shared(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster names; a temporary one only where none is named."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
-    if not root and app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="tapewright-")
-    return f"{(root or _own[app]).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def run(spark: SparkSession, rows: DataFrame, transform, files: int = 4) -> DataFrame:
-    """Land rows, stream them through transform, return its output."""
-    use_rocksdb(spark)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+def run(spark: SparkSession, rows: DataFrame, transform, files_per_batch: int = 64) -> DataFrame:
+    """Land rows as they are partitioned, stream them through transform, return its output."""
     source, out, state = (shared(spark, x) for x in ("stream-in", "stream-out", "stream-state"))
-    rows.coalesce(files).write.parquet(source)
-    result = transform(follow(spark, source, rows.schema, files))
-    result.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out).awaitTermination()
+    rows.write.parquet(source)
+    with rocksdb(spark):
+        result = transform(follow(spark, source, rows.schema, files_per_batch))
+        result.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out).awaitTermination()
     return spark.read.schema(result.schema).parquet(out)
 
 

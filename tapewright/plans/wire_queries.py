@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codecs, wire
 from ..operators import oracle, sessions
+from ..operators.ordered import carried
 from .feed import FEED, feed
 from .queries import query
 
@@ -82,11 +83,12 @@ def integer_reads(spark, d):
     return rows.select("eid", wire.uint_be(F.col("b"), 0, 4).alias("big"), wire.uint_le(F.col("b"), 4, 6).alias("little"), wire.int64_le(F.col("b"), 10).alias("signed"))
 
 
-@query(f"with {FEED} select eid, (case when eid % 7 = 0 then eid::VARCHAR || '00' when eid % 7 = 1 then case when eid % 10 = 0 then (eid // 10)::VARCHAR else (eid // 10)::VARCHAR || '.' || (eid % 10)::VARCHAR end else eid::VARCHAR end) as value from feed")
+@query(f"""with {FEED}, m as (select eid, case when eid % 5 = 3 then -eid * 100 else eid * 10 end as mantissa, eid % 7 - 4 as exponent from feed), d as (select *, abs(mantissa)::VARCHAR as digits, greatest(-exponent, 0) as places from m)
+select eid, case when mantissa < 0 then '-' else '' end || case when exponent >= 0 then digits || repeat('0', exponent) when length(digits) > places then left(digits, length(digits) - places) || '.' || right(digits, places)
+else '0.' || repeat('0', places - length(digits)) || digits end as value from d""")
 def sbe_decimal_text(spark, d):
-    exponent = F.when(F.col("eid") % 7 == 0, F.when(F.col("eid") == 0, 0).otherwise(2)).when(F.col("eid") % 7 == 1, -1).otherwise(0)
-    out = wire.scaled_text(F.col("eid"), exponent)
-    return feed(spark, d).select("eid", F.when(F.col("eid") == 0, "000").otherwise(out).alias("value"))
+    mantissa = F.when(F.col("eid") % 5 == 3, -F.col("eid") * 100).otherwise(F.col("eid") * 10)
+    return feed(spark, d).select("eid", wire.scaled_text(mantissa, F.col("eid") % 7 - 4).alias("value"))
 
 
 @query(f"with {FEED} select eid, CAST(eid * 1000000 AS DECIMAL(38,0)) as units from feed")
@@ -126,11 +128,9 @@ t as (select *, max(case when event = 'TRADE_OBSERVATION' then trade_id end) ove
 
 @query(f"with {JOURNAL} select sym, record_index, 'hash chain' as rule from t where previous_record_sha256 <> want union all select sym, record_index, 'trade order' from t where event = 'TRADE_OBSERVATION' and trade_id <= coalesce(last, -1)")
 def journal_audit(spark, d):
-    from pyspark.sql import Window
-
-    f = feed(spark, d)
     own = F.sha2(F.col("eid").cast("string"), 256)
-    before = F.coalesce(F.lag(own).over(Window.partitionBy("sym").orderBy("id")), F.lit("0" * 64))
+    f = carried(feed(spark, d), ["sym"], "id", prev={"_before": own})
+    before = F.coalesce("_before", F.lit("0" * 64))
     columns = dict(part.rsplit(" ", 1) for part in oracle.PAYLOAD.split(", "))
     made = {"event": F.when(F.col("id") == 0, "ARBITRATION_STARTED").otherwise("TRADE_OBSERVATION"), "trade_id": F.when(F.col("id") > 0, F.col("id") - F.when(F.col("eid") % 83 == 9, 3).otherwise(0))}
     payload = [(made[n] if n in made else F.lit(None)).cast(t).alias(n) for n, t in columns.items() if n != "record_sha256"]

@@ -13,10 +13,13 @@ from base64 import b64encode
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from ..operators.ordered import carried
+from .files import listed, put, put_files, store
+
 ZERO_DIGEST = "0" * 64
 
 #: Magic and longest body of each kind of log.
@@ -119,16 +122,23 @@ def strict(records: DataFrame) -> DataFrame:
     return records.withColumn("status", checked)
 
 
-def durable_prefix(records: DataFrame, ack_offset: int) -> DataFrame:
-    """Good records up to an acknowledged offset, which must be a record's end in each file (else the query fails)."""
-    inside = records.where((F.col("status") == "ok") & (F.col("end_offset") <= ack_offset))
-    reached = F.max("end_offset").over(Window.partitionBy("path"))
-    return inside.withColumn("status", F.when(reached == ack_offset, F.col("status")).otherwise(F.raise_error(F.lit("acknowledged offset is not on a record boundary"))))
+def durable_prefix(records: DataFrame, ack_offset: int | DataFrame) -> DataFrame:
+    """Good records up to an acknowledged offset (one for all files, or a relation path, ack_offset), which must be a record's end in each file (else the query fails)."""
+    acks = ack_offset if isinstance(ack_offset, DataFrame) else records.select("path").distinct().withColumn("ack_offset", F.lit(ack_offset))
+    inside = records.join(acks, "path").where((F.col("status") == "ok") & (F.col("end_offset") <= F.col("ack_offset")))
+    reached = inside.groupBy("path").agg(F.max("end_offset").alias("_reached"))
+    on_edge = F.when(F.col("_reached") == F.col("ack_offset"), F.col("status")).otherwise(F.raise_error(F.lit("acknowledged offset is not on a record boundary")))
+    return inside.join(reached, "path").withColumn("status", on_edge).select(*records.columns)
 
 
-def durable_delta(records: DataFrame, previous_offset: int, next_offset: int) -> DataFrame:
-    """Good records between two acknowledgements."""
-    return records.where((F.col("status") == "ok") & (F.col("start_offset") >= previous_offset) & (F.col("end_offset") <= next_offset))
+def durable_delta(records: DataFrame, previous_offset: int | DataFrame, next_offset: int | None = None) -> DataFrame:
+    """Good records between two acknowledgements, given as two offsets or as a relation (path, previous_offset, next_offset)."""
+    if isinstance(previous_offset, DataFrame):
+        rows = records.join(previous_offset, "path")
+    else:
+        rows = records.withColumn("previous_offset", F.lit(previous_offset)).withColumn("next_offset", F.lit(next_offset))
+    inside = (F.col("status") == "ok") & (F.col("start_offset") >= F.col("previous_offset")) & (F.col("end_offset") <= F.col("next_offset"))
+    return rows.where(inside).select(*records.columns)
 
 
 FRAME = (
@@ -150,10 +160,63 @@ def frames(records: DataFrame) -> DataFrame:
     return rows.select("path", "record_index", "start_offset", "end_offset", "record_sha256", *(F.col(f"f.{c}") for c in keep), payload.alias("payload"), reject.alias("frame_reject"))
 
 
+#: Fields of the bodies of the other journals.
+BODIES = {
+    "segments": "segment_index bigint, raw_file string, first_frame bigint, last_frame bigint, records bigint, start_digest string, terminal_digest string, connection_epoch string, stream string",
+    "boundary": "schema string, record_index bigint, previous_record_sha256 string, action string, boundary_id string, boundary struct<symbol:string,stream_kind:string,boundary_sequence:bigint>, proposal_record_sha256 string",
+    "ownership": "schema string, record_index bigint, previous_record_sha256 string, action string, initial_owner struct<generation_id:string,fencing_token:bigint>, activation struct<generation_id:string,fencing_token:bigint>, prepared_record_sha256 string",
+    "output": "schema string, record_index bigint, previous_record_sha256 string, action string, symbol string, stream_kind string, owner struct<generation_id:string,connection_epoch:string,fencing_token:bigint,last_sequence:bigint>, "
+              "observation struct<first_sequence:bigint,final_sequence:bigint,observation_sha256:string>, ownership_activation_record_sha256 string",
+}
+
+
+def typed(records: DataFrame, kind: str) -> DataFrame:
+    """Good records with the fields of their kind's body."""
+    fields = F.from_json("body", BODIES[kind]).alias("r")
+    own = [c for c in ("record_index", "previous_record_sha256") if c in BODIES[kind]]
+    rows = records.where("status = 'ok'").select("path", "record_index", "record_sha256", fields)
+    names = [f.name for f in rows.schema["r"].dataType.fields]
+    return rows.select("path", "record_index", "record_sha256", *(F.col(f"r.{n}").alias(f"stored_{n}" if n in own else n) for n in names))
+
+
+def boundary_violations(boundaries: DataFrame) -> DataFrame:
+    """path, record_index, rule of boundary journals: one PROPOSED first, then at most one COMMITTED that names its digest; indices and chain run on."""
+    rows = carried(boundaries, ["path"], "record_index", prev={"_digest": F.col("record_sha256"), "_action": F.col("action")})
+    rule = (
+        F.when(F.col("stored_record_index") != F.col("record_index"), "index").when(F.col("stored_previous_record_sha256") != F.coalesce("_digest", F.lit(ZERO_DIGEST)), "chain")
+        .when((F.col("action") == "PROPOSED") & F.col("_action").isNotNull(), "proposed twice").when((F.col("action") == "COMMITTED") & ~F.col("_action").eqNullSafe(F.lit("PROPOSED")), "commit without proposal")
+        .when((F.col("action") == "COMMITTED") & ~F.col("proposal_record_sha256").eqNullSafe(F.col("_digest")), "other proposal").when(~F.col("action").isin("PROPOSED", "COMMITTED"), "unknown action")
+    )
+    return rows.withColumn("rule", rule).where("rule is not null").select("path", "record_index", "rule")
+
+
+def ownership_rows(ledger: DataFrame) -> DataFrame:
+    """Ownership ledgers as rows of sessions.ownership_recovery: path, record_index, event, fencing_token."""
+    token = F.coalesce("activation.fencing_token", "initial_owner.fencing_token")
+    return ledger.select("path", "record_index", F.col("action").alias("event"), token.alias("fencing_token"))
+
+
+def output_violations(output: DataFrame) -> DataFrame:
+    """path, record_index, rule of canonical outputs: INITIALIZED first; an owner change names its activation, raises the fencing token by one, changes generation and
+    connection and keeps the last sequence; observations run on."""
+    was = {"_owner": F.col("owner"), "_action": F.col("action"), "_digest": F.col("record_sha256"), "_final": F.col("observation.final_sequence")}
+    rows = carried(output, ["path"], "record_index", prev=was)
+    o, p = F.col("owner"), F.col("_owner")
+    change = (
+        (o["generation_id"] == p["generation_id"]) | (o["connection_epoch"] == p["connection_epoch"]) | (o["fencing_token"] != p["fencing_token"] + 1)
+        | (o["last_sequence"] != p["last_sequence"]) | F.col("ownership_activation_record_sha256").isNull()
+    )
+    rule = (
+        F.when(F.col("stored_previous_record_sha256") != F.coalesce("_digest", F.lit(ZERO_DIGEST)), "chain").when(F.col("_action").isNull() & (F.col("action") != "INITIALIZED"), "observation before initialization")
+        .when((F.col("action") == "OWNERSHIP_CHANGED") & change, "ownership change").when((F.col("action") == "OBSERVATION") & (o["last_sequence"] <= p["last_sequence"]), "sequence")
+        .when(~F.col("action").isin("INITIALIZED", "OBSERVATION", "OWNERSHIP_CHANGED"), "unknown action")
+    )
+    return rows.withColumn("rule", rule).where("rule is not null").select("path", "record_index", "rule")
+
+
 def segment_manifest(records: DataFrame) -> DataFrame:
     """Segment seals of a manifest log."""
-    fields = "segment_index bigint, raw_file string, first_frame bigint, last_frame bigint, records bigint, start_digest string, terminal_digest string, connection_epoch string, stream string"
-    return records.where("status = 'ok'").select("path", "record_index", "record_sha256", F.from_json("body", fields).alias("s")).select("path", "record_index", "record_sha256", "s.*")
+    return typed(records, "segments")
 
 
 # --- writing ------------------------------------------------------------------------------------------------------------
@@ -194,7 +257,7 @@ def append_frames(rows: list[dict], previous: str = ZERO_DIGEST) -> Iterator[byt
 
 
 class FramedSource(DataSource):
-    """format("framed"): options path, kind, genesis_digest, first_frame. Reads local or mounted paths; see read_framed for other stores."""
+    """format("framed"): options path, kind, genesis_digest, first_frame. Reads and writes file, hdfs and object store paths that pyarrow knows; read_framed takes any other."""
 
     @classmethod
     def name(cls) -> str:
@@ -220,13 +283,12 @@ class FramedReader(DataSourceReader):
         self.options = options
 
     def partitions(self) -> list[FilePartition]:
-        from pathlib import Path
-
-        root = Path(self.options["path"].removeprefix("file://"))
-        return [FilePartition(str(p)) for p in (sorted(x for x in root.rglob("*") if x.is_file()) if root.is_dir() else [root])]
+        fs, root = store(self.options["path"])
+        return [FilePartition(p) for p in listed(fs, root)]
 
     def read(self, partition: FilePartition):
-        with open(partition.path, "rb") as f:
+        fs, _ = store(self.options["path"])
+        with fs.open_input_stream(partition.path) as f:
             data = f.read()
         for r in scan(data, self.options.get("kind", "raw"), self.options.get("genesis_digest", ZERO_DIGEST), int(self.options.get("first_frame", 0))):
             yield (partition.path, *r)
@@ -240,16 +302,10 @@ class FramedWriter(DataSourceWriter):
 
     def write(self, rows) -> WriterCommitMessage:
         import uuid
-        from pathlib import Path
 
         frames_ = [r.asDict() for r in rows]
         if frames_:
-            folder = Path(self.options["path"].removeprefix("file://"))
-            folder.mkdir(parents=True, exist_ok=True)
-            name = folder / f"{uuid.uuid4().hex}.bnraw"
-            part = name.with_suffix(".part")
-            part.write_bytes(encode_log(append_frames(frames_)))
-            part.rename(name)
+            put(self.options["path"], f"{uuid.uuid4().hex}.bnraw", encode_log(append_frames(frames_)))
         return WriterCommitMessage()
 
 
@@ -259,3 +315,26 @@ def recover_prefix(data: bytes, kind: str = "raw") -> bytes:
     out = data[:end]
     assert all(r[6] == "ok" for r in scan(out, kind))
     return out
+
+
+def recovered(spark: SparkSession, path: str, target: str, kind: str = "raw") -> DataFrame:
+    """Copy every log under path, cut after its last good record, to the same place under target; name and bytes of each. A log without its magic is not copied."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if data.startswith(FORMATS[kind][0]):
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([recover_prefix(data, kind)], pa.binary())], names=["name", "content"])
+
+    root = path.split("://")[-1].rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    place = F.regexp_replace("path", "^[a-z0-9]+:/*", "/")
+    names = files.select(F.substring(place, F.lit(len(root) + 2), F.length(place)).alias("name"), "content")
+    return put_files(names.mapInArrow(run, "name string, content binary"), target)
+
+
+def frozen(spark: SparkSession, path: str, target: str, acks: DataFrame, kind: str = "raw") -> DataFrame:
+    """Copy the prefix up to the acknowledged offset of each log (path, ack_offset; at a record's end) to the same leaf under target."""
+    durable_prefix(read_framed(spark, path, kind), acks).agg(F.count(F.lit(1))).collect()  # fails off a boundary
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).join(acks, "path")
+    return put_files(files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.substring("content", F.lit(1), F.col("ack_offset").cast("int")).alias("content")), target)

@@ -73,9 +73,7 @@ def torn_tails(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.col("length").alias("bytes"), tail.cast("bigint").alias("tail_bytes"))
 
 
-@F.udf(StringType())
-def strict_json_reject(text: str | None) -> str | None:
-    """Why a text is not strict JSON: repeated keys or NaN and infinities, which Spark's parser accepts; null if it is."""
+def _json_reject(text: str | None) -> str | None:
     if text is None:
         return "missing"
 
@@ -94,6 +92,12 @@ def strict_json_reject(text: str | None) -> str | None:
     return None
 
 
+@F.pandas_udf(StringType())
+def strict_json_reject(texts: pd.Series) -> pd.Series:
+    """Why a text is not strict JSON: repeated keys or NaN and infinities, which Spark's parser accepts; null if it is. Batches come by Arrow."""
+    return pd.Series([_json_reject(t) for t in texts], dtype=object)
+
+
 def read_sbe_frames(spark: SparkSession, path: str) -> DataFrame:
     """Frames of `u32 little-endian length, payload` files: path, index, payload, status (ok, truncated or trailing bytes)."""
     names, kinds = ["path", "index", "payload", "status"], [pa.string(), pa.int64(), pa.binary(), pa.string()]
@@ -147,10 +151,20 @@ def inventory_difference(found: DataFrame, expected: DataFrame, column: str = "l
 
 
 def tree_digest(spark: SparkSession, path: str) -> DataFrame:
-    """One row: files, bytes and the SHA-256 over sorted lines of path, length and digest. Files are hashed in parallel; lines are short."""
+    """One row: files, bytes and a SHA-256 over the tree.
+
+    A file's line is its place below path, its length and its digest. Lines are dealt to 256 groups by the first two digits of the place's digest; a group's digest is
+    that of its lines in order of place, the tree's that of the groups'. A group holds a 256th of the lines, never all.
+    """
+    root = path.split("://")[-1].rstrip("/")
+    place = F.regexp_replace("path", "^[a-z0-9]+:/*", "/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    lines = files.select(F.concat_ws("\t", "path", F.col("length").cast("string"), F.sha2("content", 256)).alias("line"), "length")
-    return lines.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.sha2(F.array_join(F.sort_array(F.collect_list("line")), "\n"), 256).alias("tree_sha256"))
+    rows = files.select(F.substring(place, F.lit(len(root) + 2), F.length(place)).alias("name"), "length", F.sha2("content", 256).alias("h"))
+    lines = rows.withColumn("g", F.substring(F.sha2("name", 256), 1, 2)).withColumn("line", F.concat_ws("\t", "name", F.col("length").cast("string"), "h"))
+    joined = lambda key, text: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, text))), lambda x: x[text]), "\n"), 256)
+    groups = lines.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"), joined("name", "line").alias("h"))
+    groups = groups.withColumn("line", F.concat_ws("\t", "g", "h"))
+    return groups.agg(F.sum("n").alias("files"), F.sum("b").alias("bytes"), joined("g", "line").alias("tree_sha256"))
 
 
 def write_event_store(events: DataFrame, path: str, by: list[str], order: str) -> None:

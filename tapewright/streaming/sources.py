@@ -3,16 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.sessions import TRACKED
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+
+
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """The state store for streams that are started inside; the session's settings come back after."""
+    old = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def use_rocksdb(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """The same for the rest of the session."""
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
 
 
 def follow(spark: SparkSession, path: str, schema, files_per_batch: int = 8) -> DataFrame:
@@ -21,7 +42,13 @@ def follow(spark: SparkSession, path: str, schema, files_per_batch: int = 8) ->
 
 
 class FeedProcessor(StatefulProcessor):
-    """Sequenced feed: NEXT, GAP (with its range), RECOVERED or DUPLICATE; numbers missing are kept until they come."""
+    """Sequenced feed: NEXT, GAP (with its range), RECOVERED or DUPLICATE; numbers missing are kept until they come.
+
+    A row with next_sequence set (its own sequence is then not read) is a snapshot: SEED. It sets the cursor and forgets what was missing.
+    """
+
+    def __init__(self, tracked: int = TRACKED) -> None:
+        self.tracked = tracked
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.cursor = handle.getValueState("cursor", "next bigint")
@@ -33,14 +60,21 @@ class FeedProcessor(StatefulProcessor):
         batch = pd.concat(list(rows), ignore_index=True)  # one session's rows of one batch, bounded by the source's admission
         if len(batch):
             for r in batch.sort_values("arrival").itertuples(index=False):
-                s, first, last = int(r.sequence), None, None
+                first, last = None, None
+                seed = getattr(r, "next_sequence", None)
+                if seed is not None and seed == seed:
+                    self.missing.clear()
+                    expected = int(seed)
+                    out.append((key[0], expected, "SEED", None, None))
+                    continue
+                s = int(r.sequence)
                 if expected is None:
                     what, expected = "FIRST", s + 1
                 elif s == expected:
                     what, expected = "NEXT", s + 1
                 elif s > expected:
                     what, first, last = "GAP", expected, s - 1
-                    if s - expected <= 4_096:
+                    if s - expected <= self.tracked:
                         for i in range(expected, s):
                             self.missing.updateValue((i,), (False,))
                     expected = s + 1
@@ -58,9 +92,9 @@ class FeedProcessor(StatefulProcessor):
         pass
 
 
-def stream_feed(rows: DataFrame) -> DataFrame:
-    """rows: a stream of (session, sequence, arrival)."""
-    return rows.groupBy("session").transformWithStateInPandas(FeedProcessor(), "session bigint, sequence bigint, disposition string, gap_first bigint, gap_last bigint", "Append", "None")
+def stream_feed(rows: DataFrame, tracked: int = TRACKED) -> DataFrame:
+    """rows: a stream of (session, sequence, arrival), and next_sequence where snapshots come along."""
+    return rows.groupBy("session").transformWithStateInPandas(FeedProcessor(tracked), "session bigint, sequence bigint, disposition string, gap_first bigint, gap_last bigint", "Append", "None")
 
 
 class SilenceProcessor(StatefulProcessor):

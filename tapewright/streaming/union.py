@@ -6,6 +6,7 @@ gives a row (BUFFERED, DUPLICATE, CONFLICT, LATE_* or IGNORED), every release a
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,10 +17,13 @@ OUTPUT = "sym bigint, id bigint, lane string, digest string, event string"
 
 
 class UnionProcessor(StatefulProcessor):
-    """clamps bound a lane's cursor from above; every lane of lanes holds the watermark back, none can be excluded; ids at or below floor are ignored."""
+    """clamps bound a lane's cursor from above; ids at or below floor are ignored; a lane of `excluded` (arrival from which on) no longer holds the watermark back.
 
-    def __init__(self, lanes: tuple[str, ...] = ("P", "S"), floor: int | None = None, clamps: dict[str, int] | None = None) -> None:
-        self.lanes, self.floor, self.clamps = lanes, floor, clamps or {}
+    Besides the map of waiting rows a list of their ids is kept in order, so a batch reads the ids once and the rows only of ids below the new watermark or met again.
+    """
+
+    def __init__(self, lanes: tuple[str, ...] = ("P", "S"), floor: int | None = None, clamps: dict[str, int] | None = None, excluded: dict[str, int] | None = None) -> None:
+        self.lanes, self.floor, self.clamps, self.excluded = lanes, floor, clamps or {}, excluded or {}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.waiting = handle.getMapState("waiting", "id bigint", "lane string, digest string")
@@ -31,8 +35,10 @@ class UnionProcessor(StatefulProcessor):
         sym = key[0]
         last = self.last.get()[0] if self.last.exists() else -(2**62)
         cursor = {k[0]: v[0] for k, v in self.cursors.iterator()}
-        waiting = {k[0]: (v[0], v[1]) for k, v in self.waiting.iterator()}
-        out, added, gone = [], {}, []
+        heap = [k[0] for k in self.waiting.keys()]
+        heapq.heapify(heap)
+        known = set(heap)  # waiting now, in the state or added by this batch
+        out, added = [], {}
         batch = pd.concat(list(rows), ignore_index=True)  # one symbol's rows of one batch, bounded by the source's admission
         if len(batch):
             for r in batch.sort_values("arrival").itertuples(index=False):
@@ -41,32 +47,37 @@ class UnionProcessor(StatefulProcessor):
                     out.append((sym, i, r.lane, r.digest, "IGNORED"))
                     continue
                 if i <= last:
-                    known = self.released.getValue((i,)) if self.released.containsKey((i,)) else None
-                    if known is None:
+                    seen = self.released.getValue((i,)) if self.released.containsKey((i,)) else None
+                    if seen is None:
                         self.released.updateValue((i,), (r.digest,))
                         out.append((sym, i, r.lane, r.digest, "LATE_UNKNOWN"))
                     else:
-                        out.append((sym, i, r.lane, r.digest, "LATE_DUPLICATE" if known[0] == r.digest else "LATE_CONFLICT"))
+                        out.append((sym, i, r.lane, r.digest, "LATE_DUPLICATE" if seen[0] == r.digest else "LATE_CONFLICT"))
                     continue
-                if i in waiting:
-                    out.append((sym, i, r.lane, r.digest, "DUPLICATE" if waiting[i][1] == r.digest else "CONFLICT"))
+                if i in known:
+                    digest = (added[i] if i in added else self.waiting.getValue((i,)))[1]
+                    out.append((sym, i, r.lane, r.digest, "DUPLICATE" if digest == r.digest else "CONFLICT"))
                 else:
-                    waiting[i] = added[i] = (r.lane, r.digest)
+                    added[i] = (r.lane, r.digest)
+                    known.add(i)
+                    heapq.heappush(heap, i)
                     out.append((sym, i, r.lane, r.digest, "BUFFERED"))
                 cursor[r.lane] = max(cursor.get(r.lane, 0), i + 1)
-                mark = min(min(cursor.get(x, 0), self.clamps.get(x, 2**62)) for x in self.lanes)
-                for ready in sorted(x for x in waiting if x < mark):
-                    lane, digest = waiting.pop(ready)
+                counted = [x for x in self.lanes if x not in self.excluded or r.arrival < self.excluded[x]]
+                mark = min((min(cursor.get(x, 0), self.clamps.get(x, 2**62)) for x in counted), default=0)
+                while heap and heap[0] < mark:
+                    ready = heapq.heappop(heap)
+                    known.discard(ready)
+                    if ready in added:
+                        lane, digest = added.pop(ready)
+                    else:
+                        lane, digest = self.waiting.getValue((ready,))
+                        self.waiting.removeKey((ready,))
                     self.released.updateValue((ready,), (digest,))
-                    gone.append(ready)
                     last = max(last, ready)
                     out.append((sym, ready, lane, digest, "PUBLISHED"))
-        for i in gone:
-            if i not in added:
-                self.waiting.removeKey((i,))
         for i, v in added.items():
-            if i in waiting:
-                self.waiting.updateValue((i,), v)
+            self.waiting.updateValue((i,), v)
         for lane, n in cursor.items():
             self.cursors.updateValue((lane,), (n,))
         self.last.update((last,))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import queries as plain
-from .plans import log_queries, stream_queries, wire_queries  # noqa: F401  register their queries
+from .plans import log_queries, replay_queries, stream_queries, verify_queries, wire_queries  # noqa: F401  register their queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

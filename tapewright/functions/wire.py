@@ -163,7 +163,7 @@ def utc_ns(text: Column) -> Column:
 
 def utc_text(ns: Column) -> Column:
     """The instant as text in UTC with microseconds."""
-    return F.date_format(F.timestamp_micros(F.floor(ns / 1_000).cast("bigint")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.date_format(F.timestamp_micros(F.call_function("div", ns.cast("bigint"), F.lit(1_000).cast("bigint"))), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 #: What a recorder may ask for.

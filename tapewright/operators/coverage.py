@@ -229,7 +229,7 @@ def transport_class(rows: DataFrame, keys: list[str], event: str = "event", tcp_
 
 def witness_class(dns: Column, tcp: Column, routes: Column, interfaces: Column, venue: str = "VENUE", independent: str = "INDEPENDENT_INTERNET") -> Column:
     """Reachability class of a sample; dns, tcp, routes and interfaces are arrays of structs. venue names the venue in targets and classes."""
-    status = lambda rows, target: F.element_at(F.filter(rows, lambda x: x["target"] == target), 1)["status"]
+    status = lambda rows, target: F.get(F.filter(rows, lambda x: x["target"] == target), F.lit(0))["status"]
     v, i = status(tcp, f"{venue}_PUBLIC_STREAM"), status(tcp, independent)
     failed = lambda x: x.isin("FAILED", "TIMEOUT")
     up = F.exists(interfaces, lambda x: (x["status"] == "Up") & (x["type"] != "Loopback") & (F.size(x["gateways"]) > 0))

@@ -1,4 +1,4 @@
-"""Binary codecs as Arrow decoders: fixed layouts are data, one generic reader applies them to whole batches.
+"""Binary codecs as Arrow decoders: fixed layouts are data; one reader takes all messages of a type in a batch as a matrix of bytes, column by column.
 
 A message that fails to decode keeps all payload columns null and says why in `status`.
 """
@@ -9,7 +9,9 @@ import struct
 from collections.abc import Iterator
 from decimal import Decimal
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,13 +51,6 @@ OUCH_OUT = {
 }
 
 
-def _value(data: bytes, at: int, size: int, kind: str):
-    raw = data[at : at + size]
-    if kind in "up":
-        return int.from_bytes(raw, "big")
-    return raw.decode("latin-1").rstrip(" ") if kind == "a" else raw.decode("latin-1")
-
-
 def _columns(layouts: dict, extra: list[tuple[str, str]]) -> list[tuple[str, str]]:
     out: dict[str, str] = {"msg_type": "string"}
     for layout in layouts.values():
@@ -105,47 +100,118 @@ def schema_part(simple: str) -> str:
     return ", ".join([*out, field])
 
 
+class Fixed:
+    """Messages of a batch by type: the leading bytes of all messages of one type as a matrix, read column by column."""
+
+    def __init__(self, payloads: pa.Array, columns: list[tuple[str, str]]) -> None:
+        plain = pa.compute.fill_null(payloads.cast(pa.large_binary()), b"")
+        self.offsets = np.frombuffer(plain.buffers()[1], dtype=np.int64)[plain.offset : plain.offset + len(plain) + 1]
+        self.data = np.frombuffer(plain.buffers()[2], dtype=np.uint8) if plain.buffers()[2] is not None else np.empty(0, np.uint8)
+        self.sizes = np.diff(self.offsets)
+        n = len(plain)
+        self.kind = np.zeros(n, dtype=np.uint8)
+        some = np.flatnonzero(self.sizes > 0)
+        self.kind[some] = self.data[self.offsets[some]]
+        self.status = np.full(n, "UnknownType", dtype=object)
+        self.status[self.sizes == 0] = "Truncated"
+        self.columns = columns
+        self.out = {name: np.zeros(n, dtype=np.uint64) if k in ("bigint", "decimal(20,0)") else np.full(n, None, dtype=object) for name, k in columns}
+        self.known = {name: np.zeros(n, dtype=bool) for name, _ in columns}
+
+    def rows(self, kind: str, size: int) -> np.ndarray:
+        """Rows of the type that are long enough; shorter ones are truncated."""
+        own = self.kind == ord(kind)
+        self.status[own] = np.where(self.sizes[own] < size, "Truncated", "Ok")
+        return np.flatnonzero(own & (self.sizes >= size))
+
+    def matrix(self, rows: np.ndarray, size: int) -> np.ndarray:
+        return self.data[self.offsets[rows][:, None] + np.arange(size)]
+
+    def put(self, name: str, rows: np.ndarray, values: np.ndarray) -> None:
+        self.out[name][rows] = values
+        self.known[name][rows] = True
+
+    def arrays(self) -> list[pa.Array]:
+        good, made = self.status == "Ok", []
+        for name, k in self.columns:
+            if name == "status":
+                made.append(pa.array(self.status, pa.string()))
+                continue
+            missing = ~(good & self.known[name])
+            values = pa.array(self.out[name], mask=missing) if k in ("bigint", "decimal(20,0)") else pa.array(np.where(missing, None, self.out[name]), _arrow(k))
+            made.append(values.cast(_arrow(k)))
+        return made
+
+
+def _read(m: np.ndarray, at: int, size: int, kind: str) -> np.ndarray:
+    """One field of all rows: unsigned big-endian numbers, or texts of one byte a character without outer blanks on the right (kind a)."""
+    part = m[:, at : at + size]
+    if kind in "up":
+        out = np.zeros(len(m), dtype=np.uint64)
+        for i in range(size):
+            out = (out << np.uint64(8)) | part[:, i].astype(np.uint64)
+        return out
+    texts = [bytes(x).decode("latin-1") for x in part]
+    return np.array([t.rstrip(" ") if kind == "a" else t for t in texts], dtype=object)
+
+
+def _fixed(df: DataFrame, payload: str, columns: list[tuple[str, str]], fill) -> DataFrame:
+    """Other columns pass unchanged; fill(messages) reads all types of a batch into its columns."""
+    at = df.columns.index(payload)
+    names = [*df.columns, *(n for n, _ in columns)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            messages = Fixed(batch.column(at), columns)
+            fill(messages)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *messages.arrays()], names=names)
+
+    schema = schema_part(df.schema.simpleString()[len("struct<") : -1])
+    return df.mapInArrow(run, ", ".join([schema, *(f"`{n}` {k}" for n, k in columns)]))
+
+
 def itch(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Columns of all 13 message types, prices in units of 1/10000, and status Ok, Truncated, UnknownType or PriceOutOfRange."""
-    columns = _columns({k: (v[0], [*ITCH_HEADER, *v[1]]) for k, v in ITCH.items()}, [])
 
-    def one(data: bytes) -> dict:
-        if not data:
-            return {"status": "Truncated"}
-        kind = chr(data[0])
-        if kind not in ITCH:
-            return {"status": "UnknownType"}
-        size, fields = ITCH[kind]
-        if len(data) < size:
-            return {"status": "Truncated"}
-        row = {name: _value(data, at, n, k) for name, at, n, k in [*ITCH_HEADER, *fields]}
-        if row.get("price", 0) > PRICE4_MAX:
-            return {"status": "PriceOutOfRange"}
-        return {"msg_type": kind, **row, "status": "Ok"}
+    def fill(messages: Fixed) -> None:
+        for kind, (size, fields) in ITCH.items():
+            rows = messages.rows(kind, size)
+            m = messages.matrix(rows, size)
+            messages.put("msg_type", rows, np.full(len(rows), kind, dtype=object))
+            for name, at, n, k in [*ITCH_HEADER, *fields]:
+                values = _read(m, at, n, k)
+                messages.put(name, rows, values)
+                if k == "p":
+                    messages.status[rows[values > PRICE4_MAX]] = "PriceOutOfRange"
 
-    return _decode(df, payload, columns, one)
+    return _fixed(df, payload, _columns({k: (v[0], [*ITCH_HEADER, *v[1]]) for k, v in ITCH.items()}, []), fill)
 
 
 def ouch(df: DataFrame, payload: str = "payload", inbound: bool = True) -> DataFrame:
     """Order-entry messages of one direction, with appendage_len and appendage; status Ok, Truncated or UnknownType."""
     layouts = OUCH_IN if inbound else OUCH_OUT
-    columns = _columns(layouts, [("appendage_len", "bigint"), ("appendage", "binary")])
-
-    def one(data: bytes) -> dict:
-        if not data:
-            return {"status": "Truncated"}
-        kind = chr(data[0])
-        if kind not in layouts:
-            return {"status": "UnknownType"}
-        size, fields, tail, optional = layouts[kind]
-        if len(data) < size or (optional and len(data) == size + 1):  # one byte alone is half a length
-            return {"status": "Truncated"}
-        row = {name: _value(data, at, n, k) for name, at, n, k in fields}
-        given = not optional or len(data) > size
-        row |= {"appendage_len": int.from_bytes(data[tail : tail + 2], "big") if given else 0, "appendage": data[tail + 2 :] if given else b""}
-        return {"msg_type": kind, **row, "status": "Ok"}
-
-    return _decode(df, payload, columns, one)
+
+    def fill(messages: Fixed) -> None:
+        for kind, (size, fields, tail, optional) in layouts.items():
+            rows = messages.rows(kind, size)
+            if optional:  # one byte alone is half a length
+                half = messages.sizes[rows] == size + 1
+                messages.status[rows[half]] = "Truncated"
+                rows = rows[~half]
+            m = messages.matrix(rows, size)
+            messages.put("msg_type", rows, np.full(len(rows), kind, dtype=object))
+            for name, at, n, k in fields:
+                messages.put(name, rows, _read(m, at, n, k))
+            given = messages.sizes[rows] > size if optional else np.ones(len(rows), dtype=bool)
+            start, end = messages.offsets[rows] + tail, messages.offsets[rows + 1]
+            length = np.zeros(len(rows), dtype=np.uint64)
+            length[given] = messages.data[start[given]].astype(np.uint64) << np.uint64(8) | messages.data[start[given] + 1]
+            messages.put("appendage_len", rows, length)
+            rest = np.empty(len(rows), dtype=object)
+            rest[:] = [messages.data[a + 2 : b].tobytes() if g else b"" for a, b, g in zip(start.tolist(), end.tolist(), given.tolist(), strict=True)]
+            messages.put("appendage", rows, rest)
+
+    return _fixed(df, payload, _columns(layouts, [("appendage_len", "bigint"), ("appendage", "binary")]), fill)
 
 
 def ouch_encode(kind: str, **f) -> bytes:

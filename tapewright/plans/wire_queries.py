@@ -51,11 +51,15 @@ def ouch_decode(spark, d):
 
 @query(f"with {FEED} select eid, 10000::INTEGER as template_id, us as event_us, eid as trade_id, eid * 3 as price, eid % 7 as qty, 'SYM' || sym as symbol from feed")
 def sbe_decode(spark, d):
+    out = sbe_decoded(spark, d)
+    return out.select("eid", "template_id", "event_us", F.col("trades")[0]["id"].alias("trade_id"), F.col("trades")[0]["price"].alias("price"), F.col("trades")[0]["qty"].alias("qty"), "symbol")
+
+
+def sbe_decoded(spark, d) -> DataFrame:
     body = F.concat(le(F.lit(18), 2), le(F.lit(10000), 2), le(F.lit(1), 2), le(F.lit(0), 2), le(F.col("us"), 8), le(F.col("us"), 8), F.unhex(F.lit("FEFB")), le(F.lit(25), 2), le(F.lit(1), 4), le(F.col("eid"), 8), le(F.col("eid") * 3, 8), le(F.col("eid") % 7, 8), F.unhex(F.lit("01")))
     symbol = F.concat(F.lit("SYM"), F.col("sym").cast("string"))
     rows = feed(spark, d).select("eid", F.concat(body, be(F.length(symbol), 1), text(symbol)).alias("payload"))
-    out = codecs.sbe(rows).where("status = 'Ok'")
-    return out.select("eid", "template_id", "event_us", F.col("trades")[0]["id"].alias("trade_id"), F.col("trades")[0]["price"].alias("price"), F.col("trades")[0]["qty"].alias("qty"), "symbol")
+    return codecs.sbe(rows).where("status = 'Ok'")
 
 
 @query(f"with {FEED} select eid, case when eid % 17 = 3 then 'BadChecksum' else 'Ok' end as status, case when eid % 17 <> 3 then 'D' end as msg_type, case when eid % 17 <> 3 then eid::VARCHAR end as seq from feed")
@@ -91,6 +95,101 @@ def sbe_decimal_text(spark, d):
     return feed(spark, d).select("eid", wire.scaled_text(mantissa, F.col("eid") % 7 - 4).alias("value"))
 
 
+def _made(layouts: dict, header: list) -> dict[str, list]:
+    """Fields of each type with what the messages below hold: numbers eid * 3 + offset (below the field's range), prices eid + 7, texts of one letter."""
+    return {k: [*header, *v[1]] for k, v in layouts.items()}
+
+
+def fixed_messages(f: DataFrame, layouts: dict, header: list, appendage: bool) -> DataFrame:
+    """One message for each event, of the type that its number names; every 40th is cut by one byte, every 41st has an unknown type."""
+    kinds = sorted(layouts)
+    e, whole = F.col("eid"), None
+    for i, (kind, fields) in enumerate(sorted(_made(layouts, header).items())):
+        size, at, parts = layouts[kind][0], 1, [text(kind)]
+        for name, start, n, k in sorted(fields, key=lambda x: x[1]):
+            if start > at:
+                parts.append(F.unhex(F.lit("00" * (start - at))))
+            value = (e + 7) if k == "p" else (e * 3 + start)
+            parts.append(be(value % (256 ** min(n, 4)), n) if k in "up" else text(F.rpad(F.chr(F.lit(65) + (e + start) % 26), n, " ")))
+            at = start + n
+        end = layouts[kind][2] if appendage else size
+        if at < end:
+            parts.append(F.unhex(F.lit("00" * (end - at))))
+        if appendage:  # its length and three letters
+            parts.append(F.unhex(F.lit("0003616263")))
+        message = F.concat(*parts)
+        whole = message if whole is None else F.when(e % len(kinds) == i, message).otherwise(whole)
+    sizes = F.element_at(F.create_map(*(x for i, k in enumerate(kinds) for x in (F.lit(i), F.lit(layouts[k][0])))), (e % len(kinds)).cast("int"))
+    cut = F.when(e % 40 == 11, F.expr("substring(whole, 1, size - 1)")).when(e % 41 == 12, F.concat(text("?"), F.expr("substring(whole, 2, 1000)"))).otherwise(F.col("whole"))
+    return f.select("eid", whole.alias("whole"), sizes.alias("size")).select("eid", cut.alias("payload"))
+
+
+def fixed_sql(layouts: dict, header: list, appendage: bool) -> str:
+    """SQL of the rows that the messages hold."""
+    kinds = sorted(layouts)
+    columns: dict[str, list[str]] = {}
+    for i, (_, fields) in enumerate(sorted(_made(layouts, header).items())):
+        for name, start, n, k in fields:
+            value = "eid + 7" if k == "p" else f"(eid * 3 + {start}) % {256 ** min(n, 4)}" if k == "u" else f"chr((65 + (eid + {start}) % 26)::INTEGER)"
+            columns.setdefault(name, []).append(f"when k = {i} then {value}")
+    status = "case when eid % 40 = 11 then 'Truncated' when eid % 41 = 12 then 'UnknownType' else 'Ok' end"
+    rows = ", ".join(f"case when status = 'Ok' then case {' '.join(whens)} end end as {name}" for name, whens in columns.items())
+    names = ", ".join(f"when k = {i} then '{kind}'" for i, kind in enumerate(kinds)).replace(", when", " when")
+    extra = ", case when status = 'Ok' then 3 end as appendage_len, case when status = 'Ok' then 'abc' end as appendage" if appendage else ""
+    return f"with {FEED}, m as (select eid, eid % {len(kinds)} as k, {status} as status from feed) select eid, status, case when status = 'Ok' then case {names} end end as msg_type, {rows}{extra} from m"
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Numbers as bigint, bytes as text."""
+    return df.select(*(F.col(f.name).cast("bigint" if f.dataType.simpleString().startswith("decimal") else "string" if f.dataType.simpleString() == "binary" else f.dataType).alias(f.name) for f in df.schema if f.name != "payload"))
+
+
+@query(fixed_sql(codecs.ITCH, codecs.ITCH_HEADER, False))
+def itch_all_types(spark, d):
+    return plain(codecs.itch(fixed_messages(feed(spark, d), codecs.ITCH, codecs.ITCH_HEADER, False)))
+
+
+@query(fixed_sql(codecs.OUCH_IN, [], True))
+def ouch_inbound_types(spark, d):
+    return plain(codecs.ouch(fixed_messages(feed(spark, d), codecs.OUCH_IN, [], True)))
+
+
+@query(fixed_sql(codecs.OUCH_OUT, [], True))
+def ouch_outbound_types(spark, d):
+    return plain(codecs.ouch(fixed_messages(feed(spark, d), codecs.OUCH_OUT, [], True), inbound=False))
+
+
+def sbe_levels(price, qty, n: int) -> F.Column:
+    return F.concat(le(F.lit(16), 2), le(F.lit(n), 2), *(F.concat(le(price + i, 8), le(qty + i, 8)) for i in range(n)))
+
+
+@query(f"""with {FEED}, m as (select eid, us, sym, eid % 6 as k from feed) select eid, case k when 4 then 'UnknownTemplate' when 5 then 'Truncated' else 'Ok' end as status, (case when k < 4 then 10000 + k when k = 4 then 10009 else 10001 end)::INTEGER as template, case when k < 4 then us end as event_us,
+case when k in (1, 2) then eid end as book_id, case when k = 3 then eid end as first_id, case when k = 3 then eid + 5 end as last_id, case k when 1 then eid || 'x' || (eid + 1) when 2 then eid || 'x' || (eid + 1) || ',' || (eid + 1) || 'x' || (eid + 2) when 3 then '' end as bids,
+case k when 1 then (eid + 2) || 'x' || (eid + 3) when 2 then (eid + 2) || 'x' || (eid + 3) when 3 then (eid + 2) || 'x' || (eid + 3) end as asks, case when k = 0 then eid || 'x' || (eid * 3) || 'x' || (eid % 2 = 1) end as trades, case when k < 4 then 'S' || sym end as symbol from m""")
+def sbe_all_templates(spark, d):
+    """All four templates, an unknown one and messages cut short."""
+    e, us = F.col("eid"), F.col("us")
+    head = lambda block, template: F.concat(le(F.lit(block), 2), le(F.lit(template), 2), le(F.lit(1), 2), le(F.lit(0), 2))
+    symbol = F.concat(F.lit("S"), F.col("sym").cast("string"))
+    tail, scale = F.concat(be(F.length(symbol), 1), text(symbol)), F.unhex(F.lit("FEFB"))
+    trades = F.concat(head(18, 10000), le(us, 8), le(us, 8), scale, le(F.lit(25), 2), le(F.lit(1), 4), le(e, 8), le(e * 3, 8), le(F.lit(2), 8), be(e % 2, 1), tail)
+    top = F.concat(head(50, 10001), le(us, 8), le(e, 8), scale, le(e, 8), le(e + 1, 8), le(e + 2, 8), le(e + 3, 8), tail)
+    book = F.concat(head(18, 10002), le(us, 8), le(e, 8), scale, sbe_levels(e, e + 1, 2), sbe_levels(e + 2, e + 3, 1), tail)
+    diff = F.concat(head(26, 10003), le(us, 8), le(e, 8), le(e + 5, 8), scale, sbe_levels(e, e, 0), sbe_levels(e + 2, e + 3, 1), tail)
+    made = F.when(e % 6 == 0, trades).when(e % 6 == 1, top).when(e % 6 == 2, book).when(e % 6 == 3, diff).when(e % 6 == 4, F.concat(head(18, 10009), le(us, 8))).otherwise(F.expr("substring(top, 1, 40)"))
+    rows = feed(spark, d).withColumn("top", top).select("eid", made.alias("payload"))
+    side = lambda c: F.when(F.col(c).isNotNull(), F.array_join(F.transform(c, lambda x: F.concat_ws("x", x["price"].cast("string"), x["qty"].cast("string"))), ","))
+    deals = F.array_join(F.transform("trades", lambda t: F.concat_ws("x", t["id"].cast("string"), t["price"].cast("string"), t["buyer_maker"].cast("string"))), ",")
+    out = codecs.sbe(rows.withColumn("template", codecs.template_id(F.col("payload")).cast("int")))
+    return out.select("eid", "status", "template", "event_us", "book_id", "first_id", "last_id", side("bids").alias("bids"), side("asks").alias("asks"), F.when(F.col("trades").isNotNull(), deals).alias("trades"), "symbol")
+
+
+@query(f"with {FEED} select eid, 'SYM' || sym as symbol, eid as id, eid * 3 as price, eid % 7 as qty from feed")
+def sbe_trade_rows(spark, d):
+    """One row for each trade of decoded messages."""
+    return codecs.sbe_trades(sbe_decoded(spark, d), ["eid"]).select("eid", "symbol", "id", "price", "qty")
+
+
 @query(f"with {FEED} select eid, CAST(eid * 1000000 AS DECIMAL(38,0)) as units from feed")
 def fixed8_units(spark, d):
     return feed(spark, d).select("eid", wire.fixed8(F.col("eid"), F.lit(-2)).alias("units"))

@@ -14,6 +14,7 @@ from ..operators import book, oracle, seq, sessions
 from ..scratch import shared
 from ..sources import framed, journals
 from ..sources.files import put_files
+from ..streaming.sources import DurableFollower
 from . import replay
 from .feed import FEED, feed
 from .queries import query
@@ -178,6 +179,22 @@ def raw_log_frozen(spark, d):
     return framed.file_status(framed.strict(framed.read_framed(spark, target))).select(name(1).alias("sym"), name(2).alias("block"), "records")
 
 
+@query(f"""with {FR}, c as (select sym, block, count(*) as n from fr where kind = 'trade' group by all), x as (select *, sym % 5 = 3 as off from c)
+select sym, block, least(n, 10) as first_step, case when off then 0 else greatest(least(n, 30) - 10, 0) end as second_step, case when off then 'acknowledgement is off a record boundary' end as poisoned from x""")
+def durable_follower(spark, d):
+    """Two steps of a follower: after ten records of a log, then after thirty; an acknowledgement off a boundary poisons its log."""
+    source = raw_logs(spark, d)
+    records = framed.read_framed(spark, source).where(F.col("path").endswith("trade.bnraw"))
+    sym, block = (F.regexp_extract("path", r"S(\d+)-(\d+)-trade", i).cast("bigint").alias(n) for i, n in ((1, "sym"), (2, "block")))
+    ack = lambda n, off: records.where(f"record_index < {n}").groupBy("path").agg(F.max("end_offset").alias("ack_offset")).withColumn("ack_offset", F.col("ack_offset") + F.when(off, 1).otherwise(0))
+    follower = DurableFollower(spark, source, shared(spark, "follower"))
+    wrong = F.regexp_extract("path", r"S(\d+)-", 1).cast("bigint") % 5 == 3
+    first = follower.advance(0, ack(10, F.lit(False))).groupBy("path").agg(F.count(F.lit(1)).alias("first_step"))
+    second = follower.advance(1, ack(30, wrong)).groupBy("path").agg(F.count(F.lit(1)).alias("second_step"))
+    out = follower.followed(1).join(first, "path", "left").join(second, "path", "left")
+    return out.select(sym, block, F.coalesce("first_step", F.lit(0)).alias("first_step"), F.coalesce("second_step", F.lit(0)).alias("second_step"), "poisoned")
+
+
 DISPOSED = f"""{FR}, d as (select *, fi * 3 + 1 + case when sym % 4 = 1 and fi >= 60 then 5 else 0 end as first_id, fi * 3 + 3 + case when sym % 4 = 1 and fi >= 60 then 5 else 0 end as final_id,
 case when fi % 97 = 61 and sym % 4 = 2 then 'unexpected event' when fi % 89 = 63 and sym % 4 = 3 then 'control' end as reject from fr where kind = 'depth'),
 l as (select *, coalesce(max(case when reject is null then final_id end) over (partition by sym, block order by fi rows between unbounded preceding and 1 preceding), 0) as prev from d),

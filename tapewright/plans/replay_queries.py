@@ -11,7 +11,7 @@ from ..operators.ordered import carried
 from . import replay
 from .feed import FEED, LANES, LEVELS, feed, lanes, levels, row_order
 from .log_queries import DISPOSED, raw_logs
-from .queries import FP, SYM, big, query
+from .queries import FP, SQL, SYM, big, query
 
 # --- complete runs, prefixes, checkpoints -------------------------------------------------------------------------------
 
@@ -90,12 +90,7 @@ select s.sym, s.frame, case when s.frame = 0 then 'SNAPSHOT' when s.frame > cut
 from s left join c using (sym) join s t on t.sym = s.sym and t.frame = least(s.frame, coalesce(cut, s.frame))"""
 
 
-@query(FOLD_SQL)
-def book_fold_frames(spark, d):
-    """State after every frame by the fold; SQL joins every frame with the levels that stand at it."""
-    from .queries import book_fold
-
-    return book_fold(spark, d)
+SQL["book_fold"] = FOLD_SQL
 
 
 # --- lanes --------------------------------------------------------------------------------------------------------------
@@ -167,6 +162,10 @@ k as (select *, case when expected is null then 'FIRST' when sequence = expected
 w as (select k.*, g.expected as gf, g.sequence as gl from k left join k g on k.place = 'BEHIND' and g.sym = k.sym and g.epoch = k.epoch and g.place = 'GAP' and k.sequence >= g.expected and k.sequence < g.sequence)"""
 
 
+FEED_ROWS = "select sym, arrival, sequence, expected, case when place <> 'BEHIND' then place when copy = 1 and gf is not null then 'RECOVERED' else 'DUPLICATE' end as disposition, case when place = 'GAP' then expected end as gap_first, case when place = 'GAP' then sequence - 1 end as gap_last from w"
+SQL["sequenced_feed"] = f"with {SEQ_SQL.replace('id // 100 as epoch', '0 as epoch')} {FEED_ROWS}"
+
+
 @query(f"with {SEQ_SQL} select sym, arrival, sequence, expected, case when place <> 'BEHIND' then place when copy = 1 and gf is not null then 'RECOVERED' else 'DUPLICATE' end as disposition, case when place = 'GAP' then expected end as gap_first, case when place = 'GAP' then sequence - 1 end as gap_last from w")
 def sequenced_feed_seeded(spark, d):
     """A sequenced feed that a snapshot re-seeds after every hundred frames."""

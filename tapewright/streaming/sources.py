@@ -7,9 +7,11 @@ from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.sessions import TRACKED
+from ..sources.framed import read_framed
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -41,6 +43,49 @@ def follow(spark: SparkSession, path: str, schema, files_per_batch: int = 8) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+class DurableFollower:
+    """Follows framed logs by their acknowledged offsets; a log that contradicts what was followed before is poisoned and never goes on.
+
+    The state (path, ack_offset, last digest, reason) is a folder for every step in the shared place `state`, so a follower that starts anew goes on where the last
+    finished step ended, and a step that was cut short is done again.
+    """
+
+    STATE = "path string, ack_offset bigint, last_sha256 string, poisoned string"
+
+    def __init__(self, spark: SparkSession, path: str, state: str, kind: str = "raw") -> None:
+        self.spark, self.path, self.state, self.kind = spark, path, state.rstrip("/"), kind
+
+    def followed(self, step: int) -> DataFrame:
+        """The state after a step; empty before the first."""
+        if step < 0:
+            return self.spark.createDataFrame([], self.STATE)
+        return self.spark.read.schema(self.STATE).parquet(f"{self.state}/step-{step}")
+
+    def advance(self, step: int, acks: DataFrame) -> DataFrame:
+        """Do a step: acks (path, ack_offset) are new acknowledgements. Returns the records that became durable, in logs that are not poisoned.
+
+        Reasons: acknowledgement went back; a bad record lies before it; it is off a record's boundary; the prefix that was followed has changed.
+        """
+        old = self.followed(step - 1).select("path", F.col("ack_offset").alias("_from"), F.col("last_sha256").alias("_last"), F.col("poisoned").alias("_was"))
+        marks = acks.select("path", "ack_offset").join(old, "path", "full_outer").withColumn("_from", F.coalesce("_from", F.lit(0))).withColumn("_to", F.coalesce("ack_offset", "_from")).drop("ack_offset")
+        records = read_framed(self.spark, self.path, self.kind).join(marks, "path")
+        new = (F.col("start_offset") >= F.col("_from")) & (F.col("end_offset") <= F.col("_to"))
+        delta = records.where("status = 'ok'").where(new)
+        seen = delta.groupBy("path").agg(F.max("end_offset").alias("_reached"), F.min_by("previous_record_sha256", "record_index").alias("_before"), F.max_by("record_sha256", "record_index").alias("_digest"))
+        bad = records.where("status <> 'ok' and start_offset < _to").groupBy("path").agg(F.min("status").alias("_bad"))
+        rows = marks.join(seen, "path", "left").join(bad, "path", "left")
+        moved = F.col("_to") > F.col("_from")
+        reason = (
+            F.when(F.col("_was").isNotNull(), F.col("_was")).when(F.col("_to") < F.col("_from"), "acknowledgement went back").when(F.col("_bad").isNotNull(), F.concat(F.lit("bad record: "), "_bad"))
+            .when(moved & ~F.col("_reached").eqNullSafe(F.col("_to")), "acknowledgement is off a record boundary").when(moved & F.col("_last").isNotNull() & (F.col("_before") != F.col("_last")), "followed prefix changed")
+        )
+        rows = rows.withColumn("poisoned", reason)
+        good = F.col("poisoned").isNull()
+        after = rows.select("path", F.when(good, F.col("_to")).otherwise(F.col("_from")).alias("ack_offset"), F.when(good, F.coalesce("_digest", "_last")).otherwise(F.col("_last")).alias("last_sha256"), "poisoned")
+        after.write.mode("overwrite").parquet(f"{self.state}/step-{step}")
+        return delta.join(self.followed(step).where("poisoned is null").select("path"), "path", "left_semi").drop("_from", "_last", "_was", "_to")
+
+
 class FeedProcessor(StatefulProcessor):
     """Sequenced feed: NEXT, GAP (with its range), RECOVERED or DUPLICATE; numbers missing are kept until they come.
 

@@ -52,7 +52,8 @@ def suffix_ranks(first: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
     rank = np.empty(n, dtype=np.int64)
     rank[order] = np.repeat(starts, sizes)
     active = order[np.repeat(sizes > 1, sizes)]
-    levels, width = [rank], 1
+    small = np.int32 if n < 2**31 else np.int64  # a level is kept for each doubling
+    levels, width = [rank.astype(small)], 1
     while len(active):
         after = active + width
         second = np.where(after < end[active], rank[np.minimum(after, n - 1)], -1)
@@ -68,7 +69,7 @@ def suffix_ranks(first: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
         shift = np.maximum.accumulate(np.where(new_key, at, 0)) - np.maximum.accumulate(np.where(new_old, at, 0))
         rank = rank.copy()
         rank[active] = old + shift
-        levels.append(rank)
+        levels.append(rank.astype(small))
         sizes = np.diff(np.append(np.flatnonzero(new_key), len(active)))
         active = active[np.repeat(sizes > 1, sizes)]
         width *= 2

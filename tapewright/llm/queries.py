@@ -12,32 +12,38 @@ from .common import crc_fold, documents
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of base spans by kind, their digest, and all spans, for each document; null and empty texts have none."""
     found = pii.find(documents(spark, sf_dir))
     count = [F.expr(f"size(filter(base, x -> x.kind = {i}))").cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *count, F.sha2(F.expr(pii.span_text("base")), 256).alias("base_sha256"), F.expr(pii.span_text("spans")).alias("spans"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts for each document; null texts are empty ones, repeated rows count one by one and one of them is kept."""
     out = exact_dedup.exact_duplicates(documents(spark, sf_dir))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document and how many went as later repeats; the rest by its digest. Null texts have no lines."""
     out = line_dedup.line_dedup(documents(spark, sf_dir))
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("text_sha256"))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of token ids and their places in sequences of 2,048; a document without text is its end id alone."""
     out = packing.packed(documents(spark, sf_dir), with_ids=False)
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_length")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of each document by two-word shingles; documents without a word are linked with nothing."""
     out = near_dedup.near_duplicates(documents(spark, sf_dir), p=near_dedup.Params(shingle_words=2))
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document; learned from the labels of documents that are not held out. Empty texts are scored as well."""
     held_out = crc_fold("id", 5) == 0
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     out = quality_model.score(documents(spark, sf_dir), labels, held_out)
@@ -45,21 +51,25 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell, probability and draw of each document; null source, language or topic is a category of its own."""
     out = mixing.mix(documents(spark, sf_dir))
     return out.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the WARC archive made of all pages says of each; a null html is an empty payload."""
     out = warc.convert_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of each document; null and empty texts have no words and fail."""
     out = quality_rules.judge(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered_fraction", "longest_repeat")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document; `und` without a letter. Learned from documents that are not held out and have a language."""
     out = language_id.predict(documents(spark, sf_dir), crc_fold("id", 4) == 2)
     return out.select("doc_id", F.coalesce(crc_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 

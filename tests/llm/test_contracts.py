@@ -417,6 +417,50 @@ def test_op9(spark, odd, empty, texts):
     assert quality_rules.keep_good(odd).columns == odd.columns
 
 
+def test_op9_verdict_by_brute_force(spark):
+    """Covered fraction, longest repeat and verdict against all pairs of places in a text."""
+    rng = np.random.default_rng(6)
+    rules = quality_rules.Rules()
+    texts = []
+    for _ in range(40):
+        words = [f"w{x}" for x in rng.integers(0, 400, rng.integers(55, 120))]
+        for _ in range(rng.integers(0, 3)):
+            a, n, b = rng.integers(0, 40), rng.integers(8, 40), rng.integers(0, len(words))
+            words[b:b] = words[a : a + n]
+        texts.append(" ".join(words))
+    rows = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        words = text.split()
+        n, covered, longest = len(words), set(), 0
+        for a in range(n):
+            for b in range(a + 1, n):
+                k = 0
+                while b + k < n and words[a + k] == words[b + k]:
+                    k += 1
+                longest = max(longest, k)
+                if k >= rules.min_repeat_words:
+                    covered |= set(range(a, a + k)) | set(range(b, b + k))
+        share = len(covered) / n
+        bad = brute_rules(text)[5] or share > rules.max_covered_fraction or (longest >= rules.longest_floor_words and longest > rules.max_longest_fraction * n)
+        assert abs(rows[i]["covered_fraction"] - share) < 1e-12 and rows[i]["longest_repeat"] == longest and rows[i]["kept"] == (not bad)
+
+
+def test_op6_and_op10_equal_rows_score_alike(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i % 40, f"good words number {i % 40} are here to be read" if i % 2 else f"BUY!!! now {i % 40} $$$", "en" if i % 2 else "xx") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    scored = quality_model.score(docs, labels, F.lit(False), p=quality_model.Params(epochs=5)).collect()
+    named = language_id.predict(docs, F.lit(False)).collect()
+    assert len(scored) == len(named) == 80
+    for got in (scored, named):
+        assert len({tuple(r) for r in got}) == 40  # equal rows, equal results
+    # A tie between languages goes to the first one in order.
+    same = spark.createDataFrame([(1, "abc abd", "b"), (2, "abc abd", "a"), (3, "abc", None)], "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language_id.predict(same, F.lit(False)).collect()} == {1: "a", 2: "a", 3: "a"}
+
+
 def test_suffix_array_repeats():
     rng = np.random.default_rng(2)
     for _ in range(200):

@@ -253,3 +253,26 @@ def scope_predicate(spark, d):
     symbol = F.when(e % 4 == 0, "BTCUSDT").when(e % 4 == 1, "ethusdt").when(e % 4 == 2, "EthUsdt").otherwise("XRPUSDT")
     stream = F.when(e % 5 == 4, "kline").when(e % 5 < 2, "depth").when(e % 5 == 2, "trade").otherwise("bookTicker")
     return feed(spark, d).select("eid", wire.scope_reject(symbol, stream, F.when(e % 7 == 0, 5000).when(e % 7 == 1, 100).otherwise(e % 7 + 30)).alias("reject"))
+
+
+# --- sessions in SQL ----------------------------------------------------------------------------------------------------
+
+#: The order sessions of `ouch_session` come in cycles of five: two orders entered, the first replaced, the second executed, the replacing one cancelled in part.
+SQL["ouch_session"] = f"""with {FEED}, e as (select sym, id, eid, eid % 5 as p, eid % 100 + 1 as qty, eid % 31 = 0 as late from feed),
+x as (select *, lag(id, 2) over w is not null as earlier, lag(qty, 2) over w as q2, lag(late, 2) over w as late2, lag(id, 4) over w is not null as whole from e window w as (partition by sym order by id)),
+o as (select sym, id as seq, case when p < 2 then id + 1 when p = 2 then id + 1 else id - 1 end as user_ref, p, qty, late, earlier, q2, case when p = 4 then whole and not late2 else earlier end as known from x)
+select sym, seq, case when p < 2 then 'Accepted' when not known then 'SilentlyIgnored' when p = 2 and late then 'Rejected' when p = 2 then 'Replaced' when p = 3 then 'Executed' when qty < q2 then 'Canceled' else 'SilentlyIgnored' end as outcome, user_ref,
+case when p < 2 then qty when not known then 0 when p = 2 and not late then qty when p = 3 then greatest(q2 - qty, 0) when p = 4 then least(qty, q2) else 0 end as live_qty,
+case when p = 3 and known then qty else 0 end as executed, case when p = 4 and known then greatest(q2 - qty, 0) else 0 end as cancelled from o"""
+
+#: A step takes the next message, or a held one whose turn has come.
+SQL["fix_session"] = f"""with recursive {FEED}, m as (select sym, id as arrival, case when id = 0 then 'A' when eid % 11 = 3 then '1' else '0' end as kind, case when id = 0 then 1 else id + 1 + case when eid % 23 = 5 then 1 when eid % 23 = 21 then -1 else 0 end end as seq, eid::VARCHAR as test_id from feed),
+st as (select distinct sym, 0 as step, 0::BIGINT as nxt, 1::BIGINT as expected, 'AWAITING_LOGON' as state, []::STRUCT(seq BIGINT, kind VARCHAR, test_id VARCHAR, arrival BIGINT)[] as held, false as drain, null::VARCHAR as action, null::BIGINT as msg_seq, null::VARCHAR as reply, null::BIGINT as arrival from feed
+union all select sym, step + 1, case when drain then nxt else nxt + 1 end, e2, s2, h2, takes and len(list_filter(h2, lambda h: h.seq = e2)) > 0, case when drain then 'DRAINED' when refused then 'REJECTED_NOT_LOGGED_ON' when seq > expected then 'HELD' when seq < expected then 'IGNORED' else 'CONSUMED' end, seq,
+  case when refused then null when takes and kind = '1' then '35=0|112=' || test_id when seq > expected then '35=2|7=' || expected || '|16=' || (seq - 1) end, came
+from (select *, case when takes then list_filter(held, lambda h: h.seq >= e2) when not refused and seq > expected then list_append(list_filter(held, lambda h: h.seq <> seq), {{'seq': seq, 'kind': kind, 'test_id': test_id, 'arrival': came}}) else held end as h2
+from (select *, case when takes then expected + 1 else expected end as e2, case when refused then state when kind = 'A' and (takes or seq > expected) then 'LOGGED_ON' when takes and kind = '5' then 'CLOSED' else state end as s2
+from (select *, not refused and seq = expected as takes from (select *, not drain and kind not in ('A', '5') and state <> 'LOGGED_ON' as refused
+from (select st.sym, st.step, st.nxt, st.expected, st.state, st.held, st.drain, case when st.drain then t.seq else m.seq end as seq, case when st.drain then t.kind else m.kind end as kind, case when st.drain then t.test_id else m.test_id end as test_id, case when st.drain then t.arrival else m.arrival end as came
+from (select *, list_filter(held, lambda h: h.seq = expected)[1] as t from st) st left join m on m.sym = st.sym and m.arrival = st.nxt where st.drain or m.sym is not null))))))
+select sym, arrival, action, msg_seq, reply, expected, state from st where step > 0"""

@@ -80,9 +80,9 @@ def percentiles(hist: DataFrame, wanted: list[float], keys: list[str] | None = N
 
 
 def moments(hist: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """keys, n, mean, stddev over the middles of the ranges."""
+    """keys, n, mean, stddev over the middles of the ranges, min (lower end of the first range) and max (upper end of the last)."""
     mid = F.col("lowest") + F.call_function("shiftright", F.col("highest") - F.col("lowest") + 1, F.lit(1))
     weighted = hist.withColumn("mid", mid.cast("double"))
-    sums = weighted.groupBy(*(keys or [])).agg(F.sum("n").alias("n"), F.sum(F.col("mid") * F.col("n")).alias("s"), F.sum(F.col("mid") * F.col("mid") * F.col("n")).alias("q"))
+    sums = weighted.groupBy(*(keys or [])).agg(F.sum("n").alias("n"), F.sum(F.col("mid") * F.col("n")).alias("s"), F.sum(F.col("mid") * F.col("mid") * F.col("n")).alias("q"), F.min("lowest").alias("min"), F.max("highest").alias("max"))
     mean = F.col("s") / F.col("n")
-    return sums.select(*(keys or []), "n", mean.alias("mean"), F.sqrt(F.greatest(F.col("q") / F.col("n") - mean * mean, F.lit(0.0))).alias("stddev"))
+    return sums.select(*(keys or []), "n", mean.alias("mean"), F.sqrt(F.greatest(F.col("q") / F.col("n") - mean * mean, F.lit(0.0))).alias("stddev"), "min", "max")

@@ -141,18 +141,18 @@ def fix_build(pairs: Column) -> Column:
 
 
 def reconnect_delay_ms(lane: Column, attempt: Column, failures: Column, token: Column, initial_ms: int, max_ms: int, jitter_ms: int) -> Column:
-    """Exponential delay with a jitter taken from a SHA-256 over lane, little-endian numbers and token; never above max_ms."""
-    le = lambda x: F.unhex(F.concat(*(F.substring(F.lpad(F.hex(x.cast("bigint")), 16, "0"), 15 - 2 * i, 2) for i in range(8))))
-    digest = F.sha2(F.concat(lane.cast("binary"), le(attempt), le(failures), token.cast("binary")), 256)
-    turned = F.concat(*(F.substring(digest, 15 - 2 * i, 2) for i in range(8)))
-    jitter = F.conv(turned, 16, 10).cast("decimal(20,0)") % F.lit(jitter_ms + 1).cast("decimal(20,0)")
-    base = F.least(F.lit(float(initial_ms)) * F.pow(F.lit(2.0), F.greatest(failures - 1, F.lit(0))), F.lit(float(max_ms))).cast("bigint")
+    """Exponential delay with a jitter taken from a SHA-256 over lane, attempt (8 bytes), failures (4 bytes; both little-endian) and token; never above max_ms."""
+    turned = lambda text, n: F.concat(*(F.substring(text, 2 * (n - i) - 1, 2) for i in range(n)))
+    le = lambda x, n: F.unhex(turned(F.lpad(F.hex(x.cast("bigint")), 2 * n, "0"), n))
+    digest = F.sha2(F.concat(lane.cast("binary"), le(attempt, 8), le(failures, 4), token.cast("binary")), 256)
+    jitter = F.conv(turned(F.substring(digest, 1, 16), 8), 16, 10).cast("decimal(20,0)") % F.lit(jitter_ms + 1).cast("decimal(20,0)")
+    base = F.least(F.lit(float(initial_ms)) * F.pow(F.lit(2.0), F.least(F.greatest(failures - 1, F.lit(0)), F.lit(63))), F.lit(float(max_ms))).cast("bigint")
     return F.least(base + jitter.cast("bigint"), F.lit(max_ms).cast("bigint"))
 
 
 def safe_path(path: Column) -> Column:
-    """A relative path of plain leaves: no empty, dot or dot-dot part, no drive, no backslash, no control character."""
-    return F.coalesce(path.rlike(r"^(?!.*(?:^|/)[.]{1,2}(?:/|$))[^/\\:\x00-\x1f]+(?:/[^/\\:\x00-\x1f]+)*$"), F.lit(False))
+    """A relative path of plain parts: no empty, dot or dot-dot part, no drive, no backslash, no NUL, no blanks around it."""
+    return F.coalesce(path.rlike(r"^(?U)(?!\s)(?!.*(?:^|/)[.]{1,2}(?:/|$))[^/\\:\x00]+(?:/[^/\\:\x00]+)*(?<!\s)$"), F.lit(False))
 
 
 def utc_ns(text: Column) -> Column:

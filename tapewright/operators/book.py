@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from decimal import Decimal
 
 import pandas as pd
@@ -165,28 +166,58 @@ def final_fingerprint(book: DataFrame, keys: list[str]) -> DataFrame:
 FOLD = "frame bigint, disposition string, state string, last_update_id bigint, bid_levels bigint, ask_levels bigint, best_bid decimal(28,8), best_ask decimal(28,8)"
 
 
+class Side:
+    """One side of a book: quantities by price, and a heap of prices from which those that are gone are dropped only when they come up."""
+
+    def __init__(self, highest_first: bool) -> None:
+        self.sign = -1 if highest_first else 1
+        self.clear()
+
+    def clear(self) -> None:
+        self.levels: dict[Decimal, Decimal] = {}
+        self.heap: list[Decimal] = []
+
+    def set(self, price: Decimal, qty: Decimal) -> None:
+        if qty == 0:
+            self.levels.pop(price, None)
+            return
+        if price not in self.levels:
+            heapq.heappush(self.heap, self.sign * price)
+        self.levels[price] = qty
+
+    def best(self) -> Decimal | None:
+        while self.heap and self.sign * self.heap[0] not in self.levels:
+            heapq.heappop(self.heap)
+        return self.sign * self.heap[0] if self.heap else None
+
+    def __len__(self) -> int:
+        return len(self.levels)
+
+
 class Book:
-    """One book in memory: a dictionary a side and a lazily sorted best price."""
+    """One book in memory, with the state machine of a session that starts from a snapshot."""
 
     def __init__(self, strict_next: bool = False) -> None:
-        self.sides: dict[str, dict[Decimal, Decimal]] = {"bid": {}, "ask": {}}
+        self.sides = {"bid": Side(True), "ask": Side(False)}
         self.state, self.last, self.strict_next = "EMPTY", None, strict_next
 
     def load(self, last_id: int, levels: list[tuple[str, Decimal, Decimal]]) -> str:
-        self.sides = {"bid": {}, "ask": {}}
+        seen = set()
+        for s in self.sides.values():
+            s.clear()
         for side, price, qty in levels:
-            if price in self.sides[side]:
+            if (side, price) in seen:
                 self.state = "INVALID"
                 return "DUPLICATE_PRICE"
-            if qty > 0:
-                self.sides[side][price] = qty
+            seen.add((side, price))
+            self.sides[side].set(price, qty)
         self.last = last_id
-        self.state = "SYNCING" if self.sides["bid"] and self.sides["ask"] and self.best("bid") < self.best("ask") else "INVALID"
+        bid, ask = self.best("bid"), self.best("ask")
+        self.state = "SYNCING" if bid is not None and ask is not None and bid < ask else "INVALID"
         return "SNAPSHOT"
 
     def best(self, side: str) -> Decimal | None:
-        prices = self.sides[side]
-        return (max(prices) if side == "bid" else min(prices)) if prices else None
+        return self.sides[side].best()
 
     def apply(self, first: int, final: int, levels: list[tuple[str, Decimal, Decimal]]) -> str:
         if self.state in ("EMPTY", "INVALID", "STOPPED", "GAP"):
@@ -198,10 +229,7 @@ class Book:
             self.state = "GAP"
             return "GAP"
         for side, price, qty in levels:
-            if qty == 0:
-                self.sides[side].pop(price, None)
-            else:
-                self.sides[side][price] = qty
+            self.sides[side].set(price, qty)
         self.last = final
         bid, ask = self.best("bid"), self.best("ask")
         self.state = "LIVE" if bid is not None and ask is not None and bid < ask else "INVALID"
@@ -232,19 +260,18 @@ def derived_fold(updates: DataFrame, keys: list[str]) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in updates.schema if f.name in keys}
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sides: dict[str, dict[Decimal, Decimal]] = {"bid": {}, "ask": {}}
+        sides = {"bid": Side(True), "ask": Side(False)}
         last, out = None, []
         for r in pdf.sort_values("frame").itertuples(index=False):
             if last is not None and r.first_id != last + 1:
-                sides, last, what, state = {"bid": {}, "ask": {}}, None, "GAP", "GAP"
+                for side in sides.values():
+                    side.clear()
+                last, what, state = None, "GAP", "GAP"
             else:
                 for x in sorted(r.levels, key=lambda x: (x["side"], x["pos"])):
-                    if x["qty"] == 0:
-                        sides[x["side"]].pop(x["price"], None)
-                    else:
-                        sides[x["side"]][x["price"]] = x["qty"]
+                    sides[x["side"]].set(x["price"], x["qty"])
                 last, what, state = int(r.final_id), "APPLIED", "LIVE"
-            out.append((*(getattr(r, k) for k in keys), r.frame, what, state, last, len(sides["bid"]), len(sides["ask"]), max(sides["bid"], default=None), min(sides["ask"], default=None)))
+            out.append((*(getattr(r, k) for k in keys), r.frame, what, state, last, len(sides["bid"]), len(sides["ask"]), sides["bid"].best(), sides["ask"].best()))
         return pd.DataFrame(out, columns=[*keys, *(c.split()[0] for c in FOLD.split(", "))]).astype({"last_update_id": "Int64"})
 
     return updates.groupBy(*keys).applyInPandas(run, ", ".join([*(f"{k} {t}" for k, t in kinds.items()), FOLD]))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import decimals, wire
-from ..operators import book, coverage, latency, sessions, splice, union
-from ..operators.ordered import carried
+from ..operators import book, coverage, latency, oracle, sessions, splice, union
+from ..operators.ordered import WIDTH, carried
 from . import replay
 from .feed import FEED, LANES, LEVELS, feed, lanes, levels, row_order
 from .log_queries import DISPOSED, raw_logs
@@ -255,6 +255,63 @@ def scope_predicate(spark, d):
     return feed(spark, d).select("eid", wire.scope_reject(symbol, stream, F.when(e % 7 == 0, 5000).when(e % 7 == 1, 100).otherwise(e % 7 + 30)).alias("reject"))
 
 
+@query(f"""with {FEED}, t as (select eid, case when eid % 2 = 0 then 'PRIMARY' else 'SHADOW' end as lane, eid as attempt, eid % 9 as failures, 't' || sym as token from feed),
+h as (select *, sha256(encode(lane) || unhex({' || '.join(f"substr(printf('%016x', attempt), {15 - 2 * i}, 2)" for i in range(8))}) || unhex({' || '.join(f"substr(printf('%08x', failures), {7 - 2 * i}, 2)" for i in range(4))}) || encode(token)) as dg from t),
+j as (select *, CAST(('0x' || {' || '.join(f"substr(dg, {15 - 2 * i}, 2)" for i in range(8))})::UBIGINT % 501 AS BIGINT) as jitter, CAST(least(250 * power(2, greatest(failures - 1, 0)), 20000) AS BIGINT) as base from h) select eid, least(base + jitter, 20000) as delay_ms from j""")
+def reconnect_delays(spark, d):
+    lane = F.when(F.col("eid") % 2 == 0, "PRIMARY").otherwise("SHADOW")
+    return feed(spark, d).select("eid", wire.reconnect_delay_ms(lane, F.col("eid"), F.col("eid") % 9, F.concat(F.lit("t"), F.col("sym").cast("string")), 250, 20_000, 500).alias("delay_ms"))
+
+
+PATHS = ["a/b.json", "/a", "a//b", "a/../b", "./a", "a\\\\b", "c:/a", " a", "a ", "a/b c/d", "", "..", "a/.b", "a/..b"]
+SAFE = (1, 0, 0, 0, 0, 0, 0, 0, 0, 1, 0, 0, 1, 1)
+
+
+@query(f"with {FEED} select eid, eid % {len(PATHS)} in ({', '.join(str(i) for i, ok in enumerate(SAFE) if ok)}) as safe from feed")
+def safe_paths(spark, d):
+    path = F.element_at(F.array(*(F.lit(x) for x in PATHS)), (F.col("eid") % len(PATHS) + 1).cast("int"))
+    return feed(spark, d).select("eid", wire.safe_path(path).alias("safe"))
+
+
+@query(f"""with {FEED}, g as (select sym, us - lag(us) over (partition by sym order by id) as gap from feed), v as (select sym, gap as x, greatest(length(ltrim(bin(gap | 2047), '0')) - 11, 0) as b from g where gap between 0 and 3600000000000),
+r as (select sym, (x >> b) << b as lowest, ((x >> b) << b) + (1::BIGINT << (b + case when (x >> b) >= 2048 then 1 else 0 end)) - 1 as highest from v), m as (select *, lowest + ((highest - lowest + 1) >> 1) as mid from r)
+select sym, count(*) as n, round(avg(mid::DOUBLE), 3) as mean, round(stddev_pop(mid::DOUBLE) / 1e6, 3) as stddev, min(lowest) as min, max(highest) as max from m group by sym""")
+def hdr_moments(spark, d):
+    from ..functions import hdr
+
+    gaps = latency.inter_arrival(feed(spark, d), SYM, "us", "id", WIDTH)
+    out = hdr.moments(hdr.histogram(gaps, "gap", SYM), SYM)
+    return out.select("sym", *big("n"), F.round("mean", 3).alias("mean"), F.round(F.col("stddev") / 1e6, 3).alias("stddev"), "min", "max")
+
+
+@query(f"with {FEED} select sym, count(*) filter (where id > 10 and eid % 9 = 0) as missing, count(*) filter (where id > 10 and eid % 9 <> 0 and eid % 14 = 5) * 2 as both from feed group by sym")
+def union_oracle(spark, d):
+    """Published trades against the raw union above the floor: some are left out, some have another digest, which is a trade missing and one invented."""
+    f = feed(spark, d)
+    digest = lambda text: F.sha2(text, 256).alias("observation_sha256")
+    raw = f.select("sym", F.col("id").alias("trade_id"), digest(F.col("eid").cast("string")))
+    shown = f.where("eid % 9 <> 0").select("sym", F.lit("TRADE_OBSERVATION").alias("event"), F.col("id").alias("trade_id"), digest(F.when(F.col("eid") % 14 == 5, "x").otherwise(F.col("eid").cast("string"))), F.lit(None).cast("string").alias("kind"), F.lit(None).cast("bigint").alias("trade_floor"))
+    start = f.select("sym").distinct().select("sym", F.lit("ARBITRATION_STARTED").alias("event"), F.lit(None).cast("bigint").alias("trade_id"), F.lit(None).cast("string").alias("observation_sha256"), F.lit(None).cast("string").alias("kind"), F.lit(10).cast("bigint").alias("trade_floor"))
+    out = oracle.verify_union(shown.where("trade_id > 10").unionByName(start), raw, SYM)
+    wrong = F.col("invented")
+    return out.select("sym", (F.col("missing") - wrong).cast("bigint").alias("missing"), (wrong * 2).cast("bigint").alias("both"))
+
+
+@query(f"with {FEED}, t as (select sym, id as record_index, case when id > 0 then id - case when eid % 83 = 9 then 3 else 0 end end as trade_id from feed), l as (select *, max(trade_id) over (partition by sym order by record_index rows between unbounded preceding and 1 preceding) as last, max(record_index) over (partition by sym) // 2 as cut from t) select sym, record_index, 'trade order' as rule from l where trade_id <= last and record_index >= cut")
+def tail_audit(spark, d):
+    """The second half of every journal, audited with the context of the first half only."""
+    f = feed(spark, d)
+    own = F.sha2(F.col("eid").cast("string"), 256)
+    rows = carried(f, SYM, "id", prev={"_before": own})
+    columns = dict(part.rsplit(" ", 1) for part in oracle.PAYLOAD.split(", "))
+    made = {"event": F.when(F.col("id") == 0, "ARBITRATION_STARTED").otherwise("TRADE_OBSERVATION"), "trade_id": F.when(F.col("id") > 0, F.col("id") - F.when(F.col("eid") % 83 == 9, 3).otherwise(0))}
+    payload = [(made[n] if n in made else F.lit(None)).cast(t).alias(n) for n, t in columns.items() if n != "record_sha256"]
+    journal = rows.select("sym", F.col("id").alias("record_index"), own.alias("record_sha256"), F.coalesce("_before", F.lit("0" * 64)).alias("previous_record_sha256"), *payload)
+    journal = journal.join(journal.groupBy("sym").agg(F.max("record_index").alias("top")), "sym").withColumn("cut", F.expr("top div 2"))
+    context = oracle.journal_context(journal.where("record_index < cut"), SYM)
+    return oracle.journal_violations(journal.where("record_index >= cut").drop("top", "cut"), SYM, context)
+
+
 # --- sessions in SQL ----------------------------------------------------------------------------------------------------
 
 #: The order sessions of `ouch_session` come in cycles of five: two orders entered, the first replaced, the second executed, the replacing one cancelled in part.

@@ -393,7 +393,7 @@ def test_witness_and_coverage_edges(spark):
     w = spark.createDataFrame([(1, 0, 10), (1, 10, 20), (1, 21, 30)], "k bigint, ready_ns bigint, stop_ns bigint")
     assert coverage.coverage_report(w, ["k"], F.lit(0), F.lit(30)).first()["holes"] == 1
     d = wire.reconnect_delay_ms(F.lit("PRIMARY"), F.lit(1), F.lit(3), F.lit("t"), 100, 1_000, 50)
-    digest = hashlib.sha256(b"PRIMARY" + (1).to_bytes(8, "little") + (3).to_bytes(8, "little") + b"t").digest()
+    digest = hashlib.sha256(b"PRIMARY" + (1).to_bytes(8, "little") + (3).to_bytes(4, "little") + b"t").digest()
     assert spark.range(1).select(d.alias("d")).first()["d"] == 400 + int.from_bytes(digest[:8], "little") % 51
     with pytest.raises(ValueError):
         oracle.strict(w, ["ready_ns"])

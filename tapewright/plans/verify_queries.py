@@ -53,7 +53,7 @@ def chain(rows: DataFrame, order: str = "record_index", fault: int | None = None
     (1, "generation status is not COMPLETE"), (2, "segment duration exceeds generation duration"), (3, "generation wall-clock bounds are invalid"), (4, "generation must contain exactly depth and trade streams"),
     (5, "generation stream connection epochs are not unique"), (6, "terminal counts are inconsistent"), (7, "terminal transport status is not clean"), (8, "segment records differ from its frames"),
     (8, "sealed segments differ from the stream''s records"), (9, "segment chain: terminal digest"), (10, "segment has no durability ACK"), (11, "durability ACK does not match the exact file"),
-    (12, "telemetry record index is not contiguous"), (13, "telemetry monotonic lineage regressed"), (14, "telemetry record counters are invalid"),
+    (12, "telemetry record index is not contiguous"), (12, "telemetry monotonic lineage regressed"), (13, "telemetry monotonic lineage regressed"), (14, "telemetry record counters are invalid"),
 ]))
 def generation_verification(spark, d):
     g = groups(spark, d, 15)

@@ -1,9 +1,9 @@
 """Quality classifier: random-indexing word vectors pooled per document, and a two-layer numpy network.
 
-Word vectors. Words are split into all their runs of letters and digits and runs of symbols, each hashed whole to one of `buckets`
-buckets (a run of more than 20 characters by its 3-grams), and a mark for capitals. Every bucket has a sparse ternary index vector; a bucket's word vector is the sum of its neighbours' index vectors over
-the whole corpus, summed in Spark. The table has a fixed size (buckets x (dims + 1) numbers), so it is small enough to send
-to every executor at any input size. A document is the mean and deviation of its words' vectors and index vectors.
+Word vectors. Words are split into all their runs of letters and digits and runs of symbols (a run of more than 20 characters into its 3-grams), and a mark for
+capitals; each of these is a token of its own. Every token has a sparse ternary index vector, a function of its hash, so no table of all words is needed. The tokens that occur in most of the
+labelled training rows, `vocabulary` of them at most, have a context vector as well: the sum of the index vectors of their neighbours, `window` on each side, over the whole corpus,
+summed in Spark. A document is the weighted mean and deviation of its tokens' context and index vectors; tokens outside the vocabulary come in by their index vectors alone.
 
 Classifier. Fitted on at most `most_labelled` labelled rows (those with the smallest hash of the id) of the training folds; one
 fold in five of these is kept apart to calibrate the temperature. Only the text is an input of a score.
@@ -22,10 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Growing, WordTable, pick, slices, split_words
+from .common import Growing, WordTable, discard, land, mix64, pick, slices, split_words
 
 RUNS = re.compile(r"([^\W_]+)|[\W_]+")
 LONGEST, GRAM = 20, 3
@@ -33,10 +34,13 @@ LONGEST, GRAM = 20, 3
 
 @dataclass(frozen=True)
 class Params:
-    buckets: int = 1 << 14
     dims: int = 32
     nonzero: int = 4
+    #: Neighbours on each side whose index vectors a word takes in.
+    window: int = 2
     most_labelled: int = 20_000
+    #: Words with a context vector: those in most of the labelled training rows, in two at least.
+    vocabulary: int = 16_384
     hidden: int = 32
     epochs: int = 60
     threshold: float = 0.3
@@ -44,39 +48,44 @@ class Params:
 
 
 class Tokens:
-    """Texts to bucket numbers. A word gives one for each of its runs (3-grams of a long one), then a mark of capitals."""
+    """Texts to numbers of tokens, which are the same for equal tokens until the table is forgotten; `hashes` has each one's 64-bit hash.
+
+    A word gives one token for each of its runs (3-grams of a long one), then a mark of capitals. `most` bounds the table.
+    """
 
     MOST = 4_000_000
 
-    def __init__(self, buckets: int) -> None:
-        self.buckets = buckets
+    def __init__(self, most: int = 200_000) -> None:
+        self.most = most
         self._forget()
 
     def _forget(self) -> None:
-        self.table, self.parts, self.spans = WordTable(), Growing((), np.int32), Growing((2,), np.int64)
+        self.words, self.parts, self.spans = WordTable(), Growing((), np.int32), Growing((2,), np.int64)
+        self.tokens, self.hashes = WordTable(), Growing((), np.uint64)
 
-    def _split(self, word: bytes) -> list[int]:
-        number = lambda kind, s: zlib.crc32((kind + s).encode("utf-8", "replace")) % self.buckets
+    def _split(self, word: bytes) -> list[str]:
         out, capitals = [], False
         for m in RUNS.finditer(word.decode("utf-8", "replace")):
             run, kind = m[0], "w" if m[1] else "s"
             capitals |= len(run) > 1 and run.isupper()
             run = run.lower()
-            out += [number(kind, run)] if len(run) <= LONGEST else [number(kind, run[i : i + GRAM]) for i in range(len(run) - GRAM + 1)]
-        return [*out, number("c", "")] if capitals else out
+            out += [kind + run] if len(run) <= LONGEST else [kind + run[i : i + GRAM] for i in range(len(run) - GRAM + 1)]
+        return [*out, "c"] if capitals else out
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket numbers of all texts, one after the other, and how many each text has."""
-        if len(self.table) > WordTable.LIMIT or self.parts.used > self.MOST:
+        """Token numbers of all texts, one after the other, and how many each text has."""
+        if len(self.tokens) > self.most or len(self.words) > WordTable.LIMIT or self.parts.used > self.MOST:
             self._forget()
         words, at, counts = split_words(texts)
-        numbers = self.table.numbers(words)
-        if self.table.new:
-            new = [self._split(w) for w in self.table.new]
+        numbers = self.words.numbers(words)
+        if self.words.new:
+            new = [self._split(w) for w in self.words.new]
             sizes = np.array([len(x) for x in new], dtype=np.int64)
             self.spans.extend(np.stack([self.parts.used + np.cumsum(sizes) - sizes, sizes], axis=1))
-            self.parts.extend(np.array([n for x in new for n in x], dtype=np.int32))
-            self.table.new.clear()
+            self.parts.extend(self.tokens.numbers([t for x in new for t in x]).astype(np.int32))
+            self.words.new.clear()
+            self.hashes.extend(np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) for t in self.tokens.new], dtype=np.uint64))
+            self.tokens.new.clear()
         start, size = self.spans.rows[numbers[at]].T
         ends = np.cumsum(size)
         found = self.parts.rows[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
@@ -84,61 +93,129 @@ class Tokens:
         return found, np.bincount(of, weights=size, minlength=len(counts)).astype(np.int64)
 
 
-def index_vectors(p: Params) -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the non-zero entries of each bucket's index vector."""
-    rng = np.random.default_rng(p.seed)
-    return rng.integers(0, p.dims, (p.buckets, p.nonzero)), rng.choice(np.array([-1, 1]), (p.buckets, p.nonzero))
+def index_vectors(hashes: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of the non-zero entries of each token's index vector, a function of its hash: no table of all words is needed."""
+    h = mix64(hashes + np.uint64(p.seed))[:, None] >> (np.arange(p.nonzero, dtype=np.uint64) * np.uint64(16))
+    return (h >> np.uint64(1) & np.uint64(0x7FFF)).astype(np.int64) % p.dims, 1 - 2 * (h & np.uint64(1)).astype(np.int64)
+
+
+def known(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
+    """Places of hashes in the sorted vocabulary, -1 for others."""
+    if not len(vocabulary):
+        return np.full(len(hashes), -1, dtype=np.int64)
+    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    return np.where(vocabulary[at] == hashes, at, -1)
 
 
-def word_sums(docs: DataFrame, text_col: str, p: Params) -> np.ndarray:
-    """Per bucket: its count, then the sum of its neighbours' index vectors, over all documents. Shape (buckets, 1 + dims)."""
-    columns = ["n", *(f"v{i}" for i in range(p.dims))]
+def vocabulary_of(sample: DataFrame, p: Params) -> np.ndarray:
+    """Sorted hashes of the words that occur in most rows of the labelled sample (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, (places, signs) = Tokens(p.buckets), index_vectors(p)
-        counts, sums = np.zeros(p.buckets, dtype=np.int64), np.zeros(p.buckets * p.dims, dtype=np.float64)
+        tokens = Tokens()
         for part in slices(batches, 0):
             t, sizes = tokens.of(part.column(0))
-            counts += np.bincount(t, minlength=p.buckets)
             of = np.repeat(np.arange(len(sizes)), sizes)
-            next_ = np.flatnonzero(of[1:] == of[:-1])  # pairs of neighbours within a text
-            a, b = np.concatenate([t[next_], t[next_ + 1]]).astype(np.int64), np.concatenate([t[next_ + 1], t[next_]])
+            pairs = np.unique(of * (1 << 32) + t)  # a token once for each text
+            kinds, n = np.unique(pairs & 0xFFFFFFFF, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.hashes.rows[kinds].view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    rows = sample.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    top = rows.orderBy(F.col("n").desc(), "h").limit(p.vocabulary).select("h").toPandas()  # at most p.vocabulary rows
+    return np.sort(top["h"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
+def word_sums(docs: DataFrame, text_col: str, vocabulary: np.ndarray, p: Params) -> tuple[np.ndarray, int]:
+    """For each word of the vocabulary its count, then the sum of its neighbours' index vectors, over all documents: shape (words, 1 + dims); and the number of all tokens."""
+    columns, size = ["n", *(f"v{i}" for i in range(p.dims))], len(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokens()
+        counts, sums, total = np.zeros(size, dtype=np.int64), np.zeros(size * p.dims, dtype=np.float64), 0
+        for part in slices(batches, 0, 2_000_000):
+            t, sizes = tokens.of(part.column(0))
+            kinds, t = np.unique(t, return_inverse=True)
+            word = known(tokens.hashes.rows[kinds], vocabulary)
+            places, signs = index_vectors(tokens.hashes.rows[kinds], p)
+            total += len(t)
+            w = word[t]
+            counts += np.bincount(w[w >= 0], minlength=size)
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            mine, other = [], []
+            for far in range(1, p.window + 1):  # pairs of neighbours within a text, both ways
+                here = np.flatnonzero(of[far:] == of[:-far])
+                for a, b in ((here, here + far), (here + far, here)):
+                    a, b = a[w[a] >= 0], b[w[a] >= 0]
+                    mine.append(w[a])
+                    other.append(t[b])
+            a, b = np.concatenate(mine), np.concatenate(other)
             for i in range(p.nonzero):
                 sums += np.bincount(a * p.dims + places[b, i], weights=signs[b, i], minlength=len(sums))
         used = np.flatnonzero(counts)
-        table = sums.reshape(p.buckets, p.dims)[used].astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used]), *(pa.array(table[:, i]) for i in range(p.dims))], names=["bucket", *columns])
-
-    rows = pick(docs, text=text_col).mapInArrow(run, ", ".join(f"{c} long" for c in ["bucket", *columns]))
-    total = rows.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in columns)).toPandas()  # at most p.buckets rows
-    out = np.zeros((p.buckets, 1 + p.dims))
-    out[total["bucket"].to_numpy(dtype=np.int64)] = total[columns].to_numpy()
-    return out
-
-
-def word_vectors(sums: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors (context direction and index vector) and smooth inverse-frequency weights, by bucket."""
-    context = sums[:, 1:] / np.maximum(np.linalg.norm(sums[:, 1:], axis=1, keepdims=True), 1e-9)
-    own = np.zeros((p.buckets, p.dims))
-    places, signs = index_vectors(p)
-    np.add.at(own, (np.arange(p.buckets)[:, None], places), signs)
-    share = sums[:, 0] / max(sums[:, 0].sum(), 1)
-    return np.concatenate([context, own / np.sqrt(p.nonzero)], axis=1).astype(np.float32), (1e-2 / (1e-2 + share)).astype(np.float32)
-
-
-def pool(texts: pa.Array, tokens: Tokens, vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """One row a text: weighted mean and deviation of its words' vectors."""
-    t, sizes = tokens.of(texts)
-    out = np.zeros((len(sizes), 2 * vectors.shape[1]), dtype=np.float32)
-    for i, (end, size) in enumerate(zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True)):
-        if size:
-            own = t[end - size : end]
-            w, v = weights[own], vectors[own]
-            total = w.sum()
-            mean = w @ v / total
-            np.multiply(v, v, out=v)
-            out[i] = np.concatenate([mean, np.sqrt(np.maximum(w @ v / total - mean * mean, 0))])
-    return out
+        table = sums.reshape(size, p.dims)[used].astype(np.int64)
+        rows = [np.append(used, size), np.append(counts[used], total), *(np.append(table[:, i], 0) for i in range(p.dims))]
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in rows], names=["word", *columns])
+
+    rows = pick(docs, text=text_col).mapInArrow(run, ", ".join(f"{c} long" for c in ["word", *columns]))
+    total = rows.groupBy("word").agg(*(F.sum(c).alias(c) for c in columns)).toPandas()  # at most p.vocabulary + 1 rows
+    out = np.zeros((size + 1, 1 + p.dims))
+    out[total["word"].to_numpy(dtype=np.int64)] = total[columns].to_numpy()
+    return out[:size], int(out[size, 0])
+
+
+@dataclass
+class Words:
+    """What is known of words: hashes of the vocabulary, their context directions and smooth inverse-frequency weights."""
+
+    vocabulary: np.ndarray
+    context: np.ndarray
+    weights: np.ndarray
+
+    @classmethod
+    def of(cls, vocabulary: np.ndarray, sums: np.ndarray, total: int) -> Words:
+        context = sums[:, 1:] / np.maximum(np.linalg.norm(sums[:, 1:], axis=1, keepdims=True), 1e-9)
+        return cls(vocabulary, context.astype(np.float32), (1e-2 / (1e-2 + sums[:, 0] / max(total, 1))).astype(np.float32))
+
+
+class Pool:
+    """Texts to rows: weighted mean and deviation of their words' context directions (zero outside the vocabulary) and index vectors.
+
+    Index vectors are never written out: their non-zero entries are summed straight into the texts' rows.
+    """
+
+    def __init__(self, words: Words, p: Params) -> None:
+        self.words, self.p, self.tokens = words, p, Tokens()
+
+    def rows(self, texts: pa.Array) -> np.ndarray:
+        p = self.p
+        t, sizes = self.tokens.of(texts)
+        n = len(sizes)
+        kinds, at = np.unique(t, return_inverse=True)
+        hashes = self.tokens.hashes.rows[kinds]
+        word = known(hashes, self.words.vocabulary)
+        weight = np.where(word >= 0, self.words.weights[word] if len(self.words.weights) else 1.0, 1.0)
+        places, signs = index_vectors(hashes, p)
+        of = np.repeat(np.arange(n), sizes)
+        w = weight[at]
+        total = np.maximum(np.bincount(of, weights=w, minlength=n), 1e-30)[:, None]
+        mean, square = np.zeros(n * p.dims), np.zeros(n * p.dims)
+        for i in range(p.nonzero):
+            cell = of * p.dims + places[at, i]
+            mean += np.bincount(cell, weights=w * signs[at, i], minlength=n * p.dims)
+            square += np.bincount(cell, weights=w, minlength=n * p.dims)
+        mean, square = mean.reshape(n, p.dims) / np.sqrt(p.nonzero) / total, square.reshape(n, p.dims) / p.nonzero / total
+        inside = np.flatnonzero(word[at] >= 0)
+        context, context2 = np.zeros((n, p.dims)), np.zeros((n, p.dims))
+        if len(inside):
+            row, starts = np.unique(of[inside], return_index=True)
+            for begin, end, i in zip(starts.tolist(), [*starts[1:].tolist(), len(inside)], row.tolist(), strict=True):
+                own = at[inside[begin:end]]
+                v, own_w = self.words.context[word[own]], weight[own].astype(np.float32)
+                context[i] = own_w @ v
+                np.multiply(v, v, out=v)
+                context2[i] = own_w @ v
+        context, context2 = context / total, context2 / total
+        deviation = np.sqrt(np.maximum(np.concatenate([context2, square], axis=1) - np.concatenate([context, mean], axis=1) ** 2, 0))
+        return np.concatenate([context, mean, deviation], axis=1).astype(np.float32)
 
 
 @dataclass
@@ -199,35 +276,40 @@ def fit(x: np.ndarray, y: np.ndarray, apart: np.ndarray, p: Params) -> Network:
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, held_out, p: Params) -> tuple[np.ndarray, np.ndarray, Network]:
+def train(docs: DataFrame, labels: DataFrame, held_out, p: Params) -> tuple[Words, Network]:
     """Word vectors of all docs (id, text) and a network from the labels (id, label); held_out: a column over id."""
-    vectors, weights = word_vectors(word_sums(docs, "text", p), p)
     # Few ids first, then their texts: a top-k over ids and labels, at most most_labelled rows.
     rows = labels.where(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out).groupBy("id").agg(F.max("label").alias("label"))
     few = rows.withColumn("h", F.xxhash64("id", F.lit(p.seed))).orderBy("h", "id").limit(p.most_labelled).drop("h")
+    sample = land(docs.join(F.broadcast(few), "id").select("id", F.col("label").cast("int").alias("label"), "text"), "quality-sample")
+    vocabulary = vocabulary_of(sample, p)
+    words = Words.of(vocabulary, *word_sums(docs, "text", vocabulary, p))
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(p.buckets)
+        pool = Pool(shared.value, p)
         for part in slices(batches, 2):
-            x = pool(part.column(2), tokens, vectors, weights)
+            x = pool.rows(part.column(2))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["id", "label", "x"])
 
-    found = docs.join(F.broadcast(few), "id").select("id", F.col("label").cast("int").alias("label"), "text").mapInArrow(run, "id long, label int, x binary")
-    got = found.toPandas().sort_values(["id", "x"], ignore_index=True)
+    got = sample.mapInArrow(run, "id long, label int, x binary").toPandas().sort_values(["id", "x"], ignore_index=True)
+    discard(sample)
     x = np.frombuffer(b"".join(bytes(r) for r in got["x"]), dtype=np.float32).reshape(-1, 4 * p.dims)
     apart = np.array([zlib.crc32(f"t{i}".encode()) % 5 == 0 for i in got["id"]], dtype=bool)
-    return vectors, weights, fit(x, got["label"].to_numpy(dtype=np.int64), apart, p)
+    return words, fit(x, got["label"].to_numpy(dtype=np.int64), apart, p)
 
 
 def score(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", label_id: str = "doc_id", p: Params = Params()) -> DataFrame:
     """doc_id, score, predicted for every row of docs. held_out: a condition over column `id` of rows never trained on."""
     docs = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
-    vectors, weights, net = train(docs, pick(labels, id=label_id, label=label_col), held_out, p)
+    words, net = train(docs, pick(labels, id=label_id, label=label_col), held_out, p)
+    shared = docs.sparkSession.sparkContext.broadcast((words, net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(p.buckets)
-        for part in slices(batches, 1):
-            s = net.scores(pool(part.column(1), tokens, vectors, weights))
+        words, net = shared.value
+        pool = Pool(words, p)
+        for part in slices(batches, 1, 2_000_000):
+            s = net.scores(pool.rows(part.column(1)))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.float64()), pa.array((s >= p.threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return docs.mapInArrow(run, "doc_id long, score double, predicted int")

@@ -27,11 +27,41 @@ def trade_digest(symbol: Column, trade_id: Column, price: Column, quantity: Colu
 FP_PARTS = 4
 
 
-def level_fingerprint(side: Column, price: Column, quantity: Column) -> list[Column]:
-    """Four 60-bit slices of the SHA-256 of a level; all zero for quantity 0, so that a deleted level leaves no trace in an XOR."""
-    digest = F.sha2(F.concat_ws("|", side, decimal_text(price), decimal_text(quantity)), 256)
-    part = lambda i: F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("bigint")
-    return [F.when(quantity > 0, part(i)).otherwise(F.lit(0).cast("bigint")) for i in range(FP_PARTS)]
+def _let(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _turned(text: Column, size: int, start: int = 0) -> Column:
+    """size bytes of a hexadecimal text from byte start, in the opposite order."""
+    return F.concat(*(F.substring(text, 2 * (start + size - i) - 1, 2) for i in range(size)))
+
+
+def _decimal_bytes(value: Column) -> Column:
+    """Hexadecimal: the digits of a non-negative decimal in its shortest form as a 16-byte little-endian number, then one byte with the number of decimal places."""
+    word = F.lit(4_294_967_296).cast("decimal(20,0)")
+
+    def split(text: Column) -> Column:
+        dot, digits = F.instr(text, "."), F.replace(text, F.lit("."), F.lit("")).cast("decimal(28,0)")
+        scale = F.when(dot > 0, F.length(text) - dot).otherwise(0)
+        parts = F.struct((digits % word).cast("bigint").alias("low"), F.call_function("div", digits, word).alias("high"), scale.cast("bigint").alias("scale"))
+        return _let(parts, join)
+
+    def join(x: Column) -> Column:
+        # 28 digits take 94 bits: three words of 32 bits.
+        words = F.concat(F.lpad(F.hex(x["high"]), 16, "0"), F.lpad(F.hex(x["low"]), 8, "0"))
+        return F.concat(_let(words, lambda w: _turned(w, 12)), F.lit("00000000"), F.lpad(F.hex(x["scale"]), 2, "0"))
+
+    return _let(decimal_text(value), split)
+
+
+def level_words(side: Column, price: Column, quantity: Column) -> Column:
+    """The four little-endian 64-bit words (signed) of the SHA-256 of a level, as an array; all zero for quantity 0, so that a deleted level leaves no trace in an XOR."""
+    # Fixed values: 'b' or 'a', then price and quantity as coefficient (16 bytes) and scale (1 byte) each.
+    tag = F.when(side == "bid", "62").otherwise("61")
+    digest = F.sha2(F.unhex(F.concat(tag, _decimal_bytes(price), _decimal_bytes(quantity))), 256)
+    words = _let(digest, lambda h: F.array(*(F.conv(_turned(h, 8, 8 * i), 16, -10).cast("bigint") for i in range(FP_PARTS))))
+    return F.when(quantity > 0, words).otherwise(F.array(*(F.lit(0).cast("bigint") for _ in range(FP_PARTS))))
 
 
 def _levels(levels: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.decimals import DECIMAL, imbalance_ppm, parse_decimal, ratio_ppm
-from ..functions.digests import FP_PARTS, book_digest, level_fingerprint
+from ..functions.digests import FP_PARTS, book_digest, level_words
 from .ordered import WIDTH, carried
 
 DEPTH = "e string, E bigint, s string, U bigint, u bigint, b array<array<string>>, a array<array<string>>"
@@ -147,9 +147,9 @@ def fingerprint_steps(levels: DataFrame, keys: list[str], frame: str = "frame",
     own = Window.partitionBy(*keys, "side", "price").orderBy(frame, pos)
     old = F.coalesce(F.lag("qty").over(own), F.lit(0).cast(DECIMAL))
     rows = levels.withColumn("old", old)
-    new_fp, old_fp = level_fingerprint(F.col("side"), F.col("price"), F.col("qty")), level_fingerprint(F.col("side"), F.col("price"), F.col("old"))
+    rows = rows.withColumn("_new", level_words(F.col("side"), F.col("price"), F.col("qty"))).withColumn("_old", level_words(F.col("side"), F.col("price"), F.col("old")))
     step = F.when(F.col("qty") > 0, 1).otherwise(0) - F.when(F.col("old") > 0, 1).otherwise(0)
-    changes = rows.select(*keys, frame, step.alias("step"), *(n.bitwiseXOR(o).alias(f"fp{i}") for i, (n, o) in enumerate(zip(new_fp, old_fp, strict=True))))
+    changes = rows.select(*keys, frame, step.alias("step"), *(F.col("_new")[i].bitwiseXOR(F.col("_old")[i]).alias(f"fp{i}") for i in range(FP_PARTS)))
     frames = changes.groupBy(*keys, frame).agg(F.sum("step").alias("step"), *(F.bit_xor(f"fp{i}").alias(f"fp{i}") for i in range(FP_PARTS)))
     names = {f"fp{i}": ("xor", F.col(f"fp{i}")) for i in range(FP_PARTS)}
     return carried(frames, keys, frame, width, upto={"n_levels": ("sum", F.col("step")), **names}).drop("step")
@@ -157,8 +157,8 @@ def fingerprint_steps(levels: DataFrame, keys: list[str], frame: str = "frame",
 
 def final_fingerprint(book: DataFrame, keys: list[str]) -> DataFrame:
     """keys, fp0..fp3 of a set of levels, in any order."""
-    parts = level_fingerprint(F.col("side"), F.col("price"), F.col("qty"))
-    return book.groupBy(*keys).agg(*(F.bit_xor(p).alias(f"fp{i}") for i, p in enumerate(parts)), F.count(F.lit(1)).alias("n_levels"))
+    rows = book.withColumn("_words", level_words(F.col("side"), F.col("price"), F.col("qty")))
+    return rows.groupBy(*keys).agg(*(F.bit_xor(F.col("_words")[i]).alias(f"fp{i}") for i in range(FP_PARTS)), F.count(F.lit(1)).alias("n_levels"))
 
 
 # --- per-frame fold -----------------------------------------------------------------------------------------------------

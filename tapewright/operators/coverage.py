@@ -193,6 +193,22 @@ def rate_limit_violations(events: DataFrame, keys: list[str], stamp: str, window
     return out.select(*events.columns, "in_window")
 
 
+#: A session's own control frames in a second, and the longest payloads.
+CONTROL_PER_SECOND, CONTROL_BYTES, DATA_BYTES = 5, 125, 4 * 1024 * 1024
+
+
+def transport_limits(events: DataFrame, keys: list[str], stamp: str, second: int = SECOND, capacity: int = 4_096, width: int | None = None) -> DataFrame:
+    """keys, stamp, rule of a session's frames (kind 'control' or 'data', sent by the client or not, size, queued): control rate, control size, data size, queue."""
+    c = F.col
+    control = events.where((c("kind") == "control") & c("sent"))
+    fast = rate_limit_violations(control, keys, stamp, second, CONTROL_PER_SECOND, width).select(*keys, stamp, F.lit("control rate").alias("rule"))
+    rules = [
+        F.when((c("kind") == "control") & (c("size") > CONTROL_BYTES), "control size"), F.when((c("kind") == "data") & (c("size") > DATA_BYTES), "data size"), F.when(c("queued") > capacity, "queue"),
+    ]
+    rest = events.select(*keys, stamp, F.explode(F.array_compact(F.array(*rules))).alias("rule"))
+    return fast.unionByName(rest)
+
+
 # --- classification -----------------------------------------------------------------------------------------------------
 
 

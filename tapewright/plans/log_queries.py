@@ -458,6 +458,29 @@ def journal_tails(spark, d):
     return lines.select("path", key, "lines", "body_ok").join(tails, "leaf").select(*_file("jsonl"), "lines", "body_ok", "tail_bytes")
 
 
+@query(f"""with {PARTS} select sym, part, 2 as record_index, case (sym + part) % 4 when 1 then 'acknowledgement did not rise' when 2 then 'chain' else 'index' end as rule from parts where (sym + part) % 4 in (1, 2)
+union all select sym, part, 9, 'index' from parts where (sym + part) % 4 = 3""")
+def durability_journals(spark, d):
+    """Durability journals: acknowledgements that do not rise, a spoiled chain, an index left out."""
+
+    def make(path: str) -> None:
+        def build(pdf: pd.DataFrame) -> pd.DataFrame:
+            sym, part = int(pdf["sym"].iloc[0]), int(pdf["part"].iloc[0])
+            previous, lines, mode = framed.ZERO_DIGEST, [], (sym + part) % 4
+            for i in range(5):
+                n = i if mode == 1 and i == 2 else i + 1
+                ack = {"durable_record_count": 10 * (i + 1), "durable_through_offset": 100 * (n if mode == 1 and i == 2 else i + 1), "terminal_record_sha256": "0" * 64}
+                index = 9 if mode == 3 and i == 4 else i
+                line, previous = journals.journal_line({"schema": "RawDurabilityProgressV1", "record_index": index, "wall_ns": i, "mono_ns": i, "previous_record_sha256": "f" * 64 if mode == 2 and i == 2 else previous, "ack": ack})
+                lines.append(line)
+            return pd.DataFrame({"name": [f"S{sym}/{part}.jsonl"], "content": ["".join(x + chr(10) for x in lines).encode()]})
+
+        put_files(feed(spark, d).select("sym", F.expr("id div 64").alias("part")).distinct().groupBy("sym", "part").applyInPandas(build, "name string, content binary"), path)
+
+    rows = journals.read_chained(spark, f"{folder(spark, d, 'durability-journals', make)}/*", "durability")
+    return journals.durability_violations(rows).select(*_file("jsonl"), "record_index", "rule")
+
+
 @query(f"with {FEED} select eid, case eid % 6 when 1 then 'duplicate key' when 2 then 'constant NaN' when 3 then 'syntax' when 4 then 'constant -Infinity' end as reject from feed")
 def strict_json(spark, d):
     e = F.col("eid").cast("string")

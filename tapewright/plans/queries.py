@@ -397,16 +397,43 @@ def aggressor_summary(spark, d):
 
 
 TEXT = "(case when {c}::VARCHAR like '%.%' then rtrim(rtrim({c}::VARCHAR, '0'), '.') else {c}::VARCHAR end)"
-FP = f"sha256(side || '|' || {TEXT.format(c='price')} || '|' || {TEXT.format(c='qty')})"
 
 
-@query(f"{BOOK}, f as (select sym, {FP} as h from book) select sym, " + ", ".join(f"bit_xor(('0x' || substr(h, {1 + 15 * i}, 15))::BIGINT) as fp{i}" for i in range(4)) + ", count(*) as n_levels from f group by sym")
+def _le(value: str, size: int) -> str:
+    """SQL: a number below 2**32 as hexadecimal little-endian bytes."""
+    return "(" + " || ".join(f"substr(printf('%08x', {value}), {7 - 2 * i}, 2)" for i in range(size)) + ")"
+
+
+def _bytes(c: str) -> str:
+    """SQL: shortest digits of a decimal as 16 bytes and its places as one, hexadecimal."""
+    t = TEXT.format(c=c)
+    digits = f"CAST(replace({t}, '.', '') AS HUGEINT)"
+    words = " || ".join(_le(f"CAST(({digits} // {2 ** (32 * i)}) % 4294967296 AS BIGINT)", 4) for i in range(4))
+    return f"({words} || printf('%02x', case when {t} like '%.%' then length({t}) - instr({t}, '.') else 0 end))"
+
+
+def fp_digest(qty: str = "qty") -> str:
+    return f"sha256(unhex(case when side = 'bid' then '62' else '61' end || {_bytes('price')} || {_bytes(qty)}))"
+
+
+def fp_word(digest: str, i: int) -> str:
+    """SQL: the i-th little-endian 64-bit word of a digest, signed."""
+    turned = " || ".join(f"substr({digest}, {16 * i + 15 - 2 * k}, 2)" for k in range(8))
+    return f"CAST((('0x' || {turned})::UBIGINT)::BIT AS BIGINT)"
+
+
+#: SQL: what a single level change adds to the running fingerprint's first word.
+FP_CHANGE = f"xor(case when qty > 0 then {fp_word('h_new', 0)} else 0 end, case when old > 0 then {fp_word('h_old', 0)} else 0 end)"
+FP_OLD = f"h as (select *, {fp_digest()} as h_new, {fp_digest('old')} as h_old from o)"
+
+
+@query(f"{BOOK}, f as (select sym, {fp_digest()} as h from book) select sym, " + ", ".join(f"bit_xor({fp_word('h', i)}) as fp{i}" for i in range(4)) + ", count(*) as n_levels from f group by sym")
 def book_fingerprint(spark, d):
     return book.final_fingerprint(final_book(spark, d), SYM)
 
 
 @query(f"""{BOOK.rsplit(', book as', 1)[0]}, o as (select *, coalesce(lag(qty) over (partition by sym, side, price order by frame), 0) as old from levels),
-x as (select sym, frame, (case when qty > 0 then 1 else 0 end) - (case when old > 0 then 1 else 0 end) as step, xor(case when qty > 0 then ('0x' || substr({FP}, 1, 15))::BIGINT else 0 end, case when old > 0 then ('0x' || substr({FP.replace('qty', 'old')}, 1, 15))::BIGINT else 0 end) as c from o)
+{FP_OLD}, x as (select sym, frame, (case when qty > 0 then 1 else 0 end) - (case when old > 0 then 1 else 0 end) as step, {FP_CHANGE} as c from h)
 select sym, frame, CAST(sum(step) over w AS BIGINT) as n_levels, bit_xor(c) over w as fp0 from x window w as (partition by sym order by frame rows between unbounded preceding and current row)""")
 def book_fingerprint_steps(spark, d):
     return book.fingerprint_steps(levels(spark, d), SYM).select("sym", "frame", *big("n_levels"), "fp0")

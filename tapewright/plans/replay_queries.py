@@ -11,7 +11,7 @@ from ..operators.ordered import WIDTH, carried
 from . import replay
 from .feed import FEED, LANES, LEVELS, feed, lanes, levels, row_order
 from .log_queries import DISPOSED, raw_logs
-from .queries import FP, SQL, SYM, big, query
+from .queries import FP_CHANGE, FP_OLD, SQL, SYM, big, query
 
 # --- complete runs, prefixes, checkpoints -------------------------------------------------------------------------------
 
@@ -41,7 +41,7 @@ def complete_trades_run(spark, d):
 
 
 STEPS_SQL = f"""with {FEED}, {LEVELS}, o as (select *, coalesce(lag(qty) over (partition by sym, side, price order by frame), 0) as old from levels),
-x as (select sym, frame, (case when qty > 0 then 1 else 0 end) - (case when old > 0 then 1 else 0 end) as step, xor(case when qty > 0 then ('0x' || substr({FP}, 1, 15))::BIGINT else 0 end, case when old > 0 then ('0x' || substr({FP.replace('qty', 'old')}, 1, 15))::BIGINT else 0 end) as c from o),
+{FP_OLD}, x as (select sym, frame, (case when qty > 0 then 1 else 0 end) - (case when old > 0 then 1 else 0 end) as step, {FP_CHANGE} as c from h),
 r as (select sym, frame, CAST(sum(step) over w AS BIGINT) as n_levels, bit_xor(c) over w as fp0 from x window w as (partition by sym order by frame rows between unbounded preceding and current row))"""
 
 
@@ -186,6 +186,17 @@ def silence_causes(spark, d):
     return coverage.silence_causes(pauses, f.select("user_id", (F.col("us") - 1_000).alias("at"), signal.alias("signal")), ["user_id"], "at")
 
 
+@query(f"""with {FEED}, e as (select user_id, us, eid % 3 = 0 as control, eid % 4 <> 1 as sent, case when eid % 3 = 0 then eid % 140 else eid * 500 % 5000000 end as size, eid % 4500 as queued from feed),
+r as (select user_id, us, count(*) over (partition by user_id order by us range between 863999999999 preceding and current row) as n from e where control and sent)
+select user_id, us, 'control rate' as rule from r where n > 5 union all select user_id, us, 'control size' from e where control and size > 125 union all select user_id, us, 'data size' from e where not control and size > 4194304 union all select user_id, us, 'queue' from e where queued > 4096""")
+def transport_limits(spark, d):
+    """Frames of sessions that break a limit."""
+    e = F.col("eid")
+    size = F.when(e % 3 == 0, e % 140).otherwise(e * 500 % 5_000_000)
+    rows = feed(spark, d).select("user_id", "us", F.when(e % 3 == 0, "control").otherwise("data").alias("kind"), (e % 4 != 1).alias("sent"), size.alias("size"), (e % 4_500).alias("queued"))
+    return coverage.transport_limits(rows, ["user_id"], "us", 864_000_000_000)
+
+
 @query(f"with {FEED}, r as (select sym, id, us, us - us % 3600000000 + case when eid % 13 = 5 then 3600000000 else 0 end as declared from feed) select sym, id, declared // 3600000000 as segment_index, us // 3600000000 as actual_segment from r where us // 3600000000 <> declared // 3600000000")
 def segment_membership(spark, d):
     """Records whose time is not in the segment that declares them."""

@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.digests import ZERO_DIGEST
 from ..operators.oracle import PAYLOAD
+from ..operators.ordered import carried
 
 BODY = "schema string, record_index bigint, wall_ns bigint, mono_ns bigint, channel string, previous_record_sha256 string"
 
@@ -37,6 +38,37 @@ def read_arbitration(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("path", "body.record_index", "body.wall_ns", "body.mono_ns", "body.channel", "body.schema", "body.previous_record_sha256", "record_sha256", (F.sha2(text, 256) == F.col("record_sha256")).alias("body_ok"), *payload)
 
 
+#: What the bodies of the other chained journals hold besides the chain's own columns.
+BODIES = {
+    "durability": "ack struct<durable_record_count:bigint,durable_through_offset:bigint,terminal_record_sha256:string>",
+    "campaign": "event string, payload struct<lane:string,generation:bigint,status:string>",
+    "supervisor": "event string, payload struct<lane:string,run_token:string,launch_attempt:bigint,reason:string>",
+    "transport": "event string, payload struct<status:string,error:string,received:bigint,sample:struct<state_name:string>>",
+    "witness": "sample struct<sample_index:bigint,classification:string>",
+}
+
+
+def read_chained(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """Chained JSONL journals of a kind: path, record_index, schema, wall_ns, mono_ns, chain columns, body_ok, and the columns of its body."""
+    columns = [c.split()[0] for c in BODY.split(", ") if not c.startswith("channel")]
+    own = BODIES[kind]
+    rows = read_jsonl(spark, path, f"body struct<{BODY.replace(' ', ':').replace(',:', ',')},{own.replace(', ', ',').replace(' ', ':')}>, record_sha256 string")
+    text = F.regexp_extract("line", r'^\{"body":(.*),"record_sha256":"[0-9a-f]{64}"\}$', 1)
+    names = [f.name for f in rows.schema["body"].dataType.fields if f.name not in [*columns, "channel"]]
+    return rows.select("path", *(F.col(f"body.{c}").alias(c) for c in columns), "record_sha256", (F.sha2(text, 256) == F.col("record_sha256")).alias("body_ok"), *(F.col(f"body.{n}").alias(n) for n in names))
+
+
+def durability_violations(progress: DataFrame) -> DataFrame:
+    """path, record_index, rule of durability journals: body digest, index, chain, and acknowledgements that rise in records and offset."""
+    rows = carried(progress, ["path"], "record_index", prev={"_digest": F.col("record_sha256"), "_ack": F.col("ack")}, before={"_n": ("sum", F.lit(1).cast("bigint"))})
+    a, b = F.col("ack"), F.col("_ack")
+    rule = (
+        F.when(~F.col("body_ok"), "body digest").when(F.col("record_index") != F.coalesce("_n", F.lit(0)), "index").when(F.col("previous_record_sha256") != F.coalesce("_digest", F.lit(ZERO_DIGEST)), "chain")
+        .when((a["durable_record_count"] <= b["durable_record_count"]) | (a["durable_through_offset"] <= b["durable_through_offset"]), "acknowledgement did not rise")
+    )
+    return rows.withColumn("rule", rule).where("rule is not null").select("path", "record_index", "rule")
+
+
 def journal_line(body: dict) -> tuple[str, str]:
     """A journal's line and its digest."""
     text = json.dumps(body, ensure_ascii=False, separators=(",", ":"), allow_nan=False)

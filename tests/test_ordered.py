@@ -82,3 +82,22 @@ def test_overlapping_intervals_fail(spark):
     assert coverage.nearest_interval(points, apart, ["k"], "t", "a", "b", "seq", 5).first()["nearest_seq"] == 1
     with pytest.raises(Exception, match="intervals overlap"):
         coverage.nearest_interval(points, spark.createDataFrame([("k", 0, 100, 1), ("k", 10, 12, 2)], apart.schema), ["k"], "t", "a", "b", "seq", 5).collect()
+
+
+def test_level_fingerprint_by_plain_digests(spark):
+    """Words of the digest over tag, coefficient, scale, coefficient, scale against plain Python."""
+    import hashlib
+    from decimal import Decimal
+
+    from tapewright.functions.digests import level_words
+
+    rows = [("bid", Decimal("27000.10"), Decimal("0.5")), ("ask", Decimal("12345678901234567890.12345678"), Decimal("3")), ("ask", Decimal("100"), Decimal("0.00000001")), ("bid", Decimal("1"), Decimal("0"))]
+    got = spark.createDataFrame(rows, "side string, price decimal(28,8), qty decimal(28,8)").select(level_words(F.col("side"), F.col("price"), F.col("qty")).alias("w")).collect()
+    for (side, price, qty), words in zip(rows, got, strict=True):
+        body = side[0].encode()
+        for x in (price, qty):
+            x = x.normalize()
+            scale = max(-x.as_tuple().exponent, 0)
+            body += int(x.scaleb(scale)).to_bytes(16, "little") + bytes([scale])
+        digest = hashlib.sha256(body).digest()
+        assert list(words["w"]) == ([int.from_bytes(digest[8 * i : 8 * i + 8], "little", signed=True) for i in range(4)] if qty else [0] * 4)

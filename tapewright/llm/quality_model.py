@@ -15,6 +15,7 @@ training. Empty table: no rows. Only the named columns are read, so others may h
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -47,45 +48,57 @@ class Params:
     seed: int = 20
 
 
-class Tokens:
-    """Texts to numbers of tokens, which are the same for equal tokens until the table is forgotten; `hashes` has each one's 64-bit hash.
+#: What often follows a word without a space; a shortcut for the general rule, with the same result.
+CLOSING = ".,;:!?)\"'"
+_hash = xxhash.xxh3_64_intdigest
+CAPITALS = _hash(b"c")
+
+
+def token_hashes(word: bytes) -> list[int]:
+    """Hashes of a word's tokens: one for each of its runs (3-grams of a long one), then a mark of capitals."""
+    if len(word) <= LONGEST and word.isalnum():  # plain letters and digits
+        small = word.lower()
+        return [_hash(b"w" + small)] if small == word or len(word) < 2 or not word.isupper() else [_hash(b"w" + small), CAPITALS]
+    text = word.decode("utf-8", "replace")
+    core = text.rstrip(CLOSING)
+    small = core.lower()
+    if core.isalnum() and max(len(text), len(small)) <= LONGEST:  # letters and digits of any script, then closing signs
+        out = [_hash(("w" + small).encode())]
+        if len(core) < len(text):
+            out.append(_hash(("s" + text[len(core) :]).encode()))
+        return [*out, CAPITALS] if len(core) > 1 and core.isupper() else out
+    out, capitals = [], False
+    for m in RUNS.finditer(text):
+        run, kind = m[0], "w" if m[1] else "s"
+        capitals |= len(run) > 1 and run.isupper()
+        run = run.lower()
+        grams = [run] if len(run) <= LONGEST else [run[i : i + GRAM] for i in range(len(run) - GRAM + 1)]
+        out += [_hash((kind + g).encode("utf-8", "replace")) for g in grams]
+    return [*out, CAPITALS] if capitals else out
 
-    A word gives one token for each of its runs (3-grams of a long one), then a mark of capitals. `most` bounds the table.
-    """
 
-    MOST = 4_000_000
+class Tokens:
+    """Texts to hashes of tokens; the tokens of a word are remembered, up to a bounded number of words and tokens (`most`)."""
 
-    def __init__(self, most: int = 200_000) -> None:
+    def __init__(self, most: int = 4_000_000) -> None:
         self.most = most
         self._forget()
 
     def _forget(self) -> None:
-        self.words, self.parts, self.spans = WordTable(), Growing((), np.int32), Growing((2,), np.int64)
-        self.tokens, self.hashes = WordTable(), Growing((), np.uint64)
-
-    def _split(self, word: bytes) -> list[str]:
-        out, capitals = [], False
-        for m in RUNS.finditer(word.decode("utf-8", "replace")):
-            run, kind = m[0], "w" if m[1] else "s"
-            capitals |= len(run) > 1 and run.isupper()
-            run = run.lower()
-            out += [kind + run] if len(run) <= LONGEST else [kind + run[i : i + GRAM] for i in range(len(run) - GRAM + 1)]
-        return [*out, "c"] if capitals else out
+        self.words, self.parts, self.spans = WordTable(), Growing((), np.uint64), Growing((2,), np.int64)
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Token numbers of all texts, one after the other, and how many each text has."""
-        if len(self.tokens) > self.most or len(self.words) > WordTable.LIMIT or self.parts.used > self.MOST:
+        """Token hashes of all texts, one after the other, and how many each text has."""
+        if len(self.words) > WordTable.LIMIT or self.parts.used > self.most:
             self._forget()
         words, at, counts = split_words(texts)
         numbers = self.words.numbers(words)
         if self.words.new:
-            new = [self._split(w) for w in self.words.new]
-            sizes = np.array([len(x) for x in new], dtype=np.int64)
+            new = [token_hashes(w) for w in self.words.new]
+            sizes = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
             self.spans.extend(np.stack([self.parts.used + np.cumsum(sizes) - sizes, sizes], axis=1))
-            self.parts.extend(self.tokens.numbers([t for x in new for t in x]).astype(np.int32))
+            self.parts.extend(np.fromiter(itertools.chain.from_iterable(new), dtype=np.uint64, count=int(sizes.sum())))
             self.words.new.clear()
-            self.hashes.extend(np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) for t in self.tokens.new], dtype=np.uint64))
-            self.tokens.new.clear()
         start, size = self.spans.rows[numbers[at]].T
         ends = np.cumsum(size)
         found = self.parts.rows[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
@@ -114,10 +127,9 @@ def vocabulary_of(sample: DataFrame, p: Params) -> np.ndarray:
         tokens = Tokens()
         for part in slices(batches, 0):
             t, sizes = tokens.of(part.column(0))
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            pairs = np.unique(of * (1 << 32) + t)  # a token once for each text
-            kinds, n = np.unique(pairs & 0xFFFFFFFF, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.hashes.rows[kinds].view(np.int64)), pa.array(n)], names=["h", "n"])
+            kinds, at = np.unique(t, return_inverse=True)
+            once = np.unique(np.repeat(np.arange(len(sizes)), sizes) * len(kinds) + at) % max(len(kinds), 1)  # a token once for each text
+            yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(np.bincount(once, minlength=len(kinds)))], names=["h", "n"])
 
     rows = sample.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
     top = rows.orderBy(F.col("n").desc(), "h").limit(p.vocabulary).select("h").toPandas()  # at most p.vocabulary rows
@@ -134,8 +146,8 @@ def word_sums(docs: DataFrame, text_col: str, vocabulary: np.ndarray, p: Params)
         for part in slices(batches, 0, 2_000_000):
             t, sizes = tokens.of(part.column(0))
             kinds, t = np.unique(t, return_inverse=True)
-            word = known(tokens.hashes.rows[kinds], vocabulary)
-            places, signs = index_vectors(tokens.hashes.rows[kinds], p)
+            word = known(kinds, vocabulary)
+            places, signs = index_vectors(kinds, p)
             total += len(t)
             w = word[t]
             counts += np.bincount(w[w >= 0], minlength=size)
@@ -189,8 +201,7 @@ class Pool:
         p = self.p
         t, sizes = self.tokens.of(texts)
         n = len(sizes)
-        kinds, at = np.unique(t, return_inverse=True)
-        hashes = self.tokens.hashes.rows[kinds]
+        hashes, at = np.unique(t, return_inverse=True)
         word = known(hashes, self.words.vocabulary)
         weight = np.where(word >= 0, self.words.weights[word] if len(self.words.weights) else 1.0, 1.0)
         places, signs = index_vectors(hashes, p)

@@ -258,6 +258,19 @@ def utc_conversions(spark, d):
     return feed(spark, d).select("eid", wire.utc_ns(F.concat(plain, zone)).alias("ns"), wire.utc_text(F.col("us") * 1_000).alias("text"))
 
 
+@query(f"with {FEED} select sym, id, eid from feed order by eid desc limit 5000")
+def retained_ids(spark, d):
+    """The newest identities: a bounded retention."""
+    return union.newest_ids(feed(spark, d).select("sym", "id", "eid"), "eid", 5_000)
+
+
+@query(f"with {FEED} select eid, rtrim(rpad(event_type, 10, ' ')) as text from feed")
+def alpha_fields(spark, d):
+    """Texts in fields of fixed length, without the blanks that fill them."""
+    rows = feed(spark, d).select("eid", F.concat(F.lit("xx"), F.rpad("event_type", 10, " ")).cast("binary").alias("b"))
+    return rows.select("eid", wire.alpha(F.col("b"), 2, 10).alias("text"))
+
+
 @query(f"with {FEED} select eid, case when eid % 4 = 3 then 'symbol' when eid % 5 = 4 then 'stream' when eid % 7 not in (0, 1) then 'limit' end as reject from feed")
 def scope_predicate(spark, d):
     e = F.col("eid")

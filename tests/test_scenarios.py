@@ -429,3 +429,35 @@ def test_candidates_and_lane_starts(spark):
     starts = [("P", 1, "a", None, None, None), ("P", 5, "a", None, None, None), ("P", 7, "b", 9, None, None), ("P", 9, "c", 9, 5, 10), ("P", 30, "d", 9, 5, 10), ("P", 31, " ", None, None, None)]
     df = spark.createDataFrame(starts, "lane string, t bigint, run_token string, not_before bigint, circuit_open_since bigint, cooldown bigint")
     assert [(r["t"], r["rule"]) for r in sessions.lane_start_violations(df, ["lane"], "t").orderBy("t").collect()] == [(5, "token"), (7, "backoff"), (9, "circuit"), (31, "token")]
+
+
+def test_silence_timer(spark, tmp_path):
+    """A key that falls silent is reported once, when its processing-time timer expires; one that goes on is not."""
+    import time
+
+    schema = "key bigint, v bigint"
+    put = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    put([(1, 0), (2, 0)])
+    with stream_sources.rocksdb(spark):
+        q = stream_sources.stream_silence(stream_sources.follow(spark, str(tmp_path / "in"), schema), "key", 6_000).writeStream.format("memory").queryName("silent").outputMode("append").trigger(processingTime="300 milliseconds").start()
+        deadline, seen = time.time() + 60, set()
+        while time.time() < deadline and 1 not in seen:
+            put([(2, 1)])
+            time.sleep(0.5)
+            seen = {r["key"] for r in spark.table("silent").collect()}
+        q.stop()
+    assert 1 in seen and spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != "" and spark.table("silent").where("key = 1").count() == 1
+
+
+def test_excluded_lane_in_the_stream(spark, tmp_path):
+    """Ids of a healthy lane are released once the stalled one is excluded, and only then."""
+    rows = [(1, i, "P", f"d{i}", 10 * i) for i in range(6)] + [(1, 0, "S", "d0", 1)]
+    schema = "sym bigint, id bigint, lane string, digest string, arrival bigint"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    found = {}
+    for name, excluded in (("held", None), ("free", {"S": 40})):
+        with stream_sources.rocksdb(spark):
+            out = stream_union.stream_union(stream_sources.follow(spark, str(tmp_path / "in"), schema), stream_union.UnionProcessor(excluded=excluded))
+            out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / f"cp-{name}")).trigger(availableNow=True).start(str(tmp_path / name)).awaitTermination()
+        found[name] = sorted(r["id"] for r in spark.read.schema(stream_union.OUTPUT).parquet(str(tmp_path / name)).where("event = 'PUBLISHED'").collect())
+    assert found == {"held": [0], "free": [0, 1, 2, 3, 4, 5]}
